@@ -98,15 +98,17 @@ def word_count(text: Column) -> Column:
     return F.length(F.translate(marked, " \t\n\x0b\x0c\r", "")).cast("long")
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
-    """Add (_f, _r): a key of each row, the same at every evaluation.
-
-    Rows read from files are named by file and position; other inputs are written to the shared folder first."""
+def as_scan(df: DataFrame) -> DataFrame:
+    """df itself where it reads each row of files at most once, else a written copy of it."""
     plan = df._jdf.queryExecution().analyzed()
-    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):  # these keep each row at most once
+    while plan.nodeName() in ("Project", "Filter", "SubqueryAlias"):
         plan = plan.children().head()
-    named = df if plan.getClass().getSimpleName() == "LogicalRelation" else materialise(df)
-    return named.select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
+    return df if plan.getClass().getSimpleName() == "LogicalRelation" else materialise(df)
+
+
+def with_row_key(df: DataFrame) -> DataFrame:
+    """Add (_f, _r): a key of each row, file and position, the same at every evaluation of as_scan's result."""
+    return as_scan(df).select("*", F.xxhash64("_metadata.file_path").alias("_f"), F.col("_metadata.row_index").alias("_r"))
 
 
 def whole_row(df: DataFrame) -> Column:

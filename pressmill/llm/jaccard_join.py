@@ -9,8 +9,9 @@ same content. Nothing is lost, and a shared passage alone does not fill a tile,
 from the whole document.
 
 Inside tiles, popcounts of the exclusive or of bitmap signatures bound the overlap from above, and the pairs
-that pass are intersected exactly as sorted arrays. First each node is tested against one neighbour of its
-tiles (the one it shares most tiles with), twice; then every pair of a tile that is still in two components is.
+that pass are intersected exactly as sorted arrays. First each node is tested against one hub of its tiles
+(the node with the most neighbours), and each component so found again; then every pair of a tile that is still
+in two components is.
 So a group of thousands of copies costs one test per copy, and no link between different texts is lost. A
 neighbour with many partners is salted into groups of ``HUB_PARTNERS``.
 
@@ -27,10 +28,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm._common import Rolling, map_rows, materialise, mix, release, use_small_batches, whole_row, with_row_key
+from pressmill.llm._common import Rolling, as_scan, map_rows, materialise, mix, release, use_small_batches, whole_row, with_row_key
 
 WORDS, PERCENT = 4, 85
 BITMAP_WORDS = 8
@@ -116,16 +117,36 @@ def _nodes(keyed: DataFrame, words: int, percent: int) -> DataFrame:
     return map_rows(keyed.select("doc_id", "_f", "_r", F.col("text").cast("binary").alias("t")), "doc_id long, _f long, _r long, n long, node binary, bits array<long>, tiles array<long>", run)
 
 
-def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs (u, v) of nodes whose sets link. Each u's text is sent once per HUB_PARTNERS partners, each v's once."""
-    u_side, v_side = (texts.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"b_{x}")) for x in "uv")
+def _possible(percent: int) -> Column:
+    """Whether sizes (n_u, n_v) and bitmaps (b_u, b_v) allow a link.
+
+    |u and v| <= (n_u + n_v - differing bits) / 2, and linking needs 100 |u and v| >= percent |u or v|."""
     differing = sum((F.bit_count(F.col("b_u")[i].bitwiseXOR(F.col("b_v")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
-    # |u and v| <= (n_u + n_v - differing bits) / 2, and linking needs 100 |u and v| >= percent |u or v|
     bound = (F.col("n_u") + F.col("n_v") - differing) / 2
-    fits = (100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")) & ((100 + percent) * bound >= percent * (F.col("n_u") + F.col("n_v")))
-    likely = pairs.join(u_side, "u").join(v_side, "v").filter(fits).select("u", "v")
-    partners = likely.groupBy("u").agg(F.count("*").alias("partners"))
-    salted = likely.join(partners, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.ceil(F.col("partners") / HUB_PARTNERS))).select("u", "salt", "v")
+    sizes = 100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")
+    return sizes & ((100 + percent) * bound >= percent * (F.col("n_u") + F.col("n_v")))
+
+
+def _side(texts: DataFrame, name: str) -> DataFrame:
+    return texts.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"b_{name}"), F.col("tiles").alias(f"t_{name}"))
+
+
+def _fitting(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    return pairs.join(_side(texts, "u").drop("t_u"), "u").join(_side(texts, "v").drop("t_v"), "v").filter(_possible(percent)).select("u", "v")
+
+
+def _rest(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Every pair of a tile in two components that the bounds allow, at the first tile that both announce. The join's condition holds the bounds, so no other pair leaves it."""
+    a = placed.select("tile", F.col("node").alias("u"), F.col("label").alias("l_u")).join(_side(texts, "u"), "u")
+    b = placed.select("tile", F.col("node").alias("v"), F.col("label").alias("l_v")).join(_side(texts, "v"), "v").withColumnRenamed("tile", "tile_v")
+    first = F.array_min(F.array_intersect("t_u", "t_v")) == F.col("tile")
+    return a.join(b, (F.col("tile") == F.col("tile_v")) & (F.col("u") < F.col("v")) & (F.col("l_u") != F.col("l_v")) & _possible(percent) & first).select("u", "v")
+
+
+def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (u, v) of nodes whose sets link. Each u's text is sent once per HUB_PARTNERS partners, each v's once."""
+    partners = pairs.groupBy("u").agg(F.count("*").alias("partners"))
+    salted = pairs.join(partners, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.ceil(F.col("partners") / HUB_PARTNERS))).select("u", "salt", "v")
     salted = materialise(salted)
     left = salted.select("u", "salt").distinct().join(texts.select(F.col("node").alias("u"), "t"), "u").select("u", "salt", F.lit(None).cast("binary").alias("v"), "t")
     right = salted.join(texts.select(F.col("node").alias("v"), "t"), "v").select("u", "salt", "v", "t")
@@ -173,42 +194,46 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     """One row per row of docs: doc_id, _f, _r (see with_row_key), n (set size) and label (its component; null without shingles)."""
     use_small_batches(docs.sparkSession)
     keyed = with_row_key(docs)
-    rows = materialise(_nodes(keyed, words, percent))
+    fat = materialise(_nodes(keyed, words, percent))
     of_tile = Window.partitionBy("tile")
-    posted = rows.select(F.explode("tiles").alias("tile"), "node")
-    shared = posted.withColumn("lo", F.min("node").over(of_tile)).withColumn("hi", F.max("node").over(of_tile)).filter("lo <> hi")
-    tiles = materialise(shared.select("tile", "node"))
-    wanted = tiles.select("node").distinct()
+    posted = fat.select(F.explode("tiles").alias("tile"), "node")
+    shared = posted.withColumn("lo", F.min("node").over(of_tile)).withColumn("hi", F.max("node").over(of_tile)).withColumn("m", F.count("*").over(of_tile)).filter("lo <> hi")
+    tiles = materialise(shared.select("tile", "node", "m"))
+    rows = materialise(fat.drop("tiles"))
+    release(fat)
+    near = tiles.groupBy("node").agg(F.sum("m").alias("near"), F.array_sort(F.collect_set("tile")).alias("tiles"))
     first = rows.groupBy("node").agg(F.min(F.struct("_f", "_r")).alias("at"))
-    chosen = first.join(wanted, "node").select("node", "at._f", "at._r")
+    chosen = materialise(first.join(near, "node").select("node", "near", "tiles", "at._f", "at._r"))
     facts = chosen.join(rows.select("_f", "_r", "n", "bits"), ["_f", "_r"])
-    texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("node", "n", "bits", "t"))
+    texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("node", "near", "tiles", "n", "bits", "t"))
+    release(chosen)
 
-    spark = docs.sparkSession
-    links = spark.createDataFrame([], "u binary, v binary")
-    tested = links
-    labels = None
+    links = docs.sparkSession.createDataFrame([], "u binary, v binary")
+    labels, spread = None, tiles.select("tile", "node")
     for turn in range(STAR_ROUNDS + 1):
-        placed = tiles if labels is None else tiles.join(labels, "node", "left")
-        placed = placed.withColumn("label", F.coalesce("label", "node") if labels is not None else F.col("node"))
-        spread = placed.withColumn("lo", F.min("label").over(of_tile)).withColumn("hi", F.max("label").over(of_tile)).filter("lo <> hi")
+        if labels is None:
+            placed = spread.join(texts.select("node", "near"), "node").withColumn("label", F.col("node"))
+        else:
+            placed = spread.join(texts.select("node", "near"), "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            placed = placed.withColumn("lo", F.min("label").over(of_tile)).withColumn("hi", F.max("label").over(of_tile)).filter("lo <> hi").drop("lo", "hi")
+        placed = materialise(placed)  # tiles that still hold several components
         if turn < STAR_ROUNDS:
-            hubs = spread.withColumn("hub", F.min(F.struct("label", "node")).over(of_tile))
-            offers = hubs.filter(F.col("hub.label") != F.col("label")).groupBy("label", F.col("hub.node").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("c"))
+            # the hub of a tile is its node with the most neighbours: of variants of one text, the one that most resemble
+            hubs = placed.withColumn("hub", F.max(F.struct("near", "node", "label")).over(of_tile)).filter(F.col("hub.label") != F.col("label"))
+            offers = hubs.groupBy("label", F.col("hub.node").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("c"))
             pairs = offers.groupBy("label").agg(F.max_by(F.struct("u", "v"), F.struct("c", "u", "v")).alias("p")).select("p.u", "p.v")
+            pairs = _fitting(pairs, texts, percent)
         else:
-            a, b = spread.select("tile", F.col("node").alias("u"), F.col("label").alias("lu")), spread.select("tile", F.col("node").alias("v"), F.col("label").alias("lv"))
-            pairs = a.join(b, "tile").filter("lu <> lv and u < v").select("u", "v").distinct()
-        ordered = pairs.select(F.least("u", "v").alias("lo_"), F.greatest("u", "v").alias("hi_"), "u", "v")
-        pairs = materialise(ordered.join(tested.select(F.col("u").alias("lo_"), F.col("v").alias("hi_")), ["lo_", "hi_"], "left_anti").select("u", "v"))
-        if pairs.limit(1).count() == 0:
-            if turn < STAR_ROUNDS:
-                continue
-            break
-        tested = tested.unionByName(pairs.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")))
-        links = links.unionByName(_linked(pairs, texts, words, percent))
-        labels = components(links)
-    release(texts, tiles)
+            pairs = _rest(placed, texts, percent)
+        pairs = materialise(pairs)
+        release(tiles if turn == 0 else spread)
+        spread = placed.select("tile", "node")
+        spread._pressmill_path = placed._pressmill_path
+        if pairs.limit(1).count():
+            links = links.unionByName(_linked(pairs, texts, words, percent))
+            labels = components(links)
+        release(pairs)
+    release(texts, spread)
     named = rows.select("doc_id", "_f", "_r", "n", "node")
     if labels is not None:
         named = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -227,6 +252,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component (the smallest doc_id, nulls last); rows without shingles stay."""
+    docs = as_scan(docs)
     rows = materialise(join(docs.select("doc_id", "text"), words, percent))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_f", "_r"))
     kept = rows.filter("label is not null").groupBy("label").agg(first.alias("k")).select("k._f", "k._r").unionByName(rows.filter("label is null").select("_f", "_r"))

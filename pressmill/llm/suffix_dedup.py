@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm._common import Rolling, map_rows, materialise, mix, release, use_small_batches, whole_row, with_row_key
+from pressmill.llm._common import Rolling, as_scan, map_rows, materialise, mix, release, use_small_batches, whole_row, with_row_key
 
 WIDTH, KEY = 200, 64
 HOT_CONTEXTS = 4000
@@ -369,6 +369,7 @@ def digest(docs: DataFrame) -> DataFrame:
 
 def remove(docs: DataFrame) -> DataFrame:
     """docs with text_bytes: what is left of each text's UTF-8 (a cut may fall inside a character; null stays null)."""
+    docs = as_scan(docs)
     _, spans = repeats(docs.select("text"))
     keyed = with_row_key(docs.select("text", whole_row(docs.drop("text_bytes"))))
 
