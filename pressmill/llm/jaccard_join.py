@@ -128,19 +128,30 @@ def _possible(percent: int) -> Column:
 
 
 def _side(texts: DataFrame, name: str) -> DataFrame:
-    return texts.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"b_{name}"), F.col("tiles").alias(f"t_{name}"))
+    return texts.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"b_{name}"))
 
 
 def _fitting(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    return pairs.join(_side(texts, "u").drop("t_u"), "u").join(_side(texts, "v").drop("t_v"), "v").filter(_possible(percent)).select("u", "v")
+    return pairs.join(_side(texts, "u"), "u").join(_side(texts, "v"), "v").filter(_possible(percent)).select("u", "v")
 
 
 def _rest(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Every pair of a tile in two components that the bounds allow, at the first tile that both announce. The join's condition holds the bounds, so no other pair leaves it."""
-    a = placed.select("tile", F.col("node").alias("u"), F.col("label").alias("l_u")).join(_side(texts, "u"), "u")
-    b = placed.select("tile", F.col("node").alias("v"), F.col("label").alias("l_v")).join(_side(texts, "v"), "v").withColumnRenamed("tile", "tile_v")
-    first = F.array_min(F.array_intersect("t_u", "t_v")) == F.col("tile")
-    return a.join(b, (F.col("tile") == F.col("tile_v")) & (F.col("u") < F.col("v")) & (F.col("l_u") != F.col("l_v")) & _possible(percent) & first).select("u", "v")
+    # a tile's largest component (by its hub) needs no pairs with itself: one side of a pair is outside it
+    of_tile = Window.partitionBy("tile")
+    marked = placed.withColumn("main", F.max(F.struct("near", "node", "label")).over(of_tile)["label"])
+    rows = materialise(marked.select("tile", "node", "label", (F.col("label") != F.col("main")).alias("minor")))
+    lists = rows.groupBy("node").agg(F.array_sort(F.collect_set("tile")).alias("t"))
+    nodes = materialise(lists.join(texts.select("node", "n", "bits"), "node"))
+
+    def side(x: str) -> DataFrame:
+        facts = nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"b_{x}"), F.col("t").alias(f"t_{x}"))
+        return rows.select(F.col("tile").alias(f"tile_{x}"), F.col("node").alias(x), F.col("label").alias(f"l_{x}"), F.col("minor").alias(f"m_{x}")).join(facts, x)
+
+    once = ~F.col("m_v") | (F.col("u") < F.col("v"))
+    first = F.array_min(F.array_intersect("t_u", "t_v")) == F.col("tile_u")
+    met = (F.col("tile_u") == F.col("tile_v")) & (F.col("l_u") != F.col("l_v")) & once
+    return side("u").filter("m_u").join(side("v"), met & _possible(percent) & first).select("u", "v")
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -201,12 +212,11 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     tiles = materialise(shared.select("tile", "node", "m"))
     rows = materialise(fat.drop("tiles"))
     release(fat)
-    near = tiles.groupBy("node").agg(F.sum("m").alias("near"), F.array_sort(F.collect_set("tile")).alias("tiles"))
+    near = tiles.groupBy("node").agg(F.sum("m").alias("near"))
     first = rows.groupBy("node").agg(F.min(F.struct("_f", "_r")).alias("at"))
-    chosen = materialise(first.join(near, "node").select("node", "near", "tiles", "at._f", "at._r"))
+    chosen = first.join(near, "node").select("node", "near", "at._f", "at._r")
     facts = chosen.join(rows.select("_f", "_r", "n", "bits"), ["_f", "_r"])
-    texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("node", "near", "tiles", "n", "bits", "t"))
-    release(chosen)
+    texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("node", "near", "n", "bits", "t"))
 
     links = docs.sparkSession.createDataFrame([], "u binary, v binary")
     labels, spread = None, tiles.select("tile", "node")
