@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pressmill.llm._common import Rolling, as_scan, map_rows, materialise, mix, release, use_small_batches, whole_row, with_row_key
 
 WORDS, PERCENT = 4, 85
-BITMAP_WORDS = 8
+BITMAP_WORDS = 16
 HUB_PARTNERS = 512
 STAR_ROUNDS = 2
 _PART, _CONTENT, _BAND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -128,7 +128,7 @@ def _possible(percent: int) -> Column:
 
 
 def _side(texts: DataFrame, name: str) -> DataFrame:
-    return texts.select(F.col("node").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"b_{name}"))
+    return texts.select(F.col("id").alias(name), F.col("n").alias(f"n_{name}"), F.col("bits").alias(f"b_{name}"))
 
 
 def _fitting(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -136,22 +136,18 @@ def _fitting(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def _rest(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Every pair of a tile in two components that the bounds allow, at the first tile that both announce. The join's condition holds the bounds, so no other pair leaves it."""
-    # a tile's largest component (by its hub) needs no pairs with itself: one side of a pair is outside it
+    """Every pair of a tile in two components that the bounds allow, once. The join's condition holds the bounds, so no other pair leaves it."""
+    # a tile's main component (its hub's) needs no pairs with itself: one side of a pair is outside it
     of_tile = Window.partitionBy("tile")
-    marked = placed.withColumn("main", F.max(F.struct("near", "node", "label")).over(of_tile)["label"])
-    rows = materialise(marked.select("tile", "node", "label", (F.col("label") != F.col("main")).alias("minor")))
-    lists = rows.groupBy("node").agg(F.array_sort(F.collect_set("tile")).alias("t"))
-    nodes = materialise(lists.join(texts.select("node", "n", "bits"), "node"))
+    marked = placed.withColumn("main", F.max(F.struct("near", "id", "label")).over(of_tile)["label"])
+    rows = materialise(marked.select("tile", "id", "label", (F.col("label") != F.col("main")).alias("minor")))
 
     def side(x: str) -> DataFrame:
-        facts = nodes.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("bits").alias(f"b_{x}"), F.col("t").alias(f"t_{x}"))
-        return rows.select(F.col("tile").alias(f"tile_{x}"), F.col("node").alias(x), F.col("label").alias(f"l_{x}"), F.col("minor").alias(f"m_{x}")).join(facts, x)
+        return rows.select(F.col("tile").alias(f"tile_{x}"), F.col("id").alias(x), F.col("label").alias(f"l_{x}"), F.col("minor").alias(f"m_{x}")).join(_side(texts, x), x)
 
     once = ~F.col("m_v") | (F.col("u") < F.col("v"))
-    first = F.array_min(F.array_intersect("t_u", "t_v")) == F.col("tile_u")
     met = (F.col("tile_u") == F.col("tile_v")) & (F.col("l_u") != F.col("l_v")) & once
-    return side("u").filter("m_u").join(side("v"), met & _possible(percent) & first).select("u", "v")
+    return side("u").filter("m_u").join(side("v"), met & _possible(percent)).select("u", "v").distinct()
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -159,8 +155,8 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
     partners = pairs.groupBy("u").agg(F.count("*").alias("partners"))
     salted = pairs.join(partners, "u").withColumn("salt", F.pmod(F.xxhash64("v"), F.ceil(F.col("partners") / HUB_PARTNERS))).select("u", "salt", "v")
     salted = materialise(salted)
-    left = salted.select("u", "salt").distinct().join(texts.select(F.col("node").alias("u"), "t"), "u").select("u", "salt", F.lit(None).cast("binary").alias("v"), "t")
-    right = salted.join(texts.select(F.col("node").alias("v"), "t"), "v").select("u", "salt", "v", "t")
+    left = salted.select("u", "salt").distinct().join(texts.select(F.col("id").alias("u"), "t"), "u").select("u", "salt", F.lit(None).cast("long").alias("v"), "t")
+    right = salted.join(texts.select(F.col("id").alias("v"), "t"), "v").select("u", "salt", "v", "t")
     grouped = left.unionByName(right).repartition("u", "salt").sortWithinPartitions("u", "salt", F.col("v").asc_nulls_first())
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
@@ -178,23 +174,23 @@ def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> Dat
                     vs.append(v)
             yield {"u": us, "v": vs}
 
-    out = materialise(map_rows(grouped, "u binary, v binary", run))
+    out = materialise(map_rows(grouped, "u long, v long", run))
     release(salted)
     return out
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """node -> label, the smallest node of its connected component; edges: u, v. Min-labels with pointer jumping, a table per round."""
+    """id -> label, the smallest id of its connected component; edges: u, v. Min-labels with pointer jumping, a table per round."""
     both = materialise(edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))).filter("u <> v").distinct())
-    labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("node"), F.least("u", "m").alias("label")))
+    labels = materialise(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("id"), F.least("u", "m").alias("label")))
     while True:
-        near = both.join(labels.select(F.col("node").alias("v"), "label"), "v").groupBy(F.col("u").alias("node")).agg(F.min("label").alias("near"))
-        stepped = labels.join(near, "node").select("node", "label", F.least("label", "near").alias("to"))
-        jump = labels.select(F.col("node").alias("to"), F.col("label").alias("up"))
-        moved = materialise(stepped.join(jump, "to", "left").select("node", "label", F.least("to", F.coalesce("up", "to")).alias("new")))
+        near = both.join(labels.select(F.col("id").alias("v"), "label"), "v").groupBy(F.col("u").alias("id")).agg(F.min("label").alias("near"))
+        stepped = labels.join(near, "id").select("id", "label", F.least("label", "near").alias("to"))
+        jump = labels.select(F.col("id").alias("to"), F.col("label").alias("up"))
+        moved = materialise(stepped.join(jump, "to", "left").select("id", "label", F.least("to", F.coalesce("up", "to")).alias("new")))
         changed = moved.filter("label <> new").limit(1).count()
         release(labels)
-        labels = moved.select("node", F.col("new").alias("label"))
+        labels = moved.select("id", F.col("new").alias("label"))
         labels._pressmill_path = moved._pressmill_path
         if not changed:
             release(both)
@@ -214,42 +210,45 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     release(fat)
     near = tiles.groupBy("node").agg(F.sum("m").alias("near"))
     first = rows.groupBy("node").agg(F.min(F.struct("_f", "_r")).alias("at"))
-    chosen = first.join(near, "node").select("node", "near", "at._f", "at._r")
-    facts = chosen.join(rows.select("_f", "_r", "n", "bits"), ["_f", "_r"])
-    texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("node", "near", "n", "bits", "t"))
-
-    links = docs.sparkSession.createDataFrame([], "u binary, v binary")
-    labels, spread = None, tiles.select("tile", "node")
+    chosen = materialise(first.join(near, "node").select(F.monotonically_increasing_id().alias("id"), "node", "near", "at._f", "at._r"))
+    spread = materialise(tiles.join(chosen.select("node", "id", "near"), "node").select("tile", "id", "near"))
+    release(tiles)
+    facts = chosen.join(rows.select("_f", "_r", "n", "bits"), ["_f", "_r"]).select("id", "_f", "_r", "n", "bits")
+    texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("id", "n", "bits", "t"))
+
+    links = docs.sparkSession.createDataFrame([], "u long, v long")
+    labels = None
     for turn in range(STAR_ROUNDS + 1):
         if labels is None:
-            placed = spread.join(texts.select("node", "near"), "node").withColumn("label", F.col("node"))
+            placed = spread.withColumn("label", F.col("id"))
         else:
-            placed = spread.join(texts.select("node", "near"), "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+            placed = spread.join(labels, "id", "left").withColumn("label", F.coalesce("label", "id"))
             placed = placed.withColumn("lo", F.min("label").over(of_tile)).withColumn("hi", F.max("label").over(of_tile)).filter("lo <> hi").drop("lo", "hi")
-        placed = materialise(placed)  # tiles that still hold several components
+            placed = materialise(placed)  # tiles that still hold several components
+            release(spread)
+            spread = placed.drop("label")
+            spread._pressmill_path = placed._pressmill_path
         if turn < STAR_ROUNDS:
             # the hub of a tile is its node with the most neighbours: of variants of one text, the one that most resemble
-            hubs = placed.withColumn("hub", F.max(F.struct("near", "node", "label")).over(of_tile)).filter(F.col("hub.label") != F.col("label"))
-            offers = hubs.groupBy("label", F.col("hub.node").alias("u"), F.col("node").alias("v")).agg(F.count("*").alias("c"))
+            hubs = placed.withColumn("hub", F.max(F.struct("near", "id", "label")).over(of_tile)).filter(F.col("hub.label") != F.col("label"))
+            offers = hubs.groupBy("label", F.col("hub.id").alias("u"), F.col("id").alias("v")).agg(F.count("*").alias("c"))
             pairs = offers.groupBy("label").agg(F.max_by(F.struct("u", "v"), F.struct("c", "u", "v")).alias("p")).select("p.u", "p.v")
-            pairs = _fitting(pairs, texts, percent)
+            pairs = materialise(_fitting(pairs, texts, percent))
         else:
-            pairs = _rest(placed, texts, percent)
-        pairs = materialise(pairs)
-        release(tiles if turn == 0 else spread)
-        spread = placed.select("tile", "node")
-        spread._pressmill_path = placed._pressmill_path
+            pairs = materialise(_rest(placed, texts, percent))
         if pairs.limit(1).count():
             links = links.unionByName(_linked(pairs, texts, words, percent))
             labels = components(links)
         release(pairs)
     release(texts, spread)
     named = rows.select("doc_id", "_f", "_r", "n", "node")
-    if labels is not None:
-        named = named.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    else:
+    if labels is None:
         named = named.withColumn("label", F.col("node"))
-    return named.withColumn("label", F.when(F.col("n") > 0, F.col("label"))).drop("node")
+    else:
+        name = chosen.select(F.col("id").alias("label"), F.col("node").alias("name"))
+        own = chosen.select("id", "node").join(labels, "id").join(name, "label").select("node", "name")
+        named = named.join(own, "node", "left").withColumn("label", F.coalesce("name", "node"))
+    return named.withColumn("label", F.when(F.col("n") > 0, F.col("label"))).select("doc_id", "_f", "_r", "n", "label")
 
 
 def digest(docs: DataFrame) -> DataFrame:
