@@ -296,21 +296,32 @@ def _hot(edges: DataFrame, texts: DataFrame, width: int, key: int) -> DataFrame:
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            out: dict[str, list] = {"w": [], "_f": [], "_r": [], "s": [], "wanted": []}
+            own, counts = [], {}
             for f, r, t, at in zip(batch["_f"], batch["_r"], batch["t"], batch["at"], strict=True):
                 starts: dict[int, bool] = {}
                 for x in at:
                     for s in range(max(0, x["pos"] - reach), min(x["pos"], len(t) - width) + 1):
                         starts[s] = starts.get(s, False) or x["wanted"]
-                for s, own in starts.items():
-                    for column, value in zip(out.values(), (hashlib.blake2b(t[s : s + width], digest_size=16).digest(), f, r, s, own), strict=True):
-                        column.append(value)
-            yield out
+                for s, need in starts.items():
+                    w = hashlib.blake2b(t[s : s + width], digest_size=16).digest()
+                    counts[w] = counts.get(w, 0) + 1
+                    own.append((w, f, r, s, need))
+            # a string that a batch holds twice is decided here, and only one of its places is announced to the others
+            rows, found, told = [], {}, set()
+            for w, f, r, s, need in own:
+                if need and counts[w] > 1:
+                    found.setdefault((f, r), []).append((s, s + width))
+                if w not in told:
+                    told.add(w)
+                    rows.append((w, f, r, s, s + width, need and counts[w] == 1))
+            rows += [(None, f, r, s, e, False) for (f, r), spans in found.items() for s, e in _union(spans)]
+            yield dict(zip(("w", "_f", "_r", "s", "e", "wanted"), map(list, zip(*rows, strict=True)) if rows else ([], [], [], [], [], []), strict=True))
 
     found = texts.join(wanted.hint("shuffle_hash"), ["_f", "_r"])
-    strings = materialise(map_rows(found.select("_f", "_r", "t", "at"), "w binary, _f long, _r long, s int, wanted boolean", run))
-    twice = strings.groupBy("w").agg(F.count("*").alias("c")).filter("c > 1").select("w")
-    return strings.filter("wanted").join(twice, "w").select("_f", "_r", "s", (F.col("s") + width).alias("e"))
+    strings = materialise(map_rows(found.select("_f", "_r", "t", "at"), "w binary, _f long, _r long, s int, e int, wanted boolean", run))
+    twice = materialise(strings.filter("w is not null").groupBy("w").agg(F.count("*").alias("c")).filter("c > 1").select("w"))
+    late = strings.filter("wanted").join(twice, "w")
+    return strings.filter("w is null").select("_f", "_r", "s", "e").unionByName(late.select("_f", "_r", "s", "e"))
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, key: int = KEY, hot_contexts: int = HOT_CONTEXTS) -> tuple[DataFrame, DataFrame]:
@@ -319,9 +330,9 @@ def repeats(docs: DataFrame, width: int = WIDTH, key: int = KEY, hot_contexts: i
     keyed = with_row_key(docs)
     reach = width - key
     all_ = materialise(_announce(keyed, width, key))
-    often = all_.groupBy("hk").agg(F.count("*").alias("c")).filter("c > 1").select("hk")
+    often = materialise(all_.groupBy("hk").agg(F.count("*").alias("c")).filter("c > 1").select("hk"))  # a table, so that the join can split a hot key
     seen = materialise(all_.join(often, "hk").select("_f", "_r", "pos", "hk", "hc"))
-    release(all_)
+    release(all_, often)
     contexts = materialise(seen.groupBy("hk", "hc").agg(F.count("*").alias("c"), F.min(F.struct("_f", "_r", "pos")).alias("one")))
     whole = seen.join(contexts.filter("c > 1").select("hk", "hc"), ["hk", "hc"], "left_semi")
     intervals = whole.select("_f", "_r", F.greatest(F.col("pos") - reach, F.lit(0)).alias("s"), (F.col("pos") + width).alias("e"))
