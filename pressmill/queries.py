@@ -1,10 +1,505 @@
-"""Queries by name, each with equivalent DuckDB SQL where SQL can express it."""
+"""Queries by name over the driver's tables, each with equivalent DuckDB SQL where SQL can express it.
+
+Bindings: documents are articles (title: the first line's first 80 characters; media: source; keyword: lang),
+pages give URLs, events give dated classes, orders and lineitem give runs and batches, benchmark gives releases."""
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from pressmill.functions import dates, text, url
+from pressmill.operators import cascade, dedup, entities, evaluation, issues, marts, merge, tone
+from pressmill.sources import landing
+from pressmill.streaming import snapshot
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    def add(f):
+        QUERIES[name] = f
+        if sql:
+            SQL[name] = sql
+        return f
+
+    return add
+
+
+def _t(spark: SparkSession, d: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{d}/{name}.parquet")
+
+
+_TITLE_SQL = "substr(split_part(coalesce(text, ''), chr(10), 1), 1, 80)"
+
+
+def _title() -> Column:
+    return F.substring(F.substring_index(F.coalesce("text", F.lit("")), "\n", 1), 1, 80)
+
+
+def _tone() -> Column:
+    return F.when(F.col("event_type").isin("purchase", "signup"), "Positif").when(F.col("event_type") == "error", "Negatif").otherwise("Netral")
+
+
+_TONE_SQL = "CASE WHEN event_type IN ('purchase','signup') THEN 'Positif' WHEN event_type = 'error' THEN 'Negatif' ELSE 'Netral' END"
+
+
+# Scans, projections -------------------------------------------------------------------------------------------------
+
+
+@query("canonical_url", r"""
+WITH u AS (SELECT page_id, trim(url) AS u FROM pages),
+h AS (SELECT *, regexp_replace(lower(regexp_extract(u, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS h,
+  regexp_replace(regexp_extract(u, '^[^?#]*?://[^/?#]*(/[^?#]*)', 1), '/{2,}', '/', 'g') AS p0, regexp_extract(u, '\?([^#]*)', 1) AS q FROM u),
+p AS (SELECT *, CASE WHEN length(p0) <= 1 OR regexp_replace(p0, '/+$', '') = '' THEN '/' ELSE regexp_replace(p0, '/+$', '') END AS p,
+  list_sort(list_transform(list_filter(list_filter(string_split(q, '&'), lambda x: contains(x, '=')), lambda x: regexp_replace(x, '^[^=]*=', '') <> ''
+    AND NOT regexp_matches(lower(split_part(x, '=', 1)), '^(utm_|gaa_|mtm_|pk_|hsa_)')
+    AND split_part(x, '=', 1) NOT IN ('fbclid','gclid','dclid','yclid','msclkid','mc_cid','mc_eid','igshid','srsltid','ref','oc','hl','gl','ceid','_ga','_gl','spm','si','feature','guccounter','guce_referrer','guce_referrer_sig')),
+    lambda x: {'k': split_part(x, '=', 1), 'v': regexp_replace(x, '^[^=]*=', '')})) AS kv FROM h)
+SELECT page_id, CASE WHEN h = '' THEN lower(regexp_replace(split_part(u, '?', 1), '/+$', '')) ELSE 'https://' || h || p ||
+  CASE WHEN len(kv) > 0 THEN '?' || array_to_string(list_transform(kv, lambda x: x.k || '=' || x.v), '&') ELSE '' END END AS canonical, h AS host FROM p
+""")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", url.canonical(F.col("url")).alias("canonical"), url.host(url.unwrap_hyperlink(F.col("url"))).alias("host"))
+
+
+@query("url_domain_filter", r"""
+WITH h AS (SELECT page_id, url, regexp_replace(lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)), '^www\.', '') AS h FROM pages)
+SELECT page_id, CASE WHEN coalesce(url, '') = '' THEN false
+  WHEN regexp_matches(regexp_replace(lower(url), '[?#].*$', ''), '(\.mp4|\.jpg|\.jpeg|\.png|\.mp3)$') OR regexp_matches(lower(url), '(/lowongan|/jobs/|/job/|/opportunities/jobs|/career|/karir|/loker)') OR regexp_matches(h, '\.(sch|desa)\.id$') THEN false
+  WHEN regexp_matches(h, '(^|\.)go\.id$') THEN true
+  ELSE NOT regexp_matches(h, '(^|\.)(shopee\.co\.id|tokopedia\.com|bukalapak\.com|lazada\.co\.id|blibli\.com|jd\.id|astronauts\.id|grab\.com|researchgate\.net|bible\.com|youtube\.com|instagram\.com|tiktok\.com|wikipedia\.org|x\.com|facebook\.com|twitter\.com|linkedin\.com|glints\.com|kitalulus\.com|bebee\.com|jobstreet\.co\.id|jobstreet\.com|kalibrr\.com|karir\.com|loker\.id|indeed\.com|jobsdb\.com|prosple\.com)$') END AS valid FROM h
+""")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", url.is_valid_domain(F.col("url")).alias("valid"))
+
+
+@query("link_key", "SELECT page_id, lower(regexp_replace(trim(coalesce(url, '')), '/+$', '')) AS link FROM pages")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", url.link_key(F.col("url")).alias("link"))
+
+
+@query("decision_key", "SELECT page_id, sha256(concat_ws('|', url, 'tone', 'v1', 'rules')) AS k FROM pages")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", text.decision_key(F.col("url"), F.lit("tone"), F.lit("v1"), F.lit("rules")).alias("k"))
+
+
+@query("page_text", r"""
+SELECT page_id, trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(
+  regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(html, '(?is)<script[^>]*>.*?</script>', ' ', 'g'), '(?is)<style[^>]*>.*?</style>', ' ', 'g'), '(?is)<nav[^>]*>.*?</nav>', ' ', 'g'), '(?is)<header[^>]*>.*?</header>', ' ', 'g'), '(?is)<footer[^>]*>.*?</footer>', ' ', 'g'), '(?s)<[^>]+>', ' ', 'g'),
+  '&quot;', '"'), '&#39;', ''''), '&apos;', ''''), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'), '&amp;', '&'), '\s+', ' ', 'g')) AS body FROM pages
+""")
+def _(spark, d):
+    return _t(spark, d, "pages").select("page_id", landing.page_text(F.col("html")).alias("body"))
+
+
+@query("title_suffix", f"""
+WITH a AS (SELECT doc_id, source, {_TITLE_SQL} || ' - ' || source || ' - ' || upper(source) AS t FROM documents)
+SELECT doc_id, regexp_replace(t, '(?i)( - ' || source || ')+\\s*$', '') AS without_source, trim(regexp_replace(t, '(?s)^(.*) - .*$', '\\1')) AS without_last FROM a
+""")
+def _(spark, d):
+    t = F.concat(_title(), F.lit(" - "), F.col("source"), F.lit(" - "), F.upper("source"))
+    return _t(spark, d, "documents").select("doc_id", text.strip_source_suffix(t, F.col("source")).alias("without_source"), text.strip_last_segment(t).alias("without_last"))
+
+
+@query("keyword_count", r"""
+SELECT doc_id, len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+'), lambda x: x IN ('the', 'idiot', 'der', 'license'))) AS n,
+  regexp_matches(coalesce(text, ''), '(?i)(^|[^\p{L}\p{N}_])(apache|gpl)($|[^\p{L}\p{N}_])') AS licensed FROM documents
+""")
+def _(spark, d):
+    body = F.coalesce("text", F.lit(""))
+    return _t(spark, d, "documents").select("doc_id", text.count_words(body, ["the", "idiot", "der", "license"]).cast("long").alias("n"), text.has_word(body, ["apache", "gpl"]).alias("licensed"))
+
+
+@query("commodity_case", "SELECT p_partkey, " + "CASE " + " ".join("WHEN " + " OR ".join(f"contains(k, '{p}')" for p in ps) + f" THEN '{n}'" for n, ps in text.COMMODITIES) + " ELSE 'Lainnya' END AS commodity FROM (SELECT p_partkey, lower(concat_ws(' ', coalesce(p_name, ''), coalesce(p_type, ''))) AS k FROM part)")
+def _(spark, d):
+    return _t(spark, d, "part").select("p_partkey", text.commodity(F.col("p_name"), F.col("p_type")).alias("commodity"))
+
+
+@query("title_tokens", f"""
+WITH n AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower({_TITLE_SQL}), '[^\\p{{L}}\\p{{N}}_\\s]+', ' ', 'g'), '\\s+'), lambda x: x <> '') AS w FROM documents)
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(w, lambda x: length(x) >= 2))), ' ') AS toks FROM n
+""")
+def _(spark, d):
+    plain = F.regexp_replace(F.lower(_title()), r"[^\p{L}\p{N}_\s]+", " ")
+    ws = F.array_distinct(F.filter(F.split(plain, r"\s+"), lambda w: F.length(w) >= 2))
+    return _t(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(ws), " ").alias("toks"))
+
+
+@query("char_ngram_count", f"""
+WITH t AS (SELECT doc_id, ' ' || {_TITLE_SQL} || ' ' AS p FROM documents)
+SELECT doc_id, (greatest(length(p) - 2, 0) + greatest(length(p) - 3, 0))::BIGINT AS n FROM t
+""")
+def _(spark, d):
+    return _t(spark, d, "documents").select("doc_id", F.size(text.char_ngrams(_title())).cast("long").alias("n"))
+
+
+@query("date_display", """
+SELECT event_id, list_extract(['Senin','Selasa','Rabu','Kamis','Jumat','Sabtu','Minggu'], isodow(ts)::INT) || ', ' || day(ts) || ' ' || list_extract(['Januari','Februari','Maret','April','Mei','Juni','Juli','Agustus','September','Oktober','November','Desember'], month(ts)::INT) || ' ' || year(ts) AS long_form,
+  strftime(ts + INTERVAL 7 HOUR, '%Y-%m-%d %H:%M:%S') AS wib, (greatest(1, (event_id % 5000)::INT) // 60) || 'm ' || lpad((greatest(1, (event_id % 5000)::INT) % 60)::VARCHAR, 2, '0') || 's' AS took FROM events
+""")
+def _(spark, d):
+    gmt = F.concat(F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss"), F.lit("Z"))
+    return _t(spark, d, "events").select("event_id", dates.long_display(F.to_date("ts")).alias("long_form"), F.date_format(dates.to_wib(gmt), "yyyy-MM-dd HH:mm:ss").alias("wib"), dates.duration(F.pmod("event_id", F.lit(5000))).alias("took"))
+
+
+@query("search_expression", "SELECT p_partkey, CASE WHEN contains(p_name, ' ') THEN '(\"' || p_name || '\" OR ' || CASE WHEN contains(p_brand, ' ') OR contains(p_brand, '#') THEN CASE WHEN contains(p_brand, ' ') THEN '\"' || p_brand || '\"' ELSE p_brand END ELSE p_brand END || ')' ELSE '(' || p_name || ' OR ' || CASE WHEN contains(p_brand, ' ') THEN '\"' || p_brand || '\"' ELSE p_brand END || ')' END AS q FROM part")
+def _(spark, d):
+    return _t(spark, d, "part").select("p_partkey", text.or_query(F.concat_ws(",", "p_name", "p_brand")).alias("q"))
+
+
+# Filters ------------------------------------------------------------------------------------------------------------
+
+_CASCADE_SQL = f"""
+WITH a AS (SELECT doc_id, lang, {_TITLE_SQL} AS title, coalesce(text, '') AS text FROM documents)
+SELECT doc_id, lang, CASE WHEN length(trim(title)) < 5 THEN 'title_too_short' WHEN length(trim(text, ' ')) < 300 THEN 'too_short'
+  WHEN contains(lower(text), 'licensed under the') OR contains(lower(text), 'all rights reserved') THEN 'licence_line'
+  WHEN regexp_matches(title, '[#*$%&|]{{3}}') THEN 'symbol_noise'
+  WHEN regexp_matches(text, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(idiot|scum|moron)($|[^\\p{{L}}\\p{{N}}_])') THEN 'insult'
+  WHEN regexp_matches(title, '[A-Za-z0-9_] \\| [A-Za-z0-9_]') THEN 'table_row' END AS discard_reason FROM a
+"""
+
+
+def _judged(spark, d) -> DataFrame:
+    docs = _t(spark, d, "documents").select("doc_id", "lang", _title().alias("title"), F.coalesce("text", F.lit("")).alias("text"), F.lit("").alias("url"))
+    return cascade.cascade(docs, cascade.NEUTRAL)
+
+
+@query("filter_cascade", _CASCADE_SQL)
+def _(spark, d):
+    return _judged(spark, d).select("doc_id", "lang", "discard_reason")
+
+
+@query("discard_histogram", f"SELECT discard_reason AS reason, count(*) AS n FROM ({_CASCADE_SQL}) WHERE discard_reason IS NOT NULL GROUP BY 1")
+def _(spark, d):
+    return cascade.histogram(_judged(spark, d))
+
+
+@query("news_cascade")
+def _(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"), F.coalesce("text", F.lit("")).alias("text"), F.lit("https://example.id/x").alias("url"))
+    return cascade.cascade(docs, cascade.NEWS).select("doc_id", "discard_reason")
+
+
+@query("date_filter", "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'")
+def _(spark, d):
+    return _t(spark, d, "events").filter((F.col("ts") >= "2024-01-10") & (F.col("ts") < "2024-01-12")).select("event_id", "event_type")
+
+
+@query("length_filter", "SELECT doc_id, length(trim(coalesce(text, ''), ' ')) < 300 AND coalesce(text, '') <> '' AS suspiciously_short FROM documents")
+def _(spark, d):
+    t = F.coalesce("text", F.lit(""))
+    return _t(spark, d, "documents").select("doc_id", ((F.length(F.trim(t)) < 300) & (t != "")).alias("suspiciously_short"))
+
+
+@query("primary_topic", r"""
+SELECT doc_id, greatest(len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+'), lambda x: x = 'idiot')), len(list_filter(regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+'), lambda x: x = 'clown'))) >= 2
+  OR regexp_matches(substr(split_part(coalesce(text, ''), chr(10), 1), 1, 80), '(?i)(^|[^\p{L}\p{N}_])(idiot|clown)($|[^\p{L}\p{N}_])') AS primary_topic FROM documents
+""")
+def _(spark, d):
+    return _t(spark, d, "documents").select("doc_id", cascade.primary_topic(_title(), F.coalesce("text", F.lit("")), ("idiot", "clown")).alias("primary_topic"))
+
+
+# Dedup, joins, set operations ----------------------------------------------------------------------------------------
+
+
+@query("dedup_by_key", """
+WITH k AS (SELECT doc_id, lang, md5(lower(trim(coalesce(text, ''), ' '))) AS k, length(coalesce(text, '')) AS n FROM documents),
+b AS (SELECT k, arg_max(doc_id, struct_pack(n := n, p := -doc_id)) AS doc_id, count(*) AS n_members FROM k GROUP BY k),
+f AS (SELECT k, lang, min(doc_id) AS p FROM k GROUP BY 1, 2)
+SELECT b.doc_id, string_agg(f.lang, ', ' ORDER BY f.p) AS keywords, b.n_members FROM b JOIN f USING (k) GROUP BY b.doc_id, b.n_members
+""")
+def _(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "lang", F.md5(F.lower(F.trim(F.coalesce("text", F.lit(""))))).alias("k"), F.coalesce("text", F.lit("")).alias("body"))
+    return dedup.dedup_by_key(docs, F.col("k"), F.col("body"), F.col("lang"), F.col("doc_id")).select("doc_id", "keywords", "n_members")
+
+
+@query("dedup_by_url")
+def _(spark, d):
+    pages = _t(spark, d, "pages").select("page_id", "html", url.canonical(F.col("url")).alias("link"))
+    return dedup.dedup_by_key(pages, F.col("link"), F.col("html"), F.lit("page"), F.col("page_id")).select("page_id", "link", "n_members")
+
+
+def _runs(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", "lang", "source", _title().alias("title"))
+    base = docs.filter(F.pmod("doc_id", F.lit(3)) != 1).withColumn("title", F.when(F.pmod("doc_id", F.lit(5)) == 0, "").otherwise(F.col("title")))
+    other = docs.filter(F.pmod("doc_id", F.lit(3)) != 0).withColumn("lang", F.lit("xx"))
+    return base, other
+
+
+_RUNS_SQL = f"""
+d AS (SELECT doc_id, lang, source, {_TITLE_SQL} AS title FROM documents),
+b AS (SELECT doc_id, lang, source, CASE WHEN doc_id % 5 = 0 THEN '' ELSE title END AS title FROM d WHERE doc_id % 3 <> 1),
+o AS (SELECT doc_id, 'xx' AS lang, source, title FROM d WHERE doc_id % 3 <> 0)
+"""
+
+
+@query("merge_runs", f"""
+WITH {_RUNS_SQL}
+SELECT coalesce(b.doc_id, o.doc_id) AS doc_id, coalesce(nullif(b.title, ''), o.title) AS title, coalesce(nullif(b.source, ''), o.source) AS source,
+  concat_ws(', ', b.lang, o.lang) AS lang, concat_ws(' + ', CASE WHEN b.doc_id IS NOT NULL THEN 'lokal' END, CASE WHEN o.doc_id IS NOT NULL THEN 'merge_from' END) AS sumber_run
+FROM b FULL JOIN o ON b.doc_id = o.doc_id
+""")
+def _(spark, d):
+    base, other = _runs(spark, d)
+    return merge.merge_runs(base, other, "doc_id", ["title", "source"], "lang").select("doc_id", "title", "source", "lang", "sumber_run")
+
+
+@query("archive_append", f"WITH {_RUNS_SQL} SELECT doc_id, lang FROM o UNION ALL SELECT doc_id, lang FROM b WHERE doc_id NOT IN (SELECT doc_id FROM o)")
+def _(spark, d):
+    base, other = _runs(spark, d)
+    return merge.archive_append(other.select("doc_id", "lang"), base.select("doc_id", "lang"), "doc_id")
+
+
+@query("archive_merge", f"WITH {_RUNS_SQL}, u AS (SELECT title, doc_id, 0 AS age FROM o UNION ALL SELECT title, doc_id, 1 FROM b) SELECT title, doc_id FROM u WHERE title <> '' QUALIFY row_number() OVER (PARTITION BY title ORDER BY age, doc_id) = 1 UNION ALL SELECT title, doc_id FROM u WHERE title = ''")
+def _(spark, d):
+    base, other = _runs(spark, d)
+    return merge.archive_union(other.select("title", "doc_id"), base.select("title", "doc_id"), "title", F.col("doc_id"))
+
+
+@query("semi_either", f"WITH {_RUNS_SQL} SELECT doc_id, title FROM b WHERE doc_id IN (SELECT doc_id FROM o WHERE doc_id % 2 = 0) OR title IN (SELECT title FROM o WHERE doc_id % 2 = 0)")
+def _(spark, d):
+    base, other = _runs(spark, d)
+    return merge.semi_either(base.select("doc_id", "title"), other.filter(F.pmod("doc_id", F.lit(2)) == 0), "doc_id", "title").select("doc_id", "title")
+
+
+@query("one_to_one", """
+WITH l AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type = 'error'),
+r AS (SELECT event_id AS fix_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events WHERE event_type = 'click')
+SELECT l.event_id, r.fix_id FROM l LEFT JOIN r ON l.user_id = r.user_id AND l.n = r.n
+""")
+def _(spark, d):
+    e = _t(spark, d, "events")
+    left = e.filter("event_type = 'error'").select("event_id", "user_id")
+    right = e.filter("event_type = 'click'").select(F.col("event_id").alias("fix_id"), "user_id")
+    return merge.one_to_one(left, right, "user_id", F.col("event_id"), F.col("fix_id")).select("event_id", "fix_id")
+
+
+@query("latest_decision_per_stage", "SELECT user_id, event_type, arg_max(value, struct_pack(t := ts, i := event_id)) AS value FROM events GROUP BY 1, 2")
+def _(spark, d):
+    return merge.latest(_t(spark, d, "events"), ["user_id", "event_type"], "value", F.struct("ts", "event_id"))
+
+
+@query("ttl_cache_lookup", "SELECT event_id, user_id FROM events WHERE epoch(ts) + CASE WHEN event_type = 'error' THEN 21600 ELSE 2592000 END > epoch(TIMESTAMP '2024-01-30 12:00:00')")
+def _(spark, d):
+    ttl = F.when(F.col("event_type") == "error", 21600).otherwise(2592000)
+    return merge.fresh(_t(spark, d, "events"), F.col("ts"), ttl, F.to_timestamp(F.lit("2024-01-30 12:00:00"))).select("event_id", "user_id")
+
+
+@query("recent_top_n", "SELECT user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id) <= 3")
+def _(spark, d):
+    return dedup.top_per_key(_t(spark, d, "events"), ["user_id"], 3, F.desc("ts"), F.col("event_id")).select("user_id", "event_id")
+
+
+@query("first_occurrence", f"SELECT doc_id FROM documents QUALIFY row_number() OVER (PARTITION BY lower({_TITLE_SQL}) ORDER BY doc_id) = 1")
+def _(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", F.lower(_title()).alias("t"))
+    return dedup.first_per_key(docs, ["t"], F.col("doc_id")).select("doc_id")
+
+
+@query("missing_dates", "SELECT d::DATE AS day FROM range(DATE '2024-01-01', DATE '2024-03-01', INTERVAL 1 DAY) r(d) WHERE d::DATE NOT IN (SELECT ts::DATE FROM events)")
+def _(spark, d):
+    every = spark.range(1).select(F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-02-29").cast("date"))).alias("day"))
+    return every.join(_t(spark, d, "events").select(F.to_date("ts").alias("day")).distinct(), "day", "left_anti")
+
+
+@query("registry_window_match", """
+WITH i AS (SELECT o_orderkey AS issue, CASE WHEN o_orderkey % 2 = 0 THEN 'rilis' ELSE 'klaster' END AS kind, o_orderdate::DATE AS d, o_custkey AS c FROM orders),
+a AS (SELECT o_orderkey AS art, o_orderdate::DATE AS d, o_custkey AS c FROM orders)
+SELECT a.art, i.issue FROM a JOIN i ON a.c = i.c WHERE CASE WHEN kind = 'rilis' THEN a.d - i.d BETWEEN -1 AND 7 ELSE abs(a.d - i.d) <= 14 END
+""")
+def _(spark, d):
+    o = _t(spark, d, "orders").select("o_orderkey", F.to_date("o_orderdate").alias("d"), "o_custkey")
+    i = o.select(F.col("o_orderkey").alias("issue"), F.when(F.pmod("o_orderkey", F.lit(2)) == 0, "rilis").otherwise("klaster").alias("kind"), F.col("d").alias("start"), "o_custkey")
+    a = o.select(F.col("o_orderkey").alias("art"), F.col("d").alias("day"), "o_custkey")
+    return a.join(i, "o_custkey").filter(issues.in_window(F.col("kind"), F.col("start"), F.col("day"))).select("art", "issue")
+
+
+# Aggregations, marts -------------------------------------------------------------------------------------------------
+
+
+@query("daily_summary", f"SELECT ts::DATE AS day, count(*) AS total, count(*) FILTER (WHERE t = 'Positif') AS positif, count(*) FILTER (WHERE t = 'Negatif') AS negatif, count(*) FILTER (WHERE t = 'Netral') AS netral FROM (SELECT ts, {_TONE_SQL} AS t FROM events) GROUP BY 1")
+def _(spark, d):
+    return marts.daily_summary(_t(spark, d, "events"), F.to_date("ts"), _tone())
+
+
+@query("spokesperson_counts", "SELECT trim(x) AS name, count(*) AS n FROM (SELECT unnest(string_split(o_orderpriority || ',' || CASE WHEN o_orderkey % 4 = 0 THEN '-' ELSE o_orderstatus END, ',')) AS x FROM orders) WHERE trim(x) NOT IN ('', '-') GROUP BY 1")
+def _(spark, d):
+    names = F.concat_ws(",", "o_orderpriority", F.when(F.pmod("o_orderkey", F.lit(4)) == 0, "-").otherwise(F.col("o_orderstatus")))
+    return marts.exploded_counts(_t(spark, d, "orders"), names)
+
+
+@query("run_stats", "SELECT user_id, count(*) AS raw, count(*) FILTER (WHERE event_type <> 'error') AS final, round_even(100.0 * count(*) FILTER (WHERE event_type = 'error') / count(*), 0)::INT AS noise_pct FROM events GROUP BY 1")
+def _(spark, d):
+    per = _t(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("raw"), F.count_if(F.col("event_type") != "error").alias("final"))
+    return per.withColumn("noise_pct", marts.noise_pct(F.col("raw"), F.col("final")))
+
+
+@query("batch_report", "WITH b AS (SELECT l_linenumber AS batch, count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'R') AS failed, count(*) FILTER (WHERE l_linestatus = 'O') AS prefiltered FROM lineitem GROUP BY 1), s AS (SELECT 'all' AS slice, * FROM b UNION ALL SELECT 'late', * FROM b WHERE batch >= 4) SELECT slice, sum(total)::BIGINT AS total, sum(failed)::BIGINT AS failed, CASE WHEN sum(total) - sum(prefiltered) > 0 THEN round(sum(failed) * 100.0 / (sum(total) - sum(prefiltered)), 1) ELSE 0.0 END::DOUBLE AS fail_pct FROM s GROUP BY 1")
+def _(spark, d):
+    slices = F.explode(F.when(F.col("l_linenumber") >= 4, F.array(F.lit("all"), F.lit("late"))).otherwise(F.array(F.lit("all"))))
+    per = _t(spark, d, "lineitem").groupBy("l_linenumber").agg(F.count("*").alias("total"), F.count_if(F.col("l_returnflag") == "R").alias("failed"), F.count_if(F.col("l_linestatus") == "O").alias("pre"))
+    agg = per.withColumn("slice", slices).groupBy("slice").agg(F.sum("total").alias("total"), F.sum("failed").alias("failed"), F.sum("pre").alias("pre"))
+    return agg.select("slice", "total", "failed", marts.failure_rate(F.col("failed"), F.col("total"), F.lit(0), F.col("pre")).cast("double").alias("fail_pct"))
+
+
+@query("issue_group_tone", f"WITH p AS (SELECT user_id AS grp, {_TONE_SQL} AS tone, count(*) AS c FROM events GROUP BY 1, 2) SELECT grp, arg_max(tone, struct_pack(c := c, r := CASE tone WHEN 'Negatif' THEN 3 WHEN 'Positif' THEN 2 ELSE 1 END)) AS tone, sum(c)::BIGINT AS members, count(*) > 1 AS mixed FROM p GROUP BY 1")
+def _(spark, d):
+    return marts.group_tone(_t(spark, d, "events"), F.col("user_id"), _tone())
+
+
+@query("news_search_page", "SELECT doc_id, source, lang FROM documents WHERE lang = 'en' AND (contains(lower(coalesce(text, '')), 'idiot') OR contains(lower(source), 'idiot')) ORDER BY n_chars DESC, doc_id LIMIT 24 OFFSET 24")
+def _(spark, d):
+    return marts.search_page(_t(spark, d, "documents"), "Idiot", {"lang": "en", "source": "Semua"}, ["text", "source"], [F.desc("n_chars"), F.col("doc_id")], 2).select("doc_id", "source", "lang")
+
+
+@query("month_rollup", "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, count(DISTINCT o_orderdate::DATE) AS days FROM orders GROUP BY 1")
+def _(spark, d):
+    return _t(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.countDistinct(F.to_date("o_orderdate")).alias("days"))
+
+
+@query("issue_cards", "SELECT coalesce(nullif(lang, ''), 'Tanpa isu') AS isu, count(*) AS items, count(DISTINCT lower(source)) AS media, min(doc_id) AS first_id FROM documents GROUP BY 1")
+def _(spark, d):
+    return _t(spark, d, "documents").groupBy(F.coalesce(F.nullif("lang", F.lit("")), F.lit("Tanpa isu")).alias("isu")).agg(F.count("*").alias("items"), F.countDistinct(F.lower("source")).alias("media"), F.min("doc_id").alias("first_id"))
+
+
+@query("issue_majority_tone", f"WITH p AS (SELECT user_id AS isu, {_TONE_SQL} AS t, count(*) AS c FROM events GROUP BY 1, 2), m AS (SELECT isu, max(c) AS top, sum(c)::BIGINT AS members FROM p GROUP BY 1) SELECT m.isu, CASE WHEN count(*) = 1 THEN min(t) ELSE 'Netral' END AS issue_tone, members FROM m JOIN p ON p.isu = m.isu AND p.c = m.top GROUP BY m.isu, members")
+def _(spark, d):
+    return tone.issue_majority(_t(spark, d, "events").select(F.col("user_id").alias("isu"), _tone().alias("tone")), "isu")
+
+
+@query("mixed_tone", f"SELECT user_id AS isu, count(*) AS members, string_agg(DISTINCT {_TONE_SQL}, ',' ORDER BY {_TONE_SQL}) AS tones FROM events GROUP BY 1 HAVING count(*) >= 2 AND count(DISTINCT {_TONE_SQL}) > 1")
+def _(spark, d):
+    return tone.mixed(_t(spark, d, "events").select(F.col("user_id").alias("isu"), _tone().alias("tone")), "isu")
+
+
+@query("rolling_failure", "SELECT event_id, avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS 19 PRECEDING) AS rate FROM events")
+def _(spark, d):
+    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-19, 0)
+    return _t(spark, d, "events").select("event_id", F.avg(F.when(F.col("event_type") == "error", 1.0).otherwise(0.0)).over(w).alias("rate"))
+
+
+_PRED_SQL = f"SELECT l.quality AS actual, CASE WHEN length(coalesce(text, '')) >= 300 AND NOT regexp_matches({_TITLE_SQL}, '[#*$%&|]') THEN 1 ELSE 0 END AS predicted FROM labels l JOIN documents USING (doc_id)"
+
+
+def _predicted(spark, d) -> DataFrame:
+    ok = (F.length(F.coalesce("text", F.lit(""))) >= 300) & ~_title().rlike(r"[#*$%&|]")
+    docs = _t(spark, d, "documents").select("doc_id", F.when(ok, 1).otherwise(0).alias("predicted"))
+    return _t(spark, d, "labels").join(docs, "doc_id").select(F.col("quality").alias("actual"), "predicted")
+
+
+@query("confusion_matrix", f"SELECT actual, predicted, count(*) AS n FROM ({_PRED_SQL}) GROUP BY 1, 2")
+def _(spark, d):
+    return evaluation.confusion(_predicted(spark, d), "actual", "predicted")
+
+
+@query("class_metrics", f"WITH p AS ({_PRED_SQL}), c AS (SELECT DISTINCT actual AS label FROM p UNION SELECT DISTINCT predicted FROM p), m AS (SELECT label, count(*) FILTER (WHERE actual = label) AS support, count(*) FILTER (WHERE predicted = label) AS said, count(*) FILTER (WHERE actual = label AND predicted = label) AS hit FROM c, p GROUP BY 1), r AS (SELECT label, support, CASE WHEN said > 0 THEN hit::DOUBLE / said ELSE 0 END AS precision, CASE WHEN support > 0 THEN hit::DOUBLE / support ELSE 0 END AS recall FROM m) SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM r")
+def _(spark, d):
+    return evaluation.class_metrics(_predicted(spark, d), "actual", "predicted")
+
+
+@query("threshold_grid", "WITH g AS (SELECT * FROM (VALUES (0.4::DOUBLE), (0.48), (0.55), (0.6), (0.65)) s(min_score), (VALUES (0.0::DOUBLE), (0.06), (0.1)) m(min_margin)), e AS (SELECT l_discount * 10 AS s, l_tax AS m, l_returnflag = 'N' AS c FROM lineitem) SELECT min_score, min_margin, count(*) FILTER (WHERE s >= min_score AND m >= min_margin) AS accepted, count(*) FILTER (WHERE s >= min_score AND m >= min_margin)::DOUBLE / count(*) AS coverage, coalesce(count(*) FILTER (WHERE s >= min_score AND m >= min_margin AND c)::DOUBLE / nullif(count(*) FILTER (WHERE s >= min_score AND m >= min_margin), 0), 0) AS precision FROM g, e GROUP BY 1, 2")
+def _(spark, d):
+    rows = _t(spark, d, "lineitem").select((F.col("l_discount") * 10).alias("s"), F.col("l_tax").alias("m"), (F.col("l_returnflag") == "N").alias("c"))
+    return evaluation.threshold_grid(rows, "s", "m", "c", [0.4, 0.48, 0.55, 0.6, 0.65], [0.0, 0.06, 0.1])
+
+
+# Similarity, clustering, entities, tone --------------------------------------------------------------------------------
+
+
+@query("idf_map", f"""
+WITH t AS (SELECT doc_id, unnest(list_distinct(list_filter(string_split_regex(regexp_replace(lower({_TITLE_SQL}), '[^\\p{{L}}\\p{{N}}_\\s]+', ' ', 'g'), '\\s+'), lambda x: length(x) >= 2))) AS token FROM documents)
+SELECT token, count(*) AS df, ln(((SELECT count(*) FROM documents) + 1)::DOUBLE / (count(*) + 1)) + 1 AS idf FROM t GROUP BY 1
+""")
+def _(spark, d):
+    plain = F.regexp_replace(F.lower(_title()), r"[^\p{L}\p{N}_\s]+", " ")
+    feats = _t(spark, d, "documents").select("doc_id", F.filter(F.split(plain, r"\s+"), lambda w: F.length(w) >= 2).alias("toks"))
+    return issues.idf(feats)
+
+
+@query("embedding_cosine", "WITH q AS (SELECT vec_id AS a, embedding AS ea FROM embeddings WHERE vec_id % 20 = 0) SELECT q.a, e.vec_id AS b, round(list_cosine_similarity(q.ea::DOUBLE[], e.embedding::DOUBLE[]), 6) AS cos FROM q, embeddings e WHERE e.vec_id <> q.a AND e.label = (SELECT label FROM embeddings x WHERE x.vec_id = q.a)")
+def _(spark, d):
+    e = _t(spark, d, "embeddings").select("vec_id", "label", F.transform("embedding", lambda x: x.cast("double")).alias("v"))
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, z: s + z)
+    e = e.withColumn("norm", F.sqrt(dot(F.col("v"), F.col("v"))))
+    q = e.filter(F.pmod("vec_id", F.lit(20)) == 0).select(F.col("vec_id").alias("a"), "label", F.col("v").alias("va"), F.col("norm").alias("na"))
+    pairs = q.join(e.select(F.col("vec_id").alias("b"), "label", F.col("v").alias("vb"), F.col("norm").alias("nb")), "label").filter("a <> b")
+    return pairs.select("a", "b", F.round(dot(F.col("va"), F.col("vb")) / (F.col("na") * F.col("nb")), 6).alias("cos"))
+
+
+@query("near_dup_titles")
+def _(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"))
+    return dedup.near_title_pairs(docs, "title", "doc_id")
+
+
+@query("near_dup_groups")
+def _(spark, d):
+    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"))
+    return dedup.near_title_groups(docs, "title", "doc_id")
+
+
+@query("issue_clusters")
+def _(spark, d):
+    e = _t(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.substring("text", 1, 80).alias("title"))
+    return issues.cluster(issues.features(e, "id", "title", F.lit(None).cast("date"), F.lit("")))
+
+
+@query("entity_first_two", r"""
+WITH a AS (SELECT doc_id, lower(coalesce(text, '')) AS t FROM documents),
+f AS (SELECT doc_id, x.name, instr(regexp_replace(t, '[^\p{L}\p{N}_]', ' ', 'g'), '') AS z, length(regexp_extract(t, '(?s)^(.*?[^\p{L}\p{N}_]|)(' || x.alias || ')($|[^\p{L}\p{N}_])', 1)) + 1 AS pos, regexp_matches(t, '(^|[^\p{L}\p{N}_])(' || x.alias || ')($|[^\p{L}\p{N}_])') AS hit
+  FROM a, (VALUES ('A', 'idiot|moron'), ('B', 'clown'), ('C', 'worthless|trash')) x(name, alias)),
+r AS (SELECT doc_id, name, row_number() OVER (PARTITION BY doc_id ORDER BY pos, name) AS n FROM f WHERE hit)
+SELECT a.doc_id, coalesce(max(CASE WHEN n = 1 THEN name END), '-') AS spokesperson_1, coalesce(max(CASE WHEN n = 2 THEN name END), '-') AS spokesperson_2 FROM a LEFT JOIN r USING (doc_id) GROUP BY 1
+""")
+def _(spark, d):
+    aliases = {"A": ("idiot", "moron"), "B": ("clown",), "C": ("worthless", "trash")}
+    return entities.map_spokespersons(_t(spark, d, "documents"), F.col("text"), aliases).select("doc_id", "spokesperson_1", "spokesperson_2")
+
+
+@query("tone_fallback")
+def _(spark, d):
+    return tone.classify(_t(spark, d, "documents"), _title(), F.col("text"), F.col("lang")).select("doc_id", "hubungan", "arah", "tone", "keyakinan")
+
+
+# Streaming, extensions -------------------------------------------------------------------------------------------------
+
+
+@query("stream_snapshot_union", "SELECT DISTINCT event_id FROM events")
+def _(spark, d):
+    e = _t(spark, d, "events")
+    work = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="pressmill-")
+    import uuid
+
+    at = f"{work}/stream-{uuid.uuid4().hex}"
+    stream = spark.readStream.schema(e.schema).format("parquet").option("pathGlobFilter", "events.parquet").load(d)
+    return snapshot.run_available(snapshot.unite(stream.select("event_id", "ts"), "event_id", "ts"), f"{at}/out", f"{at}/state").select("event_id")
+
+
+@query("tone_cube", f"SELECT t AS tone, user_id % 3 AS bucket, count(*) AS n FROM (SELECT {_TONE_SQL} AS t, user_id FROM events) GROUP BY CUBE (t, user_id % 3)")
+def _(spark, d):
+    return _t(spark, d, "events").select(_tone().alias("tone"), F.pmod("user_id", F.lit(3)).alias("bucket")).cube("tone", "bucket").agg(F.count("*").alias("n"))
+
+
+@query("rolling_tone_share", f"WITH p AS (SELECT ts::DATE AS day, count(*) FILTER (WHERE {_TONE_SQL} = 'Negatif') AS neg, count(*) AS n FROM events GROUP BY 1) SELECT day, sum(neg) OVER w::DOUBLE / sum(n) OVER w AS share FROM p WINDOW w AS (ORDER BY day ROWS 6 PRECEDING)".replace("sum(neg) OVER w::DOUBLE", "(sum(neg) OVER w)::DOUBLE").replace("/ sum(n) OVER w", "/ (sum(n) OVER w)"))
+def _(spark, d):
+    per = _t(spark, d, "events").groupBy(F.to_date("ts").alias("day")).agg(F.count_if(_tone() == "Negatif").alias("neg"), F.count("*").alias("n"))
+    w = Window.orderBy("day").rowsBetween(-6, 0)  # one row per day
+    return per.select("day", (F.sum("neg").over(w) / F.sum("n").over(w)).alias("share"))
+
+
+@query("session_windows", "WITH g AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM events), k AS (SELECT user_id, ts, sum(s) OVER (PARTITION BY user_id ORDER BY ts, s DESC ROWS UNBOUNDED PRECEDING) AS k FROM g) SELECT user_id, min(ts) AS start, count(*) AS n FROM k GROUP BY user_id, k")
+def _(spark, d):
+    return _t(spark, d, "events").groupBy("user_id", F.session_window("ts", "30 minutes").alias("w")).agg(F.count("*").alias("n")).select("user_id", F.col("w.start").alias("start"), "n")
+
+
+@query("asof_release", "SELECT e.event_id, max(r.ts) AS release_ts FROM events e LEFT JOIN events r ON r.user_id = e.user_id AND r.event_type = 'signup' AND r.ts <= e.ts WHERE e.event_type = 'purchase' GROUP BY 1")
+def _(spark, d):
+    e = _t(spark, d, "events")
+    w = Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0)
+    known = e.withColumn("release_ts", F.max(F.when(F.col("event_type") == "signup", F.col("ts"))).over(w))
+    return known.filter("event_type = 'purchase'").select("event_id", "release_ts")
