@@ -101,8 +101,12 @@ def entities(normal: Column) -> Column:
 def char_ngrams(text: Column, sizes: tuple[int, ...] = (3, 4)) -> Column:
     """All character n-grams (with repeats) of the space-padded text."""
     padded = F.concat(F.lit(" "), text, F.lit(" "))
-    grams = [F.when(F.length(padded) >= n, F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i, n=n: F.substring(padded, i, F.lit(n)))).otherwise(F.array().cast("array<string>")) for n in sizes]
-    return F.concat(*grams)
+
+    def grams(n: int) -> Column:
+        all_ = F.transform(F.sequence(F.lit(1), F.length(padded) - (n - 1)), lambda i: F.substring(padded, i, F.lit(n)))
+        return F.when(F.length(padded) >= n, all_).otherwise(F.array().cast("array<string>"))
+
+    return F.concat(*map(grams, sizes))
 
 
 def merge_keywords(*lists: Column, separator: str = ",") -> Column:

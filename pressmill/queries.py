@@ -132,10 +132,10 @@ def _(spark, d):
 
 @query("char_ngram_count", f"""
 WITH t AS (SELECT doc_id, ' ' || {_TITLE_SQL} || ' ' AS p FROM documents)
-SELECT doc_id, (greatest(length(p) - 2, 0) + greatest(length(p) - 3, 0))::BIGINT AS n FROM t
+SELECT doc_id, (greatest(length(p) - 2, 0) + greatest(length(p) - 3, 0))::BIGINT AS n, substr(p, 1, 3) AS first_gram FROM t
 """)
 def _(spark, d):
-    return _t(spark, d, "documents").select("doc_id", F.size(text.char_ngrams(_title())).cast("long").alias("n"))
+    return _t(spark, d, "documents").select("doc_id", F.size(text.char_ngrams(_title())).cast("long").alias("n"), F.coalesce(F.get(text.char_ngrams(_title()), F.lit(0)), F.concat(F.lit(" "), _title(), F.lit(" "))).alias("first_gram"))
 
 
 @query("date_display", """
