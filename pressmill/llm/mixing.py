@@ -3,8 +3,8 @@
 A document of a source with target T and size S is taken T/S times in expectation: the whole part for certain,
 the fractional part by balanced sampling. The flight phase moves the fractions of a block of documents through
 the null-space of two constraints, words taken and documents taken, until at most two are undecided; the
-undecided of all blocks of a source form the next level's blocks, until one block is left, whose last two are
-landed by the coupling that keeps both probabilities and misses the word total least. Blocks are formed by a
+undecided of all blocks of a source form the next level's blocks, until one block is left, whose largest few
+(their subset sums are the finest) are landed by the outcome that misses the word total, then the document total, least. Blocks are formed by a
 hash of the document, so a hot source is spread over as many tasks as it needs, and reruns agree.
 
 Edge cases: null text has size 0; a null source is a source of its own and sorts last; a source without words
@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,6 +28,8 @@ MAX_COPIES = 3
 #: Weights of sources in order of their names, repeating.
 WEIGHTS = (1, 2, 3)
 BLOCK_ROWS = 4096
+#: Units that the last block of a source leaves to the landing, besides two of the flight: 2**14 outcomes at most.
+LANDING_UNITS = 12
 _EPS = 1e-9
 
 
@@ -53,10 +56,12 @@ def targets(sizes: DataFrame) -> DataFrame:
     return full.select("source", F.col("source_size").cast("long"), F.col("source_rows").cast("long"), own.alias("target"))
 
 
-def _flight(sizes: list[float], fractions: list[float], rng: random.Random) -> None:
-    """Move fractions in place until at most two are strictly between 0 and 1. Keeps their sum and the sum of size * fraction."""
+def _flight(sizes: list[float], fractions: list[float], rng: random.Random, spare: int = 0) -> None:
+    """Move fractions in place until at most two, and the last ``spare`` units, are strictly between 0 and 1.
+
+    Keeps the sum of the fractions and of size * fraction."""
     active: list[int] = []
-    for unit in range(len(sizes)):
+    for unit in range(len(sizes) - spare):
         if _EPS < fractions[unit] < 1 - _EPS:
             active.append(unit)
         else:
@@ -85,27 +90,15 @@ def _flight(sizes: list[float], fractions: list[float], rng: random.Random) -> N
         active = rest
 
 
-def _land(sizes: list[float], fractions: list[float], rng: random.Random) -> None:
-    """Decide the last one or two units: of the couplings with these probabilities, the one that misses least."""
+def _land(sizes: list[float], fractions: list[float]) -> None:
+    """Decide the last units: of all outcomes, the one that misses the words, then the documents, least."""
     left = [i for i, x in enumerate(fractions) if _EPS < x < 1 - _EPS]
-    if len(left) == 1:
-        fractions[left[0]] = float(rng.random() < fractions[left[0]])
-    elif left:
-        a, b = left
-        p, q = fractions[a], fractions[b]
-        mean = sizes[a] * p + sizes[b] * q
-        best = None
-        for both in (max(0.0, p + q - 1), min(p, q)):
-            outcomes = ((1, 1, both), (1, 0, p - both), (0, 1, q - both), (0, 0, 1 - p - q + both))
-            cost = sum(w * abs(x * sizes[a] + y * sizes[b] - mean) for x, y, w in outcomes)
-            if best is None or cost < best[0]:
-                best = (cost, outcomes)
-        draw = rng.random()
-        for x, y, w in best[1]:
-            draw -= w
-            if draw < 0:
-                break
-        fractions[a], fractions[b] = float(x), float(y)
+    n, words = np.array([fractions[i] for i in left]), np.array([sizes[i] for i in left])
+    outcomes = (np.arange(1 << len(left))[:, None] >> np.arange(len(left))) & 1
+    missed = np.abs(outcomes @ words - words @ n)
+    best = np.lexsort((np.abs(outcomes.sum(axis=1) - n.sum()), np.round(missed, 6)))[0]
+    for i, x in zip(left, outcomes[best].tolist(), strict=True):
+        fractions[i] = float(x)
 
 
 def _level(units: DataFrame, bucket: str, last: bool) -> DataFrame:
@@ -113,12 +106,12 @@ def _level(units: DataFrame, bucket: str, last: bool) -> DataFrame:
     schema = units.schema
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["size", "h", "h2"], ascending=[False, True, True], kind="stable")
+        pdf = pdf.sort_values(["size", "h", "h2"], ascending=[True, True, True], kind="stable")
         sizes, fractions = pdf["size"].astype(float).tolist(), pdf["fraction"].tolist()
         rng = random.Random(f"{int(pdf['h'].min())}:{len(pdf)}")
-        _flight(sizes, fractions, rng)
+        _flight(sizes, fractions, rng, min(LANDING_UNITS, len(sizes)) if last else 0)
         if last:
-            _land(sizes, fractions, rng)
+            _land(sizes, fractions)
         return pdf.assign(fraction=fractions)
 
     return units.groupBy("source", F.expr(bucket)).applyInPandas(lambda _, pdf: run(pdf), schema)
