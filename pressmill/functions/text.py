@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from pressmill.functions.url import escaped
+from pressmill.functions.url import escaped, folded
 
 # Phrases and words that name one thing, words without topic, and broad topics.
 PHRASES = {
@@ -127,7 +127,7 @@ def commodity(keyword: Column, title: Column) -> Column:
 
 def has_word(text: Column, words: list[str] | tuple[str, ...]) -> Column:
     """Whether one of the phrases occurs between non-word characters, ignoring case."""
-    return text.rlike(rf"(?i)(?:^|[^{_EDGE}])(?:{escaped(words)})(?:$|[^{_EDGE}])")
+    return F.lower(text).rlike(rf"(?<![{_EDGE}]){folded([w.lower() for w in words])}(?![{_EDGE}])")
 
 
 def count_words(text: Column, words: list[str] | tuple[str, ...]) -> Column:

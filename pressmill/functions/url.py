@@ -20,6 +20,23 @@ def escaped(words: tuple[str, ...] | list[str]) -> str:
     return "|".join("".join("\\" + ch if ch in r"\.[]{}()*+-?^$|&/" and ch not in "&/-" else ch for ch in w) for w in words)
 
 
+def folded(words: tuple[str, ...] | list[str]) -> str:
+    """The same alternation with common beginnings folded, longest first: a regular expression engine tries a branch or two at each place instead of all."""
+    tree: dict = {}
+    for w in words:
+        node = tree
+        for ch in w:
+            node = node.setdefault(ch, {})
+        node[""] = {}
+
+    def write(node: dict) -> str:
+        branches = [escaped([ch]) + write(sub) for ch, sub in sorted(node.items()) if ch]
+        body = branches[0] if len(branches) == 1 else f"(?:{'|'.join(branches)})" if branches else ""
+        return f"(?:{body})?" if body and "" in node else body
+
+    return write(tree)
+
+
 def unwrap_hyperlink(url: Column) -> Column:
     """The address inside a spreadsheet's =HYPERLINK("...", ...) formula."""
     inner = F.regexp_extract(url, r'(?i)^=HYPERLINK\("([^"]*)"', 1)

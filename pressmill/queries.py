@@ -503,3 +503,117 @@ def _(spark, d):
     w = Window.partitionBy("user_id").orderBy("ts").rangeBetween(Window.unboundedPreceding, 0)
     known = e.withColumn("release_ts", F.max(F.when(F.col("event_type") == "signup", F.col("ts"))).over(w))
     return known.filter("event_type = 'purchase'").select("event_id", "release_ts")
+
+
+# Recheck, registry, releases -------------------------------------------------------------------------------------------
+
+
+@query("evergreen_pages")
+def _(spark, d):
+    from pressmill.operators import recheck
+
+    return _t(spark, d, "pages").select("page_id", recheck.evergreen(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1), landing.page_text(F.col("html")), F.col("url")).alias("kind"))
+
+
+@query("recheck_first_pass", f"WITH a AS (SELECT doc_id, {_TITLE_SQL} AS title FROM documents), r AS (SELECT *, CASE WHEN contains(lower(title), 'idiot') THEN 'a' WHEN contains(lower(title), ' | ') OR contains(lower(title), '%%') THEN 'b' END AS why, lower(trim(title, ' ')) AS k FROM a) SELECT doc_id, CASE WHEN why IS NULL AND row_number() OVER (PARTITION BY k, why IS NULL ORDER BY doc_id) > 1 AND k <> '' THEN 'judul_sama' ELSE why END AS recheck_reason FROM r")
+def _(spark, d):
+    from pressmill.operators import recheck
+
+    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"), F.lit("").alias("body"), F.lit("").alias("url"))
+    return recheck.first_pass(docs, "title", "body", "url", "doc_id", (("a", ("idiot",)), ("b", (" | ", "%%")))).select("doc_id", "recheck_reason")
+
+
+@query("ragu_rubric")
+def _(spark, d):
+    from pressmill.operators import recheck
+
+    return _t(spark, d, "documents").select("doc_id", recheck.rubric(F.lit("RAGU"), _title(), F.col("text")).alias("label"))
+
+
+@query("policy_scores", r"WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents) SELECT doc_id, len(list_filter(w, lambda x: x IN ('the', 'der')))::BIGINT AS industry, len(list_filter(w, lambda x: x IN ('idiot', 'scum')))::BIGINT AS health FROM t")
+def _(spark, d):
+    from pressmill.operators import recheck
+
+    a, b = recheck.policy_scores(F.coalesce("text", F.lit("")), ("the", "der"), ("idiot", "scum"))
+    return _t(spark, d, "documents").select("doc_id", a.cast("long").alias("industry"), b.cast("long").alias("health"))
+
+
+@query("institution_signal")
+def _(spark, d):
+    from pressmill.operators import recheck
+
+    s = recheck.institution_signal(_title(), F.col("text"), {"Clown": ("clown",)})
+    return _t(spark, d, "documents").select("doc_id", s.alias("s")).select("doc_id", "s.related", "s.kind", "s.detail")
+
+
+@query("needs_tone", "WITH i AS (SELECT o_custkey AS isu, count(*) AS member_count, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01') AS at_eval, CASE WHEN min(o_orderstatus) = 'F' THEN 'Netral' END AS tone FROM orders GROUP BY 1) SELECT isu, tone IS NULL OR member_count - at_eval >= 3 AS judge FROM i")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    i = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("isu")).agg(F.count("*").alias("member_count"), F.count_if(F.col("o_orderdate") < "1996-01-01").alias("member_count_at_eval"), F.when(F.min("o_orderstatus") == "F", "Netral").alias("tone"))
+    return i.select("isu", registry.needs_tone(i).alias("judge"))
+
+
+@query("registry_prune", "WITH i AS (SELECT o_custkey AS isu, CASE WHEN o_custkey % 5 = 0 THEN 'rilis' ELSE 'klaster' END AS sumber_isu, max(o_orderdate)::DATE AS tanggal_terakhir FROM orders GROUP BY 1, 2) SELECT isu, sumber_isu FROM i WHERE sumber_isu = 'rilis' OR DATE '1998-07-01' - tanggal_terakhir <= 14")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    kind = F.when(F.pmod("o_custkey", F.lit(5)) == 0, "rilis").otherwise("klaster")
+    i = _t(spark, d, "orders").groupBy(F.col("o_custkey").alias("isu"), kind.alias("sumber_isu")).agg(F.to_date(F.max("o_orderdate")).alias("tanggal_terakhir"))
+    return registry.prune(i, F.lit("1998-07-01").cast("date")).select("isu", "sumber_isu")
+
+
+@query("upsert_members", "SELECT user_id AS isu, event_id AS k, 'old' AS run FROM events WHERE event_id % 3 = 0 UNION ALL SELECT user_id, event_id, 'new' FROM events WHERE event_id % 2 = 0 AND event_id % 3 <> 0")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    e = _t(spark, d, "events").select(F.col("user_id").alias("isu"), F.col("event_id").alias("k"))
+    return registry.upsert_members(e.filter("k % 3 = 0").withColumn("run", F.lit("old")), e.filter("k % 2 = 0").withColumn("run", F.lit("new")), "isu", "k")
+
+
+@query("sample_titles", "WITH r AS (SELECT c_nationkey AS isu, c_name, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_acctbal DESC, c_name) AS n FROM customer) SELECT isu, string_agg(c_name, '|' ORDER BY c_name) AS titles FROM r WHERE n <= 12 GROUP BY 1")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    c = _t(spark, d, "customer").select(F.col("c_nationkey").alias("isu"), "c_name", "c_acctbal")
+    return registry.sample_titles(c, "isu", "c_name", F.desc("c_acctbal")).select("isu", F.array_join("sample_titles", "|").alias("titles"))
+
+
+@query("stratified_sample", "WITH s AS (SELECT l_orderkey * 10 + l_linenumber AS pos, l_discount * 10 AS skor FROM lineitem), t AS (SELECT *, CASE WHEN skor < 0.45 THEN 'low' WHEN skor >= 0.65 THEN 'high' ELSE 'mid' END AS stratum FROM s), n AS (SELECT *, row_number() OVER (PARTITION BY stratum ORDER BY pos) AS n FROM t) SELECT pos, stratum FROM n WHERE n <= CASE stratum WHEN 'low' THEN 20 WHEN 'mid' THEN 15 ELSE 25 END")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    s = _t(spark, d, "lineitem").select((F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"), (F.col("l_discount") * 10).alias("skor"))
+    return registry.stratified_sample(s, "skor", "pos", {"low": 20, "mid": 15, "high": 25}).select("pos", "stratum")
+
+
+@query("diverse_members")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    return registry.diverse_members(_t(spark, d, "part").select(F.col("p_brand").alias("isu"), F.col("p_name").alias("title")), "isu", "title")
+
+
+@query("official_match")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    titles = _t(spark, d, "documents").select(F.col("doc_id").alias("id"), _title().alias("title")).filter("title <> ''")
+    official = _t(spark, d, "benchmark").select(F.col("item_id").alias("official_id"), F.substring("text", 1, 80).alias("official_title"))
+    return registry.official_match(titles, official)
+
+
+@query("issue_match")
+def _(spark, d):
+    docs = _t(spark, d, "documents").filter("lang = 'en'").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"))
+    items = _t(spark, d, "benchmark").select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("id"), F.substring("text", 1, 80).alias("title"))
+    left, right = (issues.features(x, "id", "title", F.lit(None).cast("date"), F.lit("")) for x in (docs, items))
+    return issues.best_matches(issues.scored_pairs(left, right, issues.idf(left.unionByName(right)).select("token", "idf"), F.lit(True)))
+
+
+@query("release_coverage", "SELECT r.o_orderkey AS rilis, count(l.l_orderkey) AS member_count, CASE WHEN count(l.l_orderkey) = 0 THEN 'belum tercatat' ELSE 'tercatat' END AS status FROM orders r LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') l ON l.l_orderkey = r.o_orderkey GROUP BY 1")
+def _(spark, d):
+    r = _t(spark, d, "orders").select(F.col("o_orderkey").alias("rilis"))
+    m = _t(spark, d, "lineitem").filter("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("rilis")).agg(F.count("*").alias("c"))
+    n = F.coalesce("c", F.lit(0)).cast("long")
+    return r.join(m, "rilis", "left").select("rilis", n.alias("member_count"), F.when(n == 0, "belum tercatat").otherwise("tercatat").alias("status"))
