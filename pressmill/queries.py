@@ -617,3 +617,27 @@ def _(spark, d):
     m = _t(spark, d, "lineitem").filter("l_returnflag = 'R'").groupBy(F.col("l_orderkey").alias("rilis")).agg(F.count("*").alias("c"))
     n = F.coalesce("c", F.lit(0)).cast("long")
     return r.join(m, "rilis", "left").select("rilis", n.alias("member_count"), F.when(n == 0, "belum tercatat").otherwise("tercatat").alias("status"))
+
+
+@query("keyword_context")
+def _(spark, d):
+    from pressmill.operators import context
+
+    rows = _t(spark, d, "documents").withColumn("kw", F.element_at(F.array(*(F.lit(c.keywords[0]) for c in context.CONTEXTS)), (F.pmod("doc_id", F.lit(len(context.CONTEXTS))) + 1).cast("int")))
+    return rows.select("doc_id", "kw", context.context_reason(_title(), F.coalesce("text", F.lit("")), F.col("kw")).alias("reason"))
+
+
+@query("tobacco_keywords")
+def _(spark, d):
+    from pressmill.operators import context
+
+    kw = F.when(F.pmod("doc_id", F.lit(2)) == 0, "gula, rokok").otherwise("gula")
+    return _t(spark, d, "documents").select("doc_id", context.tobacco_keywords(kw, _title(), F.col("text")).alias("keywords"))
+
+
+@query("negative_groups")
+def _(spark, d):
+    """Greedy groups against each group's first member only, inside components of near titles."""
+    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"))
+    placed = dedup.label_components(docs, dedup.near_title_pairs(docs, "title", "doc_id"), "doc_id")
+    return dedup.replay_groups(placed, "component", "title", "doc_id", 85.0, heads=True).select("doc_id", "group_pos", "group_title")

@@ -95,3 +95,32 @@ def test_issue_clusters(spark, seed):
 def test_first_two(spark):
     m = one(spark, "Putu Juli bertemu Menperin dan Faisol Riza", lambda c: entities.first_mentions(c, {"A": ("faisol riza",), "B": ("putu juli",), "C": ("menperin",)}))
     assert [x["name"] for x in m] == ["B", "C"]
+
+
+def test_contexts(spark):
+    from pressmill.operators import context
+
+    cases = [
+        ("Warga Duren Sawit gelar pasar murah", "", "sawit", "sawit_location_duren_sawit"),
+        ("Ekspor sawit dari Duren Sawit", "industri sawit tumbuh", "sawit", None),
+        ("LRT Kelapa Gading", "", "kelapa", "kelapa_location_or_spam"),
+        ("Kertas kerja menteri", "industri kertas", "kertas", "kertas_kerja_or_idiom"),
+        ("Teh Rina bernyanyi", "", "teh", "teh_sundanese_honorific"),
+        ("Perahu karet tenggelam", "", "karet", "karet_idiom_or_marine"),
+        ("Harga karet naik", "petani karet senang", "karet", None),
+        ("Anjing pomeranian lucu", "", "pome", "pome_pomeranian_or_non_industrial"),
+    ]
+    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, b string, k string, want string")
+    got = df.select("i", "want", context.context_reason(F.col("t"), F.col("b"), F.col("k")).alias("r")).collect()
+    assert [(r["i"], r["r"]) for r in got] == [(r["i"], r["want"]) for r in got]
+    kw = df.limit(1).select(context.tobacco_keywords(F.lit("gula, rokok"), F.lit("Bea Cukai sita rokok ilegal"), F.lit("")).alias("k")).first()["k"]
+    assert kw == "gula, djbc rokok ilegal"
+
+
+def test_rubric_and_evergreen(spark):
+    from pressmill.operators import recheck
+
+    df = spark.createDataFrame([("Apa itu CPO?", "", "https://a.id/x"), ("Kemenperin resmikan pabrik", "", "https://a.id/read/1"), ("Kisah merek lama", "", "https://a.id/x")], "t string, b string, u string")
+    assert [r["e"] for r in df.select(recheck.evergreen(F.col("t"), F.col("b"), F.col("u")).alias("e")).collect()] == ["glossary", None, "evergreen_education"]
+    labels = spark.createDataFrame([("RAGU", "Gapki bicara"), ("RAGU", "Dosen UGM menilai"), ("RAGU", "x"), ("hilir", "x")], "l string, t string")
+    assert [r["r"] for r in labels.select(recheck.rubric(F.col("l"), F.col("t"), F.lit("")).alias("r")).collect()] == ["HILIR", "BUKAN_HILIR", "RAGU", "HILIR"]
