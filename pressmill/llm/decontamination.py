@@ -5,8 +5,9 @@ automaton; a document's words are streamed through it and the longest matching l
 word. Where it reaches a window (10 words, or a whole shorter item), the words under it are hit; the items
 behind the window are looked up by the window itself, so counts are exact.
 
-Items are held in automata of at most ``block_words`` words each; a longer benchmark takes further passes over
-the same partition, so the bound does not depend on the benchmark. Documents are never shuffled.
+Items are held in automata of at most ``block_words`` words (or one item) each, and only one block's automaton is
+broadcast at a time: a longer benchmark takes further passes, each of which writes the hits so far beside the
+documents before its block is destroyed. Memory does not depend on the benchmark. Documents are never shuffled.
 
 Edge cases: null texts and texts without words have no hits; null items and items without words have no
 windows; a null item_id counts as the empty string; repeated items count once per item_id; repeated document
@@ -15,7 +16,6 @@ rows are treated alike; other columns pass through remove().
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,10 +23,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm._common import map_rows, use_small_batches, whole_row
+from pressmill.llm._common import materialise, release, use_small_batches, whole_row
 
 WINDOW = 10
-BLOCK_WORDS = 2_000_000
+BLOCK_WORDS = 250_000
 #: remove(): a document goes when one hit span is this long, or this share of its words is hit; other hit spans are cut out.
 DROP_SPAN_WORDS = 20
 DROP_COVERAGE = 0.2
@@ -124,85 +124,137 @@ class Matcher:
                         items |= found
 
 
-def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Matcher]:
-    """Matchers of the benchmark's items, each of at most block_words words (or one item)."""
+Items = list[tuple[str, list[bytes]]]
+
+
+def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Items]:
+    """Items with words, in blocks of at most block_words words (or one item)."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("binary").alias("t")).distinct()
     held, n = [], 0
     for row in items.orderBy("i", "t").toLocalIterator():
         own = words(row["t"])
         if held and n + len(own) > block_words:
-            yield Matcher(held)
+            yield held
             held, n = [], 0
         if own:
             held.append((row["i"], own))
             n += len(own)
     if held:
-        yield Matcher(held)
+        yield held
+
+
+FOUND = "n_words long, n_hit long, hit binary, items array<string>"
+
 
+def _pass(df: DataFrame, matcher) -> DataFrame:
+    """One block's hits, added to those in ``found``."""
 
-def _find(matchers: list, own: list[bytes]) -> tuple[np.ndarray, set[str]]:
-    hit, items = np.zeros(len(own), bool), set()
-    for m in matchers:
-        m.value.match(own, hit, items)
-    return hit, items
+    def run(texts: pd.Series, n_hits: pd.Series, hits: pd.Series, items: pd.Series) -> pd.DataFrame:
+        out = []
+        for t, n, bits, before in zip(texts, n_hits, hits, items, strict=True):
+            own = words(t)
+            hit = np.unpackbits(np.frombuffer(bits, np.uint8), count=len(own)).astype(bool) if n else np.zeros(len(own), bool)
+            found = set(before)
+            matcher.value.match(own, hit, found)
+            n = int(hit.sum())
+            out.append((len(own), n, np.packbits(hit).tobytes() if n else b"", sorted(found)))
+        return pd.DataFrame(out, columns=["n_words", "n_hit", "hit", "items"])
+
+    return df.withColumn("found", F.pandas_udf(run, FOUND)("t", "found.n_hit", "found.hit", "found.items"))
+
+
+def _find(df: DataFrame, first: Items, rest: Iterator[Items]) -> DataFrame:
+    """df (t: binary) with found: hit words as packed bits, and the items they are from."""
+    use_small_batches(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    df = df.withColumn("found", F.expr("named_struct('n_words', 0L, 'n_hit', 0L, 'hit', X'', 'items', cast(array() as array<string>))"))
+    block, written = context.broadcast(Matcher(first)), None  # at most BLOCK_WORDS words, or one item
+    for items in rest:
+        before, written = written, materialise(_pass(df, block))
+        block.destroy()
+        if before is not None:
+            release(before)
+        df, block = written, context.broadcast(Matcher(items))
+    return _pass(df, block)
 
 
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    matchers = [docs.sparkSession.sparkContext.broadcast(m) for m in blocks(benchmark)]  # each bounded by BLOCK_WORDS
-
-    def run(batches: Iterator[dict]) -> Iterator[dict]:
-        for batch in batches:
-            n_words, n_hit, found = [], [], []
-            for t in batch["t"]:
-                own = words(t)
-                hit, items = _find(matchers, own)
-                n_words.append(len(own))
-                n_hit.append(int(hit.sum()))
-                found.append(sorted(items))
-            yield {
-                "doc_id": batch["doc_id"],
-                "n_words": n_words,
-                "n_hit": n_hit,
-                "n_items": [len(x) for x in found],
-                "items_sha256": [hashlib.sha256(",".join(x).encode()).hexdigest() for x in found],
-                "contaminated": [n > 0 for n in n_hit],
-            }
-
-    schema = "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean"
-    return map_rows(docs.select("doc_id", F.col("text").cast("binary").alias("t")), schema, run)
-
-
-def _clean(matchers: list, data: bytes) -> bytes | None:
-    """The text without hit spans, or None where it has to go. Cutting may join words to a new window: repeated until none is left."""
+    held = blocks(benchmark)
+    out = _find(docs.select("doc_id", F.col("text").cast("binary").alias("t")), next(held, []), held)
+    return out.select(
+        "doc_id",
+        "found.n_words",
+        "found.n_hit",
+        F.size("found.items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("found.items"), ","), 256).alias("items_sha256"),
+        (F.col("found.n_hit") > 0).alias("contaminated"),
+    )
+
+
+def _cut(data: bytes, hit: np.ndarray) -> bytes | None:
+    """The text without its hit words, or None where it has to go."""
+    edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
+    spans = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
+    if max(e - s for s, e in spans) >= DROP_SPAN_WORDS or hit.mean() >= DROP_COVERAGE:
+        return None
+    is_word = np.frombuffer(data.translate(_WORD), np.uint8) != 32
+    at = np.flatnonzero(np.diff(np.concatenate(([0], is_word.view(np.int8), [0]))))
+    kept, last = [], 0
+    for s, e in spans:
+        kept.append(data[last : at[2 * s]])
+        last = at[2 * e - 1]
+    return b"".join([*kept, data[last:]])
+
+
+def _clean(matcher: Matcher, data: bytes) -> bytes | None:
+    """_cut until nothing is hit: cutting may join words to a new window."""
     while True:
-        marked = data.translate(_WORD)
-        own = marked.split()
-        hit, _ = _find(matchers, own)
+        own = words(data)
+        hit = np.zeros(len(own), bool)
+        matcher.match(own, hit, set())
         if not hit.any():
             return data
-        edges = np.flatnonzero(np.diff(np.concatenate(([0], hit.view(np.int8), [0]))))
-        spans = list(zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True))
-        if max(e - s for s, e in spans) >= DROP_SPAN_WORDS or hit.mean() >= DROP_COVERAGE:
+        if (data := _cut(data, hit)) is None:
             return None
-        is_word = np.frombuffer(marked, np.uint8) != 32
-        at = np.flatnonzero(np.diff(np.concatenate(([0], is_word.view(np.int8), [0]))))
-        kept, last = [], 0
-        for s, e in spans:
-            kept.append(data[last : at[2 * s]])
-            last = at[2 * e - 1]
-        data = b"".join([*kept, data[last:]])
 
 
-def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """docs without benchmark passages: long or dense hits drop the document, other hit spans are cut from its text (and n_chars follows)."""
-    matchers = [docs.sparkSession.sparkContext.broadcast(m) for m in blocks(benchmark)]
+def _clean_in_rounds(df: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """_clean over several blocks: each round cuts what any block hits; cut documents go to the next round."""
+
+    def cut(texts: pd.Series, n_hits: pd.Series, hits: pd.Series) -> pd.Series:
+        return pd.Series([_cut(t, np.unpackbits(np.frombuffer(h, np.uint8), count=len(words(t))).astype(bool)) if n else t for t, n, h in zip(texts, n_hits, hits, strict=True)], dtype=object)
+
+    done = []
+    while True:
+        held = blocks(benchmark)
+        found = _find(df, next(held), held).withColumn("c", F.pandas_udf(cut, "binary")("t", "found.n_hit", "found.hit")).filter("c is not null")
+        found = materialise(found.select("_row", F.col("c").alias("t"), (F.col("found.n_hit") > 0).alias("again")))
+        done.append(found.filter("not again").select("_row", F.col("t").alias("c")))
+        df = found.filter("again").select("_row", "t")
+        if df.isEmpty():
+            break
+    out = done[0]
+    for part in done[1:]:
+        out = out.unionByName(part)
+    return out
 
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([b"" if t is None else _clean(matchers, t) for t in texts], dtype=object)
 
+def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """docs without benchmark passages: long or dense hits drop the document, other hit spans are cut from its text (and n_chars follows)."""
     use_small_batches(docs.sparkSession)
-    cleaned = docs.select(whole_row(docs), F.col("text").alias("t")).withColumn("c", F.pandas_udf(cut, "binary")(F.col("t").cast("binary"))).filter("c is not null")
-    changed = F.col("t").isNotNull() & (F.col("t").cast("binary") != F.col("c"))
-    new = {"text": F.decode("c", "UTF-8"), "n_chars": F.length(F.decode("c", "UTF-8")).cast("long")}
+    texts = docs.select(whole_row(docs), F.coalesce(F.col("text").cast("binary"), F.expr("X''")).alias("t"))
+    held = blocks(benchmark)
+    first, more = next(held, []), next(held, None)
+    if more is None:
+        matcher = docs.sparkSession.sparkContext.broadcast(Matcher(first))  # at most BLOCK_WORDS words, or one item
+
+        def clean(texts: pd.Series) -> pd.Series:
+            return pd.Series([_clean(matcher.value, t) for t in texts], dtype=object)
+
+        cleaned = texts.withColumn("c", F.pandas_udf(clean, "binary")("t")).filter("c is not null")
+    else:
+        cleaned = _clean_in_rounds(texts, benchmark)
     keep = lambda name: F.col(f"_row.`{name}`")
+    changed = keep("text").isNotNull() & (keep("text").cast("binary") != F.col("c"))
+    new = {"text": F.decode("c", "UTF-8"), "n_chars": F.length(F.decode("c", "UTF-8")).cast("long")}
     return cleaned.select(*((F.when(changed, new[c]).otherwise(keep(c)) if c in new else keep(c)).alias(c) for c in docs.columns))

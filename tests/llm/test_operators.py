@@ -296,10 +296,11 @@ def test_decontamination(spark, docs, clashing):
 def test_decontamination_in_blocks(spark, docs):
     bench = spark.createDataFrame([(i, ROWS[i][1]) for i in range(12)], "item_id long, text string")
     assert len(list(decontamination.blocks(bench, 100))) > 3
-    whole = rows(decontamination.digest(docs, bench))
+    whole, cleaned = rows(decontamination.digest(docs, bench)), rows(decontamination.remove(docs, bench))
     try:
         decontamination.blocks.__defaults__ = (100,)
         assert rows(decontamination.digest(docs, bench)) == whole
+        assert rows(decontamination.remove(docs, bench)) == cleaned
     finally:
         decontamination.blocks.__defaults__ = (decontamination.BLOCK_WORDS,)
 
