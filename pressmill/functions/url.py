@@ -105,5 +105,5 @@ def is_decoded(url: Column) -> Column:
 
 
 def first_usable(urls: Column) -> Column:
-    """The first usable address of an ordered array."""
-    return F.element_at(F.filter(urls, is_decoded), 1)
+    """The first usable address of an ordered array; null where there is none."""
+    return F.try_element_at(F.filter(urls, is_decoded), F.lit(1))

@@ -641,3 +641,175 @@ def _(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"))
     placed = dedup.label_components(docs, dedup.near_title_pairs(docs, "title", "doc_id"), "doc_id")
     return dedup.replay_groups(placed, "component", "title", "doc_id", 85.0, heads=True).select("doc_id", "group_pos", "group_title")
+
+
+# Model replies, link resolution, publishing ----------------------------------------------------------------------------
+
+
+@query("batch_verdicts", r"""
+WITH o AS (SELECT o_custkey AS batch, o_orderkey AS id, CASE WHEN o_orderkey % 7 = 0 THEN 'Produk UMKM naik' ELSE o_orderpriority END AS title, o_orderkey % 3 AS part, o_orderstatus FROM orders),
+v AS (SELECT *, CASE WHEN o_custkey_even THEN 2 ELSE part END AS seen FROM (SELECT *, batch % 10 = 9 AS o_custkey_even FROM o))
+SELECT batch, id, title,
+  CASE WHEN id % 7 = 0 OR seen = 1 THEN 'buang' WHEN seen = 0 AND o_orderstatus = 'F' THEN 'relevan' ELSE 'review' END AS status,
+  CASE WHEN id % 7 = 0 OR seen = 1 THEN '-' WHEN seen = 0 AND o_orderstatus = 'F' THEN 'Gula' ELSE 'Industri Umum' END AS sub_sektor,
+  CASE WHEN id % 7 = 0 THEN 'UMKM' WHEN seen = 1 THEN 'Bukan Sektor Industri Agro' WHEN seen = 0 THEN 'alasan ' || id ELSE '' END AS alasan
+FROM v
+""")
+def _(spark, d):
+    """Replies hold two thirds of what was sent, inside fences; those of every tenth batch are broken JSON."""
+    from pressmill.operators import verdicts
+
+    orders = _t(spark, d, "orders").withColumnsRenamed({"o_custkey": "batch", "o_orderkey": "id"})
+    sent = orders.select("batch", "id", F.when(F.col("id") % 7 == 0, "Produk UMKM naik").otherwise(F.col("o_orderpriority")).alias("title"))
+    status = F.when(F.col("o_orderstatus") == "F", "Relevan ").when(F.col("o_orderstatus") == "O", "review").otherwise("lain")
+    kept = F.struct("id", status.alias("status"), F.when(F.col("o_orderstatus") == "F", "Gula").otherwise("").alias("sub_sektor"), F.concat(F.lit("alasan "), F.col("id").cast("string")).alias("alasan"))
+    both = orders.groupBy("batch").agg(F.collect_list(F.when(F.col("id") % 3 == 0, kept)).alias("hasil"), F.collect_list(F.when(F.col("id") % 3 == 1, F.struct("id"))).alias("dibuang"))
+    reply = F.concat(F.lit("Berikut:\n```json\n"), F.to_json(F.struct("hasil", "dibuang")), F.lit("\n```"))
+    return verdicts.batch_verdicts(sent, both.select("batch", F.when(F.col("batch") % 10 == 9, F.lit("{ maaf")).otherwise(reply).alias("reply")), "batch")
+
+
+@query("reply_salvage", "SELECT s_suppkey, s_suppkey::VARCHAR AS id, 'Netral' AS tone, s_name || ' \"a\"' AS isu FROM supplier UNION ALL SELECT s_suppkey, s_nationkey::VARCHAR, NULL, 'x' FROM supplier")
+def _(spark, d):
+    from pressmill.operators import verdicts
+
+    reply = F.concat(F.lit('```json\n{"hasil": [{"id": '), F.col("s_suppkey"), F.lit(', "tone": "Netral", "isu": "'), F.col("s_name"), F.lit(r' \"a\""}, {"isu": "x", "tone": null, "id": '), F.col("s_nationkey"), F.lit("}, {"))
+    return _t(spark, d, "supplier").select("s_suppkey", F.inline(verdicts.salvage(reply, ("id", "tone", "isu"))))
+
+
+@query("reply_labels", "SELECT event_id, CASE event_type WHEN 'click' THEN 'K1' WHEN 'view' THEN 'K4' ELSE 'K3' END AS hubungan, CASE event_type WHEN 'click' THEN 'menyerang' WHEN 'view' THEN 'mendukung' ELSE 'tidak ada' END AS arah, CASE WHEN event_type = 'click' AND user_id % 2 = 0 THEN 'tinggi' ELSE 'sedang' END AS keyakinan FROM events")
+def _(spark, d):
+    from pressmill.operators import verdicts
+
+    said = lambda a, b: F.when(F.col("event_type") == "click", a).when(F.col("event_type") == "view", b)
+    labels = verdicts.relation(said(" k1", "K4")), verdicts.direction(said("Kritik", "mendukung ")), verdicts.confidence(said("Tinggi", "?"), F.col("user_id") % 2 == 0)
+    return _t(spark, d, "events").select("event_id", *(c.alias(n) for c, n in zip(labels, ("hubungan", "arah", "keyakinan"), strict=True)))
+
+
+@query("link_resolution", r"""
+WITH p AS (SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'https://news.google.com/articles/' || page_id ELSE trim(coalesce(url, ''), ' ') END AS link FROM pages),
+m AS (SELECT *, CASE WHEN page_id % 2 = 1 THEN 'direct' WHEN page_id % 14 = 0 THEN 'cache' WHEN page_id % 14 = 2 THEN 'pre_filtered' WHEN page_id % 14 = 4 AND page_id % 28 <> 4 THEN 'negative_cache'
+    WHEN page_id % 14 = 6 THEN 'decode_offline' WHEN page_id % 14 = 8 THEN 'rejected_target' WHEN page_id % 14 = 10 THEN 'fallback_meta' WHEN page_id % 14 = 12 THEN 'fallback_serper' ELSE 'failed' END AS method FROM p)
+SELECT page_id, method, method IN ('cache', 'decode_offline', 'fallback_meta', 'fallback_serper') OR (method = 'direct' AND link <> '') AS resolved,
+  CASE method WHEN 'cache' THEN 'https://a.id/x/' || page_id WHEN 'decode_offline' THEN 'https://b.id/p/' || page_id WHEN 'fallback_meta' THEN 'https://c.id/p/' || page_id WHEN 'fallback_serper' THEN 'https://d.id/p/' || page_id ELSE link END AS url
+FROM m
+""")
+def _(spark, d):
+    """Layers of the resolution, each answering for a residue of the page's number."""
+    from pressmill.operators import resolve
+
+    pages, k = _t(spark, d, "pages"), F.col("page_id")
+    own = lambda start: F.concat(F.lit(start), k.cast("string"))
+    link = F.when(k % 2 == 0, own("https://news.google.com/articles/")).otherwise(F.col("url"))
+    maps = F.when(k % 14 == 2, "Kantor - Google Maps").otherwise("Harga gula")
+    candidates = F.when(k % 14 == 10, F.array(F.lit("https://news.google.com/x"), own("https://c.id/p/"))).otherwise(F.array(F.lit("https://c.id/")))
+    items = pages.select("page_id", link.alias("link"), maps.alias("title"), F.lit("Media").alias("media"), F.lit("https://m.id").alias("source_url"), candidates.alias("candidates"))
+    even = pages.filter(k % 2 == 0).select(k, own("https://news.google.com/articles/").alias("link"))
+    cache = even.filter(k % 14 == 0).select("link", own("https://a.id/x/").alias("url"))
+    failed = even.filter(k % 14 == 4).select("link", F.when(k % 28 == 4, 5).otherwise(15).alias("until"))
+    decoded = even.filter((k % 14).isin(0, 6, 8, 12)).select("link", F.when(k % 14 == 12, own("https://d.id/p/")).otherwise(own("https://b.id/p/")).alias("url"), F.when(k % 14 == 8, "rejected_target").when(k % 14 == 12, "fallback_serper").otherwise("decode_offline").alias("method"))
+    return resolve.resolve(items, cache, failed, decoded, F.lit(10), ("jobs.id",)).select("page_id", "method", "resolved", "url")
+
+
+_DECODE_METHODS = ("cache", "decode_offline", "decode_local", "fallback_meta", "fallback_exa", "negative_cache", "rejected_target", "pre_filtered", "circuit_skipped")
+
+
+@query("decode_stats", f"""
+WITH e AS (SELECT event_type, user_id % 2 = 0 AS g, [{", ".join(f"'{m}'" for m in _DECODE_METHODS)}][event_id % 9 + 1] AS m, event_id % 9 >= 5 AS f, (event_id * 7) % 600 AS n FROM events),
+c AS (SELECT event_type, count(*) AS extract_total, count(*) FILTER (n >= 300) AS extract_ok, count(*) FILTER (n < 300 AND NOT f) AS extract_short, count(*) FILTER (g) AS gnews_total,
+  count(*) FILTER (g AND m = 'cache') AS cache_hit, count(*) FILTER (g AND m = 'negative_cache') AS negative_cache_hit, count(*) FILTER (g AND m = 'rejected_target') AS rejected_target,
+  count(*) FILTER (g AND m = 'pre_filtered') AS pre_filtered, count(*) FILTER (g AND m = 'decode_offline') AS decode_offline, count(*) FILTER (g AND m = 'decode_local') AS decode_local,
+  count(*) FILTER (g AND m IN ('decode_offline', 'decode_local')) AS decode_ok, count(*) FILTER (g AND m = 'fallback_meta') AS fallback_meta, count(*) FILTER (g AND m = 'fallback_exa') AS fallback_search,
+  count(*) FILTER (g AND m = 'circuit_skipped') AS decode_fail, count(*) FILTER (g AND m = 'circuit_skipped') AS circuit_skipped FROM e GROUP BY 1)
+SELECT *, CASE WHEN gnews_total - rejected_target - pre_filtered > 0 THEN 100.0::DOUBLE * decode_fail / (gnews_total - rejected_target - pre_filtered) ELSE 0.0 END AS fail_pct FROM c
+""")
+def _(spark, d):
+    from pressmill.operators import resolve
+
+    k = F.col("event_id")
+    method = F.element_at(F.array(*map(F.lit, _DECODE_METHODS)), (k % 9 + 1).cast("int"))
+    link = F.when(F.col("user_id") % 2 == 0, "https://news.google.com/x").otherwise("https://a.id/x")
+    return resolve.decode_stats(_t(spark, d, "events"), ["event_type"], link, method, k % 9 >= 5, (k * 7) % 600)
+
+
+@query("id_hosts", r"SELECT page_id, regexp_matches(lower(trim(coalesce(url, ''), ' ')), '^[a-z]+://[^/?#]*\.id(:[0-9]+)?([/?#]|$)') AS allowed FROM pages")
+def _(spark, d):
+    from pressmill.operators import resolve
+
+    return _t(spark, d, "pages").select("page_id", resolve.is_id_host(F.col("url")).alias("allowed"))
+
+
+@query("export_rows", r"""
+SELECT p_name AS isu, p_name || ' - Media' AS title, 'https://m.id/' || p_partkey AS link, NULL::VARCHAR AS published, p_brand AS media, CASE WHEN p_size % 3 = 0 THEN 'Positif' ELSE 'Netral' END AS tone,
+  '-' AS unit, 'RSS' AS source_data FROM part WHERE p_partkey % 13 <> 0 AND p_size % 11 <> 0
+""")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    k = F.col("p_partkey").cast("string")
+    link = F.concat(F.lit('=HYPERLINK("https://m.id/'), k, F.when(F.col("p_partkey") % 13 == 0, ".pdf").otherwise(""), F.lit('","buka")'))
+    rows = _t(spark, d, "part").select(F.concat("p_name", F.lit(" - Media")).alias("judul"), link.alias("url"), F.col("p_brand").alias("source"), F.when(F.col("p_size") % 3 == 0, "Positif").otherwise("nan").alias("tone"), F.when(F.col("p_size") % 11 == 0, "Buang ").otherwise("review").alias("status"))
+    return publish.export_rows(rows)
+
+
+@query("negative_sheet", r"""
+WITH a AS (SELECT 'l' || p_partkey AS link, p_name || p_type AS title FROM part WHERE p_size % 2 = 0),
+l AS (SELECT 'l' || p_partkey AS link, 's' || p_partkey AS summary FROM part WHERE p_partkey % 3 = 0),
+t AS (SELECT lower(p_name || p_type) AS k, min('t' || p_partkey) AS summary FROM part WHERE p_partkey % 30 = 1 GROUP BY 1)
+SELECT a.link, a.title, coalesce(l.summary, t.summary, '-') AS summary FROM a LEFT JOIN l ON l.link = a.link LEFT JOIN t ON t.k = lower(a.title)
+""")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    part, k = _t(spark, d, "part"), F.col("p_partkey").cast("string")
+    title = F.concat("p_name", "p_type")
+    articles = part.select(F.concat(F.lit("l"), k).alias("link"), title.alias("title"), F.when(F.col("p_size") % 2 == 0, "Negatif").otherwise("Netral").alias("tone"))
+    by_link = part.filter("p_partkey % 3 = 0").select(F.concat(F.lit("l"), k).alias("link"), F.lit("").alias("title"), F.concat(F.lit("s"), k).alias("summary"))
+    by_title = part.filter("p_partkey % 30 = 1").select(F.lit("").alias("link"), F.upper(title).alias("title"), F.concat(F.lit("t"), k).alias("summary"))
+    return publish.negative_sheet(articles, by_link.unionByName(by_title))
+
+
+@query("run_kpis", "SELECT count(*) AS total, floor(100.0::DOUBLE * count(*) FILTER (o_orderstatus <> 'P') / count(*) + 0.5)::BIGINT AS success_pct, floor(avg((o_orderkey % 9) * 60 + o_custkey % 60) FILTER (o_orderkey % 5 <> 0) + 0.5)::BIGINT AS mean_seconds FROM orders")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    shown = F.concat((F.col("o_orderkey") % 9).cast("string"), F.lit("m "), F.lpad((F.col("o_custkey") % 60).cast("string"), 2, "0"), F.lit("s"))
+    return publish.run_kpis(_t(spark, d, "orders"), F.when(F.col("o_orderstatus") == "P", "Gagal").otherwise("Berhasil"), F.when(F.col("o_orderkey") % 5 == 0, "-").otherwise(shown))
+
+
+@query("run_history", "SELECT o_orderkey, o_orderdate, o_orderstatus AS status FROM orders ORDER BY o_orderdate DESC, o_orderkey, status LIMIT 30")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    runs = _t(spark, d, "orders").select("o_orderkey", "o_orderdate", F.col("o_orderstatus").alias("status"))
+    return publish.run_history(runs.filter("o_orderkey % 2 = 0"), runs.filter("o_orderkey % 2 = 1"), "o_orderdate")
+
+
+@query("run_filter", "SELECT o_orderkey, o_orderpriority FROM orders WHERE o_orderstatus = 'F' AND contains(lower(o_orderpriority), 'medium')")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    runs = _t(spark, d, "orders").withColumnRenamed("o_orderstatus", "status")
+    return publish.run_filter(runs, "F", "Medium", ["o_orderpriority"]).select("o_orderkey", "o_orderpriority")
+
+
+@query("media_names", r"SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'Kompas' WHEN 1 THEN n_name WHEN 2 THEN 'VIVA' ELSE 'Media Nasional' END AS media, CASE WHEN n_nationkey = 0 THEN '0' ELSE n_nationkey || '.234.567' END AS shown FROM nation")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    k = F.col("n_nationkey")
+    media = F.when(k % 4 == 0, "KOMPAS.com").when(k % 4 == 1, F.concat(F.lit("Advertorial "), "n_name", F.lit(".CO.ID"))).when(k % 4 == 2, " viva.co.id")
+    n = F.when(k == 0, 0).otherwise(k * 1_000_000 + 234_567)
+    return _t(spark, d, "nation").select("n_nationkey", publish.media_name(media).alias("media"), publish.number_display(n).alias("shown"))
+
+
+@query("name_queries", r"""
+WITH k AS (SELECT n_name, unnest(['gula', 'kopi', 'teh', '"minyak sawit"', 'karet', 'kakao']) AS w, generate_subscripts([1, 2, 3, 4, 5, 6], 1) AS i, n_nationkey FROM nation)
+SELECT n_name, ((i - 1) // 4)::INTEGER AS chunk, '"' || n_name || '" (' || string_agg(CASE WHEN w LIKE '"%' THEN w ELSE '"' || w || '"' END, ' OR ' ORDER BY i) || ')' AS expression
+FROM k WHERE i <= n_nationkey % 7 GROUP BY 1, 2
+""")
+def _(spark, d):
+    from pressmill.operators import publish
+
+    words = F.array(*map(F.lit, ("gula", "kopi", "teh", '"minyak sawit"', "karet", "kakao")))
+    officials = _t(spark, d, "nation").select("n_name", F.slice(words, F.lit(1), F.col("n_nationkey") % 7).alias("words"))
+    return publish.name_queries(officials, "n_name", "words")
