@@ -813,3 +813,13 @@ def _(spark, d):
     words = F.array(*map(F.lit, ("gula", "kopi", "teh", '"minyak sawit"', "karet", "kakao")))
     officials = _t(spark, d, "nation").select("n_name", F.slice(words, F.lit(1), F.col("n_nationkey") % 7).alias("words"))
     return publish.name_queries(officials, "n_name", "words")
+
+
+@query("screening")
+def _(spark, d):
+    """The whole screening with its overrides, over documents as articles."""
+    from pressmill.operators import screen
+
+    keyword = F.element_at(F.array(*map(F.lit, ("pome", "fame", "gula", "kopi"))), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
+    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"), "text", F.concat(F.lit("https://m.id/a/"), "doc_id").alias("url"), "source", keyword.alias("keyword"))
+    return screen.screen(docs).select("doc_id", "discard_reason")

@@ -124,3 +124,31 @@ def test_rubric_and_evergreen(spark):
     assert [r["e"] for r in df.select(recheck.evergreen(F.col("t"), F.col("b"), F.col("u")).alias("e")).collect()] == ["glossary", None, "evergreen_education"]
     labels = spark.createDataFrame([("RAGU", "Gapki bicara"), ("RAGU", "Dosen UGM menilai"), ("RAGU", "x"), ("hilir", "x")], "l string, t string")
     assert [r["r"] for r in labels.select(recheck.rubric(F.col("l"), F.col("t"), F.lit("")).alias("r")).collect()] == ["HILIR", "BUKAN_HILIR", "RAGU", "HILIR"]
+
+
+def test_screen_reasons_in_order(spark):
+    from pyspark.sql import functions as F
+
+    from pressmill.operators.screen import screen
+
+    body = "Produksi gula nasional naik dan ekspor gula tumbuh. " * 10
+    cases = [
+        ("Produksi gula naik", body, "https://m.id/a/1", "Media", "gula", None),
+        ("Produksi gula naik", body, "https://m.id/a/1", "youtube", "gula", "youtube_disabled"),
+        ("Jual mebel WA 081234567890", body, "https://m.id/a/2", "Media", "gula", "structural_noise"),
+        ("SMK Negeri 4 Sarmi", body, "https://m.id/a/3", "Media", "gula", "structural_noise"),
+        ("SMK Negeri 4 luncurkan gula cair", body, "https://m.id/a/3", "Media", "gula", None),
+        ("Penerbitan obligasi perusahaan gula", body, "https://m.id/a/4", "Media", "gula", "structural_noise"),
+        ("gula", "", "https://m.id/a/5", "Media", "gula", "placeholder_or_error_title"),
+        ("Pasar gula", "pendek", "https://m.id/a/6", "Media", "gula", "empty_or_too_short"),
+        ("Harga gula hari ini", body, "https://m.vn/a/7", "Media", "gula", "foreign_noise_domain"),
+        ("Toko minol disegel satpol pp", body, "https://m.id/a/8", "Media", "gula", "local_retail_enforcement"),
+        ("Pengawasan gula #shorts #a", body.replace("ekspor", ""), "https://m.id/a/9", "Media", "gula", "shorts_entertainment_noise"),
+        ("Anjing pome lucu sekali", body, "https://m.id/a/10", "Media", "pome", "pome_pomeranian_or_non_industrial"),
+        ("Produksi gula naik", body, "https://m.id/a/11", "Media", "sagu", "keyword_not_primary_topic"),
+        (None, None, None, None, None, "placeholder_or_error_title"),
+    ]
+    df = spark.createDataFrame([(i, *c[:5]) for i, c in enumerate(cases)], "i long, title string, text string, url string, source string, keyword string")
+    got = {r["i"]: r["discard_reason"] for r in screen(df).collect()}
+    assert {i: got[i] for i in got} == {i: c[5] for i, c in enumerate(cases)}
+    assert screen(df, accept=F.lit(True)).filter("discard_reason is not null").count() == 0
