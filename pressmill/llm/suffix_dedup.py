@@ -169,10 +169,10 @@ def _union(found: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def cover(group: list[tuple[bytes, bytes, bool]], shared: list[int], width: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
-    """For entries (suffix, bytes before it, wanted) of one key in sorted order: index and covered (start, end), relative to the anchor."""
+def cover(group: list[tuple[bytes, bytes, bool, tuple[int, int, int]]], shared: list[int], width: int) -> Iterator[tuple[int, list[tuple[int, int]]]]:
+    """For entries (suffix, bytes before it, wanted, (_f, _r, position)) of one key in sorted order: index and covered (start, end), relative to the anchor."""
     if len(group) <= 48:
-        for i, (_, left, wanted) in enumerate(group):
+        for i, (_, left, wanted, _) in enumerate(group):
             if not wanted:
                 continue
             found = []
@@ -188,14 +188,18 @@ def cover(group: list[tuple[bytes, bytes, bool]], shared: list[int], width: int)
                 yield i, _union(found)
         return
     counts: dict[bytes, int] = {}
-    strings = []
-    for suffix, left, _ in group:
+    strings: list[list[bytes]] = [[] for _ in group]
+    last = None  # the last row and its first start that is not counted yet: anchors near each other share starts
+    for i in sorted(range(len(group)), key=lambda i: group[i][3]):
+        suffix, left, _, (f, r, pos) = group[i]
         whole, n = left + suffix, len(left)
-        own = [whole[p : p + width] for p in range(max(0, len(whole) - width + 1)) if p <= n]
-        strings.append(own)
-        for s in own:
+        strings[i] = [whole[p : p + width] for p in range(max(0, len(whole) - width + 1)) if p <= n]
+        if last != (f, r):
+            last, fresh = (f, r), 0
+        for s in strings[i][max(0, fresh - (pos - n)) :]:
             counts[s] = counts.get(s, 0) + 1
-    for i, ((_, left, wanted), own) in enumerate(zip(group, strings, strict=True)):
+        fresh = max(fresh, pos - n + len(strings[i]))
+    for i, ((_, left, wanted, _), own) in enumerate(zip(group, strings, strict=True)):
         if wanted and (found := [(p - len(left), p - len(left) + width) for p, s in enumerate(own) if counts[s] > 1]):
             yield i, _union(found)
 
@@ -257,7 +261,7 @@ def _merge(runs: DataFrame, width: int, key: int, buckets: int) -> DataFrame:
         lengths: list[int] = []
 
         def close() -> None:
-            entries = [(s, p[4], p[3]) for s, p in group]
+            entries = [(s, p[4], p[3], p[:3]) for s, p in group]
             for i, spans in cover(entries, lengths, width):
                 f, r, pos, *_ = group[i][1]
                 for s, e in spans:

@@ -122,6 +122,31 @@ def test_suffix_dedup(docs, hot, monkeypatch):
     assert rows(suffix_dedup.digest(docs)) == sorted(want, key=repr)
 
 
+@pytest.mark.parametrize("hot", [4000, 2])
+def test_suffix_dedup_runs_inside_unique_text(spark, hot, tmp_path, monkeypatch):
+    """Near anchors of one row share starts, which count once: groups below 49 contexts, above 48, and hot."""
+    monkeypatch.setattr(suffix_dedup.repeats, "__defaults__", (200, 64, hot))
+    rng = random.Random(5)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    texts = [own(400) + "=" * 200 + own(400), own(400) + "-" * 80 + own(400), own(300) + "xyz" * 66 + own(300), own(300) + "*" * 300 + own(300)]
+    texts += [own(100) + "#" * 70 + own(30) + "#" * 70 + own(100) for _ in range(30)] + ["~" * 199, own(50) + "~" * 150 + own(50)]
+    texts += [own(200) + texts[0][350:650] + own(200)]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(2).write.parquet(str(tmp_path / "documents.parquet"))
+    seen = Counter(t[p : p + 200] for t in texts for p in range(len(t) - 199))
+    want = [sum(any(seen[t[q : q + 200]] > 1 for q in range(max(0, p - 199), min(p, len(t) - 200) + 1)) for p in range(len(t))) for t in texts]
+    got = suffix_dedup.digest(spark.read.parquet(str(tmp_path / "documents.parquet"))).orderBy("doc_id").collect()
+    assert [r["n_removed"] for r in got] == want and want[1] == 0 and want[0] == want[-1] == 300 and want[3] == 300
+
+
+@pytest.mark.parametrize("hot", [4000, 2])
+def test_suffix_dedup_keeps_unique_text_around_a_run(spark, hot, tmp_path, monkeypatch):
+    monkeypatch.setattr(suffix_dedup.repeats, "__defaults__", (200, 64, hot))
+    rng = random.Random(6)
+    own = lambda n: "".join(rng.choice("abcdefghijklmnop") for _ in range(n))
+    spark.createDataFrame([(1, own(400) + "=" * 200 + own(400))], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    assert [r["n_removed"] for r in suffix_dedup.digest(spark.read.parquet(str(tmp_path / "documents.parquet"))).collect()] == [0]
+
+
 def test_suffix_remove_passes_columns(clashing):
     out = suffix_dedup.remove(clashing)
     assert sorted(out.columns) == sorted(clashing.columns) and out.count() == len(ROWS)
