@@ -6,7 +6,8 @@ kinds (iban, ssn) are kept when their score reaches ``keep_score``.
 
 The patterns are possessive and anchored at the start of a run of their own characters (or at the end of the
 match before, ``\\G``), so that each is linear in the text and recursion-free, and finds the same leftmost
-non-overlapping matches as the plain form.
+non-overlapping matches as the plain form. An IBAN is as long as those of its country and takes only its head, so
+neither capital words behind it nor an unconfirmed proposal before it hide one.
 
 Edge cases: null and empty texts have no spans (n_* 0, the hash of nothing); texts of any length are read
 whole; repeated rows and null ids give one output row each; other columns pass through
@@ -21,15 +22,35 @@ from pyspark.sql import functions as F
 from pressmill.llm._common import whole_row
 
 BASE_KINDS = ("email", "ip", "card", "phone")
+#: Country code and length of an IBAN.
+IBAN_LENGTHS = {x[:2]: int(x[2:]) for x in (
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 "
+    "ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 "
+    "LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 "
+    "PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 "
+    "YE30 "
+).split()}
+
+
+def _iban() -> str:
+    """The head of an IBAN, with all of it in group 1: as long as its country's are, or up to 34 characters for a code that is not listed."""
+    rest = r"[0-9]{2}(?:\x20?[A-Z0-9])"
+    of_length = (f"(?:{'|'.join(c for c, m in IBAN_LENGTHS.items() if m == n)}){rest}{{{n - 4}}}" for n in sorted(set(IBAN_LENGTHS.values())))
+    other = f"(?!{'|'.join(IBAN_LENGTHS)})[A-Z]{{2}}{rest}{{11,30}}"
+    return rf"(?<![A-Za-z0-9])(?=((?:{'|'.join([*of_length, other])})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}"
+
+
 #: kind -> (pattern, cheap test that a text can hold a match, score before context, context words)
 PATTERNS = {
     "email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "instr({t}, '@') > 0", 0.8, "mail|contact|write|reply"),
     "ip": (r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++", "rlike({t}, '[0-9]\\\\.[0-9]')", 0.6, "ip|host|server|address|login"),
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "rlike({t}, '[0-9][ 0-9-]{{14}}')", 0.8, "card|visa|credit|payment|pay"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "instr({t}, '+') > 0", 0.6, "call|phone|tel|mobile|fax"),
-    "iban": (r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])", "rlike({t}, '[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]{{11}}')", 0.9, "iban|bank|account|transfer"),
+    "iban": (_iban(), "rlike({t}, '[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]{{11}}')", 0.9, "iban|bank|account|transfer"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "rlike({t}, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}')", 0.3, "ssn|social security|taxpayer"),
 }
+#: kind -> characters that a match takes from the text, where the proposed text (group 1) goes on beyond them.
+HEADS = {"iban": 4}
 CONTEXT_CHARS = 40
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
@@ -59,29 +80,35 @@ def _valid(kind: str, m: str) -> str:
     return "true"
 
 
-def _positions(found: str, gaps: str) -> str:
-    """Spans of matches, from the matches and the text between them."""
+def _positions(found: str, gaps: str, head: int | None = None) -> str:
+    """Spans of proposed texts, from these texts and the text between the matches (of head characters, or the whole proposed text)."""
     zero = "named_struct('p', 0, 'o', cast(array() as array<struct<s:int,e:int,m:string>>))"
     span = "named_struct('s', a.p + length(x.g), 'e', a.p + length(x.g) + length(x.m), 'm', x.m)"
-    step = f"if(x.m is null, a, named_struct('p', a.p + length(x.g) + length(x.m), 'o', array_append(a.o, {span})))"
+    step = f"if(x.m is null, a, named_struct('p', a.p + length(x.g) + {head or 'length(x.m)'}, 'o', array_append(a.o, {span})))"
     return f"aggregate(zip_with({found}, {gaps}, (m, g) -> named_struct('m', m, 'g', g)), {zero}, (a, x) -> {step}, a -> a.o)"
 
 
+def _apart(spans: str) -> str:
+    """The spans without those that start inside one kept before."""
+    return f"aggregate({spans}, cast(array() as array<struct<s:int,e:int,m:string>>), (a, x) -> if(size(a) > 0 and x.s < coalesce(try_element_at(a, -1).e, 0), a, array_append(a, x)))"
+
+
 def detect(docs: DataFrame, text: str = "text", keep_score: float = 0.5) -> DataFrame:
     """Add ``pii``: array of struct(kind, start, end, score), by kind in PATTERNS order, then start; offsets in code points, end exclusive."""
     docs = docs.drop("pii")
     df = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_t"), whole_row(docs))
     for kind, (pattern, can, _, _) in PATTERNS.items():
         none = "cast(array() as array<string>)"
-        df = df.withColumn(f"_m_{kind}", F.expr(f"if({can.format(t='_t')}, regexp_extract_all(_t, {_quote(pattern)}, 0), {none})"))
+        df = df.withColumn(f"_m_{kind}", F.expr(f"if({can.format(t='_t')}, regexp_extract_all(_t, {_quote(pattern)}, {int(kind in HEADS)}), {none})"))
     for kind, (pattern, *_) in PATTERNS.items():
         none = "cast(array() as array<struct<s:int,e:int,m:string>>)"
-        df = df.withColumn(f"_p_{kind}", F.expr(f"if(size(_m_{kind}) = 0, {none}, {_positions(f'_m_{kind}', f'split(_t, {_quote(pattern)}, -1)')})"))
+        df = df.withColumn(f"_p_{kind}", F.expr(f"if(size(_m_{kind}) = 0, {none}, {_positions(f'_m_{kind}', f'split(_t, {_quote(pattern)}, -1)', HEADS.get(kind))})"))
     parts = []
     for kind, (_, _, score, words) in PATTERNS.items():
         around = f"lower(substring(_t, greatest(1, x.s + 1 - {CONTEXT_CHARS}), x.e - x.s + {2 * CONTEXT_CHARS}))"
         scored = f"least(1.0D, {score}D + if(rlike({around}, {_quote(words)}), 0.25D, 0D) - if(rlike({around}, 'example|sample|dummy'), 0.15D, 0D))"
-        spans = f"transform(filter(_p_{kind}, x -> {_valid(kind, 'x.m')}), x -> named_struct('kind', '{kind}', 'start', x.s, 'end', x.e, 'score', {scored}))"
+        confirmed = f"filter(_p_{kind}, x -> {_valid(kind, 'x.m')})"
+        spans = f"transform({_apart(confirmed) if kind in HEADS else confirmed}, x -> named_struct('kind', '{kind}', 'start', x.s, 'end', x.e, 'score', {scored}))"
         parts.append(spans if kind in BASE_KINDS else f"filter({spans}, x -> x.score >= {keep_score}D)")
     return df.select("_row.*", F.expr(f"concat({', '.join(parts)})").alias("pii"))
 

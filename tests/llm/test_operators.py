@@ -193,6 +193,15 @@ def test_pii_mask_and_long_runs(spark, clashing):
     assert [r["n_email"] for r in pii.digest(long_).orderBy("doc_id").collect()] == [0, 0, 1]
 
 
+def test_pii_iban_beside_capitals_and_numbers(spark):
+    iban, gb = "DE89 3704 0044 0532 0130 00", "GB82 WEST 1234 5698 7654 32"
+    texts = [f"{iban} BIC COBADEFF", "DE89370400440532013000 2024", f"{gb} EUR 500", f"{iban} {gb}", f"AB12 CDEF GHIJ KLMN {iban}", f"{iban}9", "DE88 3704 0044 0532 0130 00", f"{iban}", "NO9386011117947 NOK"]
+    want = ["iban:0:27", "iban:0:22", "iban:0:27", "iban:0:27,iban:28:55", "iban:20:47", "", "", "iban:0:27", "iban:0:15"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r["spans"] for r in pii.digest(df).orderBy("doc_id").collect()] == want
+    assert pii.mask(pii.detect(df)).orderBy("doc_id").first()["text"] == "<iban> BIC COBADEFF"
+
+
 def test_mixing(docs):
     got = mixing.digest(docs).collect()
     sizes = sorted((r["doc_id"] is None, r["doc_id"] or 0, r["size"]) for r in got)
