@@ -431,6 +431,14 @@ def _(spark, d):
     return pairs.select("a", "b", F.round(dot(F.col("va"), F.col("vb")) / (F.col("na") * F.col("nb")), 6).alias("cos"))
 
 
+@query("embedding_cosine_all", "WITH q AS (SELECT vec_id AS a, embedding AS ea FROM embeddings WHERE vec_id % 20 = 0) SELECT q.a, e.vec_id AS b, round(list_cosine_similarity(q.ea::DOUBLE[], e.embedding::DOUBLE[]), 6) AS cos FROM q, embeddings e WHERE e.vec_id <> q.a")
+def _(spark, d):
+    """The same ids against the rows of every label, as C7 compares all texts."""
+    e = _t(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("v"))
+    q = e.filter(F.pmod("id", F.lit(20)) == 0)
+    return issues.cosines(q, e).filter("a <> b").select("a", "b", F.round("cos", 6).alias("cos"))
+
+
 @query("near_dup_titles")
 def _(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"))

@@ -45,3 +45,24 @@ def test_near_titles_against_brute_force(spark):
     assert {tuple(r) for r in near_title_pairs(df, "title", "pos").collect()} == want
     groups = {r["pos"]: r["group_pos"] for r in near_title_groups(df, "title", "pos").collect()}
     assert groups[0] == groups[1] == 0 and groups[3] == groups[4] == 3 and groups[6] == 6
+
+
+def test_cosines_of_every_label(spark):
+    from pressmill.operators import issues
+
+    rows = [(0, [1.0, 0.0], "x"), (1, [3.0, 4.0], "y"), (2, [0.0, 0.0], None), (3, None, "x"), (4, [1.0, None], "x"), (5, [1.0], "x"), (6, [-2.0, 0.0], None)]
+    df = spark.createDataFrame(rows, "id long, v array<float>, label string")
+    got = {(r["a"], r["b"]): r["cos"] for r in issues.cosines(df, df).collect()}
+    assert len(got) == 49 and round(got[0, 1], 12) == 0.6 and got[0, 6] == -1 and got[0, 2] == got[2, 2] == 0
+    assert all(got[0, i] is None and got[i, 0] is None for i in (3, 4, 5)) and got[5, 5] == 1
+    e = spark.read.parquet(f"{DATA}/embeddings.parquet")
+    assert queries.QUERIES["embedding_cosine_all"](spark, DATA).count() == e.filter("vec_id % 20 = 0").count() * (e.count() - 1)
+
+
+def test_blend(spark):
+    from pressmill.operators import issues
+
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("b", [3.0, 4.0]), ("c", None), ("d", [-1.0, 0.0])], "id string, v array<float>")
+    scores = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.5), ("a", "d", 0.5), ("b", "d", 0.2), ("a", "e", 0.3)], "a string, b string, score double")
+    got = {(r["a"], r["b"]): round(r["score"], 12) for r in issues.blend(scores, vectors).collect()}
+    assert got == {("a", "b"): 0.545, ("a", "c"): 0.5, ("a", "d"): 0.275, ("b", "d"): 0.2, ("a", "e"): 0.3}
