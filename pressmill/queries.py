@@ -613,7 +613,7 @@ def _(spark, d):
 
 @query("issue_match")
 def _(spark, d):
-    docs = _t(spark, d, "documents").filter("lang = 'en'").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"))
+    docs = _t(spark, d, "documents").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"))
     items = _t(spark, d, "benchmark").select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("id"), F.substring("text", 1, 80).alias("title"))
     left, right = (issues.features(x, "id", "title", F.lit(None).cast("date"), F.lit("")) for x in (docs, items))
     return issues.best_matches(issues.scored_pairs(left, right, issues.idf(left.unionByName(right)).select("token", "idf"), F.lit(True)))

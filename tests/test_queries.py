@@ -2,6 +2,7 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 from pressmill import queries
 
@@ -66,3 +67,22 @@ def test_blend(spark):
     scores = spark.createDataFrame([("a", "b", 0.5), ("a", "c", 0.5), ("a", "d", 0.5), ("b", "d", 0.2), ("a", "e", 0.3)], "a string, b string, score double")
     got = {(r["a"], r["b"]): round(r["score"], 12) for r in issues.blend(scores, vectors).collect()}
     assert got == {("a", "b"): 0.545, ("a", "c"): 0.5, ("a", "d"): 0.275, ("b", "d"): 0.2, ("a", "e"): 0.3}
+
+
+def test_issue_match_of_all_languages(spark):
+    """Every document that shares a block with an item gets its best match, against brute force."""
+    from pressmill.operators import issues
+
+    read = lambda t: spark.read.parquet(f"{DATA}/{t}.parquet")
+    docs = read("documents").selectExpr("concat('a', doc_id) as id", "substring(substring_index(coalesce(text, ''), '\n', 1), 1, 80) as title", "lang")
+    items = read("benchmark").selectExpr("concat('i', item_id) as id", "substring(text, 1, 80) as title")
+    left, right = (issues.features(x, "id", "title", F.lit(None).cast("date"), F.lit("")) for x in (docs, items))
+    weights = {r["token"]: r["idf"] for r in issues.idf(left.unionByName(right)).collect()}
+    rows = [[{**r.asDict(), "w": {t: weights[t] for t in r["toks"]}, "keys": {*r["spec"], *r["nums"], *r["acrs"], r["norm"]}} for r in x.collect()] for x in (left, right)]
+    want = {}
+    for a in rows[0]:
+        if found := [(-issues.pair_score(a, b), b["id"]) for b in rows[1] if a["keys"] & b["keys"]]:
+            want[a["id"]] = -min(found)[0]
+    got = {r["a"]: r["score"] for r in queries.QUERIES["issue_match"](spark, DATA).collect()}
+    assert got.keys() == want.keys() and all(abs(got[a] - s) < 1e-4 for a, s in want.items())
+    assert got.keys() & {r["id"] for r in docs.filter("lang <> 'en'").collect()}
