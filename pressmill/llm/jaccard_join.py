@@ -8,12 +8,13 @@ on which a linked pair agrees is among these for both. A tile is the nodes that
 same content. Nothing is lost, and a shared passage alone does not fill a tile, because a part mixes hashes
 from the whole document.
 
-Inside tiles, popcounts of the exclusive or of bitmap signatures bound the overlap from above, and the pairs
-that pass are intersected exactly as sorted arrays. First each node is tested against one hub of its tiles
-(the node with the most neighbours), and each component so found again; then every pair of a tile that is still
-in two components is.
-So a group of thousands of copies costs one test per copy, and no link between different texts is lost. A
-neighbour with many partners is salted into groups of ``HUB_PARTNERS``.
+Popcounts of the exclusive or of bitmap signatures (as wide as their size band needs) bound a pair's overlap from
+above, and the pairs that pass are intersected exactly as sorted arrays. First each node is tested against one hub
+of its tiles (the node with the most neighbours), and each component so found again; then the nodes of tiles that
+still hold several components are sifted and tiled anew by their rarest elements (see _rest), and every pair that
+can still link is tested. So a group of thousands of copies costs one test per copy, texts that are alike but
+below the threshold cost few, and no link between different texts is lost. A neighbour with many partners is
+salted into groups of ``HUB_PARTNERS``. ``percent`` is at least 50.
 
 Edge cases: null, empty and white-space texts have no shingles and link with nothing; a text of fewer words than
 a shingle has its whole word sequence as its only one; texts are read whole; repeated rows link with each
@@ -37,6 +38,7 @@ WORDS, PERCENT = 4, 85
 BITMAP_WORDS = 16
 HUB_PARTNERS = 512
 STAR_ROUNDS = 2
+SIFTS = 2
 _PART, _CONTENT, _BAND = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -84,8 +86,12 @@ def announced(h: np.ndarray, percent: int) -> np.ndarray:
 
 
 def bitmap(h: np.ndarray) -> np.ndarray:
-    bits = np.zeros(64 * BITMAP_WORDS, np.uint8)
-    bits[(mix(h) & np.uint64(64 * BITMAP_WORDS - 1)).astype(np.int64)] = 1
+    """Signature of a set: 64 * BITMAP_WORDS bits, doubled until there are two for each element."""
+    size = 64 * BITMAP_WORDS
+    while size < 2 * len(h):
+        size *= 2
+    bits = np.zeros(size, np.uint8)
+    bits[(mix(h) & np.uint64(size - 1)).astype(np.int64)] = 1
     return np.packbits(bits).view(np.int64)
 
 
@@ -103,14 +109,15 @@ def _nodes(keyed: DataFrame, words: int, percent: int) -> DataFrame:
                 nodes.append(node)
                 new = len(h) > 0 and node not in seen
                 seen.add(node)
-                bits.append(bitmap(h) if len(h) else np.zeros(BITMAP_WORDS, np.int64))
+                bits.append(bitmap(h))
                 own = announced(h, percent).view(np.int64) if new else np.zeros(0, np.int64)
                 tiles.append(own)
                 offsets.append(offsets[-1] + len(own))
             flat = pa.array(np.concatenate(tiles)) if tiles else pa.array([], pa.int64())
+            widths = pa.array(np.cumsum([0, *map(len, bits)]), pa.int32())
             yield {
                 "doc_id": batch["doc_id"], "_f": batch["_f"], "_r": batch["_r"], "n": ns, "node": nodes,
-                "bits": pa.ListArray.from_arrays(pa.array(range(0, BITMAP_WORDS * len(bits) + 1, BITMAP_WORDS), pa.int32()), pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64))),
+                "bits": pa.ListArray.from_arrays(widths, pa.array(np.concatenate(bits) if bits else np.zeros(0, np.int64))),
                 "tiles": pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat),
             }
 
@@ -118,10 +125,12 @@ def _nodes(keyed: DataFrame, words: int, percent: int) -> DataFrame:
 
 
 def _possible(percent: int) -> Column:
-    """Whether sizes (n_u, n_v) and bitmaps (b_u, b_v) allow a link.
+    """Whether sizes (n_u, n_v) and bitmaps (b_u, b_v) allow a link. Sizes that do have bitmaps of one width or the next; the wider one is folded.
 
     |u and v| <= (n_u + n_v - differing bits) / 2, and linking needs 100 |u and v| >= percent |u or v|."""
-    differing = sum((F.bit_count(F.col("b_u")[i].bitwiseXOR(F.col("b_v")[i])) for i in range(BITMAP_WORDS)), F.lit(0))
+    word = "if(size({b}) > {w}, {b}[i] | {b}[i + {w}], {b}[i])"
+    least = "least(size(b_u), size(b_v))"
+    differing = F.expr(f"aggregate(sequence(0, {least} - 1), 0, (a, i) -> a + bit_count({word.format(b='b_u', w=least)} ^ {word.format(b='b_v', w=least)}))")
     bound = (F.col("n_u") + F.col("n_v") - differing) / 2
     sizes = 100 * F.least("n_u", "n_v") >= percent * F.greatest("n_u", "n_v")
     return sizes & ((100 + percent) * bound >= percent * (F.col("n_u") + F.col("n_v")))
@@ -135,19 +144,49 @@ def _fitting(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     return pairs.join(_side(texts, "u"), "u").join(_side(texts, "v"), "v").filter(_possible(percent)).select("u", "v")
 
 
-def _rest(placed: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Every pair of a tile in two components that the bounds allow, once. The join's condition holds the bounds, so no other pair leaves it."""
-    # a tile's main component (its hub's) needs no pairs with itself: one side of a pair is outside it
-    of_tile = Window.partitionBy("tile")
-    marked = placed.withColumn("main", F.max(F.struct("near", "id", "label")).over(of_tile)["label"])
-    rows = materialise(marked.select("tile", "id", "label", (F.col("label") != F.col("main")).alias("minor")))
-
-    def side(x: str) -> DataFrame:
-        return rows.select(F.col("tile").alias(f"tile_{x}"), F.col("id").alias(x), F.col("label").alias(f"l_{x}"), F.col("minor").alias(f"m_{x}")).join(_side(texts, x), x)
+def _elements(live: DataFrame, words: int) -> DataFrame:
+    """One row per shingle h of each text t; other columns are repeated."""
 
-    once = ~F.col("m_v") | (F.col("u") < F.col("v"))
-    met = (F.col("tile_u") == F.col("tile_v")) & (F.col("l_u") != F.col("l_v")) & once
-    return side("u").filter("m_u").join(side("v"), met & _possible(percent)).select("u", "v").distinct()
+    def run(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            found = [shingles(t, words) for t in batch["t"]]
+            counts = [len(h) for h in found]
+            out = {name: np.repeat(np.array(batch[name], np.int64), counts) for name in ("id", "label", "n")}
+            yield {k: pa.array(v) for k, v in out.items()} | {"h": pa.array((np.concatenate(found) if found else np.zeros(0, np.uint64)).view(np.int64))}
+
+    return map_rows(live.select("id", "label", "n", "t"), "id long, label long, n long, h long", run)
+
+
+def _rest(placed: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """Every pair of two components that can still link, once.
+
+    An element that no other component holds cannot be common to such a pair: a node whose other elements are too
+    few to link with anything leaves, and takes its elements with it (``SIFTS`` times). What stays is tiled
+    by size band and element: the r rarest of a node's elements (r: one more than it may miss in its partner) hold
+    the first one that a linked pair shares, in the order of rareness, and from there on both must still have
+    enough elements. The bounds stand in the join's condition, so no other pair leaves it."""
+    live = placed.groupBy("id").agg(F.min("label").alias("label")).join(texts, "id")
+    own = materialise(_elements(live, words))
+    of_node = Window.partitionBy("id")
+    for turn in range(SIFTS):
+        held = own.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("c")).filter("lo <> hi").select("h", "c")
+        left = own.select("id", "label", "n", "h").join(held.hint("merge"), "h").withColumn("s", F.count("*").over(of_node)).filter(100 * F.col("s") >= percent * F.col("n"))
+        if turn == SIFTS - 1:
+            left = left.withColumn("rank", F.row_number().over(of_node.orderBy("c", "h"))).filter(F.col("rank") <= F.col("s") + 1 - F.ceil(percent * F.col("n") / 100))
+            left = left.withColumn("enough", F.col("s") - F.col("rank") + 1)
+        left = materialise(left)
+        release(own)
+        own = left
+    band = F.length(F.bin("n"))
+    small = own.select(band.alias("band"), "h", F.col("id").alias("u"), F.col("n").alias("n_u"), F.col("label").alias("l_u"), F.col("enough").alias("e_u"))
+    bands = F.sequence(F.length(F.bin(F.ceil(percent * F.col("n") / 100))), band)
+    large = own.select(F.explode(bands).alias("band"), "h", F.col("id").alias("v"), F.col("n").alias("n_v"), F.col("label").alias("l_v"), F.col("enough").alias("e_v"))
+    apart = (F.col("l_u") != F.col("l_v")) & (F.struct("n_u", "u") < F.struct("n_v", "v"))
+    can = ((100 + percent) * F.least("e_u", "e_v") >= percent * (F.col("n_u") + F.col("n_v"))) & (100 * F.col("n_u") >= percent * F.col("n_v"))
+    met = small.alias("a").join(large.hint("merge").alias("b"), (F.col("a.band") == F.col("b.band")) & (F.col("a.h") == F.col("b.h")) & apart & can)
+    pairs = materialise(met.select("u", "v").distinct())
+    release(own)
+    return pairs
 
 
 def _linked(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
@@ -235,9 +274,11 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
             pairs = offers.groupBy("label").agg(F.max_by(F.struct("u", "v"), F.struct("c", "u", "v")).alias("p")).select("p.u", "p.v")
             pairs = materialise(_fitting(pairs, texts, percent))
         else:
-            pairs = materialise(_rest(placed, texts, percent))
-        if pairs.limit(1).count():
-            links = links.unionByName(_linked(pairs, texts, words, percent))
+            found = _rest(placed, texts, words, percent)
+            pairs = materialise(_fitting(found, texts, percent))
+            release(found)
+        if pairs.limit(1).count() and not (new := _linked(pairs, texts, words, percent)).isEmpty():
+            links = links.unionByName(new)
             labels = components(links)
         release(pairs)
     release(texts, spread)
