@@ -2,12 +2,14 @@
 
 Regular expressions propose spans, checksums (Luhn, mod-97) and digit counts confirm them, and context words
 near a span move its score. Base kinds (email, ip, card, phone) are always kept once confirmed; the further
-kinds (iban, ssn) are kept when their score reaches ``keep_score``.
+kinds (iban, ssn, secret) are kept when their score reaches ``keep_score``.
 
 The patterns are possessive and anchored at the start of a run of their own characters (or at the end of the
 match before, ``\\G``), so that each is linear in the text and recursion-free, and finds the same leftmost
 non-overlapping matches as the plain form. An IBAN is as long as those of its country and takes only its head, so
-neither capital words behind it nor an unconfirmed proposal before it hide one.
+neither capital words behind it nor an unconfirmed proposal before it hide one. Positions are running sums, made in
+blocks of ``BLOCK`` matches, and the words near a span are read from chunks of ``CHUNK`` characters, so that a text
+of megabytes with a match in every line takes seconds.
 
 Edge cases: null and empty texts have no spans (n_* 0, the hash of nothing); texts of any length are read
 whole; repeated rows and null ids give one output row each; other columns pass through
@@ -40,6 +42,17 @@ def _iban() -> str:
     return rf"(?<![A-Za-z0-9])(?=((?:{'|'.join([*of_length, other])})(?![A-Za-z0-9])))[A-Z]{{2}}[0-9]{{2}}"
 
 
+#: Names before an assigned secret.
+_SECRET_NAMES = "token|secret|passw(?:or)?d|pwd|api[_-]?key|access[_-]?key|private[_-]?key"
+
+
+def _secret() -> str:
+    """A value assigned to the name of a secret, a key of a published format, or the head of a private key."""
+    assigned = rf"(?<=(?i:{_SECRET_NAMES})[\"']?[\x20]{{0,2}}[:=][\x20]{{0,2}}[\"']?)[A-Za-z0-9+/_.-]{{16,}}+={{0,2}}"
+    formats = r"AKIA[0-9A-Z]{16}|gh[opsur]_[A-Za-z0-9]{36,}+|sk-[A-Za-z0-9_-]{20,}+|xox[abprs]-[A-Za-z0-9-]{10,}+"
+    return rf"(?<![A-Za-z0-9+/_.-])(?:{assigned}|{formats}|-----BEGIN [A-Z ]{{0,20}}PRIVATE KEY-----)"
+
+
 #: kind -> (pattern, cheap test that a text can hold a match, score before context, context words)
 PATTERNS = {
     "email": (r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "instr({t}, '@') > 0", 0.8, "mail|contact|write|reply"),
@@ -47,11 +60,13 @@ PATTERNS = {
     "card": (r"[0-9](?:[\x20-]?[0-9])++", "rlike({t}, '[0-9][ 0-9-]{{14}}')", 0.8, "card|visa|credit|payment|pay"),
     "phone": (r"\+[0-9][\x20().0-9-]+[0-9]", "instr({t}, '+') > 0", 0.6, "call|phone|tel|mobile|fax"),
     "iban": (_iban(), "rlike({t}, '[A-Z]{{2}}[0-9]{{2}}[ A-Z0-9]{{11}}')", 0.9, "iban|bank|account|transfer"),
+    "secret": (_secret(), f"rlike({{t}}, '(?i:{_SECRET_NAMES})[\"\\']? ?[:=]|AKIA|gh[a-z]_|sk-|xox|PRIVATE KEY')", 0.6, "token|secret|key|password|credential"),
     "ssn": (r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])", "rlike({t}, '[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}')", 0.3, "ssn|social security|taxpayer"),
 }
 #: kind -> characters that a match takes from the text, where the proposed text (group 1) goes on beyond them.
 HEADS = {"iban": 4}
 CONTEXT_CHARS = 40
+BLOCK, CHUNK = 128, 512
 _OCTET = "0*(?:[0-9]{1,2}|1[0-9]{2}|2[0-4][0-9]|25[0-5])"
 
 
@@ -71,6 +86,8 @@ def _valid(kind: str, m: str) -> str:
         return f"(if(length({digits}) between 16 and 19, {total} % 10 = 0, false))"
     if kind == "phone":
         return f"length({digits}) between 8 and 15"
+    if kind == "secret":
+        return f"(rlike({m}, '[0-9]') and rlike({m}, '[A-Za-z]') or {m} like '%PRIVATE KEY%')"
     if kind == "iban":
         compact = f"replace({m}, ' ', '')"
         turned = f"concat(substring({compact}, 5), substring({compact}, 1, 4))"
@@ -80,32 +97,59 @@ def _valid(kind: str, m: str) -> str:
     return "true"
 
 
+_SPAN = "struct<s:int,e:int,m:string>"
+
+
+def _let(value: str, name: str, body: str) -> str:
+    return f"element_at(transform(array({value}), {name} -> {body}), 1)"
+
+
+def _fold(items: str, step: str) -> str:
+    """The spans that step (b: p, o; x: item) appends, item by item: a fold of each block, its spans appended as one."""
+    of_block = f"aggregate(slice(q, i * {BLOCK} + 1, {BLOCK}), named_struct('p', a.p, 'o', cast(array() as array<{_SPAN}>)), (b, x) -> {step})"
+    joined = _let(of_block, "r", "named_struct('p', r.p, 'o', array_append(a.o, r.o))")
+    blocks = f"if(size(q) = 0, cast(array() as array<int>), sequence(0, cast((size(q) - 1) div {BLOCK} as int)))"
+    return _let(items, "q", f"flatten(aggregate({blocks}, named_struct('p', 0, 'o', cast(array() as array<array<{_SPAN}>>)), (a, i) -> {joined}, a -> a.o))")
+
+
 def _positions(found: str, gaps: str, head: int | None = None) -> str:
     """Spans of proposed texts, from these texts and the text between the matches (of head characters, or the whole proposed text)."""
-    zero = "named_struct('p', 0, 'o', cast(array() as array<struct<s:int,e:int,m:string>>))"
-    span = "named_struct('s', a.p + length(x.g), 'e', a.p + length(x.g) + length(x.m), 'm', x.m)"
-    step = f"if(x.m is null, a, named_struct('p', a.p + length(x.g) + {head or 'length(x.m)'}, 'o', array_append(a.o, {span})))"
-    return f"aggregate(zip_with({found}, {gaps}, (m, g) -> named_struct('m', m, 'g', g)), {zero}, (a, x) -> {step}, a -> a.o)"
+    span = "named_struct('s', b.p + x.g, 'e', b.p + x.g + length(x.m), 'm', x.m)"
+    step = f"named_struct('p', b.p + x.g + {head or 'length(x.m)'}, 'o', array_append(b.o, {span}))"
+    return _fold(f"filter(zip_with({found}, {gaps}, (m, g) -> named_struct('m', m, 'g', length(g))), y -> y.m is not null)", step)
 
 
 def _apart(spans: str) -> str:
     """The spans without those that start inside one kept before."""
-    return f"aggregate({spans}, cast(array() as array<struct<s:int,e:int,m:string>>), (a, x) -> if(size(a) > 0 and x.s < coalesce(try_element_at(a, -1).e, 0), a, array_append(a, x)))"
+    return _fold(spans, "if(x.s < b.p, b, named_struct('p', x.e, 'o', array_append(b.o, x)))")
+
+
+def _chunks(text: str) -> str:
+    """Column _c: the text in chunks where it is long, else empty."""
+    return f"if(length({text}) > {8 * CHUNK}, regexp_extract_all({text}, '(?s).{{1,{CHUNK}}}', 0), cast(array() as array<string>))"
+
+
+def _piece(text: str, start: str, size: str) -> str:
+    """size characters of the text from start (0-based), read from its chunks _c where it has some."""
+    k = f"cast(({start}) div {CHUNK} as int)"
+    chunked = f"substring(array_join(slice(_c, {k} + 1, cast(({start} + {size}) div {CHUNK} as int) - {k} + 1), ''), ({start}) % {CHUNK} + 1, {size})"
+    return f"if(size(_c) = 0, substring({text}, {start} + 1, {size}), {chunked})"
 
 
 def detect(docs: DataFrame, text: str = "text", keep_score: float = 0.5) -> DataFrame:
     """Add ``pii``: array of struct(kind, start, end, score), by kind in PATTERNS order, then start; offsets in code points, end exclusive."""
     docs = docs.drop("pii")
-    df = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_t"), whole_row(docs))
+    df = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_t"), whole_row(docs)).withColumn("_c", F.expr(_chunks("_t")))
     for kind, (pattern, can, _, _) in PATTERNS.items():
         none = "cast(array() as array<string>)"
         df = df.withColumn(f"_m_{kind}", F.expr(f"if({can.format(t='_t')}, regexp_extract_all(_t, {_quote(pattern)}, {int(kind in HEADS)}), {none})"))
     for kind, (pattern, *_) in PATTERNS.items():
-        none = "cast(array() as array<struct<s:int,e:int,m:string>>)"
+        none = f"cast(array() as array<{_SPAN}>)"
         df = df.withColumn(f"_p_{kind}", F.expr(f"if(size(_m_{kind}) = 0, {none}, {_positions(f'_m_{kind}', f'split(_t, {_quote(pattern)}, -1)', HEADS.get(kind))})"))
     parts = []
     for kind, (_, _, score, words) in PATTERNS.items():
-        around = f"lower(substring(_t, greatest(1, x.s + 1 - {CONTEXT_CHARS}), x.e - x.s + {2 * CONTEXT_CHARS}))"
+        first = f"greatest(0, x.s - {CONTEXT_CHARS})"
+        around = f"lower({_piece('_t', first, f'(x.e - x.s + {2 * CONTEXT_CHARS})')})"
         scored = f"least(1.0D, {score}D + if(rlike({around}, {_quote(words)}), 0.25D, 0D) - if(rlike({around}, 'example|sample|dummy'), 0.15D, 0D))"
         confirmed = f"filter(_p_{kind}, x -> {_valid(kind, 'x.m')})"
         spans = f"transform({_apart(confirmed) if kind in HEADS else confirmed}, x -> named_struct('kind', '{kind}', 'start', x.s, 'end', x.e, 'score', {scored}))"
@@ -119,10 +163,14 @@ def joined(spans: Column) -> Column:
 
 def mask(docs: DataFrame, text: str = "text") -> DataFrame:
     """Replace each span of ``pii`` (see detect) by <kind>; spans inside an earlier one go with it."""
-    step = """aggregate(array_sort(transform(pii, x -> named_struct('s', x.start, 'e', x.end, 'k', x.kind))), named_struct('p', 0, 'o', ''),
-        (a, x) -> if(x.s < a.p, a, named_struct('p', x.e, 'o', concat(a.o, substring({t}, a.p + 1, x.s - a.p), '<', x.k, '>'))),
-        a -> concat(a.o, substring({t}, a.p + 1)))"""
-    return docs.withColumn(text, F.when(F.size("pii") > 0, F.expr(step.format(t=f"`{text}`"))).otherwise(F.col(text)))
+    kept = _apart("array_sort(transform(_pii, x -> named_struct('s', x.start, 'e', x.end, 'm', x.kind)))")
+    before = "if(i = 0, 0, element_at(_kept, i).e)"
+    pieces = f"transform(_kept, (x, i) -> concat({_piece('_t', before, f'(x.s - {before})')}, '<', x.m, '>'))"
+    last = "element_at(_kept, -1).e"
+    df = docs.select(whole_row(docs), F.col(text).alias("_t"), F.col("pii").alias("_pii"))
+    df = df.withColumn("_c", F.expr(_chunks("_t"))).withColumn("_kept", F.expr(kept))
+    masked = F.when(F.size("_kept") > 0, F.expr(f"concat(array_join({pieces}, ''), {_piece('_t', last, f'(length(_t) - {last})')})")).otherwise(F.col("_t"))
+    return df.select(*((masked if c == text else F.col(f"_row.`{c}`")).alias(c) for c in docs.columns))
 
 
 def digest(docs: DataFrame) -> DataFrame:
@@ -130,4 +178,5 @@ def digest(docs: DataFrame) -> DataFrame:
     count = lambda kind: F.size(F.filter("pii", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
     base = F.filter("pii", lambda x: x["kind"].isin(*BASE_KINDS))
     scores = F.array_join(F.transform("pii", lambda x: F.format_number(x["score"], 2)), ",").alias("scores")
-    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"), scores)
+    others = [count(kind) for kind in PATTERNS if kind not in BASE_KINDS]
+    return found.select("doc_id", *map(count, BASE_KINDS), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"), scores, *others, F.size("pii").cast("long").alias("n_spans"))
