@@ -11,13 +11,14 @@ which positions start again at 0), and for each segment doc_ids, doc_nos (number
 and doc_offsets (where in the document's ids the segment starts), so documents can be put together again.
 
 Edge cases: null and empty texts have no tokens and no segment; very long texts take as many rows as they
-need; repeated rows and null ids are packed as any other; an empty table gives no rows; other columns are
+need, and white space of any length keeps the ids of the published pattern; repeated rows and null ids are packed as any other; an empty table gives no rows; other columns are
 ignored. The tokenizer's file is a parameter; it is read on the driver and sent to the tasks (a few MB).
 """
 
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -95,6 +96,29 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
+#: Runs of the pattern's \s (Unicode white space) that are too long for its look-ahead, which keeps a state for each character.
+_WIDE = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{256,}")
+
+
+class Coder:
+    """Token ids of texts: those of PATTERN, whatever the length of their white space."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        import tiktoken
+
+        self._split = tiktoken.Encoding("packed", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._whole = tiktoken.Encoding("whole", pat_str="(?s:.+)", mergeable_ranks=ranks, special_tokens={})
+
+    def encode(self, text: str) -> list[int]:
+        ids, at = [], 0
+        for run in _WIDE.finditer(text):
+            end = run.end() - (run.end() < len(text))  # before a word the pattern leaves the last character to it
+            ids += self._split.encode_ordinary(text[at : run.start()])
+            ids += self._whole.encode_ordinary(text[run.start() : end])
+            at = end
+        return ids + self._split.encode_ordinary(text[at:])
+
+
 def pack(docs: DataFrame, tokenizer: str = TOKENIZER, row_tokens: int = ROW_TOKENS, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     ranks = docs.sparkSession.sparkContext.broadcast(load_ranks(tokenizer))
     end = len(ranks.value)
@@ -116,15 +140,13 @@ def pack(docs: DataFrame, tokenizer: str = TOKENIZER, row_tokens: int = ROW_TOKE
         return out
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
-        import tiktoken
-
-        coder = tiktoken.Encoding("packed", pat_str=PATTERN, mergeable_ranks=ranks.value, special_tokens={})
+        coder = Coder(ranks.value)
         block, held, n = TaskContext.get().partitionId() << 32, [], 0
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"], strict=True):
                 if not text:
                     continue
-                ids = np.array([*coder.encode_ordinary(text), end], width)
+                ids = np.array([*coder.encode(text), end], width)
                 held.append((doc_id, ids))
                 n += len(ids)
                 if n >= block_tokens:
