@@ -378,3 +378,42 @@ def test_pipeline(spark):
     assert set(docs.columns) < set(out.columns) and 0 < out.count()
     assert decontamination.digest(out, bench).filter("contaminated").count() == 0
     assert quality.digest(out).filter("not kept and n_words >= 50").count() == 0
+
+
+def paths(tapes, tokens, start):
+    """Every path of the tapes in lockstep, enumerated: (factors of each token) and whether it ends well."""
+    states = [([], [s for s in start])]
+    for token in tokens:
+        after = []
+        for factors, at in states:
+            partial = [(token, 1.0, [])]
+            for tape, state in zip(tapes, at, strict=True):
+                partial = [(z, f * g, [*done, to]) for y, f, done in partial for z, g, to in tape.step(state, y)]
+            after += [([*factors, f], done) for _, f, done in partial]
+        states = after
+    return [factors for factors, at in states if all(tape.final(s) for tape, s in zip(tapes, at, strict=True))]
+
+
+def test_composition_is_the_best_of_all_paths():
+    class Tape:
+        def __init__(self, t):
+            self.step, self.final = lambda state, x: t.arcs[state, x], t.final
+
+    tapes = [Tape(t) for t in (toxicity.negation(), toxicity.reported_speech(), toxicity.target(), toxicity.threat(), toxicity.insult())]
+    words = {"w": "tree", "T": "you", "N": "not", "R": "said", "H": "hurt", "I": "idiot"}
+    g, rng = toxicity.Grammar({"idiot$": 1.7}), random.Random(4)
+    for _ in range(300):
+        letters = [rng.choice("wwTNRHII") for _ in range(rng.randint(0, 9))]
+        quoted = rng.random() < 0.3
+        found = paths(tapes, letters, [0, quoted, (0, 0), 0, 0])
+        want = max(sum(f * (1.7 if x == "I" else 1.0) for f, x in zip(factors, letters, strict=True)) for factors in found)
+        assert abs(g.clause([words[x] for x in letters], quoted)[0] - want) < 1e-9
+
+
+def test_toxicity_of_one_class_ties_and_repeats(spark, clashing):
+    labels = spark.createDataFrame([(i, 1, 1) for i in range(60)], "doc_id long, quality int, toxic int")
+    assert toxicity.digest(clashing, labels).filter("score = 0 and predicted = 0").count() == len(ROWS)
+    both = labels.unionByName(spark.createDataFrame([(i, 1, 0) for i in range(30, 90)], "doc_id long, quality int, toxic int"))
+    got = toxicity.digest(clashing, both).join(clashing.select("doc_id", "text"), "doc_id").groupBy("text").agg(F.countDistinct("score").alias("n"))
+    assert got.filter("n > 1").count() == 0
+    assert rows(toxicity.digest(clashing, both)) == rows(toxicity.digest(clashing, both))
