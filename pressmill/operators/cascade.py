@@ -74,47 +74,6 @@ def histogram(df: DataFrame) -> DataFrame:
     return df.filter("discard_reason is not null").groupBy(F.coalesce(F.nullif("discard_reason", F.lit("")), F.lit("other")).alias("reason")).agg(F.count("*").alias("n"))
 
 
-# Fixed values of the news rules.
-INDUSTRY = ("industri", "ekspor", "impor", "produksi", "pabrik", "kemenperin", "kementerian", "perdagangan", "komoditas", "investasi", "harga", "ton", "kuintal", "petani", "perkebunan", "swasembada", "giling", "rendemen", "tebu")
-RECIPES = ("resep", "bahan-bahan", "cara membuat", "cara memasak", "sendok teh", "sendok makan", "bumbu halus", "adonan", "kukus", "panggang", "tumis", "tips membuat", "cara seduh", "tips memasak")
-PROMOTIONS = ("syarat dan ketentuan", "syarat & ketentuan", "periode promo", "dapatkan", "diskon", "supermarket", "minimal pembelian", "minimum transaksi", "cashback", "voucher", "katalog promo", "harga promo", "promo bca", "promo", "katalog", "brosur", "promo mingguan", "promo ssr", "promo jsm")
-ENGAGEMENT = (r"\bshare\s+di\s+kolom\s+komentar\b", r"\btulis\s+di\s+kolom\s+komentar\b", r"\btulis\s+komentar(mu| kalian| sobat)?\b", r"\bkomen\s+di\s+bawah\b", r"\bkomentar\s+di\s+bawah\b", r"\btinggalkan\s+komentar\b", r"\bmenurut\s+(kamu|mu|kalian|sobat)\b", r"\bshare\s+pendapat(mu| kalian| sobat)?\b", r"\byuk\s+share\b", r"\bshare.*yuk\b", r"\bjangan\s+lupa\s+(like|subscribe)\b")
-WILDLIFE = ("gajah", "orangutan", "buaya", "harimau", "babi hutan", "satwa liar", "konflik satwa", "serangan buaya")
-COMMODITY_CRIME = ("maling tbs", "curi tbs", "pencurian tbs", "maling sawit", "curi sawit", "pencurian sawit", "pencurian buah sawit", "maling kelapa", "curi kelapa", "penemuan mayat di kebun", "ditemukan tewas di kebun", "mayat di kebun sawit", "pembunuhan di kebun sawit")
-SEIZURE = ("diamankan", "disita", "digagalkan", "tangkap", "sita", "pemusnahan", "musnahkan", "razia")
-MACRO_POLICY = ("aturan", "regulasi", "kebijakan", "ekonomi", "target ekonomi", "iht", "cukai hasil tembakau", "kemenkes", "dampak", "evaluasi", "kontraksi", "perisa")
-RETAIL_PRICES = ("harga eceran", "pasar murah", "gerakan pangan murah", "pasar lelang", "sembako murah", "harga cabai", "harga bawang", "harga telur", "harga beras di pasar", "harga kelapa bulat", "harga santan di pasar", "disbun tetapkan harga")
-CRAFTS = ("kriya keramik", "kerajinan tangan", "ide kreatif kerajinan", "kerajinan tempurung", "kriya")
-POLITICS = ("hpe emas", "harga patokan ekspor emas", "perombakan kabinet merah putih", "bahlil jadi menko hilirisasi", "perusahaan sawit ditutup sementara")
-INCIDENTS = ("meninggal dunia", "ditemukan tewas", "tewas", "mayat", "pembunuhan", "diserang beruang", "diterkam buaya", "diserang buaya", "kebakaran lahan", "pemadaman", "laka lantas", "kecelakaan maut", "kecelakaan fatal", "tabrakan beruntun", "tabrakan", "orang hilang", "serangan jantung", "bakar lahan", "membakar lahan", "karhutla", "diterkam", "meninggal", "gantung diri", "bunuh diri", "densus 88", "terduga teroris", "teroris", "giro kosong", "bilyet giro kosong")
-CELEBRITIES = ("ji chang-wook", "aktor korea", "artis korea", "drakor", "k-pop", "konser", "lirik lagu", "chord gitar", "kunci gitar", "makna lagu", "viral tiktok", "ig nobel", "minidrama", "mini drama", "sinetron", "film pendek", "trailer", "teaser", "webseries", "betrand peto", "karaoke betrand", "ruben onsu", "sarwendah")
-JOBS = ("lowongan", "loker", "dibutuhkan", "we are hiring", "open recruitment", "job vacancy", "buka lowongan", "pelamar kerja", "drafter", "quality control", "workshop furniture", "marketing furniture", "staff admin", "graphic design")
-TOURISM = ("kampung coklat blitar", "library cafe", "kedai teh", "kedai kopi bah sipit", "catra kopi batang", "ketika kopi dan seni bertemu", "festival nyusu bareng", "kampung susu brau", "ekowisata berbasis masyarakat", "harga tiket masuk", "oleh-oleh cokelat")
-VIRAL = ("viral di medsos", "viral di media sosial", "video viral", "heboh di medsos", "viral tiktok")
-
-#: The news cascade over title, url, text, source; in the order in which reasons are observable.
-NEWS = (
-    Rule("farmgate_tbs_or_retail_price", "regex", "title", (r"(harga tbs|tbs sawit)(?=.*)", "|".join(RETAIL_PRICES))),
-    Rule("crime_wildlife_or_pure_seizure", "contains", "title", WILDLIFE + COMMODITY_CRIME),
-    Rule("crime_wildlife_or_pure_seizure", "expr", values=(f"lower(title) like '%rokok ilegal%' and lower(title) rlike '{escaped(SEIZURE)}' and not lower(title) rlike '{escaped(MACRO_POLICY)}'",)),
-    Rule("non_agro_or_general_politics", "contains", "title", CRAFTS, unless=("kemenperin", "menperin", "kementerian perindustrian")),
-    Rule("non_agro_or_general_politics", "contains", "title", POLITICS),
-    Rule("placeholder_or_error_title", "shorter", "title", ("5",)),
-    Rule("viral_social_media_drama", "contains", "title", VIRAL, unless=INDUSTRY),
-    Rule("pdf_blocked", "regex", "url", (r"\.pdf", "/pdf/", "/unduh/", "/download/")),
-    Rule("pdf_blocked", "regex", "title", (r"\.pdf$", r"\[pdf\]", r"\(pdf\)")),
-    Rule("empty_or_too_short", "shorter", "text", ("300",)),
-    Rule("foreign_noise_domain", "host", "url", ("vn",)),
-    Rule("job_posting", "regex", "url", ("/lowongan", "/jobs?/", "/career", "/karir", "/loker")),
-    Rule("job_posting", "contains", "title", JOBS),
-    Rule("crime_or_accident", "contains", "title", INCIDENTS),
-    Rule("celebrity_entertainment", "contains", "title", CELEBRITIES),
-    Rule("recipe", "expr", values=(f"lower(concat(title, ' ', substring(text, 1, 1500))) rlike '{escaped(RECIPES)}'",)),
-    Rule("promotional", "expr", values=(f"lower(concat(title, ' ', substring(text, 1, 300))) rlike '{escaped(PROMOTIONS)}'",)),
-    Rule("lifestyle_tourism_noise", "contains", "title", TOURISM),
-    Rule("social_media_engagement_noise", "regex", "title", ENGAGEMENT),
-)
-
 #: A cascade for any language's documents, by the same compiler: over title, url, text, source.
 NEUTRAL = (
     Rule("title_too_short", "shorter", "title", ("5",)),

@@ -1,84 +1,69 @@
-"""Keyword contexts: whether a keyword means the commodity, not a place, idiom, colour, name or brand; as data.
-
-A context rejects a text (reason) when a phrase of ``title_veto`` is in the title, when a phrase of ``idioms`` is in
-the text without one of ``strong`` (default: ``industry``), or, where ``required``, when no industry term occurs."""
+"""Keyword contexts: whether a keyword means the commodity, not a place, idiom, colour, name or brand; as Tests (see predicates)."""
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.functions.text import count_words, has_word
-from pressmill.functions.url import folded
-
-
-@dataclass(frozen=True)
-class Context:
-    reason: str
-    keywords: tuple[str, ...]
-    industry: tuple[str, ...] = ()
-    idioms: tuple[str, ...] = ()
-    title_veto: tuple[str, ...] = ()
-    text_veto: tuple[str, ...] = ()
-    strong: tuple[str, ...] = ()
-    required: bool = False
-
-    def rejects(self, title: Column, text: Column) -> Column:
-        low_title, both = F.lower(F.coalesce(title, F.lit(""))), F.lower(F.concat_ws(" ", title, text))
-        tests = []
-        if self.title_veto:
-            tests.append(low_title.rlike(folded(self.title_veto)))
-        if self.text_veto:
-            tests.append(both.rlike(folded(self.text_veto)))
-        if self.idioms:
-            tests.append(both.rlike(folded(self.idioms)) & ~has_word(both, self.strong or self.industry))
-        if self.required:
-            tests.append(~has_word(both, self.industry))
-        out = tests[0]
-        for t in tests[1:]:
-            out = out | t
-        return out
-
-
-# Fixed values, in the order in which reasons are observable.
-CONTEXTS = (
-    Context("pome_pomeranian_or_non_industrial", ("pome",), ("limbah", "sawit", "pabrik", "pengolahan", "cpo", "biogas", "ebt", "palm oil mill effluent", "palmco", "sludge", "bioetanol", "energi bersih", "energi terbarukan", "emisi karbon", "kek sei mangkei"), required=True, text_veto=("pomeranian", "anjing", "puppy", "cutedog")),
-    Context("fame_non_industrial", ("fame",), ("fatty acid", "methyl ester", "metil ester", "biodiesel", "oleokimia", "sawit", "minyak sawit", "b35", "b40", "b50", "bioenergi", "ebt", "bahan bakar nabati", "bbn", "cpo", "solar"), required=True, text_veto=("hall of fame", "walk of fame", "the fame", "fame and fortune", "fame got", "rise to fame", "claim to fame", "star", "celebrity", "hollywood", "actress", "actor", "barbie", "movie", "song", "album")),
-    Context("kertas_kerja_or_idiom", ("kertas",), ("pabrik kertas", "industri kertas", "bahan baku kertas", "produksi kertas", "produsen kertas", "ekspor kertas", "impor kertas", "kertas bekas", "limbah kertas", "daur ulang kertas", "pulp", "kertas kemasan", "kertas karton", "tjiwi kimia", "indah kiat"), required=True, title_veto=("kertas kerja", "di atas kertas", "uang kertas", "tiket kertas", "wayang kertas", "ujian kertas", "kertas ujian", "ujian berbasis komputer atau kertas", "era kertas", "menandatangani kertas", "selembar kertas", "kantong kertas", "kertas suara", "kertas kado", "pesawat kertas", "antara kertas dan realita")),
-    Context("kelapa_location_or_spam", ("kelapa",), ("pohon kelapa", "minyak kelapa", "kelapa parut", "kopra", "sabut kelapa", "perkebunan kelapa", "petani kelapa", "olahan kelapa", "batok kelapa", "air kelapa", "hilirisasi kelapa", "kelapa kopyor", "tunas kelapa", "daging kelapa", "ekspor kelapa", "industri kelapa", "produksi kelapa"), idioms=("kelapa gading", "talang kelapa", "tanjung kelapa", "pulau kelapa", "kelapa dua", "kelapa lima"), text_veto=("bet tunas kelapa", "situs resmi indonesia")),
-    Context("karet_idiom_or_marine", ("karet",), ("kebun karet", "perkebunan karet", "petani karet", "harga karet", "ekspor karet", "industri karet", "sadap karet", "getah karet", "lateks", "apkarindo", "gabungan perusahaan karet", "produksi karet", "tanaman karet", "pohon karet", "kayu karet", "hilirisasi"), idioms=("jam karet", "perahu karet", "ban karet", "gelang karet", "celana karet", "tali karet", "permainan karet", "lompat tali", "stasiun karet"), strong=("hilirisasi", "apkarindo", "harga karet", "ekspor karet", "industri karet", "pabrik karet")),
-    Context("kakao_entertainment", ("kakao",), ("kebun kakao", "perkebunan kakao", "petani kakao", "biji kakao", "olahan kakao", "harga kakao", "produksi kakao", "ekspor kakao", "industri kakao", "pohon kakao", "cokelat"), idioms=("kakao entertainment", "kakao page", "kakaotalk", "kakao corp", "the boyz", "label 78")),
-    Context("cokelat_color_or_envelope", ("cokelat",), ("biji cokelat", "kebun cokelat", "petani cokelat", "perkebunan cokelat", "olahan cokelat", "produk cokelat", "batang cokelat", "pabrik cokelat", "industri cokelat", "bubuk cokelat", "ekspor cokelat", "harga cokelat", "kakao", "kudapan cokelat", "kue cokelat", "manisan cokelat", "bikin cokelat", "makan cokelat", "cokelat batang", "cokelat batangan"), idioms=("amplop cokelat", "warna cokelat", "baju cokelat", "seragam cokelat", "celana cokelat", "sepatu cokelat", "kulit cokelat", "mata cokelat", "rambut cokelat", "beras cokelat", "gula cokelat"), title_veto=("amplop cokelat", "baju cokelat", "seragam cokelat", "celana cokelat")),
-    Context("pulp_fiction_or_pop_culture", ("pulp",), ("pabrik pulp", "industri pulp", "bubur kertas", "kayu pulp", "produksi pulp", "ekspor pulp", "impor pulp", "toba pulp", "serat kayu", "hutan tanaman industri", "hti"), idioms=("pulp fiction",)),
-    Context("tar_not_tobacco", ("tar",), ("rokok", "tembakau", "sigaret", "nikotin", "asap rokok", "kretek", "kadar tar", "kandungan tar", "senyawa tar", "vape"), required=True),
-    Context("teh_sundanese_honorific", ("teh",), ("kebun teh", "perkebunan teh", "petani teh", "daun teh", "pabrik teh", "industri teh", "produksi teh", "ekspor teh", "harga teh", "pucuk teh", "minuman teh", "teh kemasan", "teh hitam", "teh hijau", "teh wangi"), title_veto=("teh cely", "teh rina", "teh nia", "teh melly", "teh nita", "teh novi", "tulus", "cover", "singing battle", "dj teh", "remix", "chord", "kunci gitar", "ami awards", "lagu", "music video", "official lyric", "song", "lirik lagu", "makna lagu", "lagu pop", "single baru")),
-    Context("susu_idiom_or_dental", ("susu",), title_veto=("gigi susu", "warna kopi susu", "berwarna kopi susu", "gigi berlubang", "rekomendasi susu oat"), text_veto=("susu kecoa", "susu kecoak")),
-    Context("kopi_lifestyle_or_parenting", ("kopi",), title_veto=("kena skors", "etiket makan", "perkembangan anak", "pola asuh", "tumbuh kembang", "asam lambung", "rekomendasi susu oat", "aeropress", "french press", "#cari_aman")),
-    Context("sawit_location_duren_sawit", ("sawit", "minyak sawit"), ("kelapa sawit", "minyak sawit", "perkebunan sawit", "kebun sawit", "cpo", "tbs", "tandan buah segar", "petani sawit", "industri sawit", "pabrik sawit", "ekspor sawit", "hilirisasi sawit", "bpdpks", "gapki", "sawit rakyat"), idioms=("duren sawit",)),
-)
-
-
-def context_reason(title: Column, text: Column, keyword: Column) -> Column:
-    """The first context of the keyword that rejects, else null. Only the keyword's own regular expressions run."""
-    k = F.lower(F.trim(keyword))
-    out = None
-    for c in CONTEXTS:
-        test = k.isin(*c.keywords) & F.coalesce(_honorific(c, title, text), F.lit(False))
-        out = F.when(test, c.reason) if out is None else out.when(test, c.reason)
-    return out
-
-
-def _honorific(c: Context, title: Column, text: Column) -> Column:
-    rejects = c.rejects(title, text)
-    if c.keywords == ("teh",):  # 'Teh' before a capitalised name
-        return rejects | (title.rlike(r"\bTeh\s+[A-Z][a-z]+") & ~has_word(F.concat_ws(" ", title, text), c.industry))
-    if c.keywords == ("karet",):  # nothing but idioms
-        both = F.concat_ws(" ", title, text)
-        bare = ~has_word(both, c.industry) & (count_words(both, ["karet"]) > 0) & (count_words(both, ["karet"]) <= count_words(both, c.idioms))
-        return rejects | bare | (~has_word(both, c.industry) & F.lower(title).rlike("kapal|km |tenggelam|perahu"))
-    return rejects
+from pressmill.operators import values as v
+from pressmill.operators.predicates import SPARK, Test, any_of, cascade, find, has, sql, word, words
+
+# Fixed values that stand in one context each.
+KARET_STRONG = ("hilirisasi", "apkarindo", "harga karet", "ekspor karet", "industri karet", "pabrik karet")
+KARET_SEA = ("jam karet", "kapal", "km ", "tenggelam", "perahu")
+KELAPA_SPAM = ("bet tunas kelapa", "situs resmi indonesia")
+COKELAT_TITLES = ("amplop cokelat", "baju cokelat", "seragam cokelat", "celana cokelat")
+SUSU_TEXTS = ("susu kecoa", "susu kecoak")
+SUSU_TITLES = ("gigi susu", "gigi berlubang", "rekomendasi susu oat")
+KOPI_CHILDREN = ("perkembangan anak", "pola asuh")
+
+
+def pome(both: str = "_c") -> Test:
+    return word(both, v.POME_REJECT_WORDS) | ~has(both, v.POME_INDUSTRY_WORDS)
+
+
+def fame(both: str = "_c") -> Test:
+    return has(both, v.FAME_EXCLUDE_PHRASES) | ~word(both, v.FAME_INDUSTRY_TERMS)
+
+
+def mills(k: str = "_k") -> list[tuple[str, Test]]:
+    """The contexts that no override lifts."""
+    return [("pome_pomeranian_or_non_industrial", sql(f"{k} = 'pome'") & pome()), ("fame_non_industrial", sql(f"{k} = 'fame'") & fame())]
+
+
+def contexts(t: str = "_t", both: str = "_c", raw: str = "_raw", k: str = "_k") -> list[tuple[str, Test]]:
+    """(reason, test that the keyword means something else), in the order in which reasons are observable."""
+    karet = word(both, v.KARET_INDUSTRY_TERMS)
+    mentions, idioms = words(both, ("karet",)), sum_of(both, v.KARET_EXCLUDE_PHRASES)
+    tests = [
+        ("kertas_kerja_or_idiom", ("kertas",), has(t, v.KERTAS_EXCLUDE_PHRASES) | ~word(both, v.KERTAS_INDUSTRY_TERMS)),
+        ("kelapa_location_or_spam", ("kelapa",), has(both, KELAPA_SPAM) | (has(both, v.KELAPA_EXCLUDE_PHRASES) & ~word(both, v.KELAPA_INDUSTRY_TERMS))),
+        ("karet_idiom_or_marine", ("karet",), (has(both, v.KARET_EXCLUDE_PHRASES) & ~word(both, KARET_STRONG)) | (~karet & (has(t, KARET_SEA) | ((mentions > 0) & (mentions <= idioms))))),
+        ("kakao_entertainment", ("kakao",), has(both, v.KAKAO_EXCLUDE_PHRASES) & ~word(both, v.KAKAO_INDUSTRY_TERMS)),
+        ("cokelat_color_or_envelope", ("cokelat",), has(t, COKELAT_TITLES) | (has(both, v.COKELAT_EXCLUDE_PHRASES) & ~word(both, v.COKELAT_INDUSTRY_TERMS))),
+        ("pulp_fiction_or_pop_culture", ("pulp",), has(both, v.PULP_EXCLUDE_PHRASES) & ~word(both, v.PULP_INDUSTRY_TERMS)),
+        ("tar_not_tobacco", ("tar",), ~word(both, v.TAR_INDUSTRY_TERMS)),
+        ("teh_sundanese_honorific", ("teh",), has(t, v.TEH_EXCLUDE_TITLE_PHRASES) | (find(raw, (r"\bTeh\s+[A-Z][a-z]+",)) & ~word(both, v.TEH_INDUSTRY_TERMS))),
+        ("susu_idiom_or_dental", ("susu",), any_of(has(t, v.SUSU_EXCLUDE_PHRASES), has(both, SUSU_TEXTS), has(t, SUSU_TITLES))),
+        ("kopi_lifestyle_or_parenting", ("kopi",), has(t, v.KOPI_EXCLUDE_TITLE_PHRASES) | has(t, KOPI_CHILDREN)),
+        ("sawit_location_duren_sawit", ("sawit", "minyak sawit"), has(both, v.SAWIT_EXCLUDE_PHRASES) & ~word(both, v.SAWIT_INDUSTRY_TERMS)),
+    ]
+    return [(reason, sql(f"{k} IN ({', '.join(repr(w) for w in keywords)})") & test) for reason, keywords, test in tests]
+
+
+def sum_of(field: str, phrases: tuple[str, ...]):
+    """Occurrences of each phrase, summed."""
+    total = words(field, phrases[:1])
+    for p in phrases[1:]:
+        total = total + words(field, (p,))
+    return total
+
+
+def keyword_contexts(articles: DataFrame) -> DataFrame:
+    """articles (title, text, url, source, keyword) with context_reason, null where the keyword may mean the commodity."""
+    from pressmill.operators.screen import FIELDS, fields
+
+    return fields(articles).withColumn("context_reason", F.expr(cascade(mills() + contexts(), SPARK))).drop(*FIELDS)
 
 
 def tobacco_keywords(keywords: Column, title: Column, text: Column) -> Column:

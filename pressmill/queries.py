@@ -179,10 +179,92 @@ def _(spark, d):
     return cascade.histogram(_judged(spark, d))
 
 
-@query("news_cascade")
+#: Phrases that the test tables lack, one of which goes into each article's title and text.
+_PHRASES = (
+    "Harga TBS naik", "Disbun tetapkan harga", "Gajah liar masuk kebun", "Rokok ilegal disita", "Rokok ilegal dan kebijakan disita", "Kriya keramik", "Kriya kemenperin", "Bahlil jadi menko hilirisasi", "Video viral sapi",
+    "Video viral harga", "Buku.pdf", "[PDF] data", "Lowongan kerja", "Pencurian kabel", "Pencurian pabrik ekspor impor", "Densus 88 bergerak", "Tewas di jalan", "Kebakaran toko", "Bea cukai tangkap", "Konser musik", "Resep kue",
+    "Gula 3 gram dan 2 sdm bumbu", "Diskon besar", "Promo hadir di expo", "Voucher belanja", "BAB II", "Template surat ekspor", "Abstrak", "Library cafe baru", "Tiga buah kakao", "Toko disegel satpol pp", "Izin usaha pabrik",
+    "Moratorium izin sawit", "Miras di karaoke", "Tulis di kolom komentar", "Sapi #shorts lucu", "Sapi #shorts resmikan", "#a #b #c", "Roblox baru", "Apa itu CPO", "Kisah merek lama", "Mengenal sapi turun", "Jasa limbah cair", "hubungi kami dan minta penawaran",
+    "Kemenperin resmikan pabrik", "Menperin bicara", "Agus Gumiwang bicara", "Faisol Riza lalu Putu Juli Ardika", "Batik dan sawit", "Batik dan batik", "Kopi, kopi dan teh", "Industri agro tumbuh", "Margot Robbie minum kopi", "Imarah Islam impor gula",
+    "Gizi, diet dan kalori", "PT Gula dan PG Tebu", "Diet industri", "Le Minerale brand awards", "Peran UMKM", "BCA Sekuritas", "BCA Sekuritas catat laba", "Penerbitan obligasi pulp", "Penerbitan sukuk produksi", "Analisis teknikal saham", "WA 0859 3970 0884",
+    "Hubungi +62 812 3456 7890", "84+ Foto biskuit", "Stock photo biskuit", "Galang dana masjid", "Wujudkan masjid", "SMK Negeri 4", "SMK Negeri 4 luncurkan mobil", "Tigersnus", "Modal mendirikan pabrik", "Berita terbaru hari ini - kopi", "Untitled", "Peraturan Menteri Nomor 5",
+    "Pengadilan agama", "Gaikindo auto week", "Harga cabai", "Duren Sawit", "Kelapa Gading", "Perahu karet", "Karet jam karet", "Kertas kerja", "Pabrik kertas", "Kakao Page", "Warna cokelat", "Pulp Fiction", "Teh Rina bernyanyi", "Gigi susu", "Aeropress kopi", "Hall of fame biodiesel",
+    "Biodiesel fame", "Pomeranian limbah", "Limbah pome", "Keluhan petani sawit", "Nppbkc terbitkan", "Kawasan industri baru", "Kawasan industri halal", "Dbhcht sosialisasi", "Galangan kapal", "Gapki bicara", "Dosen UGM menilai", "Impor AS dan WHO", "Pabrik rokok", "Ditjen IKMA", "[musik] [musik]",
+)
+_KEYWORDS = ("pome", "fame", "gula", "kopi", "kertas", "kelapa", "karet", "kakao", "cokelat", "pulp", "tar", "teh", "susu", "sawit", "kopi, teh", "pejabat_presisi", "kemenperin", "")
+_URLS = ("https://m.id/a/", "https://www.kompasiana.com/a/", "https://m.vn/a/", "https://a.id/glosarium/", "https://b.id/produk/", "https://c.id/loker/", "https://ojs.id/article/view/", "https://agro.kemenperin.go.id/", "https://feedberry.com/", "https://d.id/food/read/")
+_SOURCES = ("Media", "youtube", "pdf", "Direct Crawl", "Media", "Media")
+
+
+def _articles_sql(engine: str) -> str:
+    """documents as articles of the monitored kind: title, text, url, source and keyword."""
+    from pressmill.operators.predicates import DUCKDB, quote
+
+    def pick(values, at: str) -> str:
+        shown = ", ".join(quote(x, engine) for x in values)
+        i = f"CAST(({at}) % {len(values)} + 1 AS INT)"
+        return f"list_extract([{shown}], {i})" if engine == DUCKDB else f"element_at(array({shown}), {i})"
+
+    title = _TITLE_SQL if engine == DUCKDB else "substring(substring_index(coalesce(text, ''), '\\n', 1), 1, 80)"
+    some = f"CASE WHEN doc_id % 4 = 0 THEN '' ELSE {pick(_PHRASES, 'doc_id')} END"
+    body = f"concat(coalesce(text, ''), ' ', {pick(_PHRASES, 'doc_id * 7 + 3')}, '. ', {pick(_PHRASES, 'doc_id * 13 + 5')}, ' ', {pick(_PHRASES, 'doc_id * 7 + 3')})"
+    return f"(SELECT doc_id, concat({some}, CASE WHEN doc_id % 3 = 0 THEN '' ELSE concat(' ', {title}) END) AS title, {body} AS text, CASE WHEN doc_id % 5 = 0 THEN concat({pick(_URLS, 'doc_id // 5' if engine == DUCKDB else 'doc_id div 5')}, doc_id) ELSE concat('https://m.id/a/', doc_id) END AS url, {pick(_SOURCES, 'doc_id // 3' if engine == DUCKDB else 'doc_id div 3')} AS source, {pick(_KEYWORDS, 'doc_id // 2' if engine == DUCKDB else 'doc_id div 2')} AS keyword FROM documents)"
+
+
+def _articles(spark, d) -> DataFrame:
+    from pressmill.operators.predicates import SPARK
+
+    of = _articles_sql(SPARK).removeprefix("(SELECT ").removesuffix(" FROM documents)")
+    return _t(spark, d, "documents").selectExpr(*_split_select(of))
+
+
+def _split_select(select: str) -> list[str]:
+    """The expressions of a SELECT list."""
+    parts, depth, quoted, last = [], 0, False, 0
+    for i, c in enumerate(select):
+        if c == "'" and select[i - 1] != "\\":
+            quoted = not quoted
+        elif not quoted:
+            depth += (c in "([") - (c in ")]")
+            if c == "," and depth == 0:
+                parts.append(select[last:i])
+                last = i + 1
+    return [*parts, select[last:]]
+
+
+def _flags(name: str, tests: dict[str, str]) -> None:
+    """Register a query of single tests of the screening over articles, by the names of its functions."""
+    from pressmill.operators import screen
+    from pressmill.operators.predicates import DUCKDB, SPARK
+
+    made = {column: getattr(screen, function)() for column, function in tests.items()}
+    sql = ", ".join(f"{t.show(DUCKDB)} AS {c}" for c, t in made.items())
+    given = ", ".join(f"{e} AS {n}" for n, e in screen.FIELDS.items())
+
+    @query(name, f"SELECT doc_id, {sql} FROM (SELECT doc_id, {given} FROM {_articles_sql(DUCKDB)})")
+    def _(spark, d):
+        return screen.fields(_articles(spark, d)).select("doc_id", *(F.expr(t.show(SPARK)).alias(c) for c, t in made.items()))
+
+
+_flags("title_prefilter", {"likely": "likely_relevant"})
+_flags("agro_relevance", {"relevant": "agro_relevant", "overridden": "override"})
+_flags("crime_filters", {"crime": "crime_or_accident", "noise": "crime_noise"})
+_flags("page_noise", {"structural": "structural_noise", "document": "document_noise", "recipe": "recipe", "promotional": "promotional", "job": "job_posting", "shorts": "shorts_noise"})
+_flags("keyword_topic", {"topic": "keyword_is_topic", "health": "health_topic"})
+
+
+def _screen_sql(keep: str) -> str:
+    from pressmill.operators.predicates import DUCKDB
+    from pressmill.operators.screen import screen_sql
+
+    return screen_sql(_articles_sql(DUCKDB), keep)
+
+
+@query("news_cascade", f"SELECT discard_reason AS reason, count(*) AS n FROM ({_screen_sql('doc_id')}) WHERE discard_reason IS NOT NULL GROUP BY 1")
 def _(spark, d):
-    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"), F.coalesce("text", F.lit("")).alias("text"), F.lit("https://example.id/x").alias("url"))
-    return cascade.cascade(docs, cascade.NEWS).select("doc_id", "discard_reason")
+    from pressmill.operators.screen import screen
+
+    return cascade.histogram(screen(_articles(spark, d)))
 
 
 @query("date_filter", "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'")
@@ -516,26 +598,51 @@ def _(spark, d):
 # Recheck, registry, releases -------------------------------------------------------------------------------------------
 
 
-@query("evergreen_pages")
+def _evergreen_sql() -> str:
+    from pressmill.operators import screen
+    from pressmill.operators.predicates import DUCKDB
+    from pressmill.operators.predicates import cascade as printed
+
+    given = ", ".join(f"{screen.FIELDS[n]} AS {n}" for n in ("_t", "_x", "_u"))
+    return f"SELECT doc_id, {printed(screen.evergreen(), DUCKDB)} AS kind FROM (SELECT doc_id, {given} FROM {_articles_sql(DUCKDB)})"
+
+
+@query("evergreen_pages", _evergreen_sql())
 def _(spark, d):
-    from pressmill.operators import recheck
+    from pressmill.operators import screen
+    from pressmill.operators.predicates import SPARK
+    from pressmill.operators.predicates import cascade as printed
+
+    return screen.fields(_articles(spark, d)).select("doc_id", F.expr(printed(screen.evergreen(), SPARK)).alias("kind"))
+
 
-    return _t(spark, d, "pages").select("page_id", recheck.evergreen(F.regexp_extract("html", "(?is)<title>(.*?)</title>", 1), landing.page_text(F.col("html")), F.col("url")).alias("kind"))
+def _recheck_sql() -> str:
+    from pressmill.operators.predicates import DUCKDB
+    from pressmill.operators.recheck import first_pass_sql
 
+    return first_pass_sql(_articles_sql(DUCKDB), "doc_id")
 
-@query("recheck_first_pass", f"WITH a AS (SELECT doc_id, {_TITLE_SQL} AS title FROM documents), r AS (SELECT *, CASE WHEN contains(lower(title), 'idiot') THEN 'a' WHEN contains(lower(title), ' | ') OR contains(lower(title), '%%') THEN 'b' END AS why, lower(trim(title, ' ')) AS k FROM a) SELECT doc_id, CASE WHEN why IS NULL AND row_number() OVER (PARTITION BY k, why IS NULL ORDER BY doc_id) > 1 AND k <> '' THEN 'judul_sama' ELSE why END AS recheck_reason FROM r")
+
+@query("recheck_first_pass", _recheck_sql())
 def _(spark, d):
     from pressmill.operators import recheck
 
-    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"), F.lit("").alias("body"), F.lit("").alias("url"))
-    return recheck.first_pass(docs, "title", "body", "url", "doc_id", (("a", ("idiot",)), ("b", (" | ", "%%")))).select("doc_id", "recheck_reason")
+    return recheck.first_pass(_articles(spark, d), "doc_id").select("doc_id", "recheck_reason")
+
+
+def _rubric_sql() -> str:
+    from pressmill.operators.predicates import DUCKDB
+    from pressmill.operators.predicates import cascade as printed
+    from pressmill.operators.recheck import rubric_cases
+
+    return f"SELECT doc_id, {printed(rubric_cases(), DUCKDB)} AS label FROM (SELECT doc_id, title, concat(title, ' ', left(text, 2500)) AS corpus FROM {_articles_sql(DUCKDB)})"
 
 
-@query("ragu_rubric")
+@query("ragu_rubric", _rubric_sql())
 def _(spark, d):
     from pressmill.operators import recheck
 
-    return _t(spark, d, "documents").select("doc_id", recheck.rubric(F.lit("RAGU"), _title(), F.col("text")).alias("label"))
+    return recheck.rubric(_articles(spark, d).withColumn("label", F.lit(" ragu"))).select("doc_id", F.col("rubric").alias("label"))
 
 
 @query("policy_scores", r"WITH t AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents) SELECT doc_id, len(list_filter(w, lambda x: x IN ('the', 'der')))::BIGINT AS industry, len(list_filter(w, lambda x: x IN ('idiot', 'scum')))::BIGINT AS health FROM t")
@@ -546,12 +653,21 @@ def _(spark, d):
     return _t(spark, d, "documents").select("doc_id", a.cast("long").alias("industry"), b.cast("long").alias("health"))
 
 
-@query("institution_signal")
+#: Officials with their aliases.
+_OFFICIALS = {"Agus Gumiwang": ("agus gumiwang", "agus gumiwang kartasasmita"), "Putu Juli Ardika": ("putu juli ardika", "putu juli"), "Faisol Riza": ("faisol riza",)}
+
+
+def _signal_sql() -> str:
+    from pressmill.operators.predicates import DUCKDB
+    from pressmill.operators.recheck import institution_signal_sql
+
+    return institution_signal_sql(_articles_sql(DUCKDB), "doc_id", _OFFICIALS)
+
+@query("institution_signal", _signal_sql())
 def _(spark, d):
     from pressmill.operators import recheck
 
-    s = recheck.institution_signal(_title(), F.col("text"), {"Clown": ("clown",)})
-    return _t(spark, d, "documents").select("doc_id", s.alias("s")).select("doc_id", "s.related", "s.kind", "s.detail")
+    return recheck.institution_signal(_articles(spark, d), _OFFICIALS).select("doc_id", "related", "kind", "detail")
 
 
 @query("needs_tone", "WITH i AS (SELECT o_custkey AS isu, count(*) AS member_count, count(*) FILTER (WHERE o_orderdate < TIMESTAMP '1996-01-01') AS at_eval, CASE WHEN min(o_orderstatus) = 'F' THEN 'Netral' END AS tone FROM orders GROUP BY 1) SELECT isu, tone IS NULL OR member_count - at_eval >= 3 AS judge FROM i")
@@ -627,12 +743,20 @@ def _(spark, d):
     return r.join(m, "rilis", "left").select("rilis", n.alias("member_count"), F.when(n == 0, "belum tercatat").otherwise("tercatat").alias("status"))
 
 
-@query("keyword_context")
+def _context_sql() -> str:
+    from pressmill.operators import context, screen
+    from pressmill.operators.predicates import DUCKDB
+    from pressmill.operators.predicates import cascade as printed
+
+    given = ", ".join(f"{e} AS {n}" for n, e in screen.FIELDS.items())
+    return f"SELECT doc_id, keyword, {printed(context.mills() + context.contexts(), DUCKDB)} AS reason FROM (SELECT doc_id, keyword, {given} FROM {_articles_sql(DUCKDB)})"
+
+
+@query("keyword_context", _context_sql())
 def _(spark, d):
     from pressmill.operators import context
 
-    rows = _t(spark, d, "documents").withColumn("kw", F.element_at(F.array(*(F.lit(c.keywords[0]) for c in context.CONTEXTS)), (F.pmod("doc_id", F.lit(len(context.CONTEXTS))) + 1).cast("int")))
-    return rows.select("doc_id", "kw", context.context_reason(_title(), F.coalesce("text", F.lit("")), F.col("kw")).alias("reason"))
+    return context.keyword_contexts(_articles(spark, d)).select("doc_id", "keyword", F.col("context_reason").alias("reason"))
 
 
 @query("tobacco_keywords")
@@ -823,11 +947,9 @@ def _(spark, d):
     return publish.name_queries(officials, "n_name", "words")
 
 
-@query("screening")
+@query("screening", _screen_sql("doc_id"))
 def _(spark, d):
     """The whole screening with its overrides, over documents as articles."""
     from pressmill.operators import screen
 
-    keyword = F.element_at(F.array(*map(F.lit, ("pome", "fame", "gula", "kopi"))), (F.pmod("doc_id", F.lit(4)) + 1).cast("int"))
-    docs = _t(spark, d, "documents").select("doc_id", _title().alias("title"), "text", F.concat(F.lit("https://m.id/a/"), "doc_id").alias("url"), "source", keyword.alias("keyword"))
-    return screen.screen(docs).select("doc_id", "discard_reason")
+    return screen.screen(_articles(spark, d)).select("doc_id", "discard_reason")

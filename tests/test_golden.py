@@ -110,9 +110,9 @@ def test_contexts(spark):
         ("Harga karet naik", "petani karet senang", "karet", None),
         ("Anjing pomeranian lucu", "", "pome", "pome_pomeranian_or_non_industrial"),
     ]
-    df = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "i int, t string, b string, k string, want string")
-    got = df.select("i", "want", context.context_reason(F.col("t"), F.col("b"), F.col("k")).alias("r")).collect()
-    assert [(r["i"], r["r"]) for r in got] == [(r["i"], r["want"]) for r in got]
+    df = spark.createDataFrame([(i, *c[:3], c[3]) for i, c in enumerate(cases)], "i int, title string, text string, keyword string, want string")
+    got = context.keyword_contexts(df.withColumns({"url": F.lit(""), "source": F.lit("")})).collect()
+    assert [(r["i"], r["context_reason"]) for r in got] == [(r["i"], r["want"]) for r in got]
     kw = df.limit(1).select(context.tobacco_keywords(F.lit("gula, rokok"), F.lit("Bea Cukai sita rokok ilegal"), F.lit("")).alias("k")).first()["k"]
     assert kw == "gula, djbc rokok ilegal"
 
@@ -120,10 +120,60 @@ def test_contexts(spark):
 def test_rubric_and_evergreen(spark):
     from pressmill.operators import recheck
 
-    df = spark.createDataFrame([("Apa itu CPO?", "", "https://a.id/x"), ("Kemenperin resmikan pabrik", "", "https://a.id/read/1"), ("Kisah merek lama", "", "https://a.id/x")], "t string, b string, u string")
-    assert [r["e"] for r in df.select(recheck.evergreen(F.col("t"), F.col("b"), F.col("u")).alias("e")).collect()] == ["glossary", None, "evergreen_education"]
-    labels = spark.createDataFrame([("RAGU", "Gapki bicara"), ("RAGU", "Dosen UGM menilai"), ("RAGU", "x"), ("hilir", "x")], "l string, t string")
-    assert [r["r"] for r in labels.select(recheck.rubric(F.col("l"), F.col("t"), F.lit("")).alias("r")).collect()] == ["HILIR", "BUKAN_HILIR", "RAGU", "HILIR"]
+    rows = [
+        ("Apa itu CPO?", "", "https://a.id/x", "non_news_glossary (artikel glosarium/definisi 'Apa Itu')"),
+        ("Kemenperin resmikan pabrik", "", "https://a.id/read/1", None),
+        ("Kisah merek lama", "", "https://a.id/x", "non_news_evergreen_education (artikel kisah merek/edukasi tanpa peristiwa aktual)"),
+        ("Sapi", "", "https://a.id/x.pdf", "Dokumen PDF (Bukan Berita)"),
+        ("Harga sapi naik", "", "https://feedberry.com/x", "Aggregator Bot AI / Teks Rusak (feedberry.com)"),
+        ("Harga sapi naik", "Ditjen IKMA hadir", "https://a.id/x", "Ranah Ditjen IKMA (Industri Kecil, Menengah, dan Aneka - Bukan Ditjen IA)"),
+        ("Petani keluhkan harga sawit", "", "https://a.id/x", "Keluhan Petani Non-Tembakau (Hulu Pertanian/Perkebunan)"),
+        ("Petani tembakau dan sawit mengeluh", "", "https://a.id/x", None),
+        ("Kawasan industri halal", "", "https://a.id/x", None),
+        ("Kawasan industri baru", "", "https://a.id/x", "Kebijakan Kawasan Industri Umum Non-IA (Ditjen KPAII)"),
+        ("Agenda", "", "https://a.id/x", "Judul Generik / Kosong (Artifact Web)"),
+        ("1234567", "", "https://a.id/x", "Judul Generik / Kosong (Artifact Web)"),
+        ("Peran UMKM", "", "https://a.id/x", "Headline Memuat UMKM"),
+        ("kawasan industri halal ", "", "https://a.id/x", "judul_sama"),
+    ]
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "i long, title string, text string, url string, want string").withColumns({"source": F.lit(""), "keyword": F.lit("")})
+    assert [(r["i"], r["recheck_reason"]) for r in recheck.first_pass(df, "i").orderBy("i").collect()] == [(i, r[3]) for i, r in enumerate(rows)]
+    labels = spark.createDataFrame([("RAGU", "Gapki bicara"), ("RAGU", "Dosen UGM menilai"), ("RAGU", "x"), ("hilir", "x")], "label string, title string").withColumn("text", F.lit(""))
+    assert [r["rubric"] for r in recheck.rubric(labels).collect()] == ["HILIR", "BUKAN_HILIR", "RAGU", "HILIR"]
+
+
+def test_screening_of_single_tests(spark):
+    from pressmill.operators import screen
+    from pressmill.operators.predicates import SPARK
+
+    def judge(test, title, text=""):
+        df = spark.createDataFrame([(title, text, "", "", "")], "title string, text string, url string, source string, keyword string")
+        return screen.fields(df).select(F.expr(test.show(SPARK)).alias("x")).first()["x"]
+
+    yes = {
+        "structural_noise": ["Search - WA 0859 3970 0884 [[Hatiga Furniture]]...", "Jual Mebel WA 081234567890", "900+ Foto Biskuit Pictures, Gambar dan Background untuk Unduh Gratis", "Campaign - Bantu Wujudkan Renovasi Musholla", "SMK Negeri 1 Sarmi", "Tigersnus Zero Frosty Mint", "Modal Mendirikan Pabrik AMDK", "BCA Sekuritas", "Berita Terbaru Hari Ini - Kelapa", "BAB II", "62 Penerbitan obligasi"],
+        "crime_noise": ["Densus 88 tangkap tiga terduga teroris di Sulteng", "Tabrakan Beruntun Truk Sawit", "Polsek Pangkalan Susu Giatkan Patroli Dialogis"],
+        "agro_relevant": ["Petani sawit untung", "Ditjen industri agro bicara", "Batik dan sawit"],
+        "engagement": ["Yuk share di kolom komentar!", "Gimana menurut kamu"],
+        "local_enforcement": ["Satpol PP Surabaya segel toko penjual minuman beralkohol eceran"],
+    }
+    no = {
+        "structural_noise": ["Pabrik Baru Dibuka Pukul 08.00 WIB Kemarin", "Presiden Resmikan Pabrik Biskuit", "SMK Negeri 1 Sarmi Gelar Pameran Olahan Sagu", "BCA Sekuritas catat laba", "Laba naik setelah penerbitan obligasi"],
+        "crime_noise": ["Bea Cukai Sita 1 Juta Batang Rokok Ilegal di Kudus", "OJK dan Pemkab Kolaka Utara Bangun Ekosistem Kakao", "Harga naik"],
+        "agro_relevant": ["Batik tulis", "Margot Robbie minum kopi", "Harga besi"],
+        "engagement": ["Aturan Pasokan GKM Rafinasi"],
+        "local_enforcement": ["Bea Cukai Musnahkan Rokok Ilegal dan Minuman Beralkohol", "DPRD Pasuruan Soroti Perlindungan Investasi Pabrik"],
+    }
+    for want, cases in ((True, yes), (False, no)):
+        for name, titles in cases.items():
+            for title in titles:
+                assert judge(getattr(screen, name)(), title) is want, (name, title)
+    assert judge(screen.crime_or_accident(), "Pencurian kabel") is True and judge(screen.crime_or_accident(), "Pencurian kabel", "pabrik dan ekspor") is False
+    assert judge(screen.likely_relevant(), "Diet sehat") is False and judge(screen.likely_relevant(), "Diet industri") is True
+    plain = [("Pelatihan petani TBS sawit di Riau", None), ("TBS Sawit Kaltim periode ini catat kenaikan", "farmgate_tbs_or_retail_price")]
+    body = "Produksi sawit nasional naik dan ekspor sawit tumbuh. " * 10
+    df = spark.createDataFrame([(t, body, "https://m.id/1", "Media", "sawit", w) for t, w in plain], "title string, text string, url string, source string, keyword string, want string")
+    assert [r["discard_reason"] for r in screen.screen(df).collect()] == [w for _, w in plain]
 
 
 def test_screen_reasons_in_order(spark):
