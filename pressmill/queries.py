@@ -189,7 +189,8 @@ _PHRASES = (
     "Gizi, diet dan kalori", "PT Gula dan PG Tebu", "Diet industri", "Le Minerale brand awards", "Peran UMKM", "BCA Sekuritas", "BCA Sekuritas catat laba", "Penerbitan obligasi pulp", "Penerbitan sukuk produksi", "Analisis teknikal saham", "WA 0859 3970 0884",
     "Hubungi +62 812 3456 7890", "84+ Foto biskuit", "Stock photo biskuit", "Galang dana masjid", "Wujudkan masjid", "SMK Negeri 4", "SMK Negeri 4 luncurkan mobil", "Tigersnus", "Modal mendirikan pabrik", "Berita terbaru hari ini - kopi", "Untitled", "Peraturan Menteri Nomor 5",
     "Pengadilan agama", "Gaikindo auto week", "Harga cabai", "Duren Sawit", "Kelapa Gading", "Perahu karet", "Karet jam karet", "Kertas kerja", "Pabrik kertas", "Kakao Page", "Warna cokelat", "Pulp Fiction", "Teh Rina bernyanyi", "Gigi susu", "Aeropress kopi", "Hall of fame biodiesel",
-    "Biodiesel fame", "Pomeranian limbah", "Limbah pome", "Keluhan petani sawit", "Nppbkc terbitkan", "Kawasan industri baru", "Kawasan industri halal", "Dbhcht sosialisasi", "Galangan kapal", "Gapki bicara", "Dosen UGM menilai", "Impor AS dan WHO", "Pabrik rokok", "Ditjen IKMA", "[musik] [musik]",
+    "Biodiesel fame", "Pomeranian limbah", "Limbah pome", "Keluhan petani sawit", "Nppbkc terbitkan", "Kawasan industri baru", "Kawasan industri halal", "Dbhcht sosialisasi", "Galangan kapal", "Gapki bicara", "Dosen UGM menilai", "Impor AS dan WHO", "Pabrik rokok", "Ditjen IKMA", "[musik] [musik]", "Kemenperin tidak korupsi korupsi", "Kemenperin dinilai gagal", "Zona integritas kemenperin bebas korupsi", "Menperin mengkritik importir ilegal", "Pengamat kritik kebijakan industri", "Apresiasi hilirisasi",
+    "Turut hadir perwakilan kemenperin", "Tanpa menyinggung kemenperin", "Petani minta pemerintah bantu", "Menteri pertanian bicara", "Ekspor sawit turun", "Bangkrut dan gulung tikar", "Menperin akui gagal", "Tak lagi (korupsi) di kemenperin", "Protes kebijakan tkdn",
 )
 _KEYWORDS = ("pome", "fame", "gula", "kopi", "kertas", "kelapa", "karet", "kakao", "cokelat", "pulp", "tar", "teh", "susu", "sawit", "kopi, teh", "pejabat_presisi", "kemenperin", "")
 _URLS = ("https://m.id/a/", "https://www.kompasiana.com/a/", "https://m.vn/a/", "https://a.id/glosarium/", "https://b.id/produk/", "https://c.id/loker/", "https://ojs.id/article/view/", "https://agro.kemenperin.go.id/", "https://feedberry.com/", "https://d.id/food/read/")
@@ -551,9 +552,15 @@ def _(spark, d):
     return entities.map_spokespersons(_t(spark, d, "documents"), F.col("text"), aliases).select("doc_id", "spokesperson_1", "spokesperson_2")
 
 
-@query("tone_fallback")
+def _tone_sql() -> str:
+    from pressmill.operators.predicates import DUCKDB
+
+    return tone.classify_sql(_articles_sql(DUCKDB), "doc_id", "title", "text", "keyword", "source")
+
+
+@query("tone_fallback", _tone_sql())
 def _(spark, d):
-    return tone.classify(_t(spark, d, "documents"), _title(), F.col("text"), F.col("lang")).select("doc_id", "hubungan", "arah", "tone", "keyakinan")
+    return tone.classify(_articles(spark, d), "title", "text", "keyword", "source").select("doc_id", "hubungan", "arah", "tone", "keyakinan", "dasar", "asumsi")
 
 
 # Streaming, extensions -------------------------------------------------------------------------------------------------

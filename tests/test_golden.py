@@ -65,7 +65,7 @@ TONES = [
 
 def test_tone(spark):
     df = spark.createDataFrame([(i, t, b) for i, (t, b, _) in enumerate(TONES)], "i int, t string, b string")
-    got = {r["i"]: r["tone"] for r in tone.classify(df, F.col("t"), F.col("b"), F.lit("")).collect()}
+    got = {r["i"]: r["tone"] for r in tone.classify(df, 't', 'b', "''").collect()}
     assert [got[i] for i in range(len(TONES))] == [w for *_, w in TONES]
 
 
@@ -202,3 +202,22 @@ def test_screen_reasons_in_order(spark):
     got = {r["i"]: r["discard_reason"] for r in screen(df).collect()}
     assert {i: got[i] for i in got} == {i: c[5] for i, c in enumerate(cases)}
     assert screen(df, accept=F.lit(True)).filter("discard_reason is not null").count() == 0
+
+
+def test_unnegated_against_brute_force(spark):
+    import random
+    import re
+
+    from pressmill.operators.predicates import SPARK
+
+    def negated(low, at):
+        window = " ".join(low[:at].strip().split()[-3:])
+        return any(re.search(rf"\b{re.escape(n)}\b", window) for n in tone.NEGATORS)
+
+    cues, rng = ("korupsi", "dinilai gagal", "lamban"), random.Random(3)
+    parts = ["tidak", "bebas dari", "korupsi", "dinilai gagal", "lamban", "sapi", "(korupsi)", "tak-", "belum,", "  ", "korupsinya", ". ", "\n", "bebas  dari"]
+    texts = [rng.choice(["", " "]).join([" ".join(rng.choice(parts) for _ in range(rng.randint(0, 9)))]) for _ in range(1500)] + ["tidak korupsi korupsi", "tidak a b korupsi", "tidak a b c korupsi", "tidak 'korupsi'"]
+    want = [any(not negated(t, m.start()) for c in cues for m in re.finditer(rf"\b{c}\b", t)) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, x string")
+    got = [r["y"] for r in df.select("i", F.expr(tone.unnegated("x", cues).show(SPARK)).alias("y")).orderBy("i").collect()]
+    assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
