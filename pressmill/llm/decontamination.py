@@ -6,8 +6,11 @@ word. Where it reaches a window (10 words, or a whole shorter item), the words u
 behind the window are looked up by the window itself, so counts are exact.
 
 Items are held in automata of at most ``block_words`` words (or one item) each, and only one block's automaton is
-broadcast at a time: a longer benchmark takes further passes, each of which writes the hits so far beside the
-documents before its block is destroyed. Memory does not depend on the benchmark. Documents are never shuffled.
+broadcast at a time. A benchmark of several blocks first goes into one bitmap of window hashes (``SIEVE_BITS``): a
+document none of whose windows has its bit has no hit, so the corpus itself is passed once, and only the
+documents that the bitmap suspects take the passes over the blocks, each of which writes the hits so far beside
+them before its block is destroyed. Memory does not depend on the benchmark; a fuller bitmap suspects more and
+loses nothing. Documents are never shuffled.
 
 Edge cases: null texts and texts without words have no hits; null items and items without words have no
 windows; a null item_id counts as the empty string; repeated items count once per item_id; repeated document
@@ -23,10 +26,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pressmill.llm._common import materialise, release, use_small_batches, whole_row
+from pressmill.llm._common import Rolling, materialise, release, use_small_batches, whole_row
 
 WINDOW = 10
 BLOCK_WORDS = 250_000
+SIEVE_BITS = 1 << 27
 #: remove(): a document goes when one hit span is this long, or this share of its words is hit; other hit spans are cut out.
 DROP_SPAN_WORDS = 20
 DROP_COVERAGE = 0.2
@@ -127,6 +131,35 @@ class Matcher:
 Items = list[tuple[str, list[bytes]]]
 
 
+def window_hashes(own: list[bytes], size: int) -> np.ndarray:
+    """Hashes of the windows of ``size`` words."""
+    if len(own) < size:
+        return np.zeros(0, np.uint64)
+    lengths = np.fromiter(map(len, own), np.int64, len(own))
+    ends = np.cumsum(lengths + 1) - 1
+    return Rolling(b" ".join(own)).slices((ends - lengths)[: len(own) - size + 1], ends[size - 1 :])
+
+
+class Sieve:
+    """One bit for the hash of each window of the items: may tell of a window that none has, never miss one."""
+
+    def __init__(self, bits: int) -> None:
+        self.bits, self.sizes = np.zeros(bits // 8, np.uint8), set()
+
+    def add(self, own: list[bytes]) -> None:
+        size = min(WINDOW, len(own))
+        at = window_hashes(own, size) % np.uint64(8 * len(self.bits))
+        np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
+        self.sizes.add(size)
+
+    def suspects(self, own: list[bytes]) -> bool:
+        for size in self.sizes:
+            at = window_hashes(own, size) % np.uint64(8 * len(self.bits))
+            if ((self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)).any():
+                return True
+        return False
+
+
 def blocks(benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> Iterator[Items]:
     """Items with words, in blocks of at most block_words words (or one item)."""
     items = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("i"), F.col("text").cast("binary").alias("t")).distinct()
@@ -167,7 +200,7 @@ def _find(df: DataFrame, first: Items, rest: Iterator[Items]) -> DataFrame:
     """df (t: binary) with found: hit words as packed bits, and the items they are from."""
     use_small_batches(df.sparkSession)
     context = df.sparkSession.sparkContext
-    df = df.withColumn("found", F.expr("named_struct('n_words', 0L, 'n_hit', 0L, 'hit', X'', 'items', cast(array() as array<string>))"))
+    df = df.withColumn("found", F.expr(_EMPTY.format(n="0L")))
     block, written = context.broadcast(Matcher(first)), None  # at most BLOCK_WORDS words, or one item
     for items in rest:
         before, written = written, materialise(_pass(df, block))
@@ -178,9 +211,36 @@ def _find(df: DataFrame, first: Items, rest: Iterator[Items]) -> DataFrame:
     return _pass(df, block)
 
 
+_EMPTY = "named_struct('n_words', {n}, 'n_hit', 0L, 'hit', X'', 'items', cast(array() as array<string>))"
+
+
+def _sifted(df: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """df (t: binary) as suspects, written, and the others, with n_words."""
+    sieve = Sieve(SIEVE_BITS)
+    for block in blocks(benchmark):
+        for _, own in block:
+            sieve.add(own)
+    shared = df.sparkSession.sparkContext.broadcast(sieve)  # SIEVE_BITS, whatever the benchmark
+    use_small_batches(df.sparkSession)
+
+    def look(texts: pd.Series) -> pd.DataFrame:
+        own = [words(t) for t in texts]
+        return pd.DataFrame({"n": [len(w) for w in own], "suspect": [shared.value.suspects(w) for w in own]})
+
+    judged = df.withColumn("_s", F.pandas_udf(look, "n long, suspect boolean")("t"))
+    return materialise(judged.filter("_s.suspect").drop("_s")), judged.filter("not _s.suspect").withColumn("n", F.col("_s.n")).drop("_s")
+
+
 def digest(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    df = docs.select("doc_id", F.col("text").cast("binary").alias("t"))
     held = blocks(benchmark)
-    out = _find(docs.select("doc_id", F.col("text").cast("binary").alias("t")), next(held, []), held)
+    first, more = next(held, []), next(held, None)
+    if more is None:
+        out = _find(df, first, iter(()))
+    else:
+        suspects, others = _sifted(df, benchmark)
+        held = blocks(benchmark)
+        out = _find(suspects, next(held), held).select("doc_id", "found").unionByName(others.select("doc_id", F.expr(_EMPTY.format(n="n")).alias("found")))
     return out.select(
         "doc_id",
         "found.n_words",
@@ -253,7 +313,8 @@ def remove(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
         cleaned = texts.withColumn("c", F.pandas_udf(clean, "binary")("t")).filter("c is not null")
     else:
-        cleaned = _clean_in_rounds(texts, benchmark)
+        suspects, others = _sifted(texts, benchmark)
+        cleaned = _clean_in_rounds(suspects, benchmark).unionByName(others.select("_row", F.col("t").alias("c")))
     keep = lambda name: F.col(f"_row.`{name}`")
     changed = keep("text").isNotNull() & (keep("text").cast("binary") != F.col("c"))
     new = {"text": F.decode("c", "UTF-8"), "n_chars": F.length(F.decode("c", "UTF-8")).cast("long")}
