@@ -40,6 +40,8 @@ from pressmill.llm._common import Rolling, as_scan, map_rows, materialise, mix,
 
 WIDTH, KEY = 200, 64
 HOT_CONTEXTS = 4000
+#: Strings of hot keys that a task holds at once.
+HOT_ROWS = 100_000
 RUN_ROWS = 20_000
 BUCKET_ROWS = 40_000
 
@@ -293,39 +295,46 @@ def _merge(runs: DataFrame, width: int, key: int, buckets: int) -> DataFrame:
     return map_rows(gathered, "_f long, _r long, s int, e int", run)
 
 
-def _hot(edges: DataFrame, texts: DataFrame, width: int, key: int) -> DataFrame:
-    """The same for keys with very many contexts: every width-byte string over the anchor is announced by its hash."""
+def _hot(edges: DataFrame, texts: DataFrame, width: int, key: int) -> tuple[DataFrame, list[DataFrame]]:
+    """The same for keys with very many contexts: every width-byte string over the anchor is announced by its hash. Also the tables that hold them."""
     reach = width - key
     wanted = edges.groupBy("_f", "_r").agg(F.collect_list(F.struct("pos", "wanted")).alias("at"))
 
+    def told(own: list[tuple]) -> dict:
+        """Strings (hash, _f, _r, start, wanted): one that is there twice is decided here, and only one of its places is announced to the others."""
+        counts: dict[bytes, int] = {}
+        for w, *_ in own:
+            counts[w] = counts.get(w, 0) + 1
+        rows, found, seen = [], {}, set()
+        for w, f, r, s, need in own:
+            if need and counts[w] > 1:
+                found.setdefault((f, r), []).append((s, s + width))
+            if w not in seen:
+                seen.add(w)
+                rows.append((w, f, r, s, s + width, need and counts[w] == 1))
+        rows += [(None, f, r, s, e, False) for (f, r), spans in found.items() for s, e in _union(spans)]
+        return dict(zip(("w", "_f", "_r", "s", "e", "wanted"), map(list, zip(*rows, strict=True)) if rows else ([], [], [], [], [], []), strict=True))
+
     def run(batches: Iterator[dict]) -> Iterator[dict]:
         for batch in batches:
-            own, counts = [], {}
+            own: list[tuple] = []
             for f, r, t, at in zip(batch["_f"], batch["_r"], batch["t"], batch["at"], strict=True):
                 starts: dict[int, bool] = {}
                 for x in at:
                     for s in range(max(0, x["pos"] - reach), min(x["pos"], len(t) - width) + 1):
                         starts[s] = starts.get(s, False) or x["wanted"]
                 for s, need in starts.items():
-                    w = hashlib.blake2b(t[s : s + width], digest_size=16).digest()
-                    counts[w] = counts.get(w, 0) + 1
-                    own.append((w, f, r, s, need))
-            # a string that a batch holds twice is decided here, and only one of its places is announced to the others
-            rows, found, told = [], {}, set()
-            for w, f, r, s, need in own:
-                if need and counts[w] > 1:
-                    found.setdefault((f, r), []).append((s, s + width))
-                if w not in told:
-                    told.add(w)
-                    rows.append((w, f, r, s, s + width, need and counts[w] == 1))
-            rows += [(None, f, r, s, e, False) for (f, r), spans in found.items() for s, e in _union(spans)]
-            yield dict(zip(("w", "_f", "_r", "s", "e", "wanted"), map(list, zip(*rows, strict=True)) if rows else ([], [], [], [], [], []), strict=True))
+                    own.append((hashlib.blake2b(t[s : s + width], digest_size=16).digest(), f, r, s, need))
+                    if len(own) == HOT_ROWS:
+                        yield told(own)
+                        own = []
+            yield told(own)
 
     found = texts.join(wanted.hint("shuffle_hash"), ["_f", "_r"])
     strings = materialise(map_rows(found.select("_f", "_r", "t", "at"), "w binary, _f long, _r long, s int, e int, wanted boolean", run))
     twice = materialise(strings.filter("w is not null").groupBy("w").agg(F.count("*").alias("c")).filter("c > 1").select("w"))
     late = strings.filter("wanted").join(twice, "w")
-    return strings.filter("w is null").select("_f", "_r", "s", "e").unionByName(late.select("_f", "_r", "s", "e"))
+    return strings.filter("w is null").select("_f", "_r", "s", "e").unionByName(late.select("_f", "_r", "s", "e")), [strings, twice]
 
 
 def repeats(docs: DataFrame, width: int = WIDTH, key: int = KEY, hot_contexts: int = HOT_CONTEXTS) -> tuple[DataFrame, DataFrame]:
@@ -344,14 +353,18 @@ def repeats(docs: DataFrame, width: int = WIDTH, key: int = KEY, hot_contexts: i
     edges = materialise(contexts.join(keys, "hk").select("hk", "one.*", (F.col("c") == 1).alias("wanted"), (F.col("n") > hot_contexts).alias("hot")))
     texts = keyed.select("_f", "_r", F.col("text").cast("binary").alias("t"))
     n = {r["hot"]: r["count"] for r in edges.groupBy("hot").count().collect()}  # two numbers
+    held = [seen, contexts, edges]
     if n.get(False):
         buckets = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-n[False] // BUCKET_ROWS))
-        intervals = intervals.unionByName(materialise(_merge(_runs(edges.filter("not hot"), texts, width, key, buckets), width, key, buckets)))
+        held.append(materialise(_merge(_runs(edges.filter("not hot"), texts, width, key, buckets), width, key, buckets)))
+        intervals = intervals.unionByName(held[-1])
     if n.get(True):
-        intervals = intervals.unionByName(_hot(edges.filter("hot"), texts, width, key))
+        strings, tables = _hot(edges.filter("hot"), texts, width, key)
+        held += tables
+        intervals = intervals.unionByName(strings)
     merged = intervals.groupBy("_f", "_r").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
     out = materialise(merged)
-    release(seen, contexts)
+    release(*held)
     return keyed, out
 
 
