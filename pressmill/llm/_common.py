@@ -25,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where none is configured (local tests)."""
+    """The folder that all executors share (spark.checkpoint.dir); without one, a temporary folder in local mode and an error on a cluster."""
     conf = spark.sparkContext.getConf()
     if found := conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None):
         return found.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not hasattr(spark, "_pressmill_scratch"):
         spark._pressmill_scratch = tempfile.mkdtemp(prefix="pressmill-")
     return "file://" + spark._pressmill_scratch

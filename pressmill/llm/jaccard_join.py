@@ -237,7 +237,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
-    """One row per row of docs: doc_id, _f, _r (see with_row_key), n (set size) and label (its component; null without shingles)."""
+    """One row per row of docs: doc_id, _f, _r (see with_row_key), n (set size) and label (its component; null without shingles); a table."""
     use_small_batches(docs.sparkSession)
     keyed = with_row_key(docs)
     fat = materialise(_nodes(keyed, words, percent))
@@ -256,7 +256,7 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
     texts = materialise(facts.join(keyed.select("_f", "_r", F.col("text").cast("binary").alias("t")), ["_f", "_r"]).select("id", "n", "bits", "t"))
 
     links = docs.sparkSession.createDataFrame([], "u long, v long")
-    labels = None
+    labels, found = None, []
     for turn in range(STAR_ROUNDS + 1):
         if labels is None:
             placed = spread.withColumn("label", F.col("id"))
@@ -274,14 +274,15 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
             pairs = offers.groupBy("label").agg(F.max_by(F.struct("u", "v"), F.struct("c", "u", "v")).alias("p")).select("p.u", "p.v")
             pairs = materialise(_fitting(pairs, texts, percent))
         else:
-            found = _rest(placed, texts, words, percent)
-            pairs = materialise(_fitting(found, texts, percent))
-            release(found)
+            rest = _rest(placed, texts, words, percent)
+            pairs = materialise(_fitting(rest, texts, percent))
+            release(rest)
         if pairs.limit(1).count() and not (new := _linked(pairs, texts, words, percent)).isEmpty():
             links = links.unionByName(new)
+            found += [new] if labels is None else [new, labels]
             labels = components(links)
         release(pairs)
-    release(texts, spread)
+    held = [rows, chosen, texts, spread, *found]
     named = rows.select("doc_id", "_f", "_r", "n", "node")
     if labels is None:
         named = named.withColumn("label", F.col("node"))
@@ -289,12 +290,15 @@ def join(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFra
         name = chosen.select(F.col("id").alias("label"), F.col("node").alias("name"))
         own = chosen.select("id", "node").join(labels, "id").join(name, "label").select("node", "name")
         named = named.join(own, "node", "left").withColumn("label", F.coalesce("name", "node"))
-    return named.withColumn("label", F.when(F.col("n") > 0, F.col("label"))).select("doc_id", "_f", "_r", "n", "label")
+        held.append(labels)
+    out = materialise(named.withColumn("label", F.when(F.col("n") > 0, F.col("label"))).select("doc_id", "_f", "_r", "n", "label"))
+    release(*held)
+    return out
 
 
 def digest(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id of the component)."""
-    rows = materialise(join(docs.select("doc_id", "text")))
+    rows = join(docs.select("doc_id", "text"))
     least = rows.filter("label is not null").groupBy("label").agg(F.min("doc_id").alias("least"))
     out = rows.join(least, "label", "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
@@ -303,7 +307,7 @@ def digest(docs: DataFrame) -> DataFrame:
 def dedup(docs: DataFrame, words: int = WORDS, percent: int = PERCENT) -> DataFrame:
     """One row of each component (the smallest doc_id, nulls last); rows without shingles stay."""
     docs = as_scan(docs)
-    rows = materialise(join(docs.select("doc_id", "text"), words, percent))
+    rows = join(docs.select("doc_id", "text"), words, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), "doc_id", "_f", "_r"))
     kept = rows.filter("label is not null").groupBy("label").agg(first.alias("k")).select("k._f", "k._r").unionByName(rows.filter("label is null").select("_f", "_r"))
     return with_row_key(docs.select(whole_row(docs))).join(kept, ["_f", "_r"]).select("_row.*")
