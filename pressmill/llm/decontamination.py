@@ -6,10 +6,10 @@ word. Where it reaches a window (10 words, or a whole shorter item), the words u
 behind the window are looked up by the window itself, so counts are exact.
 
 Items are held in automata of at most ``block_words`` words (or one item) each, and only one block's automaton is
-broadcast at a time. A benchmark of several blocks first goes into one bitmap of window hashes (``SIEVE_BITS``): a
-document none of whose windows has its bit has no hit, so the corpus itself is passed once, and only the
-documents that the bitmap suspects take the passes over the blocks, each of which writes the hits so far beside
-them before its block is destroyed. Memory does not depend on the benchmark; a fuller bitmap suspects more and
+broadcast at a time. A benchmark of several blocks first goes into one Bloom filter of windows (``SIEVE_BITS``): a
+document none of whose windows is in it has no hit, so the corpus itself is passed once, and only the
+documents that it suspects take the passes over the blocks, each of which writes the hits so far beside
+them before its block is destroyed. Memory does not depend on the benchmark; a fuller filter suspects more and
 loses nothing. Documents are never shuffled.
 
 Edge cases: null texts and texts without words have no hits; null items and items without words have no
@@ -30,7 +30,8 @@ from pressmill.llm._common import Rolling, materialise, release, use_small_batch
 
 WINDOW = 10
 BLOCK_WORDS = 250_000
-SIEVE_BITS = 1 << 27
+#: Most bits of the filter, bits for each window below that, and hash functions.
+SIEVE_BITS, SIEVE_BITS_EACH, SIEVE_HASHES = 1 << 30, 32, 4
 #: remove(): a document goes when one hit span is this long, or this share of its words is hit; other hit spans are cut out.
 DROP_SPAN_WORDS = 20
 DROP_COVERAGE = 0.2
@@ -141,21 +142,31 @@ def window_hashes(own: list[bytes], size: int) -> np.ndarray:
 
 
 class Sieve:
-    """One bit for the hash of each window of the items: may tell of a window that none has, never miss one."""
+    """A Bloom filter of the items' windows: may tell of a window that none has, never miss one."""
 
-    def __init__(self, bits: int) -> None:
-        self.bits, self.sizes = np.zeros(bits // 8, np.uint8), set()
+    def __init__(self, windows: int, most_bits: int) -> None:
+        size = 1 << 13
+        while size < min(SIEVE_BITS_EACH * windows, most_bits):
+            size *= 2
+        self.bits, self.sizes = np.zeros(size // 8, np.uint8), set()
+
+    def _at(self, own: list[bytes], size: int) -> np.ndarray:
+        """Bits of each window, a row for each of the hash functions."""
+        h = window_hashes(own, size)
+        steps = np.arange(SIEVE_HASHES, dtype=np.uint64)[:, None]
+        return (h + steps * ((h >> np.uint64(31)) | np.uint64(1))) & np.uint64(8 * len(self.bits) - 1)
 
     def add(self, own: list[bytes]) -> None:
         size = min(WINDOW, len(own))
-        at = window_hashes(own, size) % np.uint64(8 * len(self.bits))
+        at = self._at(own, size).ravel()
         np.bitwise_or.at(self.bits, (at >> np.uint64(3)).astype(np.int64), np.uint8(1) << (at & np.uint64(7)).astype(np.uint8))
         self.sizes.add(size)
 
     def suspects(self, own: list[bytes]) -> bool:
         for size in self.sizes:
-            at = window_hashes(own, size) % np.uint64(8 * len(self.bits))
-            if ((self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)).any():
+            at = self._at(own, size)
+            held = (self.bits[(at >> np.uint64(3)).astype(np.int64)] >> (at & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
+            if held.all(axis=0).any():
                 return True
         return False
 
@@ -216,7 +227,7 @@ _EMPTY = "named_struct('n_words', {n}, 'n_hit', 0L, 'hit', X'', 'items', cast(ar
 
 def _sifted(df: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """df (t: binary) as suspects, written, and the others, with n_words."""
-    sieve = Sieve(SIEVE_BITS)
+    sieve = Sieve(sum(max(1, len(own) - WINDOW + 1) for block in blocks(benchmark) for _, own in block), SIEVE_BITS)
     for block in blocks(benchmark):
         for _, own in block:
             sieve.add(own)
