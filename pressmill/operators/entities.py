@@ -1,10 +1,15 @@
-"""Named officials in texts: exact aliases by position, the first two."""
+"""Named officials in texts by position, the first two: by exact aliases in expressions, or also by likeness in Arrow batches."""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Sequence
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pressmill.functions.fuzzy import ratio
 from pressmill.functions.url import escaped
 
 
@@ -21,3 +26,83 @@ def first_mentions(text: Column, aliases: dict[str, tuple[str, ...]], most: int
 def map_spokespersons(df: DataFrame, text: Column, aliases: dict[str, tuple[str, ...]]) -> DataFrame:
     m = first_mentions(text, aliases)
     return df.withColumn("_m", m).withColumns({"spokesperson_1": F.coalesce(F.get("_m", F.lit(0))["name"], F.lit("-")), "spokesperson_2": F.coalesce(F.get("_m", F.lit(1))["name"], F.lit("-"))}).drop("_m")
+
+
+def is_near_name(name: str) -> bool:
+    """Whether a name may be matched by likeness; short titles of office may not."""
+    return name.lower() not in ("menperin", "wamenperin")
+
+
+# Words that begin no name.
+COMMON = ("dan", "di", "ke", "dari", "yang", "pada", "untuk", "dengan", "oleh", "atau", "saat", "ini", "itu", "juga", "kita", "bisa", "akan", "ada", "tersebut", "tentang", "seperti", "jika", "karena", "maka", "adalah")
+FIRST_WORD, WHOLE_NAME = 85.0, 90.0
+
+
+class Names:
+    """Officials in one text: exact aliases between borders of words, else the window of as many words that is like one."""
+
+    def __init__(self, aliases: dict[str, Sequence[str]]) -> None:
+        self.officials = [(name, [(a.lower(), a.lower().split(), re.compile(rf"\b{re.escape(a)}\b", re.IGNORECASE)) for a in spellings]) for name, spellings in aliases.items()]
+        self._first: dict[tuple[str, str], bool] = {}
+
+    def _begins(self, own: str, word: str) -> bool:
+        if (found := self._first.get((own, word))) is None:
+            if len(self._first) > 500_000:
+                self._first.clear()
+            found = self._first[own, word] = ratio(own, word) >= FIRST_WORD
+        return found
+
+    def _near(self, alias: str, own: list[str], words: list[str]) -> str | None:
+        """The first word of the first window that is like the alias."""
+        if not is_near_name(alias):
+            return None
+        for i in range(len(words) - len(own) + 1):
+            word = words[i]
+            if word in COMMON and own[0] not in COMMON or len(own) > 1 and not self._begins(own[0], word):
+                continue
+            if ratio(alias, " ".join(words[i : i + len(own)])) >= WHOLE_NAME:
+                return word
+        return None
+
+    def find(self, text: str | None) -> list[tuple[int, str]]:
+        """(position, official) of the officials in the text, by first place."""
+        out, words, low = [], None, ""
+        for name, spellings in self.officials:
+            at = None
+            for alias, own, pattern in spellings:
+                if m := pattern.search(text or ""):
+                    at = m.start() if at is None else min(at, m.start())
+                if at is None:
+                    if words is None:
+                        low = (text or "").lower()
+                        words = re.findall(r"\w+", low)
+                    if (word := self._near(alias, own, words)) is not None:
+                        at = low.find(word)
+            if at is not None:
+                out.append((at, name))
+        return sorted(out, key=lambda x: x[0])
+
+
+def fuzzy_spokespersons(df: DataFrame, text: Column, aliases: dict[str, Sequence[str]], units: dict[str, str] | None = None) -> DataFrame:
+    """df with spokesperson_1, spokesperson_2 ('-' where there is none) and unit_eselon of the first, exact or like an alias. The officials are a small, fixed dimension."""
+    units = units or {}
+
+    @F.pandas_udf("a string, b string")
+    def first_two(texts: pd.Series) -> pd.DataFrame:
+        names = Names(aliases)
+        found = [[name for _, name in names.find(t)[:2]] + ["-", "-"] for t in texts]
+        return pd.DataFrame({"a": [f[0] for f in found], "b": [f[1] for f in found]})
+
+    unit = F.coalesce(F.try_element_at(F.create_map(*(F.lit(x) for kv in units.items() for x in kv)), F.col("_m.a")), F.lit("-")) if units else F.lit("-")
+    return df.withColumn("_m", first_two(text)).withColumns({"spokesperson_1": F.col("_m.a"), "spokesperson_2": F.col("_m.b"), "unit_eselon": unit}).drop("_m")
+
+
+def names_someone(text: Column, aliases: dict[str, Sequence[str]]) -> Column:
+    """Whether an official is in the text, exact or like an alias."""
+
+    @F.pandas_udf("boolean")
+    def found(texts: pd.Series) -> pd.Series:
+        names = Names(aliases)
+        return pd.Series([bool(names.find(t)) for t in texts])
+
+    return found(text)

@@ -21,6 +21,23 @@ def class_metrics(df: DataFrame, actual: str, predicted: str) -> DataFrame:
     return m.select("label", "support", p.alias("precision"), r.alias("recall"), F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("f1"))
 
 
+def summary(df: DataFrame, actual: str, predicted: str, classes: tuple[str, ...] = ("Positif", "Netral", "Negatif"), neutral: str = "Netral", negative: str = "Negatif") -> DataFrame:
+    """One row: accuracy, macro_f1 over the classes, predicted per actual negatives, and the figures of always saying the neutral class."""
+    c = confusion(df, actual, predicted)
+    n = F.col("n")
+    total = lambda test: F.coalesce(F.sum(F.when(test, n)), F.lit(0)).cast("double")
+    is_, said = (lambda k: F.col("actual") == k), (lambda k: F.col("predicted") == k)
+    sums = [F.sum("n").alias("total"), total(F.col("actual") == F.col("predicted")).alias("correct")]
+    for i, k in enumerate(classes):
+        sums += [total(is_(k) & said(k)).alias(f"hit{i}"), total(said(k)).alias(f"said{i}"), total(is_(k)).alias(f"true{i}")]
+    of = c.agg(*sums)
+    f1 = sum((F.coalesce(F.try_divide(2 * F.col(f"hit{i}"), F.col(f"said{i}") + F.col(f"true{i}")), F.lit(0.0)) for i in range(len(classes))), F.lit(0.0)) / len(classes)
+    calm, bad = classes.index(neutral), classes.index(negative)
+    ratio = F.when(F.col(f"true{bad}") > 0, F.col(f"said{bad}") / F.col(f"true{bad}")).when(F.col(f"said{bad}") == 0, 0.0)
+    always = F.coalesce(F.try_divide(2 * F.col(f"true{calm}"), F.col("total") + F.col(f"true{calm}")), F.lit(0.0)) / len(classes)
+    return of.select("total", (F.col("correct") / F.col("total")).alias("accuracy"), f1.alias("macro_f1"), ratio.alias("negative_ratio"), (F.col(f"true{calm}") / F.col("total")).alias("always_accuracy"), always.alias("always_macro_f1"))
+
+
 def threshold_grid(df: DataFrame, score: str, margin: str, correct: str, scores: list[float], margins: list[float]) -> DataFrame:
     """Coverage and precision of accepting rows at each pair of thresholds, in one pass over df."""
     grid = F.array(*(F.struct(F.lit(s).alias("min_score"), F.lit(m).alias("min_margin")) for s in scores for m in margins))

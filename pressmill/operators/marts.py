@@ -44,3 +44,10 @@ def search_page(df: DataFrame, term: str | None, equals: dict[str, str], fields:
     if term:
         df = df.filter(F.exists(F.array(*(F.lower(F.coalesce(F.col(c), F.lit(""))) for c in fields)), lambda x: x.contains(term.lower())))
     return df.orderBy(*order).offset((page - 1) * size).limit(size)
+
+
+def release_coverage(releases: DataFrame, members: DataFrame, release: str, member: str) -> DataFrame:
+    """Each release with the number of its members, their list, and whether it is covered."""
+    per = members.groupBy(release).agg(F.count(member).alias("member_count"), F.sort_array(F.collect_list(member)).alias("members"))
+    n = F.coalesce("member_count", F.lit(0)).cast("long")
+    return releases.join(per, release, "left").select(release, n.alias("member_count"), F.coalesce("members", F.array().cast(per.schema["members"].dataType)).alias("members"), F.when(n == 0, "belum tercatat").otherwise("tercatat").alias("status"))

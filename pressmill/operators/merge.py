@@ -60,3 +60,8 @@ def one_to_one(left: DataFrame, right: DataFrame, key: str, left_order: Column,
 
 def fresh(cache: DataFrame, at: Column, ttl_seconds: Column, now: Column) -> DataFrame:
     return cache.filter(F.unix_timestamp(at) + ttl_seconds > F.unix_timestamp(now))
+
+
+def evict(cache: DataFrame, at: str, most: int = 15_000, least: int = 100) -> DataFrame:
+    """The newest rows of a cache of bounded size (``most``, but ``least`` at least)."""
+    return cache.orderBy(F.desc(at), *(c for c in cache.columns if c != at)).limit(max(least, most))

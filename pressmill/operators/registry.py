@@ -77,22 +77,6 @@ def official_match(titles: DataFrame, official: DataFrame, least: float = 80.0,
     return titles.join(top, "title").select("id", "best", "official_id")
 
 
-def name_in_text(name: str, text: str, least: float = 90.0) -> bool:
-    """Exact words, or a window of as many words whose ratio reaches least and whose first word is near; short titles never fuzzy."""
-    import re
-
-    if re.search(rf"\b{re.escape(name)}\b", text, re.IGNORECASE):
-        return True
-    if name.lower() in ("menperin", "wamenperin"):
-        return False
-    own, words = name.lower().split(), re.findall(r"\w+", text.lower())
-    for i in range(len(words) - len(own) + 1):
-        window = words[i : i + len(own)]
-        if (len(own) == 1 or ratio(own[0], window[0]) >= 85) and ratio(name.lower(), " ".join(window)) >= least:
-            return True
-    return False
-
-
 def search_score(title: str, candidate: str, same_domain: bool) -> float:
     """Score of a search result for a title; -1 where it is no match."""
     full, words = ratio(title.lower(), candidate.lower()), token_set_ratio(title.lower(), candidate.lower())

@@ -301,12 +301,6 @@ def _(spark, d):
     return dedup.dedup_by_key(docs, F.col("k"), F.col("body"), F.col("lang"), F.col("doc_id")).select("doc_id", "keywords", "n_members")
 
 
-@query("dedup_by_url")
-def _(spark, d):
-    pages = _t(spark, d, "pages").select("page_id", "html", url.canonical(F.col("url")).alias("link"))
-    return dedup.dedup_by_key(pages, F.col("link"), F.col("html"), F.lit("page"), F.col("page_id")).select("page_id", "link", "n_members")
-
-
 def _runs(spark, d):
     docs = _t(spark, d, "documents").select("doc_id", "lang", "source", _title().alias("title"))
     base = docs.filter(F.pmod("doc_id", F.lit(3)) != 1).withColumn("title", F.when(F.pmod("doc_id", F.lit(5)) == 0, "").otherwise(F.col("title")))
@@ -960,3 +954,173 @@ def _(spark, d):
     from pressmill.operators import screen
 
     return screen.screen(_articles(spark, d)).select("doc_id", "discard_reason")
+
+
+# Intake, officials, verdicts -------------------------------------------------------------------------------------------
+
+_PAGE_SQL = SQL["canonical_url"].strip()
+
+
+def _copies(spark, d) -> DataFrame:
+    """pages as copies of articles: three sources over few addresses."""
+    at = F.concat(F.lit("https://Media.id/a/"), F.pmod("page_id", F.lit(60)).cast("string"), F.lit("?utm_source=x"))
+    n = F.col("page_id")
+    return _t(spark, d, "pages").select("page_id", at.alias("link"), F.concat(F.lit("T"), n).alias("title"), F.expr("repeat('x', cast(page_id % 7 as int))").alias("text"), F.when(n % 2 == 0, "gula, kopi").otherwise("Kopi").alias("keyword"), F.when(n % 3 == 0, F.concat(F.lit("p"), n)).alias("published"), F.when(n % 5 == 0, F.concat(F.lit("m"), n)).otherwise("").alias("media"))
+
+
+@query("union_by_url", """
+WITH k AS (SELECT page_id, 'https://media.id/a/' || (page_id % 60) AS link, 'T' || page_id AS title, repeat('x', (page_id % 7)::INT) AS text, CASE WHEN page_id % 2 = 0 THEN 'gula, kopi' ELSE 'Kopi' END AS keyword, CASE WHEN page_id % 3 = 0 THEN 'p' || page_id END AS published, CASE WHEN page_id % 5 = 0 THEN 'm' || page_id ELSE '' END AS media FROM pages),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY link ORDER BY length(text) DESC, page_id) = 1),
+w AS (SELECT link, CASE WHEN arg_min(keyword, page_id) = 'Kopi' THEN CASE WHEN count(DISTINCT keyword) = 1 THEN 'Kopi' ELSE 'Kopi, gula' END ELSE 'gula, kopi' END AS keyword, count(*) AS n_members FROM k GROUP BY 1)
+SELECT b.page_id, b.link, b.title, w.keyword, w.n_members, coalesce(b.published, (SELECT arg_min(published, page_id) FROM k WHERE k.link = b.link AND k.page_id > b.page_id AND published IS NOT NULL)) AS published,
+  coalesce(nullif(b.media, ''), (SELECT arg_min(media, page_id) FROM k WHERE k.link = b.link AND k.page_id > b.page_id AND media <> '')) AS media FROM b JOIN w USING (link)
+""")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    return intake.union_by_url(_copies(spark, d), "page_id").select("page_id", "link", "title", "keyword", "n_members", "published", "media")
+
+
+@query("dedup_by_url", f"WITH c AS ({_PAGE_SQL.rstrip(';')}), k AS (SELECT page_id, html, canonical AS link FROM pages JOIN c USING (page_id)) SELECT arg_max(page_id, (length(coalesce(html, '')), -page_id)) AS page_id, link, count(*) AS n_members FROM k WHERE link <> '' GROUP BY link UNION ALL SELECT page_id, link, 1 FROM k WHERE coalesce(link, '') = ''")
+def _(spark, d):
+    pages = _t(spark, d, "pages").select("page_id", "html", url.canonical(F.col("url")).alias("link"))
+    return dedup.dedup_by_key(pages, F.col("link"), F.col("html"), F.lit("page"), F.col("page_id")).select("page_id", "link", "n_members")
+
+
+@query("union_sources", "SELECT 0 AS source_no, n_nationkey AS id, n_name AS name, NULL::INTEGER AS region FROM nation UNION ALL SELECT 1, r_regionkey, r_name, r_regionkey::INTEGER FROM region")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    a = _t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("id"), F.col("n_name").alias("name"))
+    b = _t(spark, d, "region").select(F.col("r_regionkey").cast("long").alias("id"), F.col("r_name").alias("name"), F.col("r_regionkey").cast("int").alias("region"))
+    return intake.union_sources(a, b)
+
+
+@query("press_list", """
+WITH k AS (SELECT o_orderkey, 'https://m.id/' || (o_custkey % 500) AS url, CASE WHEN o_orderkey % 11 = 0 THEN 'kemarin' ELSE strftime(o_orderdate, '%d/%m/%Y') END AS day, o_orderdate::DATE AS d, repeat('ab', (o_orderkey % 900)::INT) AS text FROM orders)
+SELECT o_orderkey, url, d AS day, length(substr(text, 1, 1000)) AS n FROM k WHERE day <> 'kemarin' AND d BETWEEN DATE '1994-03-01' AND DATE '1995-02-28' QUALIFY row_number() OVER (PARTITION BY url ORDER BY o_orderkey) = 1
+""")
+def _(spark, d):
+    import datetime
+
+    from pressmill.operators import intake
+
+    first, last = intake.date_range("1994-03-01 to 1995-02-28", datetime.date(2026, 1, 1))
+    key = F.col("o_orderkey")
+    rows = _t(spark, d, "orders").select("o_orderkey", F.concat(F.lit("https://m.id/"), (F.col("o_custkey") % 500).cast("string")).alias("url"), F.when(key % 11 == 0, "kemarin").otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")).alias("day"), F.expr("repeat('ab', cast(o_orderkey % 900 as int))").alias("text"))
+    return intake.press_list(rows, F.lit(first), F.lit(last), "o_orderkey").select("o_orderkey", "url", "day", F.length("text").cast("long").alias("n"))
+
+
+@query("retry_queue", """
+WITH f AS (SELECT l_orderkey AS link, CASE WHEN l_linenumber % 2 = 0 THEN 'gula, kopi' ELSE 'Kopi' END AS keyword, l_orderkey * 10 + l_linenumber AS pos FROM lineitem WHERE l_linenumber <= 3), x AS (SELECT * FROM f WHERE link NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F'))
+SELECT link, min(pos) AS pos, CASE WHEN arg_min(keyword, pos) = 'Kopi' THEN CASE WHEN count(DISTINCT keyword) = 1 THEN 'Kopi' ELSE 'Kopi, gula' END ELSE 'gula, kopi' END AS keyword FROM x GROUP BY 1
+""")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    f = _t(spark, d, "lineitem").filter("l_linenumber <= 3").select(F.col("l_orderkey").alias("link"), F.when(F.col("l_linenumber") % 2 == 0, "gula, kopi").otherwise("Kopi").alias("keyword"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("pos"))
+    done = _t(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("link"))
+    return intake.retry_queue(f, done, "link", "keyword", "pos")
+
+
+@query("distinct_titles", r"SELECT c_custkey, name FROM (SELECT c_custkey, c_mktsegment || '  ' || (c_custkey % 40) AS name FROM customer) QUALIFY row_number() OVER (PARTITION BY lower(regexp_replace(trim(name), '\s+', ' ', 'g')) ORDER BY c_custkey) = 1")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    rows = _t(spark, d, "customer").select("c_custkey", F.concat("c_mktsegment", F.lit("  "), F.col("c_custkey") % 40).alias("title"))
+    return intake.distinct_titles(rows, F.col("c_custkey")).select("c_custkey", F.col("title").alias("name"))
+
+
+@query("number_rows", "SELECT n_name, row_number() OVER (ORDER BY n_name DESC)::INTEGER AS id FROM nation")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    return intake.number_rows(_t(spark, d, "nation").select("n_name"), F.desc("n_name"))
+
+
+@query("single_word", "SELECT DISTINCT p_type, p_brand, length(split_part(p_type, ' ', 1)) > 0 AND NOT contains(trim(p_type), ' ') AS plain, true AS alternative FROM part")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    alternatives = F.concat(F.lit('("gula" OR "'), "p_brand", F.lit('")'))
+    return _t(spark, d, "part").select("p_type", "p_brand", intake.single_word(F.col("p_type")).alias("plain"), intake.single_word(alternatives).alias("alternative")).distinct()
+
+
+@query("cache_eviction", "SELECT event_id, ts FROM events ORDER BY ts DESC, event_id LIMIT 500")
+def _(spark, d):
+    return merge.evict(_t(spark, d, "events").select("event_id", "ts"), "ts", 500)
+
+
+@query("release_members", "SELECT r.o_orderkey AS rilis, count(l.l_orderkey) AS member_count, coalesce(array_to_string(list_sort(list(l.l_linenumber) FILTER (WHERE l.l_linenumber IS NOT NULL)), ','), '') AS members, CASE WHEN count(l.l_orderkey) = 0 THEN 'belum tercatat' ELSE 'tercatat' END AS status FROM orders r LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') l ON l.l_orderkey = r.o_orderkey GROUP BY 1")
+def _(spark, d):
+    r = _t(spark, d, "orders").select(F.col("o_orderkey").alias("rilis"))
+    m = _t(spark, d, "lineitem").filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("rilis"), "l_linenumber")
+    out = marts.release_coverage(r, m, "rilis", "l_linenumber")
+    return out.withColumn("members", F.array_join(F.transform("members", lambda x: x.cast("string")), ","))
+
+
+@query("evaluation_summary", """
+WITH e AS (SELECT CASE WHEN event_type IN ('purchase', 'signup') THEN 'Positif' WHEN event_type = 'error' THEN 'Negatif' ELSE 'Netral' END AS a, CASE WHEN event_id % 7 = 0 THEN 'Negatif' WHEN event_id % 3 = 0 THEN 'Positif' ELSE 'Netral' END AS p FROM events),
+f AS (SELECT k, count(*) FILTER (WHERE a = k AND p = k) AS h, count(*) FILTER (WHERE p = k) AS s, count(*) FILTER (WHERE a = k) AS t FROM e, (VALUES ('Positif'), ('Netral'), ('Negatif')) x(k) GROUP BY k)
+SELECT (SELECT count(*) FROM e) AS total, round((SELECT avg((a = p)::INT) FROM e), 9) AS accuracy, round(sum(CASE WHEN s + t > 0 THEN 2.0 * h / (s + t) ELSE 0 END) / 3, 9) AS macro_f1, round(sum(CASE WHEN k = 'Negatif' THEN s END) * 1.0 / nullif(sum(CASE WHEN k = 'Negatif' THEN t END), 0), 9) AS negative_ratio,
+  round((SELECT avg((a = 'Netral')::INT) FROM e), 9) AS always_accuracy, round(2.0 * sum(CASE WHEN k = 'Netral' THEN t END) / ((SELECT count(*) FROM e) + sum(CASE WHEN k = 'Netral' THEN t END)) / 3, 9) AS always_macro_f1 FROM f
+""")
+def _(spark, d):
+    key = F.col("event_id")
+    e = _t(spark, d, "events").select(_tone().alias("a"), F.when(key % 7 == 0, "Negatif").when(key % 3 == 0, "Positif").otherwise("Netral").alias("p"))
+    out = evaluation.summary(e, "a", "p")
+    return out.select("total", *(F.round(c, 9).alias(c) for c in out.columns[1:]))
+
+
+@query("issue_verdicts", """
+WITH m AS (SELECT user_id AS isu, user_id % 13 = 0 AS rilis, CASE event_id % 4 WHEN 0 THEN 'K2' WHEN 1 THEN 'K3' WHEN 2 THEN 'K4' ELSE CASE WHEN user_id % 3 = 0 THEN 'K1' ELSE 'K3' END END AS h, CASE event_id % 5 WHEN 0 THEN 'menyerang' WHEN 1 THEN 'mendukung' ELSE 'tidak ada' END AS r FROM events),
+t AS (SELECT *, CASE r WHEN 'menyerang' THEN 'Negatif' WHEN 'mendukung' THEN 'Positif' ELSE 'Netral' END AS tone FROM m),
+i AS (SELECT isu, bool_or(rilis OR h = 'K1') AS k1, bool_or(r = 'menyerang') AS attack, bool_or(h = 'K3') AS k3, min(h) AS least, count(*) AS members FROM t GROUP BY 1),
+v AS (SELECT isu, tone, count(*) AS c FROM t GROUP BY 1, 2), b AS (SELECT isu, max(c) AS top FROM v GROUP BY 1), w AS (SELECT isu, count(*) AS n, min(tone) AS tone FROM v JOIN b USING (isu) WHERE c = top GROUP BY 1),
+h AS (SELECT isu, tone, h, row_number() OVER (PARTITION BY isu, tone ORDER BY count(*) DESC, h) AS o FROM t GROUP BY 1, 2, 3),
+g AS (SELECT isu, tone, r, row_number() OVER (PARTITION BY isu, tone ORDER BY count(*) DESC, CASE r WHEN 'menyerang' THEN 'menyerang' WHEN 'mendukung' THEN 'mendukung' ELSE 'tidak ada' END) AS o FROM t GROUP BY 1, 2, 3)
+SELECT isu, CASE WHEN k1 AND NOT attack THEN 'Positif' WHEN n > 1 THEN 'Netral' ELSE w.tone END AS issue_tone, CASE WHEN k1 THEN 'K1' WHEN n > 1 THEN CASE WHEN k3 THEN 'K3' ELSE least END ELSE h.h END AS hubungan,
+  CASE WHEN k1 AND NOT attack THEN 'mendukung' WHEN n > 1 THEN 'tidak ada' ELSE g.r END AS arah, members FROM i JOIN w USING (isu) JOIN h ON h.isu = i.isu AND h.tone = w.tone AND h.o = 1 JOIN g ON g.isu = i.isu AND g.tone = w.tone AND g.o = 1
+""")
+def _(spark, d):
+    key, user = F.col("event_id"), F.col("user_id")
+    relation = F.when(key % 4 == 0, "K2").when(key % 4 == 1, "K3").when(key % 4 == 2, "K4").otherwise(F.when(user % 3 == 0, "K1").otherwise("K3"))
+    direction = F.when(key % 5 == 0, "menyerang").when(key % 5 == 1, "mendukung").otherwise("tidak ada")
+    tones = F.when(F.col("arah") == "menyerang", "Negatif").when(F.col("arah") == "mendukung", "Positif").otherwise("Netral")
+    m = _t(spark, d, "events").select(user.alias("isu"), (user % 13 == 0).alias("rilis"), relation.alias("hubungan"), direction.alias("arah")).withColumn("tone", tones)
+    return tone.issue_verdict(m, "isu", "rilis")
+
+
+@query("fuzzy_officials")
+def _(spark, d):
+    """Officials by exact or near aliases, with the unit of the first."""
+    units = {"Agus Gumiwang": "Menteri", "Putu Juli Ardika": "IA"}
+    return entities.fuzzy_spokespersons(_articles(spark, d), F.concat_ws(" ", "title", "text"), _OFFICIALS, units).select("doc_id", "spokesperson_1", "spokesperson_2", "unit_eselon")
+
+
+@query("search_hits")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    rows = _articles(spark, d).select("doc_id", F.concat("title", F.lit(" - "), "source").alias("title"), F.col("url").alias("link"), F.col("source").alias("media"))
+    return intake.search_hits(rows, "doc_id").select("doc_id", "title")
+
+
+@query("official_aliases")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    rows = _t(spark, d, "customer").select(F.concat_ws(" ", F.lit("Putu  Juli"), "c_mktsegment").alias("nama"), F.lit(" IA ").alias("unit_eselon")).distinct()
+    return intake.official_aliases(rows).select("nama", "unit_eselon", F.array_join("aliases", "|").alias("aliases"))
+
+
+@query("officials_in_scope", r"""
+WITH k AS (SELECT n_name AS nama, CASE WHEN n_nationkey % 5 = 0 THEN 'gula; di luar scope' WHEN n_nationkey % 5 = 1 THEN ' gula ;kopi;; ' ELSE 'teh' END AS said, n_nationkey FROM nation)
+SELECT nama, '' AS jabatan, CASE WHEN n_nationkey % 5 = 1 THEN 'gula|kopi' ELSE 'teh' END AS keywords, false AS is_out_of_scope FROM k WHERE n_nationkey % 5 <> 0
+""")
+def _(spark, d):
+    from pressmill.operators import intake
+
+    key = F.col("n_nationkey") % 5
+    rows = _t(spark, d, "nation").select(F.col("n_name").alias("nama_pejabat"), F.lit(" ").alias("jabatan"), F.when(key == 0, "gula; di luar scope").when(key == 1, " gula ;kopi;; ").otherwise("teh").alias("keyword_terkait"))
+    return intake.officials_in_scope(rows).withColumn("keywords", F.array_join("keywords", "|"))

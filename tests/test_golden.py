@@ -221,3 +221,29 @@ def test_unnegated_against_brute_force(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "i long, x string")
     got = [r["y"] for r in df.select("i", F.expr(tone.unnegated("x", cues).show(SPARK)).alias("y")).orderBy("i").collect()]
     assert [t for t, a, b in zip(texts, got, want, strict=True) if a != b] == []
+
+
+def test_officials_like_an_alias(spark):
+    aliases = {"Agus Gumiwang": ("agus gumiwang",), "Wakil": ("wamenperin",), "Dyan Garneta": ("dyan garneta",)}
+    cases = [("Agus Gumiwang bicara", "Agus Gumiwang", "-"), ("agus gumiwnag dan Wamenperin", "Agus Gumiwang", "Wakil"), ("Menperin hadir", "-", "-"), ("dan greta", "-", "-"), ("Dyan Garnetta lalu agus gumiwang", "Dyan Garneta", "Agus Gumiwang"), (None, "-", "-"), ("", "-", "-")]
+    df = spark.createDataFrame([(i, c[0]) for i, c in enumerate(cases)], "i long, x string")
+    got = entities.fuzzy_spokespersons(df, F.col("x"), aliases, {"Wakil": "W"}).orderBy("i").collect()
+    assert [(r["spokesperson_1"], r["spokesperson_2"]) for r in got] == [c[1:] for c in cases]
+    assert [r["n"] for r in df.select("i", entities.names_someone(F.col("x"), aliases).alias("n")).orderBy("i").collect()] == [c[1] != "-" for c in cases]
+
+
+def test_intake(spark):
+    import datetime
+
+    from pressmill.operators import intake
+
+    day = datetime.date(2026, 1, 2)
+    assert intake.date_range(None, day) == (datetime.date(2026, 1, 1),) * 2
+    for text in ("2025-01-01:2025-02-01", "2025-01-01_sd_2025-02-01", "2025-01-01..2025-02-01", "2025-01-01 to 2025-02-01", "2025-01-01 - 2025-02-01"):
+        assert intake.date_range(text, day) == (datetime.date(2025, 1, 1), datetime.date(2025, 2, 1))
+    assert one(spark, '("gula" OR "industri gula")', intake.single_word) is True and one(spark, '("industri gula" OR "gula")', intake.single_word) is False
+    rows = spark.createDataFrame([("Eko S.A.  Cahyanto", "S"), ("Taufiek Bawazier", "x"), ("M. Rum", None)], "nama string, unit_eselon string")
+    got = {r["nama"]: (r["unit_eselon"], r["aliases"]) for r in intake.official_aliases(rows).collect()}
+    assert got == {"Eko S.A. Cahyanto": ("S", ["eko s.a. cahyanto", "eko sa cahyanto", "eko cahyanto", "eko s.a."]), "M. Rum": ("-", ["m. rum", "m rum"])}
+    hits = spark.createDataFrame([(1, "Harga gula naik - M", "https://a.id/1", "M"), (2, "Diet sehat - M", "https://a.id/2", "M"), (3, "Harga gula naik", "https://tokopedia.com/3", "M"), (4, "Harga gula naik lagi", "https://a.id/1", "M")], "pos long, title string, link string, media string")
+    assert [(r["pos"], r["title"]) for r in intake.search_hits(hits, "pos").collect()] == [(1, "Harga gula naik")]
