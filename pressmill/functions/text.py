@@ -98,6 +98,37 @@ def entities(normal: Column) -> Column:
     return F.struct(F.array_distinct(F.regexp_extract_all(normal, F.lit(amount), 1)).alias("numbers"), F.array_intersect(F.split(normal, r"\s+"), F.array(*map(F.lit, ACRONYMS))).alias("acronyms"))
 
 
+# Fixed values of entities in bodies.
+BOILERPLATE = (
+    "WIB WITA WIT RI PT TBK CV RP USD IDR UU PP NO ID CO COM TV DR SH MH PJ SE MM II III IV VI AKBP KOMBES REL CPO UMKM SDM BUMN PDB KBLI DPR MPR BPS BI OJK "
+    "JAKARTA SURABAYA BANDUNG MEDAN AMBON SEMARANG BADUNG BALI SUMUT ACEH ANTARA KOMPAS DETIK CNBC CNN TRIBUNNEWS KONTAN PROHABA SINDO JENDELASERAM RADARBANJARMASIN SUMUTPOS"
+).split()
+ORGANISATION = r"(?<![\p{L}\p{N}_])(?:Asosiasi|Perkumpulan|Gabungan|Himpunan|Federasi|Ikatan|Direktorat(?:\s+Jenderal)?|Mahkamah|Majelis|Badan)\s+(?:[A-Z][A-Za-z0-9.-]+(?:\s+(?:dan|of|untuk)?\s*[A-Z][A-Za-z0-9.-]+){0,4})"
+PLACE = r"(?<![\p{L}\p{N}_])(?:Kabupaten|Kota|Provinsi|Wilayah|Kawasan)\s+([A-Z][A-Za-z]+(?:\s+[A-Z][A-Za-z]+){0,2})"
+PLACES = "sbt maluku sumut aceh meranti riau ntb surabaya semarang kendal bali badung sumsel bandung medan ambon".split()
+NOT_PLACES = ("jakarta", "indonesia")
+AMOUNT = r"(?i)(?<![\p{L}\p{N}_])(?:rp\s*\d+(?:[.,]\d+)?\s*(?:juta|miliar|triliun)|usd\s*\d+(?:[.,]\d+)?\s*(?:juta|miliar|triliun)|\d+(?:[.,]\d+)?\s*(?:juta|miliar|triliun|persen|ton|gw|mw|ribu|orang|pekerja)|nomor\s+\d+(?:/[a-z0-9-]+)*)(?![\p{L}\p{N}_])"
+SNIPPET_CHARS = 1200
+
+
+def body_snippet(title: Column, body: Column) -> Column:
+    """The first characters of a body without tags' entities, repeated blanks and a repeat of its title."""
+    plain = F.trim(F.regexp_replace(unescape_html(F.coalesce(body, F.lit(""))), r"\s+", " "))
+    own = F.trim(F.coalesce(title, F.lit("")))
+    rest = F.regexp_replace(F.substring(plain, F.length(own) + 1, F.length(plain)), r"^[ \-–—:|]+|[ \-–—:|]+$", "")
+    return F.left(F.when((own != "") & F.startswith(F.lower(plain), F.lower(own)), rest).otherwise(plain), F.lit(SNIPPET_CHARS))
+
+
+def body_entities(body: Column) -> Column:
+    """struct(acronyms, orgs, places, numbers) of a body."""
+    tidy = lambda found: F.array_distinct(F.transform(found, lambda x: F.lower(F.regexp_replace(F.trim(x), r"\s+", " "))))
+    found = lambda pattern, group=0: F.regexp_extract_all(body, F.lit(pattern), group)
+    capitals = F.array_except(F.array_distinct(found(r"(?<![\p{L}\p{N}_])[A-Z]{2,10}(?![\p{L}\p{N}_])")), F.array(*map(F.lit, BOILERPLATE)))
+    named = F.array_except(tidy(found(PLACE, 1)), F.array(*map(F.lit, NOT_PLACES)))
+    known = F.array_intersect(F.regexp_extract_all(F.lower(body), F.lit("[a-z]+"), 0), F.array(*map(F.lit, PLACES)))
+    return F.struct(capitals.alias("acronyms"), tidy(found(ORGANISATION)).alias("orgs"), F.array_union(named, known).alias("places"), tidy(found(AMOUNT)).alias("numbers"))
+
+
 def char_ngrams(text: Column, sizes: tuple[int, ...] = (3, 4)) -> Column:
     """All character n-grams (with repeats) of the space-padded text."""
     padded = F.concat(F.lit(" "), text, F.lit(" "))

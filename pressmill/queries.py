@@ -730,10 +730,31 @@ def _(spark, d):
 
 @query("issue_match")
 def _(spark, d):
-    docs = _t(spark, d, "documents").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"))
-    items = _t(spark, d, "benchmark").select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("id"), F.substring("text", 1, 80).alias("title"))
-    left, right = (issues.features(x, "id", "title", F.lit(None).cast("date"), F.lit("")) for x in (docs, items))
-    return issues.best_matches(issues.scored_pairs(left, right, issues.idf(left.unionByName(right)).select("token", "idf"), F.lit(True)))
+    """Articles against issues by titles and bodies; days make the window and the date part."""
+    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("n"), F.lit(9)).cast("int"))
+    docs = _t(spark, d, "documents").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"), "text", F.col("doc_id").alias("n"))
+    items = _t(spark, d, "benchmark").select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("id"), F.substring("text", 1, 80).alias("title"), "text", F.col("item_id").cast("long").alias("n"))
+    left, right = (issues.features(x, "id", "title", day, F.col("text")) for x in (docs, items))
+    own, other = (issues.bodies(x, "id", "title", F.col("text")) for x in (docs, items))
+    return issues.best_matches(issues.match_scores(left, right, own, other))
+
+
+@query("body_entity_counts", r"""
+WITH k AS (SELECT doc_id, left(trim(regexp_replace(coalesce(text, ''), '\s+', ' ', 'g')), 1200) || ' GAPKI dan WIB, Kota Medan, riau.' AS b FROM documents)
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(b, '[\p{L}\p{N}_]+'), lambda w: regexp_matches(w, '^[A-Z]{2,10}$') AND w <> 'WIB' AND NOT list_contains(['""" + "','".join(text.BOILERPLATE) + r"""'], w)))), ',') AS acronyms,
+  array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(lower(b), '[a-z]+'), lambda w: list_contains(['""" + "','".join(text.PLACES) + r"""'], w)))), ',') AS places FROM k
+""")
+def _(spark, d):
+    plain = F.left(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"\s+", " ")), F.lit(text.SNIPPET_CHARS))
+    e = text.body_entities(F.concat(plain, F.lit(" GAPKI dan WIB, Kota Medan, riau.")))
+    rows = _t(spark, d, "documents").select("doc_id", e.alias("e"))
+    return rows.select("doc_id", F.array_join(F.array_sort("e.acronyms"), ",").alias("acronyms"), F.array_join(F.array_sort("e.places"), ",").alias("places"))
+
+
+@query("inside_margin", "SELECT l_orderkey, greatest(0.0, coalesce(max(l_discount) FILTER (WHERE l_returnflag = 'R'), 0.0) - coalesce(max(l_discount) FILTER (WHERE l_returnflag <> 'R'), 0.0))::DOUBLE AS margin FROM lineitem GROUP BY 1")
+def _(spark, d):
+    e = _t(spark, d, "lineitem").select("l_orderkey", F.lit("R").alias("own"), F.col("l_returnflag").alias("other"), F.col("l_discount").cast("double").alias("s"))
+    return issues.inside_margin(e, "l_orderkey", "own", "other", "s")
 
 
 @query("release_coverage", "SELECT r.o_orderkey AS rilis, count(l.l_orderkey) AS member_count, CASE WHEN count(l.l_orderkey) = 0 THEN 'belum tercatat' ELSE 'tercatat' END AS status FROM orders r LEFT JOIN (SELECT * FROM lineitem WHERE l_returnflag = 'R') l ON l.l_orderkey = r.o_orderkey GROUP BY 1")
@@ -760,12 +781,25 @@ def _(spark, d):
     return context.keyword_contexts(_articles(spark, d)).select("doc_id", "keyword", F.col("context_reason").alias("reason"))
 
 
-@query("tobacco_keywords")
+def _tobacco_sql() -> str:
+    from pressmill.operators.predicates import DUCKDB
+
+    return f"""
+WITH a AS (SELECT doc_id, lower(title) AS t, lower(concat(title, ' ', text)) AS b, CASE doc_id % 3 WHEN 0 THEN 'gula, rokok' WHEN 1 THEN 'Rokok elektrik, kopi, rokok tanpa pita cukai' ELSE 'gula' END AS kw FROM {_articles_sql(DUCKDB)}),
+c AS (SELECT *, regexp_matches(t, 'vapor|rokok sintetis|electric|elektrik.*rokok|rokok.*elektrik') OR regexp_matches(b, 'rokok elektri|rokok elektronik|vape|bnn.*narkotika|narkotika.*bnn') OR doc_id % 3 = 1 AS e,
+  regexp_matches(b, 'pita cukai|cukai rokok') OR doc_id % 3 = 1 AS x, regexp_matches(t, 'djbc|bea cukai|gempur rokok') OR contains(b, 'rokok ilegal') OR (regexp_matches(b, 'bea cukai|djbc') AND contains(b, 'rokok')) AS i FROM a),
+l AS (SELECT *, list_filter([CASE WHEN e THEN 'bnn rokok elektrik' END, CASE WHEN x THEN 'rokok tanpa pita cukai' END, CASE WHEN i THEN 'djbc rokok ilegal' END], lambda y: y IS NOT NULL) AS s FROM c)
+SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN kw ELSE CASE WHEN doc_id % 3 = 0 THEN 'gula, ' ELSE 'kopi, ' END || array_to_string(CASE WHEN len(s) > 0 THEN s WHEN regexp_matches(b, 'cukai|tarif') THEN ['rokok tanpa pita cukai'] WHEN contains(b, 'elektrik') THEN ['bnn rokok elektrik'] ELSE ['djbc rokok ilegal'] END, ', ') END AS keywords FROM l
+"""
+
+
+@query("tobacco_keywords", _tobacco_sql())
 def _(spark, d):
     from pressmill.operators import context
 
-    kw = F.when(F.pmod("doc_id", F.lit(2)) == 0, "gula, rokok").otherwise("gula")
-    return _t(spark, d, "documents").select("doc_id", context.tobacco_keywords(kw, _title(), F.col("text")).alias("keywords"))
+    k = F.pmod("doc_id", F.lit(3))
+    kw = F.when(k == 0, "gula, rokok").when(k == 1, "Rokok elektrik, kopi, rokok tanpa pita cukai").otherwise("gula")
+    return _articles(spark, d).select("doc_id", context.tobacco_keywords(kw, F.col("title"), F.col("text")).alias("keywords"))
 
 
 @query("negative_groups")
@@ -1098,7 +1132,14 @@ def _(spark, d):
     return entities.fuzzy_spokespersons(_articles(spark, d), F.concat_ws(" ", "title", "text"), _OFFICIALS, units).select("doc_id", "spokesperson_1", "spokesperson_2", "unit_eselon")
 
 
-@query("search_hits")
+def _hits_sql() -> str:
+    from pressmill.operators import screen
+    from pressmill.operators.predicates import DUCKDB
+
+    return f"SELECT doc_id, title FROM (SELECT *, {screen.FIELDS['_t']} AS _t FROM {_articles_sql(DUCKDB)}) WHERE NOT contains(url, '/loker') AND {screen.likely_relevant().show(DUCKDB)}"
+
+
+@query("search_hits", _hits_sql())
 def _(spark, d):
     from pressmill.operators import intake
 
@@ -1106,7 +1147,10 @@ def _(spark, d):
     return intake.search_hits(rows, "doc_id").select("doc_id", "title")
 
 
-@query("official_aliases")
+@query("official_aliases", """
+WITH k AS (SELECT DISTINCT 'Putu Juli ' || c_mktsegment AS nama FROM customer)
+SELECT nama, 'IA' AS unit_eselon, array_to_string(list_transform(list_sort(list_transform([lower(nama), 'putu juli', 'putu juli ardika'], lambda x: {'n': -length(x), 'a': x})), lambda y: y.a), '|') AS aliases FROM k
+""")
 def _(spark, d):
     from pressmill.operators import intake
 

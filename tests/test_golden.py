@@ -247,3 +247,38 @@ def test_intake(spark):
     assert got == {"Eko S.A. Cahyanto": ("S", ["eko s.a. cahyanto", "eko sa cahyanto", "eko cahyanto", "eko s.a."]), "M. Rum": ("-", ["m. rum", "m rum"])}
     hits = spark.createDataFrame([(1, "Harga gula naik - M", "https://a.id/1", "M"), (2, "Diet sehat - M", "https://a.id/2", "M"), (3, "Harga gula naik", "https://tokopedia.com/3", "M"), (4, "Harga gula naik lagi", "https://a.id/1", "M")], "pos long, title string, link string, media string")
     assert [(r["pos"], r["title"]) for r in intake.search_hits(hits, "pos").collect()] == [(1, "Harga gula naik")]
+
+
+def test_body_gate_against_brute_force(spark):
+    import math
+
+    from pressmill.operators import issues
+
+    say = lambda *w: " ".join(w)
+    texts = {
+        "a0": ("Judul satu", say("GAPKI", "menyatakan ekspor naik lima persen di Kota Medan setelah pertemuan panjang bersama pelaku usaha daerah, 12 ton")),
+        "a1": ("Judul dua", "Pendek"),
+        "a2": ("Judul tiga", say("Cuaca cerah di pegunungan utara membuat pendaki gembira sepanjang akhir pekan kemarin")),
+        "i0": ("Rilis x", say("GAPKI", "menyatakan ekspor naik lima persen di Kota Medan setelah rapat tertutup bersama asosiasi petani, 12 ton")),
+        "i1": ("Rilis y", say("Musim hujan membuat jalan licin dan pengendara melambat sepanjang pagi kemarin")),
+    }
+    df = spark.createDataFrame([(k, t, b) for k, (t, b) in texts.items()], "id string, title string, text string")
+    side = lambda x: issues.bodies(df.filter(F.col("id").startswith(x)), "id", "title", F.col("text"))
+    left, right = side("a"), side("i")
+    pairs = spark.createDataFrame([(a, b, 0.1) for a in texts if a[0] == "a" for b in texts if b[0] == "i"], "a string, b string, score double")
+    rows = {r["id"]: r for r in left.unionByName(right).collect()}
+    count = lambda t: sum(t in r["toks"] for r in rows.values())
+    weight = lambda t: math.log((len(rows) + 1) / (count(t) + 1)) + 1
+    for r in issues.body_signals(pairs, left, right).withColumn("gated", issues.gated(F.col("score"), F.lit(None).cast("int"))).collect():
+        x, y = rows[r["a"]], rows[r["b"]]
+        cosine = held = 0
+        if x["chars"] >= 40 and y["chars"] >= 40:
+            norm = lambda z: math.sqrt(sum(weight(t) ** 2 for t in z["toks"]))
+            cosine = sum(weight(t) ** 2 for t in set(x["toks"]) & set(y["toks"])) / (norm(x) * norm(y))
+            both = lambda c: len(set(x[c]) & set(y[c]))
+            held = max(both("acrs"), both("orgs")) + both("places") + both("nums")
+        ok = cosine >= 0.45 or (held >= 2 and cosine >= 0.25)
+        assert abs(r["body_cosine"] - cosine) < 1e-9 and r["body_entities"] == held and r["body_eligible"] == ok
+        assert abs(r["gated"] - (round(max(0.36, min(0.41, 0.36 + 0.05 * cosine)), 4) if ok else 0.1)) < 1e-9
+    first = next(r for r in issues.body_signals(pairs, left, right).collect() if (r["a"], r["b"]) == ("a0", "i0"))
+    assert first["body_eligible"] and first["body_entities"] >= 3
