@@ -282,3 +282,30 @@ def test_body_gate_against_brute_force(spark):
         assert abs(r["gated"] - (round(max(0.36, min(0.41, 0.36 + 0.05 * cosine)), 4) if ok else 0.1)) < 1e-9
     first = next(r for r in issues.body_signals(pairs, left, right).collect() if (r["a"], r["b"]) == ("a0", "i0"))
     assert first["body_eligible"] and first["body_entities"] >= 3
+
+
+def test_linkage_against_the_dense_form():
+    import random
+
+    import numpy as np
+
+    def dense(sim):
+        groups = [[i] for i in range(len(sim))]
+        mean = lambda g, h: float(sim[np.ix_(g, h)].mean())
+        top = lambda g, h: float(sim[np.ix_(g, h)].max())
+        average = lambda g, h: (mean(g, h), 1 - mean(g, h) <= issues.LINK_DISTANCE)
+        bridge = lambda g, h: (top(g, h), top(g, h) >= issues.BRIDGE_MAX and mean(g, h) >= issues.BRIDGE_MEAN)
+        for test in (average, bridge):
+            while options := [(-s, i, j) for i in range(len(groups)) for j in range(i + 1, len(groups)) for s, ok in [test(groups[i], groups[j])] if ok]:
+                _, i, j = min(options)
+                groups[i] = sorted(groups[i] + groups.pop(j))
+        return groups
+
+    rng = random.Random(8)
+    for _ in range(60):
+        n = rng.randint(1, 14)
+        edges = [(i, j, rng.random()) for i in range(n) for j in range(i + 1, n) if rng.random() < rng.choice([0.2, 0.6, 0.9])]
+        sim = np.eye(n)
+        for i, j, s in edges:
+            sim[i, j] = sim[j, i] = s
+        assert issues.linkage(n, edges) == dense(sim)
