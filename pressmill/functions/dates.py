@@ -70,3 +70,8 @@ def duration(seconds: Column) -> Column:
 def seconds(text: Column) -> Column:
     """'Xm YYs' back to seconds; null where it is not of that form."""
     return F.regexp_extract(text, r"^(\d+)m (\d+)s$", 1).try_cast("int") * 60 + F.regexp_extract(text, r"^(\d+)m (\d+)s$", 2).try_cast("int")
+
+
+def in_range(at: Column, first: str, last: str) -> Column:
+    """Whether a time lies in the days from first to last; null without a time, which a filter drops. Plain bounds, so that scans skip by it."""
+    return (at >= F.to_timestamp(F.lit(first))) & (at < F.to_timestamp(F.lit(last)) + F.expr("INTERVAL 1 DAY"))

@@ -181,3 +181,9 @@ def title_case(title: Column) -> Column:
     """A title all in capitals (more than five letters) in title case."""
     letters = F.regexp_replace(title, r"[^\p{L}]", "")
     return F.when((F.length(letters) > 5) & (letters == F.upper(letters)), F.initcap(F.lower(title))).otherwise(title)
+
+
+def suspiciously_short(body: Column, least: int = 300) -> Column:
+    """Whether a text is there but too short for an article."""
+    t = F.coalesce(body, F.lit(""))
+    return (t != "") & (F.length(F.trim(t)) < least)

@@ -122,12 +122,11 @@ def _(spark, d):
 
 @query("title_tokens", f"""
 WITH n AS (SELECT doc_id, list_filter(string_split_regex(regexp_replace(lower({_TITLE_SQL}), '[^\\p{{L}}\\p{{N}}_\\s]+', ' ', 'g'), '\\s+'), lambda x: x <> '') AS w FROM documents)
-SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(w, lambda x: length(x) >= 2))), ' ') AS toks FROM n
+SELECT doc_id, array_to_string(list_sort(list_distinct(list_filter(w, lambda x: (length(x) >= 2 OR regexp_matches(x, '^[0-9]$')) AND NOT list_contains(['{"', '".join(text.STOPWORDS)}'], x)))), ' ') AS toks FROM n
 """)
 def _(spark, d):
     plain = F.regexp_replace(F.lower(_title()), r"[^\p{L}\p{N}_\s]+", " ")
-    ws = F.array_distinct(F.filter(F.split(plain, r"\s+"), lambda w: F.length(w) >= 2))
-    return _t(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(ws), " ").alias("toks"))
+    return _t(spark, d, "documents").select("doc_id", F.array_join(F.array_sort(text.tokens(plain)), " ").alias("toks"))
 
 
 @query("char_ngram_count", f"""
@@ -270,13 +269,12 @@ def _(spark, d):
 
 @query("date_filter", "SELECT event_id, event_type FROM events WHERE ts >= TIMESTAMP '2024-01-10' AND ts < TIMESTAMP '2024-01-12'")
 def _(spark, d):
-    return _t(spark, d, "events").filter((F.col("ts") >= "2024-01-10") & (F.col("ts") < "2024-01-12")).select("event_id", "event_type")
+    return _t(spark, d, "events").filter(dates.in_range(F.col("ts"), "2024-01-10", "2024-01-11")).select("event_id", "event_type")
 
 
 @query("length_filter", "SELECT doc_id, length(trim(coalesce(text, ''), ' ')) < 300 AND coalesce(text, '') <> '' AS suspiciously_short FROM documents")
 def _(spark, d):
-    t = F.coalesce("text", F.lit(""))
-    return _t(spark, d, "documents").select("doc_id", ((F.length(F.trim(t)) < 300) & (t != "")).alias("suspiciously_short"))
+    return _t(spark, d, "documents").select("doc_id", text.suspiciously_short(F.col("text")).alias("suspiciously_short"))
 
 
 @query("primary_topic", r"""
