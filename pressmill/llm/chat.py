@@ -8,7 +8,11 @@ The final messages, by turn and then by order of appearance, are rendered.
 Template, for each message: <|turn|>role<|text|>text<|end|>. Inside roles and texts & and < are written
 &amp; and &lt;, so no text can hold a control string, and reading back inverts this exactly.
 
-Edge cases: a null text or role is empty; a null turn sorts first; rows with the same turn are separate
+A conversation is one key: its events are sorted and its messages gathered in one task, so the longest conversation has
+to fit there.
+
+Edge cases: a null text or role is empty; a null turn sorts first, so it stays when a later turn is regenerated, and a
+regenerate without a turn withdraws everything before it; texts of any length are kept whole; rows with the same turn are separate
 messages, by sequence, role and text; a delta or edit before any message of its turn opens one; an empty log
 gives no rows; a null conv_id is a conversation of its own; columns beyond these are ignored.
 """
@@ -40,12 +44,14 @@ def reconstruct(events: DataFrame) -> DataFrame:
     df = df.withColumn("pos", F.row_number().over(log))
     later = Window.partitionBy("conv_id").orderBy("pos").rowsBetween(1, Window.unboundedFollowing)
     df = df.withColumn("cut", F.min(F.when(F.col("kind") == "regenerate", F.col("turn"))).over(later))
+    df = df.withColumn("cut_all", F.max((F.col("kind") == "regenerate") & F.col("turn").isNull()).over(later))
     of_turn = Window.partitionBy("conv_id", "turn").orderBy("pos")
     starts = F.col("kind").isin("message", "regenerate").cast("int")
     df = df.withColumn("msg", F.sum(starts).over(of_turn)).withColumn("edits", F.sum((F.col("kind") == "edit").cast("int")).over(of_turn))
     of_msg = Window.partitionBy("conv_id", "turn", "msg")
-    df = df.withColumn("last_edit", F.max("edits").over(of_msg)).withColumn("first_pos", F.min("pos").over(of_msg)).withColumn("first_cut", F.min_by("cut", "pos").over(of_msg))
-    alive = (F.col("edits") == F.col("last_edit")) & (F.col("first_cut").isNull() | (F.col("first_cut") > F.col("turn")))
+    df = df.withColumn("last_edit", F.max("edits").over(of_msg)).withColumn("first_pos", F.min("pos").over(of_msg)).withColumn("first_cut", F.min_by("cut", "pos").over(of_msg)).withColumn("first_all", F.min_by("cut_all", "pos").over(of_msg))
+    stays = F.col("turn").isNull() | F.col("first_cut").isNull() | (F.col("first_cut") > F.col("turn"))
+    alive = (F.col("edits") == F.col("last_edit")) & stays & ~F.coalesce("first_all", F.lit(False))
     pieces = F.array_sort(F.collect_list(F.struct("pos", "text", "role")))
     whole = df.filter(alive).groupBy("conv_id", "turn", "msg", "first_pos").agg(pieces.alias("p"))
     return whole.select("conv_id", "turn", F.col("first_pos").alias("pos"), F.col("p")[0]["role"].alias("role"), F.array_join(F.transform("p", lambda x: x["text"]), "").alias("text"))

@@ -12,7 +12,7 @@ documents that it suspects take the passes over the blocks, each of which writes
 them before its block is destroyed. Memory does not depend on the benchmark; a fuller filter suspects more and
 loses nothing. Documents are never shuffled.
 
-Edge cases: null texts and texts without words have no hits; null items and items without words have no
+Edge cases: null texts and texts without words have no hits; texts of any length are read whole; null items and items without words have no
 windows; a null item_id counts as the empty string; repeated items count once per item_id; repeated document
 rows are treated alike; other columns pass through remove().
 """

@@ -8,7 +8,7 @@ undecided of all blocks of a source form the next level's blocks, until one bloc
 hash of the document, so a hot source is spread over as many tasks as it needs, and reruns agree.
 
 Edge cases: null text has size 0; a null source is a source of its own and sorts last; a source without words
-has target 0 and gives nothing; repeated rows are separate units; null doc_ids are allowed; an empty table
+has target 0 and gives nothing; repeated rows are separate units; very long texts count whole and may outweigh their source; null doc_ids are allowed; an empty table
 gives no rows; other columns pass through mix().
 """
 

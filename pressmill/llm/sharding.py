@@ -10,7 +10,7 @@ counts (one small row per partition), never from a sort in one task. Rows that t
 apart by a row number, so a hot value does not fill one partition; equal texts are neighbours.
 
 Edge cases: null texts have no bytes (crc32 0); null metadata is the lowest cell; fewer rows than shards fill
-the first shards with one each; an empty table gives no rows; repeated rows get slots of their own; columns
+the first shards with one each; texts of any length count as one row; an empty table gives no rows; repeated rows get slots of their own; columns
 named shard or slot are replaced, others pass through.
 """
 

@@ -280,10 +280,18 @@ def test_chat_folds_events(spark):
         (1, 5, "delta", 1, "assistant", "Again<"),
         (2, 0, "message", None, None, None),
         (2, 0, "message", None, None, None),
+        (3, 0, "message", None, "system", "stays"),
+        (3, 1, "message", 1, "assistant", "a"),
+        (3, 2, "regenerate", 1, "assistant", "b"),
+        (4, 0, "message", None, "system", "goes"),
+        (4, 1, "message", 1, "user", "goes too"),
+        (4, 2, "regenerate", None, "system", "new"),
+        (4, 3, "message", 1, "user", "last"),
     ]
     out = {r["conv_id"]: r for r in chat.format_events(spark.createDataFrame(log, "conv_id long, seq long, kind string, turn long, role string, text string")).collect()}
     assert [(t["role"], t["text"]) for t in out[1]["turns"]] == [("user", "hi!"), ("assistant", "Again<")] and out[1]["loss_text"] == "Again<"
     assert [(t["role"], t["text"]) for t in out[2]["turns"]] == [("", ""), ("", "")]
+    assert [t["text"] for t in out[3]["turns"]] == ["stays", "b"] and [t["text"] for t in out[4]["turns"]] == ["new", "last"]
 
 
 def test_toxicity_generalises(spark):
