@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from pressmill.llm import chat, decontamination, jaccard_join, mixing, packing, pii, quality, sharding, suffix_dedup, toxicity
+from pressmill.llm import chat, collocations, decontamination, filter_audit, jaccard_join, kd_search, mixing, packing, pii, quality, sharding, suffix_dedup, toxicity
 from pressmill.llm._common import table
 
 #: A conversation whose texts hold what templates use as control strings.
@@ -55,6 +55,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(table(spark, sf_dir, "documents"))
 
 
+def op11_kd_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return kd_search.digest(table(spark, sf_dir, "embeddings"))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.digest(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -63,7 +75,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_pii, op2_mixing, op3_quality, op4_sharding, op5_chat, op6_toxicity, op7_decontamination, op8_suffix_dedup, op9_jaccard_join, op10_packing, pipeline)
+    for f in (op1_pii, op2_mixing, op3_quality, op4_sharding, op5_chat, op6_toxicity, op7_decontamination, op8_suffix_dedup, op9_jaccard_join, op10_packing, op11_kd_search, op12_filter_audit, op13_collocations, pipeline)
 }
 
 _OP3 = r"""
@@ -96,4 +108,60 @@ x AS (SELECT conv_id, count(*) AS n_turns,
 SELECT conv_id, n_turns::BIGINT AS n_turns, sha256(told) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, chars::BIGINT AS formatted_chars FROM x
 """
 
-SQL: dict[str, str] = {"op3_quality": _OP3, "op5_chat": _OP5}
+_OP11 = r"""
+WITH v AS (SELECT row_number() OVER () AS k, vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS x FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.k, q.vec_id AS query_id, c.vec_id, list_inner_product(q.x, c.x)::BIGINT AS score FROM v q JOIN v c ON q.k <> c.k AND len(q.x) = len(c.x) WHERE q.vec_id % 100 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY score DESC, vec_id NULLS LAST) AS rank FROM s)
+SELECT query_id, rank::INT AS rank, vec_id, score FROM r WHERE rank <= 10
+"""
+
+_OP12 = r"""
+WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws, min(doc_id) OVER (PARTITION BY t) AS least FROM d),
+g AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
+m AS (SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    (CASE WHEN len(ws) < 200 THEN 1 ELSE 0 END) + (CASE WHEN 100 * len(list_distinct(ws)) < 50 * len(ws) THEN 2 ELSE 0 END)
+    + (CASE WHEN 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 2 * length(t) THEN 4 ELSE 0 END)
+    + (CASE WHEN regexp_matches(t, '[#$%&*|]') THEN 8 ELSE 0 END) + (CASE WHEN w.doc_id > least THEN 16 ELSE 0 END) AS mask
+  FROM w LEFT JOIN g ON w.doc_id = g.doc_id),
+c AS (SELECT part, mask, count(*) AS docs, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY ALL),
+l AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) x(letter, bit)),
+o AS (SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM l a, l b, l c, l d, l e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND a.bit | b.bit | c.bit | d.bit | e.bit = 31),
+s AS (SELECT filter_order, step::INT AS step, bits[step] AS bit, list_sum(bits[1:step]) - bits[step] AS before FROM o, range(1, 6) r(step)),
+x AS (SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask::INT & (before + bit)::INT = 0 THEN docs ELSE 0 END) AS kept,
+    sum(CASE WHEN mask::INT & bit <> 0 AND mask::INT & before::INT = 0 THEN docs ELSE 0 END) AS removed,
+    sum(CASE WHEN mask::INT & bit <> 0 AND mask::INT & before::INT <> 0 THEN docs ELSE 0 END) AS redundant,
+    sum(CASE WHEN mask = bit THEN docs ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask::INT & bit <> 0 AND mask::INT & before::INT = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask::INT & bit <> 0 AND mask::INT & before::INT = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM c, s GROUP BY ALL)
+SELECT part, filter_order, step, kept::BIGINT AS kept, removed::BIGINT AS removed, redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails,
+  good_lost::BIGINT AS good_lost, toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM x
+"""
+
+_OP13 = r"""
+WITH d AS (SELECT row_number() OVER () AS k, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, k, generate_subscripts(ps, 1) AS piece, unnest(ps) AS x FROM (SELECT lang, k, string_split_regex(t, '[.,;:!?\x0A-\x0D]') AS ps FROM d)),
+w AS (SELECT lang, k, piece, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM (SELECT *, regexp_extract_all(x, '[^\x20\x09]+') AS ws FROM p)),
+g AS (SELECT lang, w AS w1, lead(w, 1) OVER o AS w2, lead(w, 2) OVER o AS w3 FROM w WINDOW o AS (PARTITION BY k, piece ORDER BY i)),
+f1 AS (SELECT lang, w1 AS phrase, count(*) AS c FROM g GROUP BY ALL),
+f2 AS (SELECT lang, w1 || ' ' || w2 AS phrase, w1, w2, count(*) AS c FROM g WHERE w2 IS NOT NULL GROUP BY ALL HAVING c >= 10),
+f3 AS (SELECT lang, w1 || ' ' || w2 || ' ' || w3 AS phrase, w1, w2, w3, count(*) AS c FROM g WHERE w3 IS NOT NULL GROUP BY ALL HAVING c >= 10),
+f AS (SELECT * FROM f1 UNION ALL SELECT lang, phrase, c FROM f2),
+cut AS (SELECT lang, phrase, c AS a, 1 AS k, w1 AS x, w2 AS y FROM f2
+  UNION ALL SELECT lang, phrase, c, 1, w1, w2 || ' ' || w3 FROM f3 UNION ALL SELECT lang, phrase, c, 2, w1 || ' ' || w2, w3 FROM f3),
+s AS (SELECT cut.lang, cut.phrase, a, k, l.c AS l, r.c AS r, (1000000::HUGEINT * a * a) // (l.c::HUGEINT * r.c) AS score
+  FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = x JOIN f r ON r.lang = cut.lang AND r.phrase = y),
+b AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS nth FROM s),
+h AS (SELECT lang, phrase, max(c) AS longer FROM (SELECT lang, w1 || ' ' || w2 AS phrase, c FROM f3 UNION ALL SELECT lang, w2 || ' ' || w3, c FROM f3) GROUP BY ALL),
+z AS (SELECT b.*, n FROM b JOIN (SELECT lang, sum(c) AS n FROM f1 GROUP BY lang) USING (lang) LEFT JOIN h ON h.lang = b.lang AND h.phrase = b.phrase
+  WHERE nth = 1 AND (longer IS NULL OR 100 * longer < 50 * a)),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM z)
+SELECT lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score FROM q WHERE rank <= 2000
+"""
+
+SQL: dict[str, str] = {"op11_kd_search": _OP11, "op12_filter_audit": _OP12, "op13_collocations": _OP13, "op3_quality": _OP3, "op5_chat": _OP5}
