@@ -9,7 +9,7 @@ Queries travel in blocks of bounded bytes. A block first searches its home shard
 starting bound in every other shard, so these send only what may still enter the answer.
 
 Scores are exact: components are whole numbers, and sums that may pass 64 bits are worked out with Python's integers
-(a score beyond 64 bits is given as the nearest bound of long).
+(a score beyond 64 bits counts as the nearest bound of long).
 
 Edge cases: vectors that are null or hold null or non-finite components take no part; vectors meet only those of
 their own length; a row is left out of its own answer, but not its copies; repeated ids and null ids (last in ties)
@@ -84,7 +84,8 @@ def search(tree: Tree, ids: list[int | None], own: np.ndarray, queries: np.ndarr
         rows, asked, low, high = tree.rows, queries, tree.low, tree.high
     else:
         rows, asked, low, high = (np.vectorize(int, otypes=[object])(x) if x.size else x.astype(object) for x in (tree.rows, queries, tree.low, tree.high))
-    bounds = np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T
+    within = lambda x: np.clip(x, *_LONG) if x.dtype == object else x
+    bounds = within(np.maximum(asked, 0) @ high.T + np.minimum(asked, 0) @ low.T)
     unnamed = np.array([x is None for x in ids], bool)
     named = np.array([x or 0 for x in ids], np.int64)
     found = []
@@ -99,7 +100,7 @@ def search(tree: Tree, ids: list[int | None], own: np.ndarray, queries: np.ndarr
                         heapq.heappush(queue, (-bounds[q][child], child))
                 continue
             a, b = tree.start[node], tree.end[node]
-            reached = rows[a:b] @ query
+            reached = within(rows[a:b] @ query)
             keep = np.flatnonzero((reached >= least) & (np.arange(a, b) != own[q]))
             if len(keep):
                 best, scores = np.append(best, a + keep), np.append(scores, reached[keep])
@@ -162,8 +163,7 @@ def _search_pair(k: int):
             out["dims"].append(dims)
             out["block"].append(pair["block"])
             out["kth"].append(np.array(reached).tobytes())
-            clip = lambda s: min(max(s, _LONG[0]), _LONG[1])
-            out["hits"].append([{"f": int(qf[q]), "r": int(qr[q]), "query_id": asking[q], "vec_id": ids[i], "score": clip(s)} for q, hits in enumerate(found) for s, i in hits])
+            out["hits"].append([{"f": int(qf[q]), "r": int(qr[q]), "query_id": asking[q], "vec_id": ids[i], "score": s} for q, hits in enumerate(found) for s, i in hits])
         return pa.table(out, schema=_HITS)
 
     return run
@@ -171,8 +171,8 @@ def _search_pair(k: int):
 
 def top_k(vectors: DataFrame, k: int, asks: Column, scale: float = 1024, vec_id: str = "vec_id", vector: str = "embedding", shard_cells: int = SHARD_CELLS, block_cells: int = BLOCK_CELLS) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` largest inner products of every row for which ``asks`` holds with all other rows."""
-    keyed = with_row_key(vectors)
-    given = keyed.select("_f", "_r", F.col(vec_id).cast("long").alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"), scaled(F.col(vector), scale).alias("x"))
+    keyed = with_row_key(vectors.select(F.col(vec_id).cast("long").alias("id"), F.coalesce(asks, F.lit(False)).alias("asks"), F.col(vector).alias("v")))
+    given = keyed.select("_f", "_r", "id", "asks", scaled(F.col("v"), scale).alias("x"))
     rows = materialise(given.filter("x is not null").withColumn("dims", F.size("x")))
     sizes = rows.groupBy("dims").agg(F.count("*").alias("n"), F.count_if("asks").alias("q"))
     parts = lambda n, cells: F.greatest(F.ceil(F.col(n) * F.greatest("dims", F.lit(1)) / cells), F.lit(1)).cast("long")
