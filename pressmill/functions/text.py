@@ -21,6 +21,17 @@ WORDS = {"rel": "rokok_elektronik", "vape": "rokok_elektronik", "vapor": "rokok_
 STOPWORDS = "dan di ke dari yang untuk pada dengan ini itu atau dalam oleh sebagai karena agar hingga sampai akan sudah telah masih jadi menjadi para terkait soal tentang begini dulu kini saat tengah atas nasional indonesia ri".split()
 GENERIC = "sawit sagu rokok_elektronik susu_ikan kakao karet pulp tekstil gula garam kelor rumput_laut pakan_ternak mamin industri pemerintah kemenperin ekspor hilirisasi wacana ekonomi dampak berdampak disorot".split()
 ACRONYMS = "kkp mbg psn sbt mk bnn mui ispo b50 tkdn dpr knma apki askindo gapki hippindo kadin bpdp ntb sumut maluku jepang sumsel aceh meranti riau".split()
+# What ends a title as the name of a medium, and amounts, days and years of a normalised title.
+MEDIA_SUFFIX = (
+    r"\s+(?:[-–—|]\s*)(?:[A-Za-z0-9_.-]+\.(?:com|co\.id|id|go\.id|net|org)|ANTARA\s+News(?:\s+[A-Za-z]+)?|CNN\s+Indonesia|CNBC\s+Indonesia|detik[A-Za-z]*|Kompas\.com|Tempo\.co"
+    r"|Liputan6\.com|kumparan|Inilah\.com|Harian\s+Jogja|Sumut\s+Pos|MetroTVNews\.com|FORTUNE\s+Indonesia|Industry\.co\.id|Kontan(?:\.co\.id)?"
+    r"|Bisnis(?:\.com)?|Radar\s+[A-Za-z]+|Index\s+Sumut|Rakyat\s+Maluku|Ameks\s+Online)\s*$"
+)
+MEDIA_HINTS = (".com", ".id", ".co.id", "news", "pos", "online", "tv")
+TITLE_NUMBERS = (
+    r"\b(?:usd\s*\d+(?:_\d+)?(?:\s*(?:juta|miliar|triliun))?|rp\s*\d+(?:_\d+)?(?:\s*(?:juta|miliar|triliun))?|\d+(?:_\d+)?\s*(?:juta|miliar|triliun|persen|ton|tahun|hari)"
+    r"|\d{1,2}\s+(?:januari|februari|maret|april|mei|juni|juli|agustus|september|oktober|november|desember)|202\d)\b"
+)
 #: Commodity classes in order; substrings, not words.
 COMMODITIES = (
     ("Kelapa Sawit & CPO", ("sawit", "cpo", "minyak sawit", "pome")),
@@ -67,17 +78,33 @@ def unescape_html(c: Column) -> Column:
     return c
 
 
+def _without_tail(title: Column, separator: str, *hints: str) -> Column:
+    """The title before its last separator, where at most four words follow (with one of the hints, if any) and 15 characters or more precede it."""
+    tail = F.substring_index(title, separator, -1)
+    head = F.substring(title, 1, F.length(title) - F.length(tail) - len(separator))
+    words = F.size(F.filter(F.split(tail, r"\s+"), lambda w: w != ""))
+    hinted = F.lower(tail).rlike(escaped(hints)) if hints else F.lit(True)
+    return F.when(F.contains(title, F.lit(separator)) & (words <= 4) & (F.length(head) >= 15) & hinted, _stripped(head)).otherwise(title)
+
+
+def _stripped(c: Column) -> Column:
+    return F.regexp_replace(c, r"^\s+|\s+$", "")
+
+
 def display_title(title: Column) -> Column:
-    """Unescaped title without a trailing site name."""
-    t = F.regexp_replace(unescape_html(title), r"\s+", " ")
-    return F.trim(F.regexp_replace(t, r"(?i)\s+[-–—|]\s*(?:[a-z0-9_.-]+\.(?:com|co\.id|id|go\.id|net|org)|antara news(?: [a-z]+)?|cnn indonesia|cnbc indonesia|detik[a-z]*|kumparan|kontan|bisnis|sumut pos|radar [a-z]+)\s*$", ""))
+    """Unescaped title without the name of its medium."""
+    t = _stripped(F.regexp_replace(_stripped(unescape_html(title)), f"(?i){MEDIA_SUFFIX}", ""))
+    t = _without_tail(_without_tail(t, " | "), " - ", *MEDIA_HINTS)
+    return _stripped(F.regexp_replace(t, r"\s+", " "))
 
 
 def normalise_issue(title: Column) -> Column:
-    """Lower case, numbers of money kept together, one spelling for phrases and words that name one thing."""
+    """Lower case, amounts of money kept together, one spelling for phrases and words that name one thing."""
     t = F.lower(display_title(title))
-    t = F.regexp_replace(F.regexp_replace(t, r"us\$\s*(\d)", "usd $1"), r"(\d)[.,](\d)", "$1_$2")
-    t = F.regexp_replace(t, r"[^\p{L}\p{N}_\s-]+", " ")
+    for sign, name in ((r"us\$", "usd"), ("rp", "rp")):
+        for number, kept in ((r"(\d+)[.,](\d+)", "$1_$2"), (r"(\d+)", "$1")):
+            t = F.regexp_replace(t, rf"(?<![{_EDGE}]){sign}\s*{number}", f"{name} {kept}")
+    t = F.regexp_replace(t, r"[^\p{L}\p{N}_\s-]", " ")
     for phrase, name in sorted(PHRASES.items(), key=lambda x: (-len(x[0]), x[0])):
         t = F.regexp_replace(t, rf"(?<![{_EDGE}]){phrase}(?![{_EDGE}])", name)
     names = F.create_map(*(F.lit(x) for pair in WORDS.items() for x in pair))
@@ -94,8 +121,8 @@ def tokens(normal: Column, drop_generic: bool = False) -> Column:
 
 def entities(normal: Column) -> Column:
     """struct(numbers, acronyms) of a normalised title."""
-    amount = r"(?<![\p{L}\p{N}_])((?:usd|rp)\s*\d+(?:_\d+)?(?:\s*(?:juta|miliar|triliun))?|\d+(?:_\d+)?\s*(?:juta|miliar|triliun|persen|ton|tahun|hari)|202\d)(?![\p{L}\p{N}_])"
-    return F.struct(F.array_distinct(F.regexp_extract_all(normal, F.lit(amount), 1)).alias("numbers"), F.array_intersect(F.split(normal, r"\s+"), F.array(*map(F.lit, ACRONYMS))).alias("acronyms"))
+    amount = rf"(?<![{_EDGE}]){TITLE_NUMBERS[2:-2]}(?![{_EDGE}])"
+    return F.struct(F.array_distinct(F.regexp_extract_all(normal, F.lit(amount), 0)).alias("numbers"), F.array_intersect(F.split(normal, r"\s+"), F.array(*map(F.lit, ACRONYMS))).alias("acronyms"))
 
 
 # Fixed values of entities in bodies.

@@ -54,7 +54,7 @@ def _query(url: Column) -> Column:
     pairs = F.split(F.regexp_extract(url, r"\?([^#]*)", 1), "&")
     decoded = F.transform(
         F.filter(pairs, lambda p: F.instr(p, "=") > 0),
-        lambda p: F.struct(F.try_url_decode(F.substring_index(p, "=", 1)).alias("k"), F.try_url_decode(F.substring(p, F.instr(p, "=") + 1, F.lit(1 << 20))).alias("v")),
+        lambda p: F.struct(F.try_url_decode(F.substring_index(p, "=", 1)).alias("k"), F.try_url_decode(F.substring(p, F.instr(p, "=") + 1, F.length(p))).alias("v")),
     )
     tracked = lambda k: F.lower(k).isin(*TRACKING_NAMES) | F.lower(k).rlike("^(" + "|".join(TRACKING_PREFIXES) + ")")
     kept = F.array_sort(F.filter(decoded, lambda x: (x["v"] != "") & ~tracked(x["k"])))

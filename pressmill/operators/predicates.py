@@ -46,7 +46,7 @@ def _borders(pattern: str, engine: str) -> str:
     """The pattern with word borders that know letters beyond ASCII. DuckDB has no look-around: there a border consumes its character."""
     if engine == DUCKDB:
         pattern = pattern.replace(r"\b.*\b", f"{_OUT}(?:.*{_OUT})?").replace(r"\s+.*\b", rf"\s+(?:.*{_OUT})?")
-        pattern = re.sub(r"\\s\+(\[\^\.\]\{0,\d+\})\\b", lambda m: rf"\s+(?:{m[1]}{_OUT})?", pattern)
+        pattern = re.sub(r"\\s\+(\[\^\\?\.\]\{0,\d+\})\\b", lambda m: rf"\s+(?:{m[1]}{_OUT})?", pattern)
     first, *others = pattern.split(r"\b")
     out = first
     for part in others:

@@ -277,3 +277,43 @@ EXPLICIT_KEMENPERIN_SIGNALS = (
     "kemenperin", "kementerian perindustrian", "menteri perindustrian", "menperin", "wamenperin", "wakil menteri perindustrian",
     "direktorat jenderal industri agro", "ditjen agro", "ditjen industri agro", "akademi komunitas bambu", "akademi komunitas bambu kemenperin",
 )
+
+# Patterns of one rule each.
+INSTITUTION = r"\b(kemenperin|kementerian\s+perindustrian|menteri\s+perindustrian|wamenperin|wakil\s+menteri\s+perindustrian|menperin|direktorat\s+jenderal\s+industri\s+agro|ditjen\s+agro|ditjen\s+industri\s+agro)\b"
+GALLERIES = (
+    r"\b\d+\s*\+\s*foto\b",
+    r"\b\d+\+?\s+foto\b.*\b(pictures|gambar|background)\b.*\b(unduh|download)\s+gratis\b",
+    r"pictures,\s*gambar\s+dan\s+background\s+untuk\s+(unduh|download)\s+gratis",
+    r"^\d+[\d.,]*\+?\s+(foto|gambar|vektor)\s+.*\b(gratis|free)\b",
+)
+SCHOOLS = (
+    r"^(profil\s+|akreditasi\s+|sejarah\s+)?(smk|smkn|sma|sman|smp|smpn|sd|sdn|madrasah|man|mts|mis|universitas|institut|politeknik|akademi|sekolah tinggi)\b",
+    r"\b(data pokok pendidikan|dapodik|profil sekolah|akreditasi sekolah)\b",
+)
+SHOP_TITLES = r"\b(frosty mint|ginger twist|glacial mint|zesty citrus|nicotine pouch|pod cartridge)\b"
+MACHINES = (
+    r"\b(modal|biaya)\s+(mendirikan|membuat|buka|membuka)\s+pabrik\b",
+    r"\bpaket\s+mesin\s+(depot|amdk|usaha)\b",
+    "penentuan kadar abu",
+)
+DOCUMENTS = (
+    r"\b(di|pada)\s+(?:pt\.?|cv\.?)\s*xyz\b",
+    r"^(?:keputusan|peraturan|instruksi|surat\s+edaran|kepmen|permen)\s+(?:menteri|presiden|direktur|kepala|gubernur|bupati)?\s*(?:nomor|no\.?)\s*\d+",
+    r"^\d+\.\s+data\s+(?:luas|produksi|populasi|harga|rekapitulasi)\b",
+)
+CHAPTER_TITLE = r"^(bab|cover|lampiran|skripsi|tesis)\b"
+STOCKS = (
+    r"\banalisis\s+teknikal\b",
+    r"\btarget\s+harga\b",
+    r"\brekomendasi\s+saham(nya)?\b",
+    r"\bsimak\s+rekomendasi\s+saham(nya)?\b",
+    r"\banalisis\s+fundamental\b",
+)
+MEASURES = r"\b\d+[\s\w]*(gram|gr|ml|mililiter|sendok makan|sendok teh|sdm|sdt|butir|lembar|siung|bungkus|cup)\b"
+SAFE_OF_CORRUPTION = r"\b(?:anti[-\s]?korupsi|bebas\s+korupsi|pencegahan\s+korupsi|cegah\s+korupsi|pencegahan\s+gratifikasi|zona\s+integritas|wbk|wbbm)\b"
+PASSING_MENTION = r"\b(?:turut\s+hadir|juga\s+hadir|juga\s+dihadiri|perwakilan\s+kemenperin|selain\s+[^\.]{0,50}kemenperin|salah\s+satu(?:nya)?[^\.]{0,30}kemenperin|sebagian\s+besar\s+laporan|nama\s+kemenperin\s+(?:ikut\s+|turut\s+)?di)\b"
+DENIED_MENTION = r"\b(?:tanpa\s+(?:menyinggung|melibatkan|menyebut|campur\s+tangan)|tidak\s+(?:menyinggung|melibatkan|menyebut)|bukan\s+(?:kewenangan|urusan|terkait))\s+(?:kementerian\s+perindustrian|kemenperin)\b"
+OUTWARD_ATTACK = r"\b(?:kemenperin|menperin|wamenperin|dirjen|sekjen|jubir|juru\s+bicara)[^\.]{0,35}\b(?:kritik|mengkritik|sorot|menyoroti|kecam|mengecam)\b[^\.]{0,45}\b(?:ilegal|penyelundup|oknum|impor\s+ilegal|kartel|penimbun|pelanggar)"
+TARGETED_ATTACK = r"\b(?:dikritik|dikecam|disorot|digugat|disalahkan|kelalaian|lamban|tidak\s+efektif|tak\s+efektif)\b|(?:kritik|mengkritik|gugat|menggugat|salahkan|menyalahkan|kecam|mengecam)[^\.]{0,55}\b(?:kemenperin|menperin|kebijakan|aturan|regulasi)\b"
+GENERAL_APPEAL = r"\b(?:minta|meminta|mohon|memohon|harap|berharap|imbau|mengimbau|usul|mengusulkan)\s+[^\.]{0,35}\bpemerintah\b"
+FALLING_MARKET = r"\b(?:ekspor|produksi|harga|permintaan)[^.]{0,35}\b(?:turun|anjlok|melemah|tertekan)\b"

@@ -309,3 +309,35 @@ def test_linkage_against_the_dense_form():
         for i, j, s in edges:
             sim[i, j] = sim[j, i] = s
         assert issues.linkage(n, edges) == dense(sim)
+
+
+def test_passing_mentions_end_at_a_border(spark):
+    rows = [(0, "Kemenperin turut hadirkan produk lokal"), (1, "Nama Kemenperin disebut dalam pameran"), (2, "Kemenperin turut hadir dalam pameran"), (3, "Nama Kemenperin ikut di daftar")]
+    got = {r["id"]: r["hubungan"] for r in tone.classify(spark.createDataFrame(rows, "id int, title string").selectExpr("*", "'' AS text", "'' AS keyword"), "title", "text", "keyword").collect()}
+    assert got == {0: "K1", 1: "K1", 2: "K2", 3: "K2"}
+
+
+def test_titles_without_their_medium(spark):
+    cases = {
+        "Ekspor CPO Naik - FORTUNE Indonesia": "Ekspor CPO Naik",
+        "Harga &amp; Pasar Kakao | Harian Jogja ": "Harga & Pasar Kakao",
+        "Pabrik Gula Baru Diresmikan - Tempo.co": "Pabrik Gula Baru Diresmikan",
+        "Pabrik Gula Baru Diresmikan | Suara Rakyat": "Pabrik Gula Baru Diresmikan",
+        "Pendek saja | Suara Rakyat": "Pendek saja | Suara Rakyat",
+        "Pabrik Gula Baru Diresmikan - Suara Rakyat": "Pabrik Gula Baru Diresmikan - Suara Rakyat",
+        "Pabrik Gula Baru Diresmikan - Jatim Pos": "Pabrik Gula Baru Diresmikan",
+        "Pabrik Gula Baru Diresmikan - berita online dari lima kota besar": "Pabrik Gula Baru Diresmikan - berita online dari lima kota besar",
+        "Nasib Petani Digadang-gadang Membaik": "Nasib Petani Digadang-gadang Membaik",
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string")
+    assert {r["t"]: r["d"] for r in df.select("t", text.display_title(F.col("t")).alias("d")).collect()} == cases
+
+
+def test_amounts_and_days_of_titles(spark):
+    cases = {
+        "Pameran 7 Oktober 2026 di Jakarta": ("pameran 7 oktober 2026 di jakarta", {"7 oktober", "2026"}),
+        "Nilai US$ 1,5 Juta dan Rp2.5 Triliun": ("nilai usd 1_5 juta dan rp 2_5 triliun", {"usd 1_5 juta", "rp 2_5 triliun"}),
+        "Naik 1,48 Persen": ("naik 1 48 persen", {"48 persen"}),
+    }
+    df = spark.createDataFrame([(k,) for k in cases], "t string").withColumn("n", text.normalise_issue(F.col("t")))
+    assert {r["t"]: (r["n"], set(r["e"]["numbers"])) for r in df.withColumn("e", text.entities(F.col("n"))).collect()} == cases
