@@ -125,7 +125,8 @@ def count_ngrams(docs: DataFrame, most: int = 3, text: str = "text", lang: str =
 
     given = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
     found = map_rows(given, "lang string, n int, phrase string, c long", run)
-    return found.groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"))
+    # a shard's phrases are distinct already: dealt out by key first, so that no hash table before the shuffle holds them again
+    return found.repartition("lang", "n", "phrase").groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"))
 
 
 def collocations(docs: DataFrame, min_count: int = 10, most: int = 3, absorbed_percent: int = 50) -> DataFrame:
