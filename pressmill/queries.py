@@ -5,14 +5,13 @@ pages give URLs, events give dated classes, orders and lineitem give runs and ba
 
 from __future__ import annotations
 
-import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pressmill.functions import dates, text, url
-from pressmill.operators import cascade, dedup, entities, evaluation, issues, marts, merge, tone
+from pressmill.operators import assignment, cascade, dedup, entities, evaluation, issues, marts, merge, tone
 from pressmill.sources import landing
 from pressmill.streaming import snapshot
 
@@ -528,8 +527,9 @@ def _(spark, d):
 
 @query("issue_clusters")
 def _(spark, d):
-    e = _t(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("id"), F.substring("text", 1, 80).alias("title"))
-    return issues.cluster(issues.features(e, "id", "title", F.lit(None).cast("date"), F.lit("")))
+    """All documents by title, body and day."""
+    docs, feats = _issue_side(spark, d, "documents", "doc_id", 90, True)
+    return assignment.cluster(feats, issues.bodies(docs, "id", "title", F.col("text"), F.col("day")))
 
 
 @query("entity_first_two", r"""
@@ -561,10 +561,11 @@ def _(spark, d):
 @query("stream_snapshot_union", "SELECT DISTINCT event_id FROM events")
 def _(spark, d):
     e = _t(spark, d, "events")
-    work = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.mkdtemp(prefix="pressmill-")
     import uuid
 
-    at = f"{work}/stream-{uuid.uuid4().hex}"
+    from pressmill.sources.scratch import shared_dir
+
+    at = f"{shared_dir(spark)}/stream-{uuid.uuid4().hex}"
     stream = spark.readStream.schema(e.schema).format("parquet").option("pathGlobFilter", "events.parquet").load(d)
     return snapshot.run_available(snapshot.unite(stream.select("event_id", "ts"), "event_id", "ts"), f"{at}/out", f"{at}/state").select("event_id")
 
@@ -726,23 +727,32 @@ def _(spark, d):
     return registry.official_match(titles, official)
 
 
+def _issue_side(spark, d, table: str, id_: str, days: int, lead: bool) -> tuple[DataFrame, DataFrame]:
+    """A table as articles or issues (id, title, text, day; an id divisible by 23 has no day), and its features."""
+    day = F.when(F.pmod(id_, F.lit(23)) != 0, F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(id_, F.lit(days)).cast("int")))
+    docs = _t(spark, d, table).select(F.concat(F.lit(table[0]), F.col(id_).cast("string")).alias("id"), _title().alias("title"), "text", day.alias("day"), F.when(F.pmod(id_, F.lit(3)) == 0, "rilis").otherwise("klaster").alias("kind"))
+    return docs, issues.features(docs, "id", "title", F.col("day"), F.col("text") if lead else F.lit(""))
+
+
 @query("issue_match")
 def _(spark, d):
-    docs = _t(spark, d, "documents").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"))
-    items = _t(spark, d, "benchmark").select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("id"), F.substring("text", 1, 80).alias("title"))
-    left, right = (issues.features(x, "id", "title", F.lit(None).cast("date"), F.lit("")) for x in (docs, items))
-    return issues.best_matches(issues.scored_pairs(left, right, issues.idf(left.unionByName(right)).select("token", "idf"), F.lit(True)))
+    """Titles alone: no days, no bodies."""
+    docs, left = _issue_side(spark, d, "documents", "doc_id", 30, False)
+    items, right = _issue_side(spark, d, "benchmark", "item_id", 30, False)
+    undated = F.lit(None).cast("date")
+    right = right.withColumn("day", undated).join(items.select("id", "kind"), "id").withColumn("start", undated)
+    own, other = (issues.bodies(x.limit(0), "id", "title", F.col("text")) for x in (docs, items))
+    return assignment.assign(left.withColumn("day", undated), right, own, other)
 
 
 @query("issue_match_bodies")
 def _(spark, d):
-    """Articles against issues by titles and bodies; days make the window and the date part."""
-    day = F.date_add(F.lit("2024-01-01").cast("date"), F.pmod(F.col("n"), F.lit(9)).cast("int"))
-    docs = _t(spark, d, "documents").select(F.concat(F.lit("a"), F.col("doc_id").cast("string")).alias("id"), _title().alias("title"), "text", F.col("doc_id").alias("n"))
-    items = _t(spark, d, "benchmark").select(F.concat(F.lit("i"), F.col("item_id").cast("string")).alias("id"), F.substring("text", 1, 80).alias("title"), "text", F.col("item_id").cast("long").alias("n"))
-    left, right = (issues.features(x, "id", "title", day, F.col("text")) for x in (docs, items))
+    """Titles, leads, bodies and days: articles in order, each within the window of its issue's last day."""
+    docs, left = _issue_side(spark, d, "documents", "doc_id", 30, True)
+    items, right = _issue_side(spark, d, "benchmark", "item_id", 30, False)
+    right = right.join(items.select("id", "kind", F.col("day").alias("start")), "id")
     own, other = (issues.bodies(x, "id", "title", F.col("text")) for x in (docs, items))
-    return issues.best_matches(issues.match_scores(left, right, own, other))
+    return assignment.assign(left, right, own, other)
 
 
 @query("body_entity_counts", r"""

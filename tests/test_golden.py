@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from pressmill.functions import dates, fuzzy, text, url
-from pressmill.operators import entities, issues, tone
+from pressmill.operators import assignment, entities, issues, tone
 
 
 def one(spark, value, f, kind="string"):
@@ -87,7 +87,7 @@ def test_issue_clusters(spark, seed):
     rows = list(TITLES.items())
     random.Random(seed).shuffle(rows)
     df = spark.createDataFrame(rows, "id string, title string")
-    got = {r["id"]: (r["isu_id"], r["isu"]) for r in issues.cluster(issues.features(df, "id", "title", F.lit("2026-11-17").cast("date"), F.lit(""))).collect()}
+    got = {r["id"]: (r["isu_id"], r["isu"]) for r in assignment.cluster(issues.features(df, "id", "title", F.lit("2026-11-17").cast("date"), F.lit(""))).collect()}
     assert len({got[x] for x in ("re_1", "re_2", "re_3", "re_4")}) == 1
     assert len({got[x] for x in ("re_1", "sw_1", "sw_3", "mk_1")}) == 4
 
@@ -267,9 +267,10 @@ def test_body_gate_against_brute_force(spark):
     left, right = side("a"), side("i")
     pairs = spark.createDataFrame([(a, b, 0.1) for a in texts if a[0] == "a" for b in texts if b[0] == "i"], "a string, b string, score double")
     rows = {r["id"]: r for r in left.unionByName(right).collect()}
-    count = lambda t: sum(t in r["toks"] for r in rows.values())
-    weight = lambda t: math.log((len(rows) + 1) / (count(t) + 1)) + 1
-    for r in issues.body_signals(pairs, left, right).withColumn("gated", issues.gated(F.col("score"), F.lit(None).cast("int"))).collect():
+    long_ = [r for r in rows.values() if r["chars"] >= 40]
+    count = lambda t: sum(t in r["toks"] for r in long_)
+    weight = lambda t: math.log((len(long_) + 1) / (count(t) + 1)) + 1
+    for r in issues.body_signals(pairs, left, right).withColumn("gated", issues.settled(F.col("score"), F.lit(issues.GATED), F.lit(None).cast("int"), F.when(F.col("body_eligible"), F.col("body_cosine")))).collect():
         x, y = rows[r["a"]], rows[r["b"]]
         cosine = held = 0
         if x["chars"] >= 40 and y["chars"] >= 40:
@@ -284,33 +285,6 @@ def test_body_gate_against_brute_force(spark):
     assert first["body_eligible"] and first["body_entities"] >= 3
 
 
-def test_linkage_against_the_dense_form():
-    import random
-
-    import numpy as np
-
-    def dense(sim):
-        groups = [[i] for i in range(len(sim))]
-        mean = lambda g, h: float(sim[np.ix_(g, h)].mean())
-        top = lambda g, h: float(sim[np.ix_(g, h)].max())
-        average = lambda g, h: (mean(g, h), 1 - mean(g, h) <= issues.LINK_DISTANCE)
-        bridge = lambda g, h: (top(g, h), top(g, h) >= issues.BRIDGE_MAX and mean(g, h) >= issues.BRIDGE_MEAN)
-        for test in (average, bridge):
-            while options := [(-s, i, j) for i in range(len(groups)) for j in range(i + 1, len(groups)) for s, ok in [test(groups[i], groups[j])] if ok]:
-                _, i, j = min(options)
-                groups[i] = sorted(groups[i] + groups.pop(j))
-        return groups
-
-    rng = random.Random(8)
-    for _ in range(60):
-        n = rng.randint(1, 14)
-        edges = [(i, j, rng.random()) for i in range(n) for j in range(i + 1, n) if rng.random() < rng.choice([0.2, 0.6, 0.9])]
-        sim = np.eye(n)
-        for i, j, s in edges:
-            sim[i, j] = sim[j, i] = s
-        assert issues.linkage(n, edges) == dense(sim)
-
-
 def test_passing_mentions_end_at_a_border(spark):
     rows = [(0, "Kemenperin turut hadirkan produk lokal"), (1, "Nama Kemenperin disebut dalam pameran"), (2, "Kemenperin turut hadir dalam pameran"), (3, "Nama Kemenperin ikut di daftar")]
     got = {r["id"]: r["hubungan"] for r in tone.classify(spark.createDataFrame(rows, "id int, title string").selectExpr("*", "'' AS text", "'' AS keyword"), "title", "text", "keyword").collect()}
