@@ -1,13 +1,16 @@
 """Phrase collocations from word-id suffix arrays.
 
 Each task cuts its texts into pieces and words and gathers word ids, a separator after every piece, until a
-shard of ``SHARD_WORDS`` words is full. A shard's suffix array is built by numpy prefix doubling, up to the
-longest phrase asked for; runs of suffixes whose common prefix has n words or more (LCP intervals) are its n-grams
-with their counts. Only these distinct n-grams leave the task; they are summed over all shards by (lang, phrase),
-so a phrase that fills a third of the corpus is one row a shard, not one an occurrence.
+shard of ``SHARD_WORDS`` words is full. A shard's suffix array is built by numpy prefix doubling; runs of suffixes whose
+common prefix has n words or more (LCP intervals) are its n-grams with their counts. Only these distinct n-grams
+leave the task; they are summed over all shards by (lang, phrase), so a phrase that fills a third of the corpus is one
+row a shard, not one an occurrence.
 
-A phrase is scored by its weakest cut: a * a / (l * r) where a, l and r are the counts of the phrase and of its
-two parts. Parts are at least as frequent as their phrase, so everything below ``min_count`` can leave before the joins.
+Lengths are counted one after the other. A phrase is never more frequent than its parts, so n words leave a
+task only where both their parts of n - 1 words are marked in a bitmap of the hashes of all that were frequent enough. The
+bitmap has ``MAP_BITS`` bits whatever the corpus; where two phrases share a bit, a rare one is shuffled for nothing.
+
+A phrase is scored by its weakest cut: a * a / (l * r) where a, l and r are the counts of the phrase and of its two parts.
 
 Edge cases: null and empty texts have no words; a null lang is ``und``; any length of text is read whole, a piece
 is never split between shards (a text without separators makes one larger shard); repeated rows count again; an
@@ -23,16 +26,20 @@ from itertools import count
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.llm._common import map_rows, materialise
+from pressmill.llm._common import map_rows, materialise, mix
 
 #: Words that one suffix array holds: bounds a task's memory (about 100 bytes a word).
 SHARD_WORDS = 2_000_000
 #: Every separator becomes a line feed, every blank a space.
 _CUTS = bytes.maketrans(b".,;:!?\x0b\x0c\r\t", b"\n\n\n\n\n\n\n\n\n ")
 _SEPARATOR = 0
+#: Bits of the map of frequent phrases (16 MB, broadcast), and of one part of it.
+MAP_BITS, PART_BITS = 1 << 27, 1 << 19
+_STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
 def words(text: bytes) -> list[bytes]:
@@ -68,18 +75,50 @@ def common_prefixes(ids: np.ndarray, order: np.ndarray, depth: int) -> np.ndarra
     return lcp
 
 
-def ngrams(ids: np.ndarray, most: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(n, first position, count) of every distinct n-gram without a separator, for n from 1 to ``most``."""
-    order = suffix_array(ids, most)
-    lcp = common_prefixes(ids, order, most)
+def ngrams(ids: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first position, count) of every distinct n-gram without a separator."""
+    order = suffix_array(ids, n)
+    starts = np.flatnonzero(common_prefixes(ids, order, n) < n)
+    counts = np.diff(np.append(starts, len(ids)))
+    first = order[starts]
     ends = np.append(np.flatnonzero(ids == _SEPARATOR), len(ids))
-    room = ends[np.searchsorted(ends, np.arange(len(ids)))] - np.arange(len(ids))
-    for n in range(1, most + 1):
-        starts = np.flatnonzero(lcp < n)
-        counts = np.diff(np.append(starts, len(ids)))
-        first = order[starts]
-        inside = room[first] >= n
-        yield n, first[inside], counts[inside]
+    inside = ends[np.searchsorted(ends, first)] - first >= n
+    return first[inside], counts[inside]
+
+
+def word_hash(lang: str, word: bytes) -> int:
+    return xxhash.xxh64_intdigest(lang.encode() + b"\n" + word)
+
+
+def phrase_bits(hashes: list[np.ndarray]) -> np.ndarray:
+    """The bit of each phrase, from the hashes of its words in order."""
+    out = np.zeros_like(hashes[0])
+    for h in hashes:
+        out = mix(out * _STEP + h)
+    return out % np.uint64(MAP_BITS)
+
+
+def frequent_map(frequent: DataFrame) -> np.ndarray:
+    """Bits of all phrases (lang, phrase) of one length, as bytes; put together in parts."""
+
+    def bits(batches: Iterator[dict]) -> Iterator[dict]:
+        for batch in batches:
+            words_ = [p.encode().split(b" ") for p in batch["phrase"]]
+            if words_:
+                hashes = [np.array([word_hash(lang, w[i]) for lang, w in zip(batch["lang"], words_, strict=True)], np.uint64) for i in range(len(words_[0]))]
+                found = phrase_bits(hashes).astype(np.int64)
+                yield {"part": found // PART_BITS, "bit": found % PART_BITS}
+
+    def pack(key: tuple, group: pa.Table) -> pa.Table:
+        part = np.zeros(PART_BITS, bool)
+        part[group["bit"].to_numpy()] = True
+        return pa.table({"part": [key[0].as_py()], "bits": [np.packbits(part).tobytes()]})
+
+    out = np.zeros(MAP_BITS // 8, np.uint8)
+    marked = map_rows(frequent.select("lang", "phrase"), "part long, bit long", bits).distinct()
+    for part, data in marked.groupBy("part").applyInArrow(pack, "part long, bits binary").collect():  # 16 MB at most
+        out[part * PART_BITS // 8 : (part + 1) * PART_BITS // 8] = np.frombuffer(data, np.uint8)
+    return out
 
 
 class _Shard:
@@ -97,20 +136,29 @@ class _Shard:
         self.ids.append(_SEPARATOR)
         return len(self.ids) - before
 
-    def count(self, lang: str, most: int) -> Iterator[dict]:
+    def count(self, lang: str, n: int, known: np.ndarray | None) -> Iterator[dict]:
+        """Distinct phrases of n words; only those whose parts of n - 1 words are known."""
         ids = np.array(self.ids, np.int64)
-        spelled = pa.array(list(self.vocab), pa.binary()).cast(pa.string())  # ids follow the order of insertion
-        for n, first, counts in ngrams(ids, most):
-            for at in range(0, len(first), 100_000):
-                part = first[at : at + 100_000]
-                phrase = pc.binary_join_element_wise(*(spelled.take(pa.array(ids[part + i])) for i in range(n)), " ")
-                yield {"lang": pa.array([lang] * len(part), pa.string()), "n": pa.array(np.full(len(part), n, np.int32)), "phrase": phrase, "c": pa.array(counts[at : at + 100_000])}
-
-
-def count_ngrams(docs: DataFrame, most: int = 3, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(lang, n, phrase, c): occurrences of every phrase of 1 to ``most`` words."""
+        first, counts = ngrams(ids, n)
+        if known is not None:
+            hashes = np.array([word_hash(lang, w) for w in self.vocab], np.uint64)  # ids follow the order of insertion
+            for shift in (0, 1):
+                bits = phrase_bits([hashes[ids[first + shift + i]] for i in range(n - 1)])
+                keep = known[(bits >> np.uint64(3)).astype(np.int64)] >> (7 - (bits & np.uint64(7)).astype(np.uint8)) & 1 == 1
+                first, counts = first[keep], counts[keep]
+        spelled = pa.array(list(self.vocab), pa.binary()).cast(pa.string())
+        for at in range(0, len(first), 100_000):
+            part = first[at : at + 100_000]
+            phrase = pc.binary_join_element_wise(*(spelled.take(pa.array(ids[part + i])) for i in range(n)), " ")
+            yield {"lang": pa.array([lang] * len(part), pa.string()), "phrase": phrase, "c": pa.array(counts[at : at + 100_000])}
+
+
+def count_phrases(docs: DataFrame, n: int, known: np.ndarray | None = None, text: str = "text", lang: str = "lang") -> DataFrame:
+    """(lang, phrase, c): occurrences of every phrase of ``n`` words; with a map of ``known`` phrases of n - 1 words only of those made of them."""
+    shared = docs.sparkSession.sparkContext.broadcast(known) if known is not None else None
 
     def run(batches: Iterator[dict]) -> Iterator[dict]:
+        marks = shared.value if shared is not None else None
         shards: dict[str, _Shard] = {}
         held = 0
         for batch in batches:
@@ -119,23 +167,32 @@ def count_ngrams(docs: DataFrame, most: int = 3, text: str = "text", lang: str =
                 if held >= SHARD_WORDS:
                     largest = max(shards, key=lambda k: len(shards[k].ids))
                     held -= len(shards[largest].ids)
-                    yield from shards.pop(largest).count(largest, most)
+                    yield from shards.pop(largest).count(largest, n, marks)
         for name, shard in shards.items():
-            yield from shard.count(name, most)
+            yield from shard.count(name, n, marks)
 
     given = docs.select(F.coalesce(F.col(lang), F.lit("und")).alias("lang"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("t"))
-    found = map_rows(given, "lang string, n int, phrase string, c long", run)
+    found = map_rows(given, "lang string, phrase string, c long", run)
     # a shard's phrases are distinct already: dealt out by key first, so that no hash table before the shuffle holds them again
-    return found.repartition("lang", "n", "phrase").groupBy("lang", "n", "phrase").agg(F.sum("c").alias("c"))
+    return found.repartition("lang", "phrase").groupBy("lang", "phrase").agg(F.sum("c").alias("c"))
+
+
+def count_ngrams(docs: DataFrame, min_count: int, most: int) -> tuple[DataFrame, DataFrame]:
+    """((lang, n, phrase, c) of all phrases of 1 to ``most`` words that occur ``min_count`` times or more, (lang, n): words of each language)."""
+    single = materialise(count_phrases(docs, 1))
+    size = single.groupBy("lang").agg(F.sum("c").alias("n"))
+    level = single.filter(F.col("c") >= min_count)
+    frequent = level.select("lang", F.lit(1).alias("n"), "phrase", "c")
+    for n in range(2, most + 1):
+        level = materialise(count_phrases(docs, n, frequent_map(level)).filter(F.col("c") >= min_count))
+        frequent = frequent.unionByName(level.select("lang", F.lit(n).alias("n"), "phrase", "c"))
+    return frequent, size
 
 
 def collocations(docs: DataFrame, min_count: int = 10, most: int = 3, absorbed_percent: int = 50) -> DataFrame:
     """(lang, n_words, phrase, a, l, r, n, score) of every phrase of 2 to ``most`` words that occurs ``min_count`` times
     or more, unless a longer one that holds its words has ``absorbed_percent`` of its count or more."""
-    grams = count_ngrams(docs, most)
-    counted = materialise(grams.filter((F.col("c") >= min_count) | (F.col("n") == 1)))
-    frequent = counted.filter(F.col("c") >= min_count)
-    size = counted.filter("n = 1").groupBy("lang").agg(F.sum("c").alias("n"))
+    frequent, size = count_ngrams(docs, min_count, most)
     phrases = frequent.filter("n > 1").withColumnsRenamed({"n": "n_words", "c": "a"}).withColumn("w", F.split("phrase", " "))
 
     cuts = phrases.select("lang", "n_words", "phrase", "a", "w", F.explode(F.sequence(F.lit(1), F.col("n_words") - 1)).alias("k"))

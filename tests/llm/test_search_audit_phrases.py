@@ -206,7 +206,8 @@ def test_longer_phrases(docs):
 
 def test_large_counts_stay_exact(spark, monkeypatch):
     counts = [("en", 1, "x", 4 * 10**13 + 1), ("en", 1, "y", 10**14 + 7), ("en", 2, "x y", 4 * 10**13 - 11)]
-    monkeypatch.setattr(collocations, "count_ngrams", lambda docs, most: docs)
+    size = spark.createDataFrame([("en", 14 * 10**13 + 8)], "lang string, n long")
+    monkeypatch.setattr(collocations, "count_ngrams", lambda docs, least, most: (docs, size))
     (row,) = collocations.collocations(spark.createDataFrame(counts, "lang string, n int, phrase string, c long")).collect()
     assert row.score == 10**6 * (4 * 10**13 - 11) ** 2 // ((4 * 10**13 + 1) * (10**14 + 7)) and row.n == 14 * 10**13 + 8
 
@@ -218,5 +219,12 @@ def test_suffix_array(depth):
     order = collocations.suffix_array(ids, depth)
     cut = [tuple(ids[i : i + depth]) for i in order]
     assert sorted(order) == list(range(401)) and cut == sorted(cut)
-    want = Counter(tuple(ids[i : i + n]) for n in range(1, depth + 1) for i in range(402 - n) if 0 not in ids[i : i + n])
-    assert {tuple(ids[i : i + n]): c for n, first, counts in collocations.ngrams(ids, depth) for i, c in zip(first, counts, strict=True)} == want
+    want = Counter(tuple(ids[i : i + depth]) for i in range(402 - depth) if 0 not in ids[i : i + depth])
+    assert {tuple(ids[i : i + depth]): c for i, c in zip(*collocations.ngrams(ids, depth), strict=True)} == want
+
+
+def test_map_of_frequent_phrases_is_only_a_filter(docs, monkeypatch):
+    """A crowded map lets rare phrases through and changes no count."""
+    monkeypatch.setattr(collocations, "MAP_BITS", 1 << 6)
+    monkeypatch.setattr(collocations, "PART_BITS", 1 << 4)
+    assert sorted(map(tuple, collocations.digest(docs).collect())) == phrases_by_hand()
