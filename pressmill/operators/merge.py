@@ -58,6 +58,28 @@ def one_to_one(left: DataFrame, right: DataFrame, key: str, left_order: Column,
     return number(left, left_order).join(number(right, right_order), [key, "_n"], "left").drop("_n")
 
 
+def match_once(left: DataFrame, right: DataFrame, keys: list[tuple[Column, Column]], left_order: list[Column], right_order: list[Column]) -> DataFrame:
+    """(l, r, by) structs of matched rows: round by round for each pair of keys (left, right), the n-th free row of a key on the left
+    takes the n-th free one on the right; a row that has been taken is not taken again. Empty keys meet nothing. by: number of the round.
+
+    left and right are read several times; their rows are told apart by their columns and their order among equal ones."""
+
+    def numbered(df: DataFrame, side: str, order: list[Column]) -> DataFrame:
+        row = F.struct(*df.columns)
+        nth = F.row_number().over(Window.partitionBy(row).orderBy(*order))
+        return df.select(row.alias(side), nth.alias(f"{side}_n"), F.struct(*order).alias(f"{side}_o"), *(k[side == "r"].alias(f"k{i}") for i, k in enumerate(keys)))
+
+    free_l, free_r, found = numbered(left, "l", left_order), numbered(right, "r", right_order), None
+    for i in range(len(keys)):
+        rank = lambda df, side, k=f"k{i}": df.filter(F.coalesce(F.col(k), F.lit("")) != "").withColumn("_n", F.row_number().over(Window.partitionBy(k).orderBy(f"{side}_o", f"{side}_n"))).withColumnRenamed(k, "_k")
+        taken = rank(free_l, "l").select("_k", "_n", "l", "l_n").join(rank(free_r, "r").select("_k", "_n", "r", "r_n"), ["_k", "_n"])
+        found = taken.select("l", "r", F.lit(i).alias("by")) if found is None else found.unionByName(taken.select("l", "r", F.lit(i).alias("by")))
+        if i + 1 < len(keys):
+            rest = lambda df, side, taken=taken: df.join(taken.select(side, f"{side}_n"), (df[side].eqNullSafe(taken[side])) & (df[f"{side}_n"] == taken[f"{side}_n"]), "left_anti")
+            free_l, free_r = rest(free_l, "l"), rest(free_r, "r")
+    return found
+
+
 def fresh(cache: DataFrame, at: Column, ttl_seconds: Column, now: Column) -> DataFrame:
     return cache.filter(F.unix_timestamp(at) + ttl_seconds > F.unix_timestamp(now))
 

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pressmill.functions.text import clean, strip_last_segment
 from pressmill.functions.url import unwrap_hyperlink
+from pressmill.operators import merge
 
 # Accepted column names of each export column, defaults of empty cells, display names of media.
 ALIASES = {
@@ -47,12 +48,17 @@ def export_rows(articles: DataFrame, aliases: Mapping[str, Sequence[str]] = ALIA
 
 
 def negative_sheet(articles: DataFrame, summaries: DataFrame, placeholder: str = "-") -> DataFrame:
-    """One summary per Negatif article (link, title), by link, else by lower title, else the placeholder. summaries: link, title, summary."""
-    negative = articles.filter("tone = 'Negatif'").select("link", "title", F.lower(F.trim("title")).alias("_k"))
-    by_link = summaries.filter("link <> ''").groupBy(F.col("link").alias("_l")).agg(F.min("summary").alias("_s1"))
-    by_title = summaries.filter("title <> ''").groupBy(F.lower(F.trim("title")).alias("_t")).agg(F.min("summary").alias("_s2"))
-    found = negative.join(by_link, F.col("link") == F.col("_l"), "left").join(by_title, F.col("_k") == F.col("_t"), "left")
-    return found.select("link", "title", F.coalesce("_s1", "_s2", F.lit(placeholder)).alias("summary"))
+    """One summary per Negatif article (link, title), by link, else by lower title, else the placeholder; each summary is used once.
+
+    articles, summaries (with summary): in order of their links, titles and summaries."""
+    key = F.lower(F.trim("title"))
+    negative = articles.filter("tone = 'Negatif'").select("link", "title")
+    found = merge.match_once(negative, summaries.select("link", "title", "summary"), [(F.col("link"), F.col("link")), (key, key)], [F.col("link"), F.col("title")], [F.col("link"), F.col("title"), F.col("summary")])
+    nth = lambda df: df.withColumn("_n", F.row_number().over(Window.partitionBy("link", "title").orderBy(F.col("summary").asc_nulls_last())))
+    given = nth(found.select("l.link", "l.title", "r.summary"))
+    bare = negative.withColumn("_n", F.row_number().over(Window.partitionBy("link", "title").orderBy("link")))
+    same = bare["link"].eqNullSafe(given["link"]) & bare["title"].eqNullSafe(given["title"]) & (bare["_n"] == given["_n"])
+    return bare.join(given, same, "left").select(bare["link"], bare["title"], F.coalesce("summary", F.lit(placeholder)).alias("summary"))
 
 
 def run_history(runs: DataFrame, new: DataFrame, at: str, keep: int = KEEP_RUNS) -> DataFrame:

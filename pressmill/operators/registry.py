@@ -6,7 +6,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.functions.fuzzy import partial_ratio, ratio, token_set_ratio
+from pressmill.functions.fuzzy import partial_ratio, ratio, ratio_udf, token_set_ratio, token_set_udf
+from pressmill.functions.text import strip_source_suffix
+from pressmill.functions.url import host, is_decoded
 from pressmill.operators.dedup import top_per_key
 
 REEVALUATE_AFTER = 3
@@ -77,12 +79,23 @@ def official_match(titles: DataFrame, official: DataFrame, least: float = 80.0,
     return titles.join(top, "title").select("id", "best", "official_id")
 
 
-def search_score(title: str, candidate: str, same_domain: bool) -> float:
-    """Score of a search result for a title; -1 where it is no match."""
-    full, words = ratio(title.lower(), candidate.lower()), token_set_ratio(title.lower(), candidate.lower())
-    if same_domain:
-        return full + 20 if words >= 72 or full >= 68 else -1.0
-    return full if full >= 88 or (words >= 92 and len(candidate) >= 25) else -1.0
+def search_matches(articles: DataFrame, results: DataFrame) -> DataFrame:
+    """(id, url, score) of the best search result of each article, of equal ones the first by pos; articles without a match are left out.
+
+    articles: id, title, media, source_url. results: id, pos, title, url. On a host of the article's own source a result needs
+    72 by word sets or 68 as a whole; elsewhere 88 as a whole, or 92 by word sets where the article's title has 25 characters."""
+    tidy = lambda title, media: F.lower(F.trim(strip_source_suffix(F.trim(F.coalesce(title, F.lit(""))), F.trim(F.coalesce(media, F.lit(""))))))
+    own = host(F.coalesce("source_url", F.lit("")))
+    a = articles.select("id", tidy(F.col("title"), F.col("media")).alias("_a"), "media", F.when(own.contains("news.google"), "").otherwise(own).alias("_own"))
+    usable = results.filter(F.coalesce(is_decoded(F.col("url")), F.lit(False)))
+    both = usable.select("id", "pos", "url", F.col("title").alias("_t")).join(a, "id").withColumn("_b", tidy(F.col("_t"), F.col("media"))).filter("_a <> '' AND _b <> ''")
+    both = both.withColumns({"_full": ratio_udf("_a", "_b"), "_words": token_set_udf("_a", "_b"), "_host": host(F.col("url"))})
+    within = lambda x, y: F.endswith(F.concat(F.lit("."), x), F.concat(F.lit("."), y))
+    same = (F.col("_own") != "") & (within(F.col("_host"), F.col("_own")) | within(F.col("_own"), F.col("_host")))
+    strict = (F.col("_full") >= 88) | ((F.col("_words") >= 92) & (F.length("_a") >= 25))
+    score = F.when(same, F.when((F.col("_words") >= 72) | (F.col("_full") >= 68), F.col("_full") + 20)).when(strict, F.col("_full"))
+    best = both.withColumn("score", score).filter("score IS NOT NULL").groupBy("id").agg(F.max_by(F.struct("url", "score"), F.struct("score", -F.col("pos"))).alias("m"))
+    return best.select("id", "m.*")
 
 
 def grounded(claim: str, source: str) -> bool:

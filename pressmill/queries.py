@@ -934,11 +934,30 @@ def _(spark, d):
     return publish.export_rows(rows)
 
 
+@query("match_once", """
+WITH e AS (SELECT event_id, event_type, user_id, ts::DATE AS day FROM events),
+l1 AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY event_id) AS n FROM e WHERE event_type = 'purchase'),
+r1 AS (SELECT *, row_number() OVER (PARTITION BY user_id, day ORDER BY event_id) AS n FROM e WHERE event_type = 'error'),
+m AS (SELECT l1.event_id AS a, r1.event_id AS b FROM l1 JOIN r1 USING (user_id, day, n)),
+l2 AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM l1 WHERE event_id NOT IN (SELECT a FROM m)),
+r2 AS (SELECT event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM r1 WHERE event_id NOT IN (SELECT b FROM m))
+SELECT a, b, 0 AS round FROM m UNION ALL SELECT l2.event_id, r2.event_id, 1 FROM l2 JOIN r2 USING (user_id, n)
+""")
+def _(spark, d):
+    """Purchases and errors of one user, first of one day, then of any; each is used once."""
+    e = _t(spark, d, "events").select("event_id", "event_type", "user_id", F.to_date("ts").alias("day"))
+    left, right = (e.filter(F.col("event_type") == x).select("event_id", "user_id", "day") for x in ("purchase", "error"))
+    day, user = F.concat_ws("|", "user_id", "day"), F.col("user_id").cast("string")
+    found = merge.match_once(left, right, [(day, day), (user, user)], [F.col("event_id")], [F.col("event_id")])
+    return found.select(F.col("l.event_id").alias("a"), F.col("r.event_id").alias("b"), F.col("by").alias("round"))
+
+
 @query("negative_sheet", r"""
 WITH a AS (SELECT 'l' || p_partkey AS link, p_name || p_type AS title FROM part WHERE p_size % 2 = 0),
 l AS (SELECT 'l' || p_partkey AS link, 's' || p_partkey AS summary FROM part WHERE p_partkey % 3 = 0),
-t AS (SELECT lower(p_name || p_type) AS k, min('t' || p_partkey) AS summary FROM part WHERE p_partkey % 30 = 1 GROUP BY 1)
-SELECT a.link, a.title, coalesce(l.summary, t.summary, '-') AS summary FROM a LEFT JOIN l ON l.link = a.link LEFT JOIN t ON t.k = lower(a.title)
+t AS (SELECT lower(p_name || p_type) AS k, 't' || p_partkey AS summary, row_number() OVER (PARTITION BY lower(p_name || p_type) ORDER BY upper(p_name || p_type), 't' || p_partkey) AS n FROM part WHERE p_partkey % 30 = 1),
+f AS (SELECT link, title, row_number() OVER (PARTITION BY lower(title) ORDER BY link, title) AS n FROM a WHERE link NOT IN (SELECT link FROM l))
+SELECT a.link, a.title, coalesce(l.summary, t.summary, '-') AS summary FROM a LEFT JOIN l ON l.link = a.link LEFT JOIN f ON f.link = a.link LEFT JOIN t ON t.k = lower(f.title) AND t.n = f.n
 """)
 def _(spark, d):
     from pressmill.operators import publish

@@ -315,3 +315,28 @@ def test_amounts_and_days_of_titles(spark):
     }
     df = spark.createDataFrame([(k,) for k in cases], "t string").withColumn("n", text.normalise_issue(F.col("t")))
     assert {r["t"]: (r["n"], set(r["e"]["numbers"])) for r in df.withColumn("e", text.entities(F.col("n"))).collect()} == cases
+
+
+def test_negative_sheet_uses_each_summary_once(spark):
+    from pressmill.operators import publish
+
+    articles = [("u1", "A", "Negatif"), ("u1", "A", "Negatif"), ("u2", "B", "Negatif"), ("u3", "b ", "Negatif"), ("u4", "C", "Netral"), (None, "D", "Negatif"), ("u9", None, "Negatif")]
+    summaries = [("u1", "x", "s1"), ("", "B", "s2"), ("u3", "zz", "s3"), ("u7", "D", "s4"), ("u8", "D", "s5")]
+    df = spark.createDataFrame(articles, "link string, title string, tone string")
+    got = publish.negative_sheet(df, spark.createDataFrame(summaries, "link string, title string, summary string"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted([("u1", "A", "s1"), ("u1", "A", "-"), ("u2", "B", "s2"), ("u3", "b ", "s3"), (None, "D", "s4"), ("u9", None, "-")], key=repr)
+
+
+def test_search_matches(spark):
+    from pressmill.operators import registry
+
+    articles = [(1, "Pabrik Gula Baru Diresmikan di Jawa - Suara", "Suara", "https://www.suara.id/x"), (2, "Gula Naik", None, None), (3, "", "Suara", "https://suara.id"), (4, "Pabrik gula baru diresmikan hari ini", None, "https://news.google.com/a"), (5, "Harga kakao naik", "", "https://kakao.id")]
+    results = [
+        (1, 0, "Pabrik gula baru resmi di Jawa", "https://m.suara.id/read/1"), (1, 1, "Pabrik Gula Baru Diresmikan di Jawa - Suara", "https://news.suara.id/read/2"), (1, 2, "Pabrik Gula Baru Diresmikan di Jawa", "https://suara.id/read/3"), (1, 3, "Pabrik Gula Baru Diresmikan di Jawa", "not an address"),
+        (2, 0, "Gula Naik Lagi Menjelang Hari Raya di Seluruh Pasar", "https://a.id/read/1"),  # contained, but the own title is short
+        (3, 0, "Pabrik", "https://suara.id/read/9"),
+        (4, 0, "Di Jawa pabrik gula baru diresmikan hari ini oleh menteri", "https://b.id/read/1"), (4, 1, "Pabrik gula tua ditutup", "https://b.id/read/2"),
+        (5, 0, "Harga kopi turun tajam", "https://kakao.id/read/1"), (5, 1, None, "https://kakao.id/read/2"),
+    ]
+    got = registry.search_matches(spark.createDataFrame(articles, "id int, title string, media string, source_url string"), spark.createDataFrame(results, "id int, pos int, title string, url string"))
+    assert {r["id"]: r["url"] for r in got.collect()} == {1: "https://news.suara.id/read/2", 4: "https://b.id/read/1"}
