@@ -711,6 +711,27 @@ def _(spark, d):
     return registry.stratified_sample(s, "skor", "pos", {"low": 20, "mid": 15, "high": 25}).select("pos", "stratum")
 
 
+@query("review_sample", """
+WITH a AS (SELECT 'art_' || ((l_orderkey * 10 + l_linenumber) // 11) AS id, l_orderkey * 10 + l_linenumber AS pos, l_orderkey % 3001 || l_linestatus AS isu_id, CASE WHEN l_returnflag = 'R' THEN 'rilis' ELSE 'klaster' END AS sumber_isu, (l_discount * 10)::DOUBLE AS skor_isu FROM lineitem),
+c AS (SELECT *, count(*) OVER (PARTITION BY isu_id) AS size FROM a),
+g AS (SELECT *, CASE WHEN sumber_isu = 'rilis' THEN 1 WHEN size < 2 THEN 6 WHEN skor_isu < 0.45 THEN 2 WHEN skor_isu >= 0.65 THEN 4 ELSE 3 END AS grp, substr(id, 5)::BIGINT <= 23 AS early FROM c),
+k AS (SELECT 60 - least(8, count(*)) AS room FROM g WHERE grp = 6),
+u AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY pos) AS nth FROM g) WHERE nth = 1),
+e AS (SELECT id, pos, 0 AS bucket FROM u WHERE early ORDER BY pos LIMIT 23),
+r AS (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY pos) AS n FROM u WHERE id NOT IN (SELECT id FROM e)),
+x AS (SELECT id, pos, grp AS bucket FROM r WHERE grp < 6 AND n <= 15),
+m AS (SELECT id, pos, 5 AS bucket FROM (SELECT *, row_number() OVER (ORDER BY pos) AS i FROM r WHERE grp BETWEEN 2 AND 4 AND n > 15) WHERE i <= (SELECT room FROM k)),
+s AS (SELECT id, pos, 6 AS bucket FROM r WHERE grp = 6 AND n <= 60)
+SELECT id, pos, bucket FROM (SELECT * FROM e UNION ALL SELECT * FROM x UNION ALL SELECT * FROM m UNION ALL SELECT * FROM s) ORDER BY bucket, pos LIMIT 60
+""")
+def _(spark, d):
+    from pressmill.operators import registry
+
+    pos = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    a = _t(spark, d, "lineitem").select(F.concat(F.lit("art_"), F.floor(pos / 11).cast("string")).alias("id"), pos.alias("pos"), F.concat(F.pmod("l_orderkey", F.lit(3001)).cast("string"), "l_linestatus").alias("isu_id"), F.when(F.col("l_returnflag") == "R", "rilis").otherwise("klaster").alias("sumber_isu"), (F.col("l_discount") * 10).cast("double").alias("skor_isu"))
+    return registry.review_sample(a).select("id", "pos", "bucket")
+
+
 @query("diverse_members")
 def _(spark, d):
     from pressmill.operators import registry

@@ -340,3 +340,15 @@ def test_search_matches(spark):
     ]
     got = registry.search_matches(spark.createDataFrame(articles, "id int, title string, media string, source_url string"), spark.createDataFrame(results, "id int, pos int, title string, url string"))
     assert {r["id"]: r["url"] for r in got.collect()} == {1: "https://news.suara.id/read/2", 4: "https://b.id/read/1"}
+
+
+def test_review_sample_fills_its_places(spark):
+    from pressmill.operators import registry
+
+    kinds = [("rilis", 0.9)] * 3 + [("klaster", 0.3)] * 30 + [("klaster", 0.5)] * 2 + [("klaster", 0.8)] * 9
+    rows = [(f"x{i}", i, "r" if k == "rilis" else "many", k, s) for i, (k, s) in enumerate(kinds)] + [(f"s{i}", 100 + i, f"only{i}", "klaster", 1.0) for i in range(20)] + [("art_5", 200, "many", "klaster", 0.9), ("art_24", 201, "many", "klaster", 0.9), ("x0", 300, "r", "rilis", 0.9)]
+    df = spark.createDataFrame(rows, "id string, pos long, isu_id string, sumber_isu string, skor_isu double")
+    got = [(r["bucket"], r["id"]) for r in registry.review_sample(df).collect()]
+    want = [(0, "art_5")] + [(1, f"x{i}") for i in range(3)] + [(2, f"x{i}") for i in range(3, 18)] + [(3, "x33"), (3, "x34")] + [(4, f"x{i}") for i in range(35, 44)] + [(4, "art_24")] + [(5, f"x{i}") for i in range(18, 33)]
+    assert got == want + [(6, f"s{i}") for i in range(60 - len(want))]
+    assert len(registry.review_sample(df, most=10).collect()) == 10 and registry.review_sample(df.limit(0)).count() == 0
