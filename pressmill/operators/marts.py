@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 TONES = ("Positif", "Netral", "Negatif")
@@ -51,3 +51,33 @@ def release_coverage(releases: DataFrame, members: DataFrame, release: str, memb
     per = members.groupBy(release).agg(F.count(member).alias("member_count"), F.sort_array(F.collect_list(member)).alias("members"))
     n = F.coalesce("member_count", F.lit(0)).cast("long")
     return releases.join(per, release, "left").select(release, n.alias("member_count"), F.coalesce("members", F.array().cast(per.schema["members"].dataType)).alias("members"), F.when(n == 0, "belum tercatat").otherwise("tercatat").alias("status"))
+
+
+def missing_days(df: DataFrame, day: Column, first: str, last: str) -> DataFrame:
+    """Days from first to last on which df has no row."""
+    every = df.sparkSession.range(1).select(F.explode(F.sequence(F.lit(first).cast("date"), F.lit(last).cast("date"))).alias("day"))
+    return every.join(df.select(day.alias("day")).distinct(), "day", "left_anti")
+
+
+def month_rollup(df: DataFrame, at: Column) -> DataFrame:
+    """Per month: rows and days that have any."""
+    return df.groupBy(F.date_format(at, "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.countDistinct(F.to_date(at)).alias("days"))
+
+
+def issue_cards(df: DataFrame, isu: Column, media: Column, order: Column) -> DataFrame:
+    """Per issue (a missing name is 'Tanpa isu'): items, media in any case, first place in order."""
+    return df.groupBy(F.coalesce(F.nullif(isu, F.lit("")), F.lit("Tanpa isu")).alias("isu")).agg(F.count("*").alias("items"), F.countDistinct(F.lower(media)).alias("media"), F.min(order).alias("first"))
+
+
+def rolling_rate(df: DataFrame, key: str, order: list[str], failed: Column, size: int = 20) -> DataFrame:
+    """df with rate: share of failures among the last ``size`` rows of its key, itself included."""
+    w = Window.partitionBy(key).orderBy(*order).rowsBetween(1 - size, 0)
+    return df.withColumn("rate", F.avg(F.when(failed, 1.0).otherwise(0.0)).over(w))
+
+
+def batch_slices(batches: DataFrame, late: Column) -> DataFrame:
+    """Totals, failures and failure rate over all batches and over the late ones; batches: total, failed, rejected, prefiltered."""
+    slices = F.explode(F.when(late, F.array(F.lit("all"), F.lit("late"))).otherwise(F.array(F.lit("all"))))
+    counts = ("total", "failed", "rejected", "prefiltered")
+    per = batches.withColumn("slice", slices).groupBy("slice").agg(*(F.sum(c).alias(c) for c in counts))
+    return per.withColumn("fail_pct", failure_rate(*map(F.col, ("failed", "total", "rejected", "prefiltered"))).cast("double"))

@@ -377,8 +377,7 @@ def _(spark, d):
 
 @query("missing_dates", "SELECT d::DATE AS day FROM range(DATE '2024-01-01', DATE '2024-03-01', INTERVAL 1 DAY) r(d) WHERE d::DATE NOT IN (SELECT ts::DATE FROM events)")
 def _(spark, d):
-    every = spark.range(1).select(F.explode(F.sequence(F.lit("2024-01-01").cast("date"), F.lit("2024-02-29").cast("date"))).alias("day"))
-    return every.join(_t(spark, d, "events").select(F.to_date("ts").alias("day")).distinct(), "day", "left_anti")
+    return marts.missing_days(_t(spark, d, "events"), F.to_date("ts"), "2024-01-01", "2024-02-29")
 
 
 @query("registry_window_match", """
@@ -415,10 +414,8 @@ def _(spark, d):
 
 @query("batch_report", "WITH b AS (SELECT l_linenumber AS batch, count(*) AS total, count(*) FILTER (WHERE l_returnflag = 'R') AS failed, count(*) FILTER (WHERE l_linestatus = 'O') AS prefiltered FROM lineitem GROUP BY 1), s AS (SELECT 'all' AS slice, * FROM b UNION ALL SELECT 'late', * FROM b WHERE batch >= 4) SELECT slice, sum(total)::BIGINT AS total, sum(failed)::BIGINT AS failed, CASE WHEN sum(total) - sum(prefiltered) > 0 THEN round(sum(failed) * 100.0 / (sum(total) - sum(prefiltered)), 1) ELSE 0.0 END::DOUBLE AS fail_pct FROM s GROUP BY 1")
 def _(spark, d):
-    slices = F.explode(F.when(F.col("l_linenumber") >= 4, F.array(F.lit("all"), F.lit("late"))).otherwise(F.array(F.lit("all"))))
-    per = _t(spark, d, "lineitem").groupBy("l_linenumber").agg(F.count("*").alias("total"), F.count_if(F.col("l_returnflag") == "R").alias("failed"), F.count_if(F.col("l_linestatus") == "O").alias("pre"))
-    agg = per.withColumn("slice", slices).groupBy("slice").agg(F.sum("total").alias("total"), F.sum("failed").alias("failed"), F.sum("pre").alias("pre"))
-    return agg.select("slice", "total", "failed", marts.failure_rate(F.col("failed"), F.col("total"), F.lit(0), F.col("pre")).cast("double").alias("fail_pct"))
+    per = _t(spark, d, "lineitem").groupBy("l_linenumber").agg(F.count("*").alias("total"), F.count_if(F.col("l_returnflag") == "R").alias("failed"), F.lit(0).alias("rejected"), F.count_if(F.col("l_linestatus") == "O").alias("prefiltered"))
+    return marts.batch_slices(per, F.col("l_linenumber") >= 4).select("slice", "total", "failed", "fail_pct")
 
 
 @query("issue_group_tone", f"WITH p AS (SELECT user_id AS grp, {_TONE_SQL} AS tone, count(*) AS c FROM events GROUP BY 1, 2) SELECT grp, arg_max(tone, struct_pack(c := c, r := CASE tone WHEN 'Negatif' THEN 3 WHEN 'Positif' THEN 2 ELSE 1 END)) AS tone, sum(c)::BIGINT AS members, count(*) > 1 AS mixed FROM p GROUP BY 1")
@@ -433,12 +430,12 @@ def _(spark, d):
 
 @query("month_rollup", "SELECT strftime(o_orderdate, '%Y-%m') AS month, count(*) AS n, count(DISTINCT o_orderdate::DATE) AS days FROM orders GROUP BY 1")
 def _(spark, d):
-    return _t(spark, d, "orders").groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("month")).agg(F.count("*").alias("n"), F.countDistinct(F.to_date("o_orderdate")).alias("days"))
+    return marts.month_rollup(_t(spark, d, "orders"), F.col("o_orderdate"))
 
 
 @query("issue_cards", "SELECT coalesce(nullif(lang, ''), 'Tanpa isu') AS isu, count(*) AS items, count(DISTINCT lower(source)) AS media, min(doc_id) AS first_id FROM documents GROUP BY 1")
 def _(spark, d):
-    return _t(spark, d, "documents").groupBy(F.coalesce(F.nullif("lang", F.lit("")), F.lit("Tanpa isu")).alias("isu")).agg(F.count("*").alias("items"), F.countDistinct(F.lower("source")).alias("media"), F.min("doc_id").alias("first_id"))
+    return marts.issue_cards(_t(spark, d, "documents"), F.col("lang"), F.col("source"), F.col("doc_id")).withColumnRenamed("first", "first_id")
 
 
 @query("issue_majority_tone", f"WITH p AS (SELECT user_id AS isu, {_TONE_SQL} AS t, count(*) AS c FROM events GROUP BY 1, 2), m AS (SELECT isu, max(c) AS top, sum(c)::BIGINT AS members FROM p GROUP BY 1) SELECT m.isu, CASE WHEN count(*) = 1 THEN min(t) ELSE 'Netral' END AS issue_tone, members FROM m JOIN p ON p.isu = m.isu AND p.c = m.top GROUP BY m.isu, members")
@@ -453,8 +450,7 @@ def _(spark, d):
 
 @query("rolling_failure", "SELECT event_id, avg(CASE WHEN event_type = 'error' THEN 1.0 ELSE 0.0 END) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS 19 PRECEDING) AS rate FROM events")
 def _(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id").rowsBetween(-19, 0)
-    return _t(spark, d, "events").select("event_id", F.avg(F.when(F.col("event_type") == "error", 1.0).otherwise(0.0)).over(w).alias("rate"))
+    return marts.rolling_rate(_t(spark, d, "events"), "user_id", ["ts", "event_id"], F.col("event_type") == "error").select("event_id", "rate")
 
 
 _PRED_SQL = f"SELECT l.quality AS actual, CASE WHEN length(coalesce(text, '')) >= 300 AND NOT regexp_matches({_TITLE_SQL}, '[#*$%&|]') THEN 1 ELSE 0 END AS predicted FROM labels l JOIN documents USING (doc_id)"
