@@ -123,8 +123,19 @@ def search_matches(articles: DataFrame, results: DataFrame) -> DataFrame:
     return best.select("id", "m.*")
 
 
-def grounded(claim: str, source: str) -> bool:
-    """Whether a named party is in the source (partial ratio of 85) and every number of two digits or more too."""
-    import re
-
-    return partial_ratio(claim.lower(), source.lower()) >= 85 and all(n in source for n in re.findall(r"\d{2,}", claim))
+def grounded(summaries: DataFrame, least: float = 85.0) -> DataFrame:
+    """summaries with parties_kept (those named in title or text, by partial ratio), parties_dropped and needs_check (facts hold a number
+    of two digits or more that is in neither). summaries: title, text, parties (array of names; blank ones go), facts."""
+
+    @F.pandas_udf("array<string>")
+    def named(parties: pd.Series, corpus: pd.Series) -> pd.Series:
+        there = lambda name, text: name.lower() in text or partial_ratio(name.lower(), text) >= least
+        return pd.Series([[n for n in names if there(n, text)] for names, text in zip(parties, corpus, strict=True)])
+
+    blank = F.array().cast("array<string>")
+    names = F.filter(F.transform(F.coalesce("parties", blank), lambda n: F.trim(F.coalesce(n, F.lit("")))), lambda n: n != "")
+    corpus = F.lower(F.concat_ws(" ", F.coalesce("title", F.lit("")), F.coalesce("text", F.lit(""))))
+    numbers = F.regexp_extract_all(F.coalesce("facts", F.lit("")), F.lit(r"(?<![\p{L}\p{N}_])[0-9]{2,}(?![\p{L}\p{N}_])"), 0)
+    known = summaries.withColumns({"_names": names, "_corpus": corpus})
+    known = known.withColumns({"parties_kept": named("_names", "_corpus"), "needs_check": F.exists(numbers, lambda n: ~F.contains(F.col("_corpus"), n))})
+    return known.withColumn("parties_dropped", F.size("_names") - F.size("parties_kept")).drop("_names", "_corpus")

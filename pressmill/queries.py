@@ -728,6 +728,22 @@ def _(spark, d):
     return registry.review_sample(a).select("id", "pos", "bucket")
 
 
+@query("grounded_parties", r"""
+WITH d AS (SELECT doc_id, lower(coalesce(text, '')) AS t, string_split(coalesce(text, ''), ' ')[1] AS w, 'sejak 19' || doc_id % 100 || ' naik 12 persen dan 7 ton' AS facts FROM documents),
+p AS (SELECT *, list_filter([trim(w), '¤¤¤¤'], lambda x: x <> '') AS names FROM d)
+SELECT doc_id, array_to_string(list_filter(names, lambda x: contains(t, lower(x))), '|') AS kept, (len(names) - len(list_filter(names, lambda x: contains(t, lower(x)))))::INT AS dropped,
+  len(list_filter(regexp_extract_all(facts, '\b[0-9]{2,}\b'), lambda x: NOT contains(t, x))) > 0 AS needs_check FROM p
+""")
+def _(spark, d):
+    """Named parties: the first word of the text and one that no text holds."""
+    from pressmill.operators import registry
+
+    t = F.coalesce("text", F.lit(""))
+    facts = F.concat(F.lit("sejak 19"), F.pmod("doc_id", F.lit(100)).cast("string"), F.lit(" naik 12 persen dan 7 ton"))
+    given = _t(spark, d, "documents").select("doc_id", F.lit("").alias("title"), "text", F.array(F.substring_index(t, " ", 1), F.lit("¤¤¤¤")).alias("parties"), facts.alias("facts"))
+    return registry.grounded(given).select("doc_id", F.array_join("parties_kept", "|").alias("kept"), F.col("parties_dropped").alias("dropped"), "needs_check")
+
+
 @query("diverse_members")
 def _(spark, d):
     from pressmill.operators import registry

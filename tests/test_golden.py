@@ -352,3 +352,15 @@ def test_review_sample_fills_its_places(spark):
     want = [(0, "art_5")] + [(1, f"x{i}") for i in range(3)] + [(2, f"x{i}") for i in range(3, 18)] + [(3, "x33"), (3, "x34")] + [(4, f"x{i}") for i in range(35, 44)] + [(4, "art_24")] + [(5, f"x{i}") for i in range(18, 33)]
     assert got == want + [(6, f"s{i}") for i in range(60 - len(want))]
     assert len(registry.review_sample(df, most=10).collect()) == 10 and registry.review_sample(df.limit(0)).count() == 0
+
+
+def test_grounded_parties(spark):
+    from pressmill.operators import registry
+
+    rows = [
+        (1, "Harga gula naik", "Menteri Agus Gumiwan menyebut 15 pabrik tutup sejak 2024.", ["Agus Gumiwang", " ", "Faisol Riza", "HARGA GULA"], "15 pabrik pada 2024, 7 lainnya"),
+        (2, None, None, None, "12 pabrik"),
+        (3, "Judul", "", ["Judul"], None),
+    ]
+    got = registry.grounded(spark.createDataFrame(rows, "id int, title string, text string, parties array<string>, facts string")).collect()
+    assert {r["id"]: (r["parties_kept"], r["parties_dropped"], r["needs_check"]) for r in got} == {1: (["Agus Gumiwang", "HARGA GULA"], 1, False), 2: ([], 0, True), 3: (["Judul"], 0, False)}
