@@ -36,18 +36,25 @@ def sample_titles(members: DataFrame, issue: str, title: str, order: Column, n:
 def stratified_sample(df: DataFrame, score: str, pos: str, quotas: dict[str, int]) -> DataFrame:
     """Rows by stratum of score (low < 0.45, high >= 0.65, mid between), at most the quota each, in order of pos."""
     stratum = F.when(F.col(score) < 0.45, "low").when(F.col(score) >= 0.65, "high").otherwise("mid")
-    rank = F.row_number().over(Window.partitionBy("stratum").orderBy(pos))
     quota = F.create_map(*(F.lit(x) for kv in quotas.items() for x in kv))
-    return df.withColumn("stratum", stratum).withColumn("_n", rank).filter(F.col("_n") <= F.coalesce(F.try_element_at(quota, F.col("stratum")), F.lit(0))).drop("_n")
+    first = ranked_first(df.withColumn("stratum", stratum), ["stratum"], max(quotas.values(), default=0), F.col(pos))
+    return first.filter(F.col("_n") <= F.coalesce(F.try_element_at(quota, F.col("stratum")), F.lit(0))).drop("_n")
 
 
-def review_sample(assigned: DataFrame, most: int = 60, first: int = 23) -> DataFrame:
+def ranked_first(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFrame:
+    """The first n rows of each key with their rank _n. n is a number, so each task hands on at most n rows of a key."""
+    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= n)
+
+
+def review_sample(assigned: DataFrame, most: int = 60, first: int = 23, ties: tuple[str, ...] = ()) -> DataFrame:
     """Rows of assigned (id, pos, isu_id, sumber_isu, skor_isu) for a review, with their bucket, at most ``most``.
 
     Buckets in turn, each in order of pos and without ids taken before: 0 the numbered articles art_1 to art_<first>; then a quarter
     of the places (8 at least) each for 1 releases and, of clusters of two or more, 2 low (< 0.45), 3 mid, 4 high scores (>= 0.65);
-    5 what is left of these clusters, but for eight places of single ones; 6 single clusters. Unused places pass on."""
+    5 what is left of these clusters, but for eight places of single ones; 6 single clusters. Unused places pass on.
+    ties: further columns that order rows of one pos."""
     quota = max(8, most // 4)
+    order = [F.col(c) for c in ("pos", *ties)]
     sizes = assigned.groupBy(F.coalesce("isu_id", F.lit("")).alias("_isu")).agg(F.count("*").alias("_size"))
     score = F.coalesce("skor_isu", F.lit(0.0))
     group = F.when(F.col("sumber_isu") == "rilis", 1).when((F.col("sumber_isu") == "klaster") & (F.col("_size") >= 2), F.when(score < 0.45, 2).when(score >= 0.65, 4).otherwise(3)).when(F.col("sumber_isu") == "klaster", 6)
@@ -55,15 +62,15 @@ def review_sample(assigned: DataFrame, most: int = 60, first: int = 23) -> DataF
     rows = assigned.withColumn("_isu", F.coalesce("isu_id", F.lit(""))).join(sizes, "_isu").withColumns({"_group": group, "_early": F.coalesce(number <= first, F.lit(False))})
     singles = F.least(F.lit(8), F.count_if(F.col("_group") == 6))
     rest = most - rows.agg(singles.alias("n")).first()["n"]  # one number
-    rows = top_per_key(rows, ["id"], 1, F.col("pos"))
-    early = top_per_key(rows.filter("_early"), ["_early"], first, F.col("pos")).withColumn("bucket", F.lit(0))
+    rows = top_per_key(rows, ["id"], 1, *order)
+    early = top_per_key(rows.filter("_early"), ["_early"], first, *order).withColumn("bucket", F.lit(0))
     later = rows.join(early.select("id"), "id", "left_anti").filter(F.col("_group").isNotNull())
-    ranked = later.filter("_group < 6").withColumn("_n", F.row_number().over(Window.partitionBy("_group").orderBy("pos")))
+    ranked = ranked_first(later.filter("_group < 6"), ["_group"], quota + most, *order)  # a group gives no more than its share and all places
     shares = ranked.filter(F.col("_n") <= quota).drop("_n").withColumn("bucket", F.col("_group"))
-    left = ranked.filter((F.col("_n") > quota) & (F.col("_group") > 1)).drop("_n").orderBy("pos").limit(rest).withColumn("bucket", F.lit(5))
-    lone = later.filter("_group = 6").orderBy("pos").limit(most).withColumn("bucket", F.lit(6))
+    left = ranked.filter((F.col("_n") > quota) & (F.col("_group") > 1)).drop("_n").orderBy(*order).limit(rest).withColumn("bucket", F.lit(5))
+    lone = later.filter("_group = 6").orderBy(*order).limit(most).withColumn("bucket", F.lit(6))
     chosen = early.unionByName(shares).unionByName(left).unionByName(lone)
-    return chosen.orderBy("bucket", "pos").limit(most).select(*assigned.columns, "bucket")
+    return chosen.orderBy("bucket", *order).limit(most).select(*assigned.columns, "bucket")
 
 
 def diverse_members(members: DataFrame, issue: str, title: str, n: int = 8) -> DataFrame:

@@ -14,3 +14,22 @@ def test_name_that_opens_a_text(spark, tmp_path):
     got = {tuple(r) for r in queries.QUERIES["entity_first_two"](spark, str(tmp_path)).collect()}
     assert got == set(con.execute(queries.SQL["entity_first_two"]).fetchall())
     assert (0, "C", "A") in got and (1, "A", "C") in got
+
+
+def test_review_sample_keeps_the_order_of_the_file(spark, tmp_path):
+    """Of rows with one position the first of the file is taken, however the rows are dealt to tasks."""
+    con = duckdb.connect()
+    con.execute("create table lineitem as select (i // 14)::BIGINT as l_orderkey, (i % 7 + 1)::INT as l_linenumber, ((i * 7919) % 11) / 100.0::DOUBLE as l_discount, ['A', 'N', 'R'][(i * 31 // 7) % 3 + 1] as l_returnflag, ['F', 'O'][(i * 17 // 5) % 2 + 1] as l_linestatus from range(6000) r(i)")
+    con.execute(f"copy (select * from lineitem) to '{tmp_path}/lineitem.parquet' (format parquet, row_group_size 2048)")
+    con.execute("drop table lineitem")
+    con.execute(f"create view lineitem as select * from read_parquet('{tmp_path}/lineitem.parquet')")
+    want = sorted(con.execute(queries.SQL["review_sample"]).fetchall())
+    old = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.shuffle.partitions")}
+    try:
+        for size, parts in (("8k", "13"), ("1g", "1")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            assert sorted(tuple(r) for r in queries.QUERIES["review_sample"](spark, str(tmp_path)).collect()) == want
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
