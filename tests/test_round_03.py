@@ -33,3 +33,12 @@ def test_review_sample_keeps_the_order_of_the_file(spark, tmp_path):
     finally:
         for k, v in old.items():
             spark.conf.set(k, v)
+
+
+def test_samples_rank_few_rows_of_a_stratum(spark):
+    """No task gathers a stratum: each hands on as many rows as are asked for."""
+    from pressmill.operators import registry
+
+    df = spark.range(5000).selectExpr("id AS pos", "id % 10 / 10.0D AS skor")
+    out = registry.stratified_sample(df, "skor", "pos", {"low": 20, "mid": 15, "high": 25})
+    assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2 and out.count() == 60
