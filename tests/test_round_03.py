@@ -42,3 +42,32 @@ def test_samples_rank_few_rows_of_a_stratum(spark):
     df = spark.range(5000).selectExpr("id AS pos", "id % 10 / 10.0D AS skor")
     out = registry.stratified_sample(df, "skor", "pos", {"low": 20, "mid": 15, "high": 25})
     assert out._jdf.queryExecution().executedPlan().toString().count("WindowGroupLimit") == 2 and out.count() == 60
+
+
+def test_near_texts_by_blocks(monkeypatch):
+    """Near pairs of blocks are those of brute force: titles of any length, characters beyond ASCII, copies with holes."""
+    import random
+
+    from pressmill.functions import fuzzy, likeness
+
+    monkeypatch.setattr(likeness, "BLOCK", 50)
+    random.seed(3)
+    said = ["".join(random.choices(["der ", "tion", "en", "é", "中", "😀", " a"], k=random.randrange(1, 45))) for _ in range(120)]
+    texts = sorted({*said, *(t[:9] + t[9 + k % 12 :] + "x" * (k % 5) for k, t in enumerate(said)), "a", "ab", "b" * 200, "b" * 180 + "c"})
+    want = {frozenset((x, y)) for i, x in enumerate(texts) for y in texts[:i] if fuzzy.ratio(x, y) >= 85}
+    got = [frozenset(p) for x, y in likeness.near_pairs(texts, None, 85.0) for p in zip(x, y, strict=True)]
+    assert len(want) > 50 and len(got) == len(set(got)) and set(got) == want
+    left, right = texts[::2], texts[1::2]
+    got = {p for x, y in likeness.near_pairs(left, right, 85.0) for p in zip(x, y, strict=True)}
+    assert got == {(x, y) for x in left for y in right if fuzzy.ratio(x, y) >= 85}
+
+
+def test_groups_do_not_join_every_two_copies(spark):
+    """Rows with one title make a link each, not one for each pair."""
+    from pressmill.operators.dedup import near_title_groups, near_title_links, near_title_pairs
+
+    titles = ["Harga gula naik - A"] * 60 + ["Harga gula naik lagi - A", "Ekspor sawit turun", "", ""]
+    df = spark.createDataFrame(list(enumerate(titles)), "pos long, title string")
+    assert near_title_pairs(df, "title", "pos").count() == 60 * 59 // 2 + 60 and near_title_links(df, "title", "pos").count() < 130
+    groups = {r["pos"]: (r["group_pos"], r["group_title"]) for r in near_title_groups(df, "title", "pos").collect()}
+    assert all(groups[i] == (0, "Harga gula naik lagi - A") for i in range(61)) and [groups[i] for i in (61, 62, 63)] == [(61, "Ekspor sawit turun"), (62, ""), (63, "")]
