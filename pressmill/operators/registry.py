@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.functions.fuzzy import partial_ratio, ratio, ratio_udf, token_set_ratio, token_set_udf
+from pressmill.functions.fuzzy import partial_ratio, ratio, ratio_udf, token_set_udf
+from pressmill.functions.likeness import AT_ONCE, BLOCK, Block, lcs_pairs, passing
 from pressmill.functions.text import strip_source_suffix
 from pressmill.functions.url import host, is_decoded
 from pressmill.operators.dedup import top_per_key
@@ -87,27 +89,78 @@ def diverse_members(members: DataFrame, issue: str, title: str, n: int = 8) -> D
     return members.select(issue, title).distinct().groupBy(issue).applyInPandas(run, f"{issue} {kind}, rank long, title string")
 
 
-def _best_official(held: list[tuple[int, str]]):
-    @F.pandas_udf("s double, o long")
-    def best(texts: pd.Series) -> pd.DataFrame:
-        scored = [max((token_set_ratio(t or "", o), -i) for i, o in held) for t in texts]
-        return pd.DataFrame({"s": [x for x, _ in scored], "o": [-i for _, i in scored]})
-
-    return best
-
-
-def official_match(titles: DataFrame, official: DataFrame, least: float = 80.0, block: int = 2000) -> DataFrame:
-    """id, best, official_id: every distinct title against every official title, in blocks of at most ``block`` officials
-    that travel with the task, so the titles are neither joined nor shuffled for a comparison. Ties: the smallest id."""
-    rows, found = official.orderBy("official_id").toLocalIterator(), None
+#: Distinct titles of one part of the grid.
+PART_TITLES = 20_000
+
+
+def _best_officials(titles: list[str], held: list[tuple[int, str]], least: float) -> tuple[list[str], list[float], list[int]]:
+    """Titles with their best token_set_ratio of ``least`` or more among the officials (id, title), of equal ones the smallest id."""
+    held = sorted((i, sorted(set(t.split()))) for i, t in held)
+    held, out = [(i, w) for i, w in held if w], ([], [], [])
+    known = {w: k for k, w in enumerate(sorted({w for _, words in held for w in words}))}
+    length = np.array([len(w) + 1 for w in known], np.float32)
+
+    def side(sets: list[list[str]]) -> tuple[Block, np.ndarray, np.ndarray, np.ndarray]:
+        there = np.zeros((len(sets), len(known)), np.float32)
+        at = [(k, known[w]) for k, words in enumerate(sets) for w in words if w in known]
+        if at:
+            there[tuple(np.array(at).T)] = 1
+        joined = [" ".join(words) for words in sets]
+        # the words in any order have no other characters and pairs of neighbours
+        return Block(joined, [f" {t} " for t in joined]), there, np.array([len(t) for t in joined], np.int64), np.array([len(words) for words in sets])
+
+    if not held:
+        return out
+    officials, there, m, b_words = side([w for _, w in held])
+    for start in range(0, len(titles), BLOCK):
+        sets = [(t, sorted(set(t.split()))) for t in titles[start : start + BLOCK]]
+        sets = [(t, w) for t, w in sets if w]
+        if not sets:
+            continue
+        own, mine, n, a_words = side([w for _, w in sets])
+        words, common = mine @ there.T, (mine * length) @ there.T - 1
+        common = np.maximum(common, 0).astype(float)
+        score = 200.0 * common / (common + np.minimum(n[:, None], m[None, :]))
+        score[(words == a_words[:, None]) | (words == b_words[None, :])] = 100.0
+        i, j = passing(own, officials, least, n, m)
+        open_ = score[i, j] < 100
+        i, j = i[open_], j[open_]
+        for k in range(0, len(i), AT_ONCE):
+            p, q = i[k : k + AT_ONCE], j[k : k + AT_ONCE]
+            one, two = [], []
+            for x, y in zip(p.tolist(), q.tolist(), strict=True):
+                left, right = sets[x][1], held[y][1]
+                both = set(left) & set(right)
+                shared = [w for w in left if w in both]
+                one.append(" ".join([*shared, *(w for w in left if w not in both)]))
+                two.append(" ".join([*shared, *(w for w in right if w not in both)]))
+            at = np.arange(len(p))
+            score[p, q] = np.maximum(score[p, q], 200.0 * lcs_pairs(one, two, at, at) / (n[p] + m[q]))
+        best = score.argmax(axis=1)  # the first: the smallest id
+        for k in np.flatnonzero(score[np.arange(len(sets)), best] >= least):
+            out[0].append(sets[k][0])
+            out[1].append(float(score[k, best[k]]))
+            out[2].append(held[best[k]][0])
+    return out
+
+
+def official_match(titles: DataFrame, official: DataFrame, least: float = 80.0, block: int = 500) -> DataFrame:
+    """id, best, official_id: every distinct title against every official title. Parts of the titles and of at most about ``block``
+    officials meet as a grid, a task each. Ties: the smallest id."""
     distinct = titles.select("title").distinct()
-    while held := [(r["official_id"], r["official_title"] or "") for _, r in zip(range(block), rows, strict=False)]:
-
-        part = distinct.select("title", _best_official(held)("title").alias("m")).select("title", "m.s", "m.o")
-        found = part if found is None else found.unionByName(part)
-    if found is None:
-        return titles.select("id", F.lit(None).cast("double").alias("best"), F.lit(None).cast("long").alias("official_id")).limit(0)
-    top = found.filter(F.col("s") >= least).groupBy("title").agg(F.max("s").alias("best"), F.max_by("o", F.struct("s", -F.col("o"))).alias("official_id"))
+    parts, blocks = max(8, -(-distinct.count() // PART_TITLES)), max(1, -(-official.count() // block))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = distinct.select("title", F.pmod(F.xxhash64("title"), F.lit(parts)).cast("int").alias("u")).withColumn("v", every(blocks))
+    right = official.select("official_id", F.coalesce("official_title", F.lit("")).alias("official_title"), F.pmod(F.xxhash64("official_id"), F.lit(blocks)).cast("int").alias("v")).withColumn("u", every(parts))
+
+    def run(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        t, s, o = _best_officials(a["title"].tolist(), list(zip(b["official_id"].tolist(), b["official_title"].tolist(), strict=True)), least)
+        return pd.DataFrame({"title": np.array(t, object), "s": np.array(s, float), "o": np.array(o, np.int64)})
+
+    cells = 2 * parts * blocks
+    of = lambda x: x.repartition(cells, "u", "v").groupBy("u", "v")
+    found = of(left).cogroup(of(right)).applyInPandas(run, "title string, s double, o long")
+    top = found.groupBy("title").agg(F.max("s").alias("best"), F.max_by("o", F.struct("s", -F.col("o"))).alias("official_id"))
     return titles.join(top, "title").select("id", "best", "official_id")
 
 

@@ -71,3 +71,20 @@ def test_groups_do_not_join_every_two_copies(spark):
     assert near_title_pairs(df, "title", "pos").count() == 60 * 59 // 2 + 60 and near_title_links(df, "title", "pos").count() < 130
     groups = {r["pos"]: (r["group_pos"], r["group_title"]) for r in near_title_groups(df, "title", "pos").collect()}
     assert all(groups[i] == (0, "Harga gula naik lagi - A") for i in range(61)) and [groups[i] for i in (61, 62, 63)] == [(61, "Ekspor sawit turun"), (62, ""), (63, "")]
+
+
+def test_officials_by_blocks():
+    """Best officials of blocks are those of brute force, ties to the smallest id, null-like and empty titles left out."""
+    import random
+
+    from pressmill.functions.fuzzy import token_set_ratio
+    from pressmill.operators.registry import _best_officials
+
+    random.seed(5)
+    words = ["gula", "naik", "harga", "sawit", "é", "中文", "ekspor", "impor", "turun", "pabrik", "kopi"]
+    some = lambda: " ".join(random.choices(words, k=random.randrange(0, 9)))
+    held = [(i, some()) for i in random.sample(range(1000), 60)]
+    titles = sorted({*(some() for _ in range(150)), *(t[:-2] + "q" for _, t in held), " ", "gula gula"})
+    got = {t: (s, o) for t, s, o in zip(*_best_officials(titles, held, 80.0), strict=True)}
+    want = {t: (s, -o) for t in titles if (m := max((token_set_ratio(t, o), -i) for i, o in held))[0] >= 80 for s, o in [m]}
+    assert got == want and len({s for s, _ in got.values()}) > 5
