@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pressmill.functions.fuzzy import partial_ratio, ratio, ratio_udf, token_set_udf
+from pressmill.functions.fuzzy import partial_reaches, ratio, ratio_udf, token_set_udf
 from pressmill.functions.likeness import AT_ONCE, BLOCK, Block, lcs_pairs, passing
 from pressmill.functions.text import strip_source_suffix
 from pressmill.functions.url import host, is_decoded
@@ -189,7 +189,7 @@ def grounded(summaries: DataFrame, least: float = 85.0) -> DataFrame:
 
     @F.pandas_udf("array<string>")
     def named(parties: pd.Series, corpus: pd.Series) -> pd.Series:
-        there = lambda name, text: name.lower() in text or partial_ratio(name.lower(), text) >= least
+        there = lambda name, text: name.lower() in text or partial_reaches(name.lower(), text, least)
         return pd.Series([[n for n in names if there(n, text)] for names, text in zip(parties, corpus, strict=True)])
 
     blank = F.array().cast("array<string>")

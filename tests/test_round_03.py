@@ -88,3 +88,18 @@ def test_officials_by_blocks():
     got = {t: (s, o) for t, s, o in zip(*_best_officials(titles, held, 80.0), strict=True)}
     want = {t: (s, -o) for t in titles if (m := max((token_set_ratio(t, o), -i) for i, o in held))[0] >= 80 for s, o in [m]}
     assert got == want and len({s for s, _ in got.values()}) > 5
+
+
+def test_parties_are_looked_up_only_where_their_characters_stand(monkeypatch):
+    """The same answer as the ratio over all windows, and no ratio at all where a text lacks the characters."""
+    import random
+
+    from pressmill.functions import fuzzy
+
+    random.seed(2)
+    for _ in range(500):
+        a, b = "".join(random.choices("abcé ", k=random.randrange(9))), "".join(random.choices("abcdé ", k=random.randrange(40)))
+        for least in (50.0, 85.0, 100.0):
+            assert fuzzy.partial_reaches(a, b, least) == (fuzzy.partial_ratio(a, b) >= least)
+    monkeypatch.setattr(fuzzy, "lcs", None)
+    assert not fuzzy.partial_reaches("¤¤¤¤", "kata " * 50_000, 85.0)
