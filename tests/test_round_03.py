@@ -117,3 +117,39 @@ def test_words_are_weighed_once(monkeypatch):
     before = len(asked)
     names.find("harga gula naik " * 300)
     assert len(asked) == before < 60
+
+
+def test_articles_are_not_broadcast(spark):
+    """However small Spark takes the articles for, no side of theirs goes through the driver."""
+    from pyspark.sql import functions as F
+
+    from pressmill.operators import issues
+    from pressmill.operators.dedup import label_components
+
+    docs = spark.createDataFrame([("d1", "harga gula naik", "pabrik gula " * 20), ("d2", "harga gula turun", "pabrik kopi " * 20)], "id string, title string, text string")
+    feats, texts = issues.features(docs, "id", "title", F.lit(None).cast("date"), F.col("text")), issues.bodies(docs, "id", "title", F.col("text"), F.lit("2024-01-01").cast("date"))
+    pairs = issues.met(feats, feats, issues.title_keys(two=True)).filter("a < b")
+    plan = lambda df: df._jdf.queryExecution().executedPlan().toString()
+    made = [pairs, issues.base_scores(pairs, feats, feats, issues.idf(feats)), issues.body_pairs(texts, texts, days=True), label_components(feats, pairs, "id")]
+    assert not any("BroadcastHashJoin" in plan(df) for df in made)
+    assert plan(issues.base_scores(pairs, feats, issues.features(docs, "id", "title", F.lit(None).cast("date"), F.col("text")), issues.idf(feats))).count("SortMergeJoin") >= 4
+
+
+def test_gram_cosines_of_a_batch():
+    """Cosines of a batch are those of each pair alone, to the last bit."""
+    import random
+    from collections import Counter
+
+    from pressmill.operators.issues import gram_cosines
+
+    def alone(x, y):
+        if not x or not y:
+            return 0.0
+        p, q = (Counter(t[i : i + n] for n in (3, 4) for i in range(len(t) - n + 1)) for t in (f" {x} ", f" {y} "))
+        dot = sum(c * q[g] for g, c in p.items())
+        return dot / (sum(c * c for c in p.values()) ** 0.5 * sum(c * c for c in q.values()) ** 0.5)
+
+    random.seed(4)
+    some = [None, "", "a", "中文", *(" ".join(random.choices(["gula", "naik", "é", "😀😀", "aaaaa", "b"], k=random.randrange(1, 14))) for _ in range(600))]
+    a, b = random.choices(some, k=5000), random.choices(some, k=5000)
+    assert gram_cosines(a, b).tolist() == [alone(x, y) for x, y in zip(a, b, strict=True)] and gram_cosines([], []).tolist() == []
