@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -39,10 +41,17 @@ def stratified_sample(df: DataFrame, score: str, pos: str, quotas: dict[str, int
     """Rows by stratum of score (low < 0.45, high >= 0.65, mid between), at most the quota each, in order of pos."""
     stratum = F.when(F.col(score) < 0.45, "low").when(F.col(score) >= 0.65, "high").otherwise("mid")
     quota = F.create_map(*(F.lit(x) for kv in quotas.items() for x in kv))
-    first = ranked_first(df.withColumn("stratum", stratum), ["stratum"], max(quotas.values(), default=0), F.col(pos))
+    few = first_of_each(df.withColumn("stratum", stratum), "stratum", quotas, F.col(pos)).repartition(max(1, len(quotas)))  # so that tasks share the ranking
+    first = ranked_first(few, ["stratum"], max(quotas.values(), default=0), F.col(pos))
     return first.filter(F.col("_n") <= F.coalesce(F.try_element_at(quota, F.col("stratum")), F.lit(0))).drop("_n")
 
 
+def first_of_each(df: DataFrame, key: str, quotas: dict[str, int], *order: Column) -> DataFrame:
+    """The first rows of each named key, as many as its quota: a pass over df for each key, in which a task holds about twice the quota and sorts nothing else."""
+    parts = [df.filter(F.col(key) == k).orderBy(*order).limit(n) for k, n in quotas.items()]
+    return reduce(DataFrame.unionAll, parts) if parts else df.limit(0)
+
+
 def ranked_first(df: DataFrame, keys: list[str], n: int, *order: Column) -> DataFrame:
     """The first n rows of each key with their rank _n. n is a number, so each task hands on at most n rows of a key."""
     return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter(F.col("_n") <= n)

@@ -153,3 +153,17 @@ def test_gram_cosines_of_a_batch():
     some = [None, "", "a", "中文", *(" ".join(random.choices(["gula", "naik", "é", "😀😀", "aaaaa", "b"], k=random.randrange(1, 14))) for _ in range(600))]
     a, b = random.choices(some, k=5000), random.choices(some, k=5000)
     assert gram_cosines(a, b).tolist() == [alone(x, y) for x, y in zip(a, b, strict=True)] and gram_cosines([], []).tolist() == []
+
+
+def test_samples_do_not_sort_their_input(spark):
+    """Only the first rows of each stratum are held and ranked, ties and unknown scores included."""
+    from pressmill.operators import registry
+
+    df = spark.range(4000).selectExpr("4000 - id DIV 2 AS pos", "CASE WHEN id % 11 < 10 THEN id % 11 / 10.0D END AS skor")
+    quotas = {"low": 20, "mid": 0, "high": 25}
+    out = registry.stratified_sample(df, "skor", "pos", quotas)
+    assert out._jdf.queryExecution().executedPlan().toString().count("TakeOrderedAndProject") >= 2
+    rows = sorted((r["pos"], "low" if r["skor"] is not None and r["skor"] < 0.45 else "high" if r["skor"] is not None and r["skor"] >= 0.65 else "mid") for r in df.collect())
+    want = sorted(r for k, n in quotas.items() for r in [x for x in rows if x[1] == k][:n])
+    assert sorted((r["pos"], r["stratum"]) for r in out.collect()) == want
+    assert registry.stratified_sample(df, "skor", "pos", {}).count() == 0
