@@ -167,3 +167,31 @@ def test_samples_do_not_sort_their_input(spark):
     want = sorted(r for k, n in quotas.items() for r in [x for x in rows if x[1] == k][:n])
     assert sorted((r["pos"], r["stratum"]) for r in out.collect()) == want
     assert registry.stratified_sample(df, "skor", "pos", {}).count() == 0
+
+
+def test_groups_by_fixpoint_are_those_of_the_replay(spark, monkeypatch):
+    """Chains, copies between near titles, heads before ' - ' and empty titles: as one replay over all rows, without one."""
+    import random
+
+    from pyspark.sql import functions as F
+
+    from pressmill.operators import dedup
+
+    random.seed(6)
+    base = ["harga gula naik di pasar induk", "ekspor sawit turun tajam tahun ini", "pabrik kopi baru dibuka"]
+    said = []
+    for k in range(110):
+        t = random.choice(base)
+        for _ in range(random.randrange(7)):
+            i = random.randrange(len(t))
+            t = t[:i] + random.choice("xyzé") + t[i + 1 :]
+        said.append(random.choice([t, t.upper(), f"{t} - {random.choice(['A', 'Media Nusantara Online', 'B - C'])}", f"{t}  - x", f" - {t}"]))
+        if k % 3 == 0:
+            said.append(random.choice(said))
+    said += ["", None, " ", " ", " - ", "中文 - a"]
+    df = spark.createDataFrame(list(enumerate(said)), "pos long, title string")
+    want = {tuple(r) for r in dedup.replay_groups(df.withColumn("c", F.lit(0)), "c", "title", "pos").select("pos", "group_pos", "group_title").collect()}
+    monkeypatch.setattr(dedup, "replay_groups", None)
+    got = dedup.near_title_groups(df, "title", "pos")
+    assert got.columns == ["pos", "title", "group_pos", "group_title"] and {tuple(r)[:1] + tuple(r)[2:] for r in got.collect()} == want
+    assert 20 < len({r[1] for r in want}) < len(want) - 20
