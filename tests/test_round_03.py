@@ -195,3 +195,17 @@ def test_groups_by_fixpoint_are_those_of_the_replay(spark, monkeypatch):
     got = dedup.near_title_groups(df, "title", "pos")
     assert got.columns == ["pos", "title", "group_pos", "group_title"] and {tuple(r)[:1] + tuple(r)[2:] for r in got.collect()} == want
     assert 20 < len({r[1] for r in want}) < len(want) - 20
+
+
+def test_patterns_open_with_the_first_characters(spark):
+    """What is dear is asked only where a value may begin; the answers stay those of whole words."""
+    from pyspark.sql import functions as F
+
+    from pressmill.operators.predicates import SPARK, word
+
+    values = ("gula", "rp 5", "é-x", "[a")
+    said = ["gula", "xgula", "gulay", "a gula, b", "rp 5", "rp 55", "é-x", "aé-x", "[a]", "[ab", "", "-"]
+    shown = word("t", values).show(SPARK)
+    assert shown.index("(?=[") < shown.index("(?<!")
+    got = [r["t"] for r in spark.createDataFrame([(t,) for t in said], "t string").filter(F.expr(shown)).collect()]
+    assert sorted(got) == sorted(["gula", "a gula, b", "rp 5", "é-x", "[a]"])
