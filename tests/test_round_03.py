@@ -209,3 +209,38 @@ def test_patterns_open_with_the_first_characters(spark):
     assert shown.index("(?=[") < shown.index("(?<!")
     got = [r["t"] for r in spark.createDataFrame([(t,) for t in said], "t string").filter(F.expr(shown)).collect()]
     assert sorted(got) == sorted(["gula", "a gula, b", "rp 5", "é-x", "[a]"])
+
+
+def test_titles_are_worked_out_once(spark):
+    """A title's steps stand once in the plan, not once for each branch that reads them."""
+    from pyspark.sql import functions as F
+
+    from pressmill.operators import issues
+
+    df = spark.createDataFrame([("a", "Ekspor Sawit RI Naik 5 Persen, Harga Turun - Kabar.com", "Kabupaten Riau: ekspor&amp;harga"), ("b", None, None)], "id string, title string, text string")
+    feats = issues.features(df, "id", "title", F.lit(None).cast("date"), F.col("text"))
+    texts = issues.bodies(df, "id", "title", F.col("text"))
+    for made in (feats, texts):
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("MetroTVNews") <= 4
+        assert made._jdf.queryExecution().optimizedPlan().toString().count("&quot;") <= 6
+    assert [r["title"] for r in feats.orderBy("id").collect()] == ["Ekspor Sawit RI Naik 5 Persen, Harga Turun", ""]
+    assert [list(r["places"]) for r in texts.orderBy("id").collect()] == [["riau"], []]
+
+
+def test_only_open_pairs_meet_by_grams(spark):
+    """Scores take to Python the titles of pairs whose score rests on them, with no sides' maps, and the pairs of a text come together."""
+    from pyspark.sql import functions as F
+
+    from pressmill.operators import issues
+
+    rows = [("a", "Harga gula naik di pasar induk"), ("b", "Harga gula naik di pasar induk"), ("c", "Gula pasir langka di pasar induk"), ("d", "Sidang gula pasar induk di mk")]
+    feats = issues.features(spark.createDataFrame(rows, "id string, title string"), "id", "title", F.lit(None).cast("date"), F.lit(""))
+    pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("a", "d")], "a string, b string")
+    out = issues.base_scores(pairs, feats, feats, issues.idf(feats))
+    plan = out._jdf.queryExecution().optimizedPlan()
+    python = [line for line in plan.toString().splitlines() if "ArrowEvalPython" in line]
+    assert len(python) == 2 and all("CASE WHEN" in line or "_norm" not in line for line in python)
+    below = plan.toString().split("ArrowEvalPython")[-1].splitlines()[1]
+    assert "a_w" not in below.split("Project")[-1].split("AS _word")[-1]
+    got = {r["b"]: (r["base"], r["kind"]) for r in out.collect()}
+    assert got["b"] == (1.0, issues.FIXED) and got["d"] == (0.12, issues.FIXED) and got["c"][1] == issues.DATED and 0.3 < got["c"][0] < 1
