@@ -244,3 +244,21 @@ def test_only_open_pairs_meet_by_grams(spark):
     assert "a_w" not in below.split("Project")[-1].split("AS _word")[-1]
     got = {r["b"]: (r["base"], r["kind"]) for r in out.collect()}
     assert got["b"] == (1.0, issues.FIXED) and got["d"] == (0.12, issues.FIXED) and got["c"][1] == issues.DATED and 0.3 < got["c"][0] < 1
+
+
+def test_cosines_of_a_label_meet_in_parts(spark, tmp_path):
+    """Pairs of one label as in the SQL, by products of packs in parts of a label; vectors of zeros and labels that are null."""
+    import random
+
+    random.seed(8)
+    rows = [(i, [random.uniform(-1, 1) for _ in range(5)] if i % 17 else [0.0] * 5, None if i % 13 == 5 else f"l{i % 3}") for i in range(160)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>, label string").repartition(3).write.parquet(f"{tmp_path}/embeddings.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view embeddings as select * from read_parquet('{tmp_path}/embeddings.parquet/*.parquet')")
+    for name in ("embedding_cosine", "embedding_cosine_all"):
+        want = sorted((a, b, str(c)) for a, b, c in con.execute(queries.SQL[name]).fetchall())
+        df = queries.QUERIES[name](spark, str(tmp_path))
+        got = sorted((r["a"], r["b"], str(r["cos"] + 0.0)) for r in df.collect())
+        assert [x[:2] for x in got] == [x[:2] for x in want] and any(c == "nan" for *_, c in want)
+        assert all(x[2] == y[2] or float(x[2]) == float(y[2]) for x, y in zip(got, want, strict=True))
+        assert "_part" in df._jdf.queryExecution().optimizedPlan().toString() or name == "embedding_cosine_all"
