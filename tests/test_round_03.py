@@ -239,7 +239,7 @@ def test_only_open_pairs_meet_by_grams(spark):
     out = issues.base_scores(pairs, feats, feats, issues.idf(feats))
     plan = out._jdf.queryExecution().optimizedPlan()
     python = [line for line in plan.toString().splitlines() if "ArrowEvalPython" in line]
-    assert len(python) == 2 and all("CASE WHEN" in line or "_norm" not in line for line in python)
+    assert len(python) == 2 and all("CASE WHEN" in line or "_norm" not in line for line in python)  # masked
     below = plan.toString().split("ArrowEvalPython")[-1].splitlines()[1]
     assert "a_w" not in below.split("Project")[-1].split("AS _word")[-1]
     got = {r["b"]: (r["base"], r["kind"]) for r in out.collect()}
@@ -262,3 +262,23 @@ def test_cosines_of_a_label_meet_in_parts(spark, tmp_path):
         assert [x[:2] for x in got] == [x[:2] for x in want] and any(c == "nan" for *_, c in want)
         assert all(x[2] == y[2] or float(x[2]) == float(y[2]) for x, y in zip(got, want, strict=True))
         assert "_part" in df._jdf.queryExecution().optimizedPlan().toString() or name == "embedding_cosine_all"
+
+
+def test_alike_articles_are_scored_once(spark, monkeypatch):
+    """Articles of one title and lead meet the issues as one; a copy whose body alone passes the gate brings no other copy."""
+    from pyspark.sql import functions as F
+
+    from pressmill.operators import assignment, issues
+
+    body = "Kabupaten Riau mencatat panen besar kakao premium menurut petani lokal serta koperasi desa makmur sentosa abadi"
+    rows = [("a1", "Harga gula naik", ""), ("a2", "Harga gula naik", ""), ("a3", "Harga gula naik", body), ("a4", "Kopi langka", body), ("a5", "Kopi langka", "")]
+    docs = spark.createDataFrame(rows, "id string, title string, text string")
+    items = spark.createDataFrame([("b1", "Gula pasir naik tajam", ""), ("b2", "Cokelat melimpah", body)], "id string, title string, text string")
+    feats = [issues.features(x, "id", "title", F.lit(None).cast("date"), F.lit("")) for x in (docs, items)]
+    texts = [issues.bodies(x, "id", "title", F.col("text")) for x in (docs, items)]
+    seen = []
+    real = assignment.base_scores
+    monkeypatch.setattr(assignment, "base_scores", lambda pairs, *a: seen.append(pairs.count()) or real(pairs, *a))
+    got = {(r["a"], r["b"]): (r["kind"], r["body_cosine"]) for r in assignment.match_pairs(*feats, *texts).collect()}
+    assert set(got) == {("a1", "b1"), ("a2", "b1"), ("a3", "b1"), ("a3", "b2"), ("a4", "b2")} and seen == [3]
+    assert got["a3", "b2"][1] > 0.9 and got["a1", "b1"][1] is None
